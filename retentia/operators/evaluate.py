@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import safe_div, top_n
 from ..schemas import POLICY_COLUMNS
-from .rank import exact_quantiles, global_cumsum, grouped_row_number
+from .rank import exact_quantiles, global_cumsum, grouped_row_number, join_on_keys
 
 TIE = ("CustomerID", "invoice_month")
 
@@ -73,7 +73,7 @@ def policy_metrics(df: DataFrame, budgets: Sequence[float], policies: Sequence[s
 def _attach_totals(agg: DataFrame, totals: DataFrame, g: list[str]) -> DataFrame:
     """Whole-frame totals (one row) become literals; grouped totals are joined."""
     if g:
-        return agg.join(totals, g, "left")
+        return join_on_keys(agg, totals, g, "left")
     row = totals.first()
     return (agg.withColumn("_rows", F.lit(row["_rows"]).cast("long"))
                .withColumn("_pos", F.lit(row["_pos"] or 0).cast("long"))
@@ -133,7 +133,7 @@ def _cumulative(df: DataFrame, label: str, prob: str, group_cols: Sequence[str])
     starts = cum.groupBy(*g).agg(F.min(F.col("cum_pos") - F.col("pos")).alias("_sp"),
                                  F.min(F.col("cum_cnt") - F.col("cnt")).alias("_sc"),
                                  F.sum("pos").alias("P"), F.sum("cnt").alias("_rows"))
-    cum = cum.join(starts, g, "left")
+    cum = join_on_keys(cum, starts, g, "left")
     return (cum.withColumn("tp", F.col("cum_pos") - F.col("_sp"))
                .withColumn("pp", F.col("cum_cnt") - F.col("_sc"))
                .withColumn("N", F.col("_rows") - F.col("P"))
@@ -156,7 +156,7 @@ def classification_summary(df: DataFrame, label: str = "churn_90d", prob: str =
     base = df.groupBy(*g).agg(
         F.avg((F.col(prob) - F.col(label)) ** 2).alias("brier_score"),
         F.avg(F.col(label).cast("double")).alias("positive_rate"))
-    return base.join(curves, g, "left").select(
+    return join_on_keys(base, curves, g, "left").select(
         *[c for c in g if c != "_all"], "roc_auc", "pr_auc", "brier_score", "positive_rate")
 
 
@@ -194,7 +194,7 @@ def calibration_curve(df: DataFrame, label: str = "churn_90d", prob: str = "chur
     q = exact_quantiles(df, g, prob, probs)
     edges = q.groupBy(*g).agg(F.array_sort(F.collect_list("value")).alias("_edges"))
     j = df.select(*g, F.col(prob).cast("double").alias("_p"), F.col(label).cast("double").alias("_y"))
-    j = j.join(F.broadcast(edges), g, "left") if g else _attach_edges(j, edges)
+    j = join_on_keys(j, edges, g, "left", broadcast_right=True) if g else _attach_edges(j, edges)
     binned = j.withColumn("bin", F.size(F.filter("_edges", lambda e: e < F.col("_p"))))
     return binned.groupBy(*g, "bin").agg(F.avg("_p").alias("mean_predicted_probability"),
                                          F.avg("_y").alias("observed_positive_rate"))
@@ -244,7 +244,7 @@ def evaluate_segments(df: DataFrame, budgets: Sequence[float], policy_col: str =
                                  F.countDistinct("churn_90d").alias("_classes"),
                                  F.avg(F.col("churn_90d").cast("double")).alias("positive_rate"))
     ok = stats.filter((F.col("n_rows") >= min_rows) & (F.col("_classes") >= 2)).drop("_classes")
-    use = long.join(F.broadcast(ok.select(*g)), g, "left_semi")
+    use = join_on_keys(long, ok.select(*g), g, "left_semi", broadcast_right=True)
     cls = classification_summary(use, group_cols=g).drop("positive_rate")
     fr = policy_frontier(use, policy_col, [chosen], g)
-    return ok.join(cls, g).join(fr, g)
+    return join_on_keys(join_on_keys(ok, cls, g, "inner"), fr, g, "inner")

@@ -10,8 +10,14 @@ An un-partitioned ``Window.orderBy`` moves every row into one task. Instead:
 3. Per-partition counts (one row per partition: a proven size bound) give the
    offsets, which are broadcast back.
 
-The exchange in (1) carries an explicit partition count, so adaptive execution
-never coalesces it and partition ids mean the same thing in every branch.
+Partition ids must mean the same thing where the rows are numbered and where
+the per-partition counts are taken. Two branches of one plan do not guarantee
+that: if column pruning makes their range exchanges differ, each samples its own
+bounds. The numbered table is therefore cut with a reliable ``checkpoint`` (in
+the cluster's ``spark.checkpoint.dir``) and both uses read that one copy, which
+also stays consistent when an executor is lost and a partition is recomputed.
+The exchange carries an explicit partition count, so adaptive execution never
+coalesces it.
 """
 
 from __future__ import annotations
@@ -22,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import top_n
+from ..session import cut_lineage
 
 
 def _ncols(cols: Sequence[Column | str]) -> list[Column]:
@@ -41,18 +48,37 @@ def _offsets(counts: DataFrame, value_cols: Sequence[str]) -> DataFrame:
         "_pid", *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"_off_{c}") for c in value_cols]))
 
 
+def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left",
+                 broadcast_right: bool = False) -> DataFrame:
+    """Equi-join on ``keys`` where NULL matches NULL (a NULL group is a group)."""
+    keys = list(keys)
+    r = right.select(*[F.col(k).alias(f"_rk_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    if broadcast_right:
+        r = F.broadcast(r)
+    cond = [left[k].eqNullSafe(r[f"_rk_{k}"]) for k in keys]
+    return left.join(r, cond, how).drop(*[f"_rk_{k}" for k in keys])
+
+
 def global_row_number(df: DataFrame, order: Sequence[Column | str], rank_col: str = "rank",
-                      num_partitions: int | None = None) -> DataFrame:
+                      num_partitions: int | None = None, total_col: str | None = None) -> DataFrame:
     """Exact 1..N position of each row in ``order`` (which must be a total order,
-    i.e. end with unique tie-break columns)."""
+    i.e. end with unique tie-break columns). ``total_col`` adds N to every row."""
     order = _ncols(order)
     n = _num_partitions(df, num_partitions)
-    rp = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
-    counts = rp.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    local = (rp.sortWithinPartitions(*order)
-             .withColumn("_loc", F.monotonically_increasing_id()
-                         - F.shiftleft(F.col("_pid").cast("long"), 33)))
-    return (local.join(_offsets(counts, ["_n"]), "_pid", "left")
+    local = cut_lineage(
+        df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+          .withColumn("_pid", F.spark_partition_id())
+          .withColumn("_loc", F.monotonically_increasing_id()
+                      - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
+    counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = _offsets(counts, ["_n"])
+    if total_col:
+        # still one row per partition: the grand total rides along the offsets
+        offsets = F.broadcast(counts.select(
+            "_pid", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(
+                Window.unboundedPreceding, -1)), F.lit(0)).alias("_off__n"),
+            F.sum("_n").over(Window.partitionBy()).alias(total_col)))
+    return (local.join(offsets, "_pid", "left")
             .withColumn(rank_col, (F.coalesce(F.col("_off__n"), F.lit(0)) + F.col("_loc") + 1).cast("long"))
             .drop("_pid", "_loc", "_off__n"))
 
@@ -63,7 +89,7 @@ def global_cumsum(df: DataFrame, order: Sequence[Column | str], value_cols: Sequ
     Local sums are a window per range partition (balanced by construction)."""
     order = _ncols(order)
     n = _num_partitions(df, num_partitions)
-    rp = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
+    rp = cut_lineage(df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()))
     counts = rp.groupBy("_pid").agg(*[F.sum(c).alias(c) for c in value_cols])
     w = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = rp.select("*", *[F.sum(c).over(w).alias(f"_loc_{c}") for c in value_cols])
@@ -75,17 +101,24 @@ def global_cumsum(df: DataFrame, order: Sequence[Column | str], value_cols: Sequ
 
 def grouped_row_number(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column | str],
                        rank_col: str = "rank", count_col: str | None = "group_rows",
-                       num_partitions: int | None = None) -> DataFrame:
+                       num_partitions: int | None = None, bounded_groups: bool = True) -> DataFrame:
     """Row number within each group, skew-safe: one global numbering over
     (group, order), minus each group's first position. A hot group is spread
-    over many range partitions instead of one window task."""
+    over many range partitions instead of one window task.
+
+    ``bounded_groups``: the caller guarantees few groups (policies, budgets,
+    segments, months), so the one-row-per-group table is broadcast; otherwise
+    the join is left to adaptive execution (runtime size, skew-join split)."""
     g = list(group_cols)
+    if not g:
+        out = global_row_number(df, order, rank_col, num_partitions, count_col)
+        return out
     ranked = global_row_number(df, [*g, *order], "_grn", num_partitions)
     aggs = [F.min("_grn").alias("_gfirst")]
     if count_col:
         aggs.append(F.count(F.lit(1)).alias(count_col))
     firsts = ranked.groupBy(*g).agg(*aggs)
-    return (ranked.join(firsts, g, "left")
+    return (join_on_keys(ranked, firsts, g, "left", broadcast_right=bounded_groups)
             .withColumn(rank_col, F.col("_grn") - F.col("_gfirst") + 1)
             .drop("_grn", "_gfirst"))
 
@@ -137,7 +170,8 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     v = F.col(value_col)
     base = df.filter(v.isNotNull()).select(*g, v.cast("double").alias("_v"))
     base = base.withColumn("_tb", F.monotonically_increasing_id())  # any unique id
-    ranked = grouped_row_number(base, g, [F.col("_v").asc(), F.col("_tb").asc()], "_r", "_cnt")
+    ranked = grouped_row_number(base, g, [F.col("_v").asc(), F.col("_tb").asc()], "_r", "_cnt",
+                                bounded_groups=False)
     qs = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("q")
     pos = ranked.select(*g, "_v", "_r", "_cnt", qs)
     h = (F.col("_cnt") - 1).cast("double") * F.col("q")

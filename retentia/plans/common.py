@@ -13,6 +13,7 @@ from ..operators.features import feature_table
 from ..operators.grains import invoice_rollup
 from ..operators.heuristics import add_heuristics, add_policy_scores, stub_probability
 from ..operators.split import add_split
+from ..session import cut_lineage
 from ..sources.tables import transactions
 
 
@@ -21,15 +22,22 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored(spark: SparkSession, sf_dir: str, split: SplitConfig | None = None) -> DataFrame:
-    """Whole feature table -> heuristics -> stub probability -> policies -> split label."""
-    ft = features(spark, sf_dir)
+    """Whole feature table -> heuristics -> stub probability -> policies -> split label.
+
+    The feature table is cut once (reliable checkpoint): the heuristics need a few
+    small aggregates and global ranks over it, and each would otherwise rebuild
+    the features from the raw tables. The scored result is cut for the same
+    reason before the evaluation steps rank it again."""
+    ft = cut_lineage(features(spark, sf_dir))
     s = add_policy_scores(stub_probability(add_heuristics(ft)), PROJECT_DECISION)
-    return add_split(s, split or SplitConfig())
+    return cut_lineage(add_split(s, split or SplitConfig()))
 
 
 def r4(c: Column | str) -> Column:
     c = F.col(c) if isinstance(c, str) else c
-    return F.round(c.cast("double"), 4) + F.lit(0.0)
+    # 1e-9 shift: exact decimal halves (common with 2-decimal money) would
+    # otherwise round differently in different engines
+    return F.round(c.cast("double") + F.lit(1e-9), 4) + F.lit(0.0)
 
 
 def normalise(df: DataFrame) -> DataFrame:
