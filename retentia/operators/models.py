@@ -49,14 +49,14 @@ def build_model(name: str, feature_cols: Sequence[str], n_train: int, params: di
                             stepSize=float(p.get("learning_rate", base["learning_rate"])),
                             subsamplingRate=float(p.get("subsample", base["subsample"])),
                             featureSubsetStrategy=str(p.get("colsample_bytree", base["colsample_bytree"])),
-                            seed=int(p.get("random_state", 42)), probabilityCol="_probability",
-                            rawPredictionCol="_raw", predictionCol="_prediction")
+                            seed=int(p.get("random_state", 42)))
+        gbt.setProbabilityCol("_probability").setRawPredictionCol("_raw").setPredictionCol("_prediction")
         return Pipeline(stages=[imp, asm, gbt])
     if name == "random_forest":
         rf = RandomForestClassifier(featuresCol="_features_raw", labelCol=label,
                                     numTrees=int(p.get("n_estimators", 100)), maxDepth=int(p.get("max_depth", 6)),
-                                    seed=42, probabilityCol="_probability", rawPredictionCol="_raw",
-                                    predictionCol="_prediction")
+                                    seed=42)
+        rf.setProbabilityCol("_probability").setRawPredictionCol("_raw").setPredictionCol("_prediction")
         return Pipeline(stages=[imp, asm, rf])
     raise ValueError(f"Unsupported model_name: {name}")
 

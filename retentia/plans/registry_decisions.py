@@ -259,7 +259,7 @@ def q_pr(spark, sf):
 
 
 @register("calibration_curve", O.with_scored(
-    f"""SELECT s.split, CAST(len(list_filter(e.edges, x -> x < s.churn_prob)) AS BIGINT) AS bin,
+    f"""SELECT s.split, CAST(len(list_filter(e.edges, lambda x: x < s.churn_prob)) AS BIGINT) AS bin,
         {R4('avg(s.churn_prob)')} AS mean_predicted_probability,
         {R4('avg(s.churn_90d)')} AS observed_positive_rate
       FROM sc s JOIN (SELECT split, quantile_cont(churn_prob, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS edges
@@ -400,7 +400,7 @@ def q_overlap(spark, sf):
       LEFT JOIN (SELECT b, string_agg(id, ',' ORDER BY id) AS ids FROM (
           SELECT b, CAST(CustomerID AS VARCHAR) AS id, row_number() OVER (PARTITION BY b ORDER BY CAST(CustomerID AS VARCHAR)) AS q
           FROM cu WHERE in_c AND NOT in_b) WHERE q <= 20 GROUP BY b) ic ON cu.b = ic.b,
-      (SELECT sum(CASE WHEN rb.r <> rc.r THEN 1 ELSE 0 END) AS nch, count(*) AS nrows
+      (SELECT CAST(sum(CASE WHEN rb.r <> rc.r THEN 1 ELSE 0 END) AS BIGINT) AS nch, count(*) AS nrows
        FROM rb JOIN rc USING (CustomerID, invoice_month)) ch
       GROUP BY cu.b""",
     _sel_sql(),
@@ -481,9 +481,9 @@ qe AS (SELECT feature, list_sort(list_distinct(quantile_cont(value, [0.0, 0.1, 0
        FROM lf WHERE split = 'train' AND value IS NOT NULL GROUP BY feature),
 ed AS (SELECT feature, CASE WHEN len(u) > 2 THEN u[2:len(u) - 1] ELSE [] END AS edges FROM qe),
 bins AS (SELECT feature, unnest(range(0, len(edges) + 1)) AS bin FROM ed),
-refc AS (SELECT lf.feature, len(list_filter(ed.edges, e -> e <= lf.value)) AS bin, count(*) AS c
+refc AS (SELECT lf.feature, len(list_filter(ed.edges, lambda e: e <= lf.value)) AS bin, count(*) AS c
          FROM lf JOIN ed USING (feature) WHERE split = 'train' AND value IS NOT NULL GROUP BY 1, 2),
-curc AS (SELECT lf.feature, len(list_filter(ed.edges, e -> e <= lf.value)) AS bin, count(*) AS c
+curc AS (SELECT lf.feature, len(list_filter(ed.edges, lambda e: e <= lf.value)) AS bin, count(*) AS c
          FROM lf JOIN ed USING (feature) WHERE value IS NOT NULL GROUP BY 1, 2),
 pj AS (SELECT bins.feature, bins.bin, coalesce(refc.c, 0) + 1e-8 AS e, coalesce(curc.c, 0) + 1e-8 AS a
        FROM bins LEFT JOIN refc USING (feature, bin) LEFT JOIN curc USING (feature, bin)),
