@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import DecisionConfig
 from ..functions.columns import minmax_expr
-from .rank import average_rank
+from .rank import average_ranks
 
 
 def column_bounds(df: DataFrame, cols: list[str]) -> dict[str, tuple]:
@@ -30,18 +30,16 @@ def add_recency_baseline(df: DataFrame) -> DataFrame:
     return minmax(df, "gap_days_prev", "recency_risk")
 
 
-def add_rfm_baseline(df: DataFrame, corrected: bool = False,
-                     tie_break=("CustomerID", "invoice_month")) -> DataFrame:
+def add_rfm_baseline(df: DataFrame, corrected: bool = False) -> DataFrame:
     """rfm_risk = mean of scaled rank terms. The reference ranks frequency and
     monetary descending *and* then inverts them, so frequent / high-spend rows get
-    high risk; ``corrected=True`` flips that."""
-    out = average_rank(df, "gap_days_prev", "r_rank", True, tie_break)
-    out = average_rank(out, "freq_90d", "f_rank", corrected, tie_break)
-    out = average_rank(out, "rev_sum_90d", "m_rank", corrected, tie_break)
-    b = column_bounds(out, ["r_rank", "f_rank", "m_rank"])
-    r = minmax_expr(F.col("r_rank"), *b["r_rank"])
-    f = F.lit(1.0) - minmax_expr(F.col("f_rank"), *b["f_rank"])
-    m = F.lit(1.0) - minmax_expr(F.col("m_rank"), *b["m_rank"])
+    high risk; ``corrected=True`` flips that. All three ranks come from one
+    grouped prefix sum over distinct values."""
+    out, b = average_ranks(df, [("gap_days_prev", "r_rank", True), ("freq_90d", "f_rank", corrected),
+                                ("rev_sum_90d", "m_rank", corrected)])
+    r = minmax_expr(F.col("r_rank"), *b.get("r_rank", (None, None)))
+    f = F.lit(1.0) - minmax_expr(F.col("f_rank"), *b.get("f_rank", (None, None)))
+    m = F.lit(1.0) - minmax_expr(F.col("m_rank"), *b.get("m_rank", (None, None)))
     return out.withColumn("rfm_risk", (r + f + m) / 3.0)
 
 

@@ -147,8 +147,12 @@ def train_and_score(name: str, train: DataFrame, to_score: DataFrame, feature_co
     """Fit on the non-calibration part of train, calibrate on the held-out months,
     score ``to_score`` with raw and calibrated probabilities (O-50..O-54)."""
     fit_part, cal_part, cal_months = calibration_holdout(train, label)
+    # iterative fits pass over the training rows many times: keep them cached
+    # (a lost block is recomputed from the deterministic lineage)
+    fit_part = fit_part.select(*feature_cols, label).persist()
     n = fit_part.count()
     model = build_model(name, feature_cols, n, params, label).fit(fit_part)
+    fit_part.unpersist()
     cal_scored = positive_probability(model, cal_part, "churn_prob_raw")
     cal = Calibrator(calibration_method).fit(cal_scored, "churn_prob_raw", label)
     tm = TrainedModel(name, model, cal, list(feature_cols),

@@ -138,27 +138,49 @@ def rank_by_policy(df: DataFrame, policy_col: str, rank_col: str = "rank",
 
 def target_flags(df: DataFrame, policy_col: str, budgets: Sequence[float],
                  tie_break: Sequence[str] = ("CustomerID", "invoice_month")) -> DataFrame:
-    """0/1 flag per budget from one rank (O-62); flag names use the rounded percent."""
-    ranked = rank_by_policy(df, policy_col, "_rank", tie_break)
-    total = ranked.groupBy().agg(F.count(F.lit(1)).alias("_total"))
-    n_total = total.first()["_total"]
+    """0/1 flag per budget from one rank (O-62); N rides along the rank offsets,
+    flag names use the rounded percent."""
+    ranked = global_row_number(df, policy_order(policy_col, tie_break), "_rank", total_col="_total")
     out = ranked
     for k in budgets:
-        n = max(1, int(round(n_total * float(k))))
-        out = out.withColumn(f"target_k{int(round(k * 100)):02d}", (F.col("_rank") <= n).cast("int"))
-    return out.drop("_rank")
+        out = out.withColumn(f"target_k{int(round(k * 100)):02d}",
+                             (F.col("_rank") <= top_n(F.col("_total"), k)).cast("int"))
+    return out.drop("_rank", "_total")
+
+
+def average_ranks(df: DataFrame, specs: Sequence[tuple[str, str, bool]]) -> tuple[DataFrame, dict]:
+    """Ranks with ties averaged (pandas ``method='average'``) for several columns
+    at once (O-45). ``specs``: (column, output column, ascending). Nulls get null.
+
+    Rows are first reduced to (column, value, count) -- map-side combined, so a
+    hot value costs one row -- then one grouped running sum over the distinct
+    values gives rows_before; average rank = rows_before + (count + 1) / 2. Each
+    column joins its value table back (adaptive execution splits hot values).
+    Also returns {output column: (min rank, max rank)} from the small table."""
+    items = [F.struct(F.lit(out).alias("_f"), F.col(c).cast("double").alias("_x"),
+                      (F.col(c) if asc else -F.col(c)).cast("double").alias("_v"))
+             for c, out, asc in specs]
+    long = df.select(F.explode(F.array(*items)).alias("_s")).select("_s._f", "_s._x", "_s._v")
+    counts = long.filter(F.col("_v").isNotNull()).groupBy("_f", "_v").agg(
+        F.count(F.lit(1)).alias("_c"), F.max("_x").alias("_x"))
+    cum = global_cumsum(counts, [F.col("_f"), F.col("_v")], ["_c"])
+    starts = cum.groupBy("_f").agg(F.min(F.col("cum__c") - F.col("_c")).alias("_s"))
+    per = cum.join(F.broadcast(starts), "_f").select(
+        "_f", "_x", ((F.col("cum__c") - F.col("_c") - F.col("_s")) + (F.col("_c") + 1) / 2.0).alias("_r"))
+    per = cut_lineage(per)
+    bounds = {r["_f"]: (r["lo"], r["hi"])
+              for r in per.groupBy("_f").agg(F.min("_r").alias("lo"), F.max("_r").alias("hi")).collect()}
+    out = df
+    for c, name, _ in specs:
+        vals = per.filter(F.col("_f") == name).select(F.col("_x").alias(f"_k_{name}"), F.col("_r").alias(name))
+        out = out.join(vals, F.col(c).cast("double") == F.col(f"_k_{name}"), "left").drop(f"_k_{name}")
+    return out, bounds
 
 
 def average_rank(df: DataFrame, value_col: str, out_col: str, ascending: bool = True,
                  tie_break: Sequence[str] = ("CustomerID", "invoice_month")) -> DataFrame:
-    """Rank with ties averaged (pandas ``method='average'``), nulls get null (O-45).
-    Average rank of a value = (first + last position of its rows) / 2."""
-    v = F.col(value_col)
-    key = v.asc() if ascending else v.desc()
-    present = df.filter(v.isNotNull())
-    ranked = global_row_number(present.select(value_col, *tie_break), [key, *tie_break], "_r")
-    per_value = ranked.groupBy(value_col).agg(((F.min("_r") + F.max("_r")) / 2.0).alias(out_col))
-    return df.join(per_value, value_col, "left")
+    """Single-column form of ``average_ranks``."""
+    return average_ranks(df, [(value_col, out_col, ascending)])[0]
 
 
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,

@@ -41,9 +41,9 @@ def build_features_job(spark: SparkSession, tx: DataFrame, base: str, run_id: st
     inv = spark.read.parquet(S.table_path(base, "invoices", run_id))
     Q.validate_unique_keys(inv, ["Invoice", "CustomerID"], "invoice_df")
     S.write_table(G.customer_events(inv), base, "customer_events", run_id)
-    S.write_table(G.customer_month(inv), base, "customer_month", run_id, ["invoice_month"])
+    S.write_table(G.customer_month(inv), base, "customer_month", run_id, ["invoice_month"], ["CustomerID"])
     ft = FE.feature_table(inv, horizon_days)
-    S.write_table(ft, base, "feature_table", run_id, ["invoice_month"])
+    S.write_table(ft, base, "feature_table", run_id, ["invoice_month"], ["CustomerID"])
     ft = spark.read.parquet(S.table_path(base, "feature_table", run_id))
     Q.validate_unique_keys(ft, ["CustomerID", "invoice_month"], "feature_table")
     Q.validate_null_thresholds(ft, {"CustomerID": 0.0, "invoice_month": 0.0, "T": 0.0, "churn_90d": 0.0},
@@ -129,7 +129,7 @@ def score_job(spark: SparkSession, base: str, decision: DecisionConfig = PROJECT
     Q.validate_inference_frame(ft, tm.feature_cols)
     scored = add_policy_scores(tm.score(add_heuristics(ft)), decision)
     scored = target_flags(scored, decision.targeting_policy, budgets)
-    S.write_table(scored, base, "predictions", run_id, ["invoice_month"])
+    S.write_table(scored, base, "predictions", run_id, ["invoice_month"], ["CustomerID"])
     scored = spark.read.parquet(S.table_path(base, "predictions", run_id))
     S.write_table(prediction_output(scored), base, "predictions_inference", run_id)
     ranked = grouped_row_number(scored, [], policy_order(decision.targeting_policy), "_rank", "_n")
@@ -137,7 +137,7 @@ def score_job(spark: SparkSession, base: str, decision: DecisionConfig = PROJECT
                .filter(F.col("_rank") <= F.greatest(F.lit(1), F.bround(F.col("_n") * F.col("budget_k"), 0)))
                .withColumn("budget_pct", F.round(F.col("budget_k") * 100).cast("int"))
                .select(*TARGET_LIST_COLUMNS, "budget_pct"))
-    S.write_table(targets, base, "targets", run_id, ["budget_pct"])
+    S.write_table(targets, base, "targets", run_id, ["budget_pct"], ["CustomerID", "invoice_month"])
     S.write_table(M.decision_drift(scored, budgets, decision.targeting_policy), base, "decision_drift", run_id)
     tables = ["predictions", "predictions_inference", "targets", "decision_drift"]
     try:

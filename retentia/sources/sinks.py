@@ -31,8 +31,16 @@ def table_path(base: str, name: str, run_id: str | None = None) -> str:
 
 
 def write_table(df: DataFrame, base: str, name: str, run_id: str,
-                partition_by: list[str] | None = None) -> str:
+                partition_by: list[str] | None = None, cluster_by: list[str] | None = None) -> str:
+    """Parquet under the run folder. With ``partition_by``, rows are first range
+    partitioned by (partition columns, ``cluster_by``): each task then covers a
+    contiguous slice of partition values, so the file count stays near the task
+    count instead of tasks x partition values, and a hot partition value is still
+    split across tasks by the cluster columns."""
     path = table_path(base, name, run_id)
+    if partition_by:
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartitionByRange(n, *partition_by, *(cluster_by or []))
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
