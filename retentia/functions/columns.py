@@ -22,9 +22,10 @@ def ntz_micros(c: Column | str) -> Column:
             + (secs * F.lit(1_000_000)).cast("long"))
 
 
-def floor_div(a: Column, b: int) -> Column:
-    """Exact integer floor division for bigint columns (negative-safe)."""
-    return ((a - F.pmod(a, F.lit(b))) / F.lit(b)).cast("long")
+def floor_div(col_name: str, b: int) -> Column:
+    """Exact integer floor division of a bigint column (negative-safe): the
+    remainder is removed first, then SQL's integral ``div`` (no double rounding)."""
+    return F.expr(f"(`{col_name}` - pmod(`{col_name}`, {int(b)}L)) div {int(b)}L")
 
 
 def top_n(total: Column, k: float | Column) -> Column:

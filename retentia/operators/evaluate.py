@@ -116,24 +116,23 @@ def _score_table(df: DataFrame, label: str, prob: str, group_cols: Sequence[str]
                    F.count(F.lit(1)).alias("cnt")))
 
 
-def _grouped(df: DataFrame, group_cols: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """Whole-frame metrics use one constant group so every path is a keyed join."""
-    g = list(group_cols)
-    if g:
-        return df, g
-    return df.withColumn("_all", F.lit(0)), ["_all"]
-
-
 def _cumulative(df: DataFrame, label: str, prob: str, group_cols: Sequence[str]) -> DataFrame:
     """Per distinct score (descending): tp / pp = positives / rows with score >= s,
-    plus group totals P and N (one row per group; joined on the group key)."""
+    plus group totals P and N. Grouped: group starts and totals (one row per
+    group) are joined on the group key; whole frame: they are scalars."""
     g = list(group_cols)
     st = _score_table(df, label, prob, g)
     cum = global_cumsum(st, [*[F.col(c) for c in g], F.col("score").desc()], ["pos", "cnt"])
-    starts = cum.groupBy(*g).agg(F.min(F.col("cum_pos") - F.col("pos")).alias("_sp"),
-                                 F.min(F.col("cum_cnt") - F.col("cnt")).alias("_sc"),
-                                 F.sum("pos").alias("P"), F.sum("cnt").alias("_rows"))
-    cum = join_on_keys(cum, starts, g, "left")
+    if g:
+        starts = cum.groupBy(*g).agg(F.min(F.col("cum_pos") - F.col("pos")).alias("_sp"),
+                                     F.min(F.col("cum_cnt") - F.col("cnt")).alias("_sc"),
+                                     F.sum("pos").alias("P"), F.sum("cnt").alias("_rows"))
+        cum = join_on_keys(cum, starts, g, "left")
+    else:
+        t = st.agg(F.sum("pos").alias("P"), F.sum("cnt").alias("_rows")).first()
+        cum = (cum.withColumn("_sp", F.lit(0)).withColumn("_sc", F.lit(0))
+                  .withColumn("P", F.lit(t["P"] or 0).cast("long"))
+                  .withColumn("_rows", F.lit(t["_rows"] or 0).cast("long")))
     return (cum.withColumn("tp", F.col("cum_pos") - F.col("_sp"))
                .withColumn("pp", F.col("cum_cnt") - F.col("_sc"))
                .withColumn("N", F.col("_rows") - F.col("P"))
@@ -143,46 +142,54 @@ def _cumulative(df: DataFrame, label: str, prob: str, group_cols: Sequence[str])
 def classification_summary(df: DataFrame, label: str = "churn_90d", prob: str = "churn_prob",
                            group_cols: Sequence[str] = ()) -> DataFrame:
     """ROC-AUC (ties count one half), average precision (sum of dR * P over
-    distinct thresholds), Brier score and positive rate (O-81)."""
-    df, g = _grouped(df, group_cols)
+    distinct thresholds), Brier score and positive rate (O-81). A group with a
+    single class has no AUC / AP (NULL)."""
+    g = list(group_cols)
     cum = _cumulative(df, label, prob, g)
     neg = F.col("cnt") - F.col("pos")
     # each negative at score s beats the positives strictly above it; ties count half
     auc_term = neg * ((F.col("tp") - F.col("pos")) + F.col("pos") / 2.0)
     ap_term = F.col("pos") * F.col("tp") / F.col("pp")
     curves = cum.groupBy(*g).agg(
-        (F.sum(auc_term) / (F.max("P") * F.max("N"))).alias("roc_auc"),
-        (F.sum(ap_term) / F.max("P")).alias("pr_auc"))
+        F.try_divide(F.sum(auc_term), (F.max("P") * F.max("N")).cast("double")).alias("roc_auc"),
+        F.try_divide(F.sum(ap_term), F.max("P").cast("double")).alias("pr_auc"))
     base = df.groupBy(*g).agg(
         F.avg((F.col(prob) - F.col(label)) ** 2).alias("brier_score"),
         F.avg(F.col(label).cast("double")).alias("positive_rate"))
-    return join_on_keys(base, curves, g, "left").select(
-        *[c for c in g if c != "_all"], "roc_auc", "pr_auc", "brier_score", "positive_rate")
+    if g:
+        return join_on_keys(base, curves, g, "left").select(*g, "roc_auc", "pr_auc", "brier_score", "positive_rate")
+    c, b = curves.first(), base.first()  # one row each
+    spark = df.sparkSession
+    return spark.createDataFrame(
+        [(c["roc_auc"] if c else None, c["pr_auc"] if c else None, b["brier_score"], b["positive_rate"])],
+        "roc_auc double, pr_auc double, brier_score double, positive_rate double")
 
 
 def roc_points(df: DataFrame, label: str = "churn_90d", prob: str = "churn_prob",
                group_cols: Sequence[str] = ()) -> DataFrame:
     """(fpr, tpr, threshold) at every distinct score, plus the origin (O-82)."""
-    df, g = _grouped(df, group_cols)
+    g = list(group_cols)
     cum = _cumulative(df, label, prob, g)
     pts = cum.select(*g, safe_div(F.col("pp") - F.col("tp"), F.col("N")).alias("fpr"),
                      safe_div(F.col("tp"), F.col("P")).alias("tpr"), F.col("score").alias("threshold"))
-    origin = cum.select(*g).distinct().select(*g, F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"),
-                                              F.lit(float("inf")).alias("threshold"))
-    return pts.unionByName(origin).drop("_all")
+    origin = cum.select(*g, F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"),
+                        F.lit(float("inf")).alias("threshold")).limit(1) if not g else \
+        cum.select(*g).distinct().select(*g, F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"),
+                                         F.lit(float("inf")).alias("threshold"))
+    return pts.unionByName(origin)
 
 
 def pr_points(df: DataFrame, label: str = "churn_90d", prob: str = "churn_prob",
               group_cols: Sequence[str] = ()) -> DataFrame:
     """(precision, recall, threshold) at every distinct score plus the final
     (precision 1, recall 0) point (O-83)."""
-    df, g = _grouped(df, group_cols)
+    g = list(group_cols)
     cum = _cumulative(df, label, prob, g)
     pts = cum.select(*g, (F.col("tp") / F.col("pp")).alias("precision"),
                      safe_div(F.col("tp"), F.col("P")).alias("recall"), F.col("score").alias("threshold"))
-    end = cum.select(*g).distinct().select(*g, F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"),
-                                           F.lit(None).cast("double").alias("threshold"))
-    return pts.unionByName(end).drop("_all")
+    end = (cum.select(*g).distinct() if g else cum.limit(1).select()).select(
+        *g, F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"), F.lit(None).cast("double").alias("threshold"))
+    return pts.unionByName(end)
 
 
 def calibration_curve(df: DataFrame, label: str = "churn_90d", prob: str = "churn_prob",
@@ -248,3 +255,28 @@ def evaluate_segments(df: DataFrame, budgets: Sequence[float], policy_col: str =
     cls = classification_summary(use, group_cols=g).drop("positive_rate")
     fr = policy_frontier(use, policy_col, [chosen], g)
     return join_on_keys(join_on_keys(ok, cls, g, "inner"), fr, g, "inner")
+
+
+def pick_policy_row(metrics: DataFrame, budget: float, policy: str = "policy_ml"):
+    """Exactly one (policy, budget) row or an error (O-89). Budgets are matched on
+    the rounded percent, not float equality."""
+    rows = (metrics.filter((F.col("policy") == policy)
+                           & (F.round(F.col("budget_k") * 100) == F.lit(round(budget * 100))))
+                   .limit(2).collect())
+    if len(rows) != 1:
+        raise ValueError(f"Expected a single policy row for policy={policy}, budget={budget}.")
+    return rows[0]
+
+
+def curve_tables(df: DataFrame, group_cols: Sequence[str] = (), label: str = "churn_90d",
+                 prob: str = "churn_prob") -> DataFrame:
+    """ROC, PR and calibration points as one long table keyed by ``curve`` (O-85)."""
+    g = list(group_cols)
+    roc = roc_points(df, label, prob, g).select(*g, F.lit("roc").alias("curve"), F.col("fpr").alias("x"),
+                                                F.col("tpr").alias("y"), "threshold")
+    pr = pr_points(df, label, prob, g).select(*g, F.lit("pr").alias("curve"), F.col("recall").alias("x"),
+                                              F.col("precision").alias("y"), "threshold")
+    cal = calibration_curve(df, label, prob, 10, g).select(
+        *g, F.lit("calibration").alias("curve"), F.col("mean_predicted_probability").alias("x"),
+        F.col("observed_positive_rate").alias("y"), F.lit(None).cast("double").alias("threshold"))
+    return roc.unionByName(pr).unionByName(cal)

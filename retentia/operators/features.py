@@ -40,7 +40,7 @@ def _bucketed(df: DataFrame, bucket_days: int, back_days: int, fwd_days: int) ->
     """Add ``_us`` and explode every row into its home bucket plus halo buckets."""
     bucket = bucket_days * US_PER_DAY
     us = ntz_micros("InvoiceDate")
-    df = df.withColumn("_us", us).withColumn("_home", floor_div(F.col("_us"), bucket))
+    df = df.withColumn("_us", us).withColumn("_home", floor_div("_us", bucket))
     off = F.pmod(F.col("_us"), F.lit(bucket))
     parts = F.array(F.col("_home"),
                     F.when(off >= F.lit(bucket - back_days * US_PER_DAY), F.col("_home") + 1),
@@ -115,7 +115,7 @@ def _bucket_fallback(invoices: DataFrame, bucket_days: int) -> DataFrame:
     bucket = bucket_days * US_PER_DAY
     per_bucket = (invoices.select("CustomerID", "InvoiceDate")
                   .withColumn("_us", ntz_micros("InvoiceDate"))
-                  .withColumn("_part", floor_div(F.col("_us"), bucket))
+                  .withColumn("_part", floor_div("_us", bucket))
                   .groupBy("CustomerID", "_part")
                   .agg(F.max("_us").alias("_bmax_us"), F.max("InvoiceDate").alias("_bmax_ts")))
     wb = Window.partitionBy("CustomerID").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..config import AlertConfig
 from ..functions.columns import top_n
 from .evaluate import TIE
+from ..session import cut_lineage
 from .rank import exact_quantiles, grouped_row_number, policy_order
 
 EPS = 1e-8
@@ -33,7 +34,8 @@ def bin_edges(reference: DataFrame, cols: Sequence[str], n_bins: int = 10) -> Da
     uniq = q.groupBy("feature").agg(F.array_sort(F.array_distinct(F.collect_list("value"))).alias("_u"))
     feats = reference.sparkSession.createDataFrame([(c,) for c in cols], "feature string")
     edges = F.when(F.size("_u") > 2, F.slice("_u", 2, F.size("_u") - 2)).otherwise(F.array().cast("array<double>"))
-    return feats.join(uniq, "feature", "left").select("feature", edges.alias("edges"))
+    # one row per feature: cut so the histogram and bounds below reuse it
+    return cut_lineage(feats.join(uniq, "feature", "left").select("feature", edges.alias("edges")))
 
 
 def _bin_of(value, edges):
@@ -65,17 +67,17 @@ def reference_profile(reference: DataFrame, cols: Sequence[str], n_bins: int = 1
     with_b = hist.join(F.broadcast(edges), "feature").withColumn("_b", bounds)
     prof = with_b.select("feature", "bin", F.element_at("_b", F.col("bin") + 1).alias("lo"),
                          F.element_at("_b", F.col("bin") + 2).alias("hi"), "count")
-    return prof.join(F.broadcast(missing_rates(reference, cols)), "feature", "left")
+    # features x bins rows: materialised once, read by every drift comparison
+    return cut_lineage(prof.join(F.broadcast(missing_rates(reference, cols)), "feature", "left"))
 
 
 def score_stats(df: DataFrame, prob: str = "churn_prob") -> DataFrame:
-    """missing rate, mean, p50 / p90 / p99 (exact linear quantiles)."""
-    q = exact_quantiles(df.withColumn("_g", F.lit(0)), ["_g"], prob, [0.5, 0.9, 0.99])
-    qp = q.groupBy("_g").agg(*[F.max(F.when(F.col("q") == p, F.col("value"))).alias(n)
-                               for p, n in [(0.5, "p50"), (0.9, "p90"), (0.99, "p99")]])
-    base = df.withColumn("_g", F.lit(0)).groupBy("_g").agg(
-        F.avg(F.col(prob).isNull().cast("double")).alias("missing_rate"), F.avg(prob).alias("mean"))
-    return base.join(qp, "_g", "left").drop("_g")
+    """missing rate, mean, p50 / p90 / p99 (exact linear quantiles); one row."""
+    q = {r["q"]: r["value"] for r in exact_quantiles(df, [], prob, [0.5, 0.9, 0.99]).collect()}  # 3 rows
+    b = df.agg(F.avg(F.col(prob).isNull().cast("double")).alias("missing_rate"), F.avg(prob).alias("mean")).first()
+    return df.sparkSession.createDataFrame(
+        [(b["missing_rate"], b["mean"], q.get(0.5), q.get(0.9), q.get(0.99))],
+        "missing_rate double, mean double, p50 double, p90 double, p99 double")
 
 
 def psi_table(profile: DataFrame, current: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -132,16 +134,20 @@ def top_psi_features(report: DataFrame, top_n_rows: int = 10) -> DataFrame:
 def drift_history_row(report: DataFrame, current: DataFrame, generated_at: str,
                       prob: str = "churn_prob") -> DataFrame:
     """One history row per run (O-108), appended by the score job."""
-    s = drift_summary(report)
-    st = score_stats(current, prob).select(F.col("mean").alias("score_mean"),
-                                           F.col("p90").alias("score_p90"), F.col("p99").alias("score_p99"))
-    n = current.agg(F.count(F.lit(1)).alias("n_rows_current"))
-    row = s.withColumn("_k", F.lit(1)).join(st.withColumn("_k", F.lit(1)), "_k").join(n.withColumn("_k", F.lit(1)), "_k")
-    return row.drop("_k").withColumn("generated_at_utc", F.lit(generated_at))
-
-
-def psi_trend(history: DataFrame) -> DataFrame:
-    """Latest vs previous run (O-110): history is one row per run, small."""
+    s = drift_summary(report).first().asDict()
+    st = score_stats(current, prob).first()
+    n = current.count()
+    row = {**s, "score_mean": st["mean"], "score_p90": st["p90"], "score_p99": st["p99"],
+           "n_rows_current": n, "generated_at_utc": generated_at}
+    schema = ("n_ok bigint, n_warn bigint, n_alert bigint, n_missing_ref bigint, top_alert_feature string, "
+              "top_psi double, overall_status string, has_alerts boolean, has_warnings boolean, "
+              "score_mean double, score_p90 double, score_p99 double, n_rows_current bigint, generated_at_utc string")
+    cols = [c.split()[0] for c in schema.split(", ")]
+    return current.sparkSession.createDataFrame([tuple(row[c] for c in cols)], schema)
+
+
+def history_trend(history: DataFrame) -> DataFrame:
+    """Latest vs previous run of the drift history (one row per run, small)."""
     w = Window.orderBy("generated_at_utc")
     return history.withColumn("previous_top_psi", F.lag("top_psi").over(w)).withColumn(
         "psi_change", F.col("top_psi") - F.col("previous_top_psi"))
@@ -165,3 +171,38 @@ def decision_drift(df: DataFrame, budgets: Sequence[float], ranking_col: str) ->
         F.avg("value_pos").alias("avg_value_pos_top_k"),
         F.coalesce(F.sum(F.when(F.col("churn_90d") == 1, F.col("value_pos"))), F.lit(0.0)).alias("var_at_k"),
         F.avg("policy_net_benefit").alias("avg_policy_net_benefit_top_k"))
+
+
+def monthly_psi(profile: DataFrame, current: DataFrame, cols: Sequence[str],
+                month_col: str = "invoice_month") -> DataFrame:
+    """PSI of every feature for every month of ``current`` against the reference
+    profile: (month, feature, psi). Counts are one aggregate by (month, feature,
+    bin); empty bins are generated from each (month, feature) pair's edge list."""
+    edges = profile.groupBy("feature").agg(
+        F.array_sort(F.collect_list(F.when(F.col("bin") > 0, F.col("lo")))).alias("edges"))
+    edges = F.broadcast(edges.select("feature", F.filter("edges", lambda x: x.isNotNull()).alias("edges")))
+    items = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols]
+    long = (current.select(F.col(month_col).alias("month"), F.explode(F.array(*items)).alias("_f"))
+                   .select("month", "_f.feature", "_f.value").filter(F.col("value").isNotNull()))
+    counts = (long.join(edges, "feature").withColumn("bin", _bin_of(F.col("value"), F.col("edges")))
+                  .groupBy("month", "feature", "bin").agg(F.count(F.lit(1)).alias("actual")))
+    pairs = counts.select("month", "feature").distinct().join(edges, "feature")
+    all_bins = pairs.select("month", "feature", F.explode(F.sequence(F.lit(0), F.size("edges"))).alias("bin"))
+    ref = F.broadcast(profile.select("feature", "bin", F.col("count").alias("expected")))
+    j = (all_bins.join(counts, ["month", "feature", "bin"], "left").join(ref, ["feature", "bin"], "left")
+                 .fillna(0, subset=["actual", "expected"]))
+    j = j.withColumn("e", F.col("expected") + EPS).withColumn("a", F.col("actual") + EPS)
+    w = Window.partitionBy("month", "feature")  # <= n_bins + 1 rows per group
+    j = (j.withColumn("e", F.col("e") / F.sum("e").over(w)).withColumn("a", F.col("a") / F.sum("a").over(w)))
+    return j.groupBy("month", "feature").agg(
+        F.sum((F.col("a") - F.col("e")) * F.log(F.col("a") / F.col("e"))).alias("psi"))
+
+
+def psi_trend(monthly: DataFrame) -> DataFrame:
+    """Per month: top feature and top PSI, with the change from the previous month
+    (O-110 over time). The month table is one row per month."""
+    top = monthly.groupBy("month").agg(F.max_by("feature", "psi").alias("top_feature"),
+                                       F.max("psi").alias("top_psi"))
+    w = Window.orderBy("month")  # one row per month: a small ordered table
+    return (top.withColumn("previous_top_psi", F.lag("top_psi").over(w))
+               .withColumn("psi_change", F.col("top_psi") - F.col("previous_top_psi")))

@@ -68,3 +68,10 @@ def with_probability_alias(df: DataFrame, prob_col: str) -> DataFrame:
     if prob_col not in df.columns:
         raise ValueError(f"Expected probability column {prob_col}.")
     return df.withColumn("churn_prob", F.col(prob_col).cast("double"))
+
+
+def inference_contract(feature_cols: list[str]) -> dict:
+    """Model input / output contract saved next to every model (O-20)."""
+    return {"inference_input_columns": list(feature_cols), "inference_id_columns": list(ID_COLUMNS),
+            "training_only_columns": list(TRAINING_ONLY_COLUMNS),
+            "prediction_output_columns": list(PREDICTION_OUTPUT_COLUMNS)}

@@ -64,7 +64,7 @@ def train_job(spark: SparkSession, base: str, split: SplitConfig | None = None,
     ft = add_split(ft, split).filter(F.col("split").isNotNull())
     parts = {s: add_heuristics(ft.filter(F.col("split") == s)) for s in ("train", "val", "test")}
     cols = feature_columns(parts["train"].drop("split"))
-    policy_rows, cls_rows, comparison = [], [], []
+    policy_rows, cls_rows, curve_rows = [], [], []
     models = {}
     for name, params in specs.items():
         to_score = parts["train"].unionByName(parts["val"]).unionByName(parts["test"])
@@ -76,11 +76,14 @@ def train_job(spark: SparkSession, base: str, split: SplitConfig | None = None,
             policy_rows.append(pm.withColumn("model", F.lit(name)).withColumn("probability_type", F.lit(ptype)))
             cl = EV.classification_summary(pol, group_cols=["split"])
             cls_rows.append(cl.withColumn("model", F.lit(name)).withColumn("probability_type", F.lit(ptype)))
+            curve_rows.append(EV.curve_tables(pol, ["split"]).withColumn("model", F.lit(name))
+                              .withColumn("probability_type", F.lit(ptype)))
         S.save_model(tm, base, run_id)
     policy = _union(policy_rows)
     cls = _union(cls_rows)
     S.write_table(policy, base, "policy_metrics", run_id)
     S.write_table(cls, base, "classification_metrics", run_id)
+    S.write_table(_union(curve_rows), base, "curves", run_id)
     chosen = 0.10 if 0.10 in budgets else float(budgets[0])
     cmp = (policy.filter((F.col("policy") == decision.targeting_policy) & (F.col("budget_k") == chosen)
                          & (F.col("probability_type") == "calibrated"))
@@ -91,6 +94,10 @@ def train_job(spark: SparkSession, base: str, split: SplitConfig | None = None,
                                            "precision_at_k", "recall_at_k", "lift_at_k", "var_covered_frac")])
     wide = wide.withColumn("chosen_budget", F.lit(chosen)).withColumn("run_id", F.lit(run_id))
     S.write_table(wide, base, "model_comparison", run_id)
+    S.write_report_csv(wide, base, "model_comparison", run_id)
+    S.append_history(S.run_log(policy, run_id, ["model", "split", "policy", "probability_type"],
+                               ["value_at_risk", "net_benefit_at_k", "precision_at_k", "recall_at_k", "lift_at_k"],
+                               "budget_k"), base, "run_log")
     champ = wide.orderBy(F.col("val_net_benefit_at_k").desc(), F.col("val_value_at_risk").desc(), "model").first()
     best = champ["model"]
     path = S.save_model(models[best], base, run_id)
@@ -98,7 +105,7 @@ def train_job(spark: SparkSession, base: str, split: SplitConfig | None = None,
     # drift reference: champion's train split
     S.write_table(M.reference_profile(parts["train"], FEATURE_COLUMNS), base, "reference_profile", run_id)
     S.write_table(feature_importance(models[best], None), base, "feature_importance", run_id)
-    tables = ["policy_metrics", "classification_metrics", "model_comparison", "reference_profile",
+    tables = ["policy_metrics", "classification_metrics", "curves", "model_comparison", "reference_profile",
               "feature_importance"]
     if backtest:
         detail, summary = run_backtest(spark, ft.drop("split"), cols, budgets, specs)

@@ -535,3 +535,24 @@ def q_drift_summary(spark, sf):
     f"{R4('quantile_cont(churn_prob, 0.9)')} AS p90, {R4('quantile_cont(churn_prob, 0.99)')} AS p99 FROM sc"))
 def q_score_stats(spark, sf):
     return M.score_stats(scored(spark, sf))
+
+
+@register("psi_trend", O.with_scored(
+    f"""SELECT {O.month('month')} AS month, top_feature, {R4('top_psi')} AS top_psi,
+        {R4('previous_top_psi')} AS previous_top_psi, {R4('top_psi - previous_top_psi')} AS psi_change
+      FROM (SELECT month, top_feature, top_psi, lag(top_psi) OVER (ORDER BY month) AS previous_top_psi
+            FROM (SELECT month, arg_max(feature, psi) AS top_feature, max(psi) AS top_psi FROM mpsi GROUP BY month))""",
+    _drift_sql(),
+    f"""lm AS ({" UNION ALL ".join(f"SELECT invoice_month AS month, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM sc" for c in FEATURE_COLUMNS)}),
+mc AS (SELECT lm.month, lm.feature, len(list_filter(ed.edges, lambda e: e <= lm.value)) AS bin, count(*) AS c
+       FROM lm JOIN ed USING (feature) WHERE value IS NOT NULL GROUP BY 1, 2, 3),
+mb AS (SELECT p.month, p.feature, unnest(range(0, len(ed.edges) + 1)) AS bin
+       FROM (SELECT DISTINCT month, feature FROM mc) p JOIN ed USING (feature)),
+mj AS (SELECT mb.month, mb.feature, mb.bin, coalesce(refc.c, 0) + 1e-8 AS e, coalesce(mc.c, 0) + 1e-8 AS a
+       FROM mb LEFT JOIN mc USING (month, feature, bin) LEFT JOIN refc USING (feature, bin)),
+mn AS (SELECT month, feature, e / sum(e) OVER (PARTITION BY month, feature) AS e,
+              a / sum(a) OVER (PARTITION BY month, feature) AS a FROM mj),
+mpsi AS (SELECT month, feature, sum((a - e) * ln(a / e)) AS psi FROM mn GROUP BY month, feature)"""))
+def q_psi_trend(spark, sf):
+    s, prof = _profile(spark, sf)
+    return M.psi_trend(M.monthly_psi(prof, s.filter(F.col("split") == "test"), FEATURE_COLUMNS))

@@ -13,6 +13,7 @@ from ..operators.explain import explain_linear, explain_occlusion
 from ..operators.heuristics import add_heuristics, add_policy_scores
 from ..operators.models import Calibrator, feature_importance, positive_probability, train_and_score
 from ..operators.split import add_split, feature_columns
+from ..session import cut_lineage
 from . import oracles as O
 from .common import features
 from .registry import KEYS, register
@@ -24,7 +25,7 @@ SPECS = {"logistic_regression": {}, "xgboost": SMALL_TREES, "lightgbm": SMALL_TR
 
 
 def _split_frames(spark: SparkSession, sf: str):
-    ft = add_split(features(spark, sf), SplitConfig())
+    ft = add_split(cut_lineage(features(spark, sf)), SplitConfig())
     ft = add_heuristics(ft)
     train = ft.filter(F.col("split") == "train")
     rest = ft.filter(F.col("split").isNotNull())
@@ -129,10 +130,21 @@ def q_folds(spark, sf):
     return BT.fold_table(features(spark, sf))
 
 
+_BACKTESTS: dict = {}
+
+
 def _backtest(spark, sf):
-    ft = features(spark, sf)
-    cols = feature_columns(ft)
-    return BT.run_backtest(spark, ft, cols, BUDGETS, {"logistic_regression": {}})
+    """One backtest per (session, tables): the detail table (one row per fold x
+    budget) is materialised and shared by the detail, summary and stability
+    queries instead of refitting every fold three times."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _BACKTESTS:
+        ft = cut_lineage(features(spark, sf))  # read by every fold: built once
+        cols = feature_columns(ft)
+        detail, _ = BT.run_backtest(spark, ft, cols, BUDGETS, {"logistic_regression": {}})
+        _BACKTESTS[key] = cut_lineage(detail)
+    detail = _BACKTESTS[key]
+    return detail, BT.backtest_summary(detail)
 
 
 @register("backtest_detail")

@@ -141,3 +141,37 @@ def _one_window():
     from pyspark.sql import Window
     # evidence tables are report-sized (a handful of metric rows)
     return Window.partitionBy()
+
+
+def explain_saved_customer(spark: SparkSession, base: str, customer_id: int, invoice_month: str,
+                           top_n: int = 3) -> DataFrame:
+    """Saved prediction row + linear explanation of the champion (O-118); an
+    empty lookup is an error."""
+    from ..operators.explain import explain_linear
+    from ..sources.sinks import load_model
+    if not 1 <= top_n <= 20:
+        raise ValueError("top_n must be in [1, 20]")
+    preds = S.read_published(spark, base, "predictions", "score")
+    row = lookup_prediction(preds, customer_id, invoice_month)
+    if row.limit(1).count() == 0:
+        raise LookupError(f"No saved prediction for customer {customer_id} in {invoice_month}")
+    tm = load_model(champion(spark, base)["model_path"])
+    if tm.name != "logistic_regression":
+        from ..operators.explain import explain_occlusion
+        ref = S.read_published(spark, base, "feature_table", "build_features")
+        return explain_occlusion(row, tm, ref, ["CustomerID", "invoice_month"], top_n)
+    return explain_linear(row, tm, top_n)
+
+
+def simulate_policy(spark: SparkSession, base: str, budgets=None) -> DataFrame:
+    """Policy what-if over the saved predictions, optional budgets (O-116)."""
+    from ..config import BUDGETS
+    from ..operators.compare import simulate_policy_by_budget
+    return simulate_policy_by_budget(S.read_published(spark, base, "predictions", "score"), budgets or BUDGETS)
+
+
+def simulate_experiment(spark: SparkSession, base: str, budgets=None) -> DataFrame:
+    from ..config import BUDGETS, ExperimentConfig
+    from ..operators.compare import simulate_experiment_by_budget
+    return simulate_experiment_by_budget(S.read_published(spark, base, "predictions", "score"),
+                                         budgets or BUDGETS, ExperimentConfig())

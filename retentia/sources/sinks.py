@@ -101,7 +101,9 @@ def save_model(tm, base: str, run_id: str) -> str:
     cal = {"method": tm.calibrator.method, "a": tm.calibrator.a, "b": tm.calibrator.b}
     if tm.calibrator.iso is not None:
         tm.calibrator.iso.write().overwrite().save(os.path.join(path, "isotonic"))
-    meta = {"name": tm.name, "feature_cols": tm.feature_cols, "calibrator": cal, "metadata": tm.metadata}
+    from ..operators.split import inference_contract
+    meta = {"name": tm.name, "feature_cols": tm.feature_cols, "calibrator": cal, "metadata": tm.metadata,
+            "inference_contract": inference_contract(tm.feature_cols)}
     spark = SparkSession.getActiveSession()
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").json(
         os.path.join(path, "meta"))
@@ -143,7 +145,12 @@ def resolve_champion(spark: SparkSession, base: str, default_model: str = "logis
     return {**row.asDict(), "source": "promotion"}
 
 
-def run_log(spark: SparkSession, run_id: str, rows: list[tuple]) -> DataFrame:
-    """Long run-log table (run_id, model, split, metric, step, value) (O-11c)."""
-    return spark.createDataFrame([(run_id, *r) for r in rows],
-                                 "run_id string, model string, split string, metric string, step int, value double")
+def run_log(metrics: DataFrame, run_id: str, id_cols: list[str], metric_cols: list[str],
+            step_col: str | None = None) -> DataFrame:
+    """Long run-log table (run_id, ids..., metric, step, value) from a wide metric
+    table with ``unpivot`` -- the run-tracking log as data, appended per run (O-11c)."""
+    ids = list(id_cols) + ([step_col] if step_col else [])
+    long = metrics.select(*ids, *[F.col(c).cast("double").alias(c) for c in metric_cols]).unpivot(
+        ids, metric_cols, "metric", "value")
+    step = F.round(F.col(step_col) * 100).cast("int") if step_col else F.lit(0)
+    return long.select(F.lit(run_id).alias("run_id"), *id_cols, "metric", step.alias("step"), "value")

@@ -58,3 +58,15 @@ def test_score_stats_match_numpy(spark, frame):
     assert s.mean == pytest.approx(pdf.x.mean())
     for name, q in (("p50", 0.5), ("p90", 0.9), ("p99", 0.99)):
         assert getattr(s, name) == pytest.approx(np.quantile(pdf.x, q))
+
+
+def test_monthly_psi_matches_whole_table_psi_for_one_month(spark, frame):
+    df, _ = frame
+    one = df.withColumn("invoice_month", F.to_date(F.lit("2020-01-01")))
+    prof = M.reference_profile(df, ["x", "y"])
+    whole = {r.feature: r.psi for r in M.psi_table(prof, one, ["x", "y"]).collect()}
+    monthly = {r.feature: r.psi for r in M.monthly_psi(prof, one, ["x", "y"]).collect()}
+    for f in ("x", "y"):
+        assert monthly[f] == pytest.approx(whole[f], abs=1e-12)
+    trend = M.psi_trend(M.monthly_psi(prof, one, ["x", "y"])).collect()
+    assert len(trend) == 1 and trend[0].previous_top_psi is None
