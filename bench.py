@@ -21,14 +21,13 @@ from retentia.config import BUDGETS, PROJECT_DECISION, SplitConfig  # noqa: E402
 from retentia.operators import evaluate as EV  # noqa: E402
 from retentia.operators import monitor as M  # noqa: E402
 from retentia.operators.features import feature_table  # noqa: E402
-from retentia.operators.grains import invoice_rollup  # noqa: E402
 from retentia.operators.heuristics import add_heuristics, add_policy_scores, stub_probability  # noqa: E402
 from retentia.operators.models import train_and_score  # noqa: E402
 from retentia.operators.rank import target_flags  # noqa: E402
 from retentia.operators.split import add_split  # noqa: E402
 from retentia.schemas import FEATURE_COLUMNS  # noqa: E402
 from retentia.session import get_spark  # noqa: E402
-from retentia.sources.tables import transactions  # noqa: E402
+from retentia.sources.tables import invoices  # noqa: E402
 
 
 def _force(df):
@@ -54,7 +53,7 @@ def main() -> None:
     inv_path, ft_path = os.path.join(scratch, "invoices"), os.path.join(scratch, "features")
 
     def build():
-        invoice_rollup(transactions(spark, sf_dir)).write.mode("overwrite").parquet(inv_path)
+        invoices(spark, sf_dir).write.mode("overwrite").parquet(inv_path)
         inv = spark.read.parquet(inv_path)
         ft = feature_table(inv)
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -10,15 +10,15 @@ from pyspark.sql import types as T
 from ..config import PROJECT_DECISION, SplitConfig
 from ..functions.columns import month_str, ts_str
 from ..operators.features import feature_table
-from ..operators.grains import invoice_rollup
 from ..operators.heuristics import add_heuristics, add_policy_scores, stub_probability
 from ..operators.split import add_split
 from ..session import cut_lineage
-from ..sources.tables import transactions
+from ..sources.tables import invoices
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feature_table(invoice_rollup(transactions(spark, sf_dir)))
+    """Feature table from the invoice grain (pre-aggregated before the join)."""
+    return feature_table(invoices(spark, sf_dir))
 
 
 def scored(spark: SparkSession, sf_dir: str, split: SplitConfig | None = None) -> DataFrame:

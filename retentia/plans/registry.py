@@ -158,3 +158,13 @@ def q_date_order(spark, sf):
 @register("table_fingerprint")
 def q_fingerprint(spark, sf):
     return quality.table_fingerprint(read_table(spark, sf, "orders"))
+
+
+@register("invoices_preaggregated", O.with_base(
+    f"SELECT Invoice, CustomerID, {O.ts('InvoiceDate')} AS InvoiceDate, "
+    f"{O.r4('invoice_total_revenue')} AS invoice_total_revenue, "
+    f"{O.r4('invoice_total_quantity')} AS invoice_total_quantity, num_lines FROM inv"))
+def q_invoices_fast(spark, sf):
+    """Invoice grain with lineitem combined by order before the join."""
+    from ..sources.tables import invoices
+    return invoices(spark, sf)

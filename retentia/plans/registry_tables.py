@@ -12,6 +12,7 @@ from ..operators import compare as C
 from ..operators import evaluate as EV
 from ..streaming.events import daily_event_rollup, purchase_stream, run_available
 from . import oracles as O
+from . import registry_decisions as REG_DEC
 from . import tables as TB
 from .common import scored
 from .registry import KEYS, register
@@ -64,7 +65,31 @@ def q_kpis(spark, sf):
     return TB.kpis(scored(spark, sf))
 
 
-@register("segment_contribution")
+_SEG_NB = """segt2 AS (SELECT * FROM seg WHERE split = 'test'),
+snb AS (SELECT segment_type, segment_value, policy, sum(policy_net_benefit) AS nb FROM (
+          SELECT segment_type, segment_value, policy_net_benefit, 'policy_ml' AS policy,
+                 row_number() OVER (PARTITION BY segment_type, segment_value ORDER BY round(policy_ml, 6) DESC NULLS LAST,
+                                    CustomerID, invoice_month) AS r,
+                 count(*) OVER (PARTITION BY segment_type, segment_value) AS n FROM segt2
+          UNION ALL
+          SELECT segment_type, segment_value, policy_net_benefit, 'policy_net_benefit' AS policy,
+                 row_number() OVER (PARTITION BY segment_type, segment_value ORDER BY round(policy_net_benefit, 6) DESC NULLS LAST,
+                                    CustomerID, invoice_month) AS r,
+                 count(*) OVER (PARTITION BY segment_type, segment_value) AS n FROM segt2)
+        WHERE r <= greatest(1, CAST(round_even(CAST(n AS DOUBLE) * 0.10, 0) AS BIGINT))
+        GROUP BY segment_type, segment_value, policy)"""
+
+
+@register("segment_contribution", O.with_scored(
+    f"""SELECT c.segment_type, c.segment_value, {R4('0.10')} AS budget_k, {R4('c.nb')} AS net_benefit_at_k,
+        {R4('coalesce(c.nb - b.nb, 0.0)')} AS delta_vs_baseline,
+        {R4('CASE WHEN t.pos > 0 THEN greatest(c.nb, 0.0) / t.pos ELSE 0.0 END')} AS contribution_share,
+        CAST(c.nb < 0 AS BIGINT) AS negative_roi
+      FROM (SELECT * FROM snb WHERE policy = 'policy_net_benefit') c
+      LEFT JOIN (SELECT * FROM snb WHERE policy = 'policy_ml') b USING (segment_type, segment_value)
+      JOIN (SELECT segment_type, sum(greatest(nb, 0.0)) AS pos FROM snb WHERE policy = 'policy_net_benefit'
+            GROUP BY segment_type) t USING (segment_type)""",
+    REG_DEC.SEG_SQL, _SEG_NB))
 def q_seg_contrib(spark, sf):
     """Segment share of positive net benefit and delta vs policy_ml (both
     policies' segment rows at 10 %)."""

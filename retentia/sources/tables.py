@@ -59,3 +59,23 @@ def customer_month_events(spark: SparkSession, sf_dir: str,
                      F.lit(1.0).alias("Quantity"),
                      F.col("value").alias("Price"),
                      F.col("value").alias("Revenue"))
+
+
+def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Invoice grain straight from the driver tables, aggregated *before* the join:
+    lineitem is combined map-side by order key, so the join shuffles one row per
+    order instead of one per line. Same result as invoice_rollup(transactions()):
+    an order has one customer and one date, so min(date) is the order date."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_extendedprice", "l_returnflag")
+    qty = F.when(F.col("l_returnflag") == "R", -F.col("l_quantity")).otherwise(F.col("l_quantity")).cast("double")
+    price = (F.col("l_extendedprice") / F.col("l_quantity")).cast("double")
+    per_order = (li.select("l_orderkey", qty.alias("q"), (qty * price).alias("r"))
+                   .groupBy("l_orderkey")
+                   .agg(F.sum("r").alias("invoice_total_revenue"), F.sum("q").alias("invoice_total_quantity"),
+                        F.count(F.lit(1)).alias("num_lines")))
+    od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    j = per_order.join(od, per_order.l_orderkey == od.o_orderkey, "inner")
+    return (j.filter(F.col("o_custkey").isNotNull())
+             .select(F.col("o_orderkey").alias("Invoice"), F.col("o_custkey").alias("CustomerID"),
+                     F.col("o_orderdate").alias("InvoiceDate"), "invoice_total_revenue",
+                     "invoice_total_quantity", "num_lines"))

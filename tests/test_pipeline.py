@@ -53,3 +53,20 @@ def test_jobs_end_to_end(spark):
     assert tables.model_comparison(spark, base).count() == 2
     with pytest.raises(ValueError):
         tables.predictions(spark, base, 3, sort_by="nope")
+
+
+def test_preaggregated_invoices_equal_line_rollup(spark):
+    from retentia.operators.grains import invoice_rollup
+    from retentia.sources.tables import invoices, transactions
+    a = invoice_rollup(transactions(spark, SF_SMALL)).toPandas().sort_values("Invoice").reset_index(drop=True)
+    b = invoices(spark, SF_SMALL).toPandas().sort_values("Invoice").reset_index(drop=True)
+    assert len(a) == len(b)
+    assert (a.Invoice.values == b.Invoice.values).all() and (a.num_lines.values == b.num_lines.values).all()
+    assert abs(a.invoice_total_revenue - b.invoice_total_revenue).max() < 1e-6
+
+
+def test_streaming_rollup(spark):
+    import __spark_entry__ as E
+    out = E.queries()["streaming_purchase_rollup"](spark, SF_SMALL)
+    rows = out.collect()
+    assert len(rows) > 0 and all(r.n_events >= 1 for r in rows)
