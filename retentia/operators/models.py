@@ -164,8 +164,8 @@ def linear_coefficients(tm: TrainedModel) -> tuple[list[float], float, list[floa
     """(coef, intercept, scaler mean, scaler std) of a fitted logistic pipeline."""
     stages = tm.model.stages
     scaler, lr = stages[2], stages[3]
-    return (list(lr.coefficients.toArray()), float(lr.intercept),
-            list(scaler.mean.toArray()), list(scaler.std.toArray()))
+    return ([float(x) for x in lr.coefficients.toArray()], float(lr.intercept),
+            [float(x) for x in scaler.mean.toArray()], [float(x) for x in scaler.std.toArray()])
 
 
 def feature_importance(tm: TrainedModel, scored: DataFrame | None = None) -> DataFrame:
@@ -182,7 +182,7 @@ def feature_importance(tm: TrainedModel, scored: DataFrame | None = None) -> Dat
             row = scored.agg(*contrib).first()
             vals = [(c, float(row[c] or 0.0)) for c in tm.feature_cols]
         else:
-            vals = [(c, abs(w)) for c, w in zip(tm.feature_cols, coef)]
+            vals = [(c, float(abs(w))) for c, w in zip(tm.feature_cols, coef)]
     else:
         imp = tm.model.stages[-1].featureImportances.toArray()
         vals = [(c, float(v)) for c, v in zip(tm.feature_cols, imp)]
