@@ -240,3 +240,17 @@ def rank_percentile(df: DataFrame, policy_col: str = "policy_net_benefit") -> Da
     return ranked.withColumn(
         "rank_percentile", F.lit(1.0) - (F.col("_rank") - 1).cast("double") / F.col("_n_rows")
     ).withColumnRenamed("_rank", "policy_rank").drop("_n_rows")
+
+
+def champion_vs_runner_up(comparison: DataFrame, metric: str = "test_net_benefit_at_k") -> DataFrame:
+    """The two best models by a comparison metric, side by side (O-100). The
+    comparison table has one row per model."""
+    from pyspark.sql import Window
+    w = Window.orderBy(F.col(metric).desc_nulls_last(), "model")  # one row per model
+    r = comparison.withColumn("_pos", F.row_number().over(w)).filter(F.col("_pos") <= 2)
+    return r.groupBy().agg(
+        F.max(F.when(F.col("_pos") == 1, F.col("model"))).alias("champion"),
+        F.max(F.when(F.col("_pos") == 2, F.col("model"))).alias("runner_up"),
+        F.max(F.when(F.col("_pos") == 1, F.col(metric))).alias("champion_value"),
+        F.max(F.when(F.col("_pos") == 2, F.col(metric))).alias("runner_up_value")
+    ).withColumn("gap", F.col("champion_value") - F.col("runner_up_value"))

@@ -128,16 +128,23 @@ class TrainedModel:
 
 def calibration_holdout(train: DataFrame, label: str = LABEL, month_col: str = "invoice_month",
                         frac: float = 0.8):
-    """Last 20 % of train months for calibration (>= 3 months), else all rows
-    for both (the reference's row-position fallback depends on file order)."""
+    """Calibration rows (O-50): the last 20 % of train months (>= 3 months);
+    else the last 20 % of rows in (month, customer) order; else all rows for
+    both fit and calibration. Each candidate needs both classes."""
     months = sorted(r[0] for r in train.select(month_col).distinct().collect())  # one row per month
     if len(months) >= 3:
         cal_months = months[max(1, int(len(months) * frac)):]
         fit_part = train.filter(~F.col(month_col).isin(cal_months))
         cal_part = train.filter(F.col(month_col).isin(cal_months))
-        k = cal_part.agg(F.countDistinct(label)).first()[0]
-        if k >= 2:
+        if cal_part.agg(F.countDistinct(label)).first()[0] >= 2 and fit_part.limit(1).count() == 1:
             return fit_part, cal_part, cal_months
+    from .rank import global_row_number
+    ranked = global_row_number(train, [F.col(month_col), F.col("CustomerID")], "_pos", total_col="_n")
+    split_at = F.greatest(F.lit(1), F.floor(F.col("_n") * F.lit(frac)))
+    fit_part = ranked.filter(F.col("_pos") <= split_at).drop("_pos", "_n")
+    cal_part = ranked.filter(F.col("_pos") > split_at).drop("_pos", "_n")
+    if cal_part.agg(F.countDistinct(label)).first()[0] >= 2 and fit_part.limit(1).count() == 1:
+        return fit_part, cal_part, []
     return train, train, []
 
 

@@ -54,3 +54,19 @@ def test_tree_model_and_occlusion_shape(spark, training):
     assert ex.contributions.apply(lambda a: any(abs(s["contribution"]) > 0 for s in a)).any()
     imp = feature_importance(tm).toPandas()
     assert len(imp) == len(FEATURE_COLUMNS)
+
+
+def test_calibration_holdout_falls_back_to_row_order(spark, training):
+    from retentia.operators.models import calibration_holdout
+    two_months = training.withColumn("invoice_month", F.when(F.col("CustomerID") < 120, F.to_date(F.lit("2020-01-01")))
+                                     .otherwise(F.to_date(F.lit("2020-02-01"))))
+    fit, cal, months = calibration_holdout(two_months)
+    assert months == [] and fit.count() == 192 and cal.count() == 48
+    assert fit.join(cal, ["CustomerID", "invoice_month"]).count() == 0
+
+
+def test_champion_vs_runner_up(spark):
+    from retentia.operators.compare import champion_vs_runner_up
+    cmp = spark.createDataFrame([("a", 1.0), ("b", 3.0), ("c", 2.0)], "model string, test_net_benefit_at_k double")
+    r = champion_vs_runner_up(cmp).first()
+    assert (r.champion, r.runner_up, r.gap) == ("b", "c", 1.0)
