@@ -20,7 +20,7 @@ from ..schemas import LABEL
 # The three model families' parameter sets of the reference.
 XGB_LIKE = dict(n_estimators=300, max_depth=6, learning_rate=0.05, subsample=0.9, colsample_bytree=0.9)
 LGBM_LIKE = dict(n_estimators=300, learning_rate=0.05, num_leaves=31, subsample=0.9, colsample_bytree=0.9)
-LOGIT = dict(C=1.0, max_iter=1000)
+LOGIT = dict(C=1.0, max_iter=1000, tol=1e-4)
 
 
 def _imputed(cols: Sequence[str]) -> list[str]:
@@ -37,6 +37,7 @@ def build_model(name: str, feature_cols: Sequence[str], n_train: int, params: di
         c = float(p.get("C", LOGIT["C"]))
         scaler = StandardScaler(inputCol="_features_raw", outputCol="_features", withMean=True, withStd=True)
         lr = LogisticRegression(featuresCol="_features", labelCol=label, maxIter=int(p.get("max_iter", 1000)),
+                                tol=float(p.get("tol", LOGIT["tol"])),
                                 regParam=1.0 / (c * max(n_train, 1)), elasticNetParam=0.0,
                                 standardization=False, probabilityCol="_probability",
                                 rawPredictionCol="_raw", predictionCol="_prediction")
@@ -91,7 +92,7 @@ class Calibrator:
         x = x.select(array_to_vector("_a").alias("_x"), "_y")
         if m == "platt":
             lr = LogisticRegression(featuresCol="_x", labelCol="_y", regParam=1.0 / stats["n"],
-                                    standardization=False, maxIter=1000)
+                                    standardization=False, maxIter=1000, tol=LOGIT["tol"])
             fit = lr.fit(x)
             self.a, self.b = float(fit.coefficients[0]), float(fit.intercept)
         else:
