@@ -130,3 +130,24 @@ def test_features_ignore_future_rows(spark):
     b = feature_table(inv2).filter("T <= '2020-06-15 12:00:00'").select("CustomerID", "T", *cols).toPandas()
     pd.testing.assert_frame_equal(a.sort_values(["CustomerID", "T"]).reset_index(drop=True),
                                   b.sort_values(["CustomerID", "T"]).reset_index(drop=True))
+
+
+def test_hot_customer_is_split_across_window_partitions(spark):
+    """One customer owns a third of all events (10 years, daily): the window
+    partitions (customer, bucket) keep any single partition small."""
+    rows = []
+    inv_id = 0
+    for d in range(3650):
+        inv_id += 1
+        rows.append((inv_id, 1, datetime(2010, 1, 1) + timedelta(days=d), 1.0))
+    for c in range(2, 7302):
+        inv_id += 1
+        rows.append((inv_id, c, datetime(2015, 1, 1) + timedelta(days=c % 300), 2.0))
+    tx = _tx(spark, rows)
+    from retentia.operators.features import _bucketed
+    inv = invoice_rollup(tx)
+    parts = (_bucketed(inv, 360, 180, 90).groupBy("CustomerID", "_part").count()
+             .agg(F.max("count").alias("mx"), F.sum("count").alias("tot")).first())
+    assert parts.mx <= 0.06 * parts.tot  # hot customer: ~1/3 of rows, spread over ~11 buckets
+    ft = feature_table(inv).filter("CustomerID = 1").count()
+    assert ft == 120  # one row per month, 10 years
