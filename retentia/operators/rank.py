@@ -45,11 +45,24 @@ def _num_partitions(df: DataFrame, n: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _offsets(counts: DataFrame, value_cols: Sequence[str]) -> DataFrame:
-    """Exclusive running totals over <= n partition rows (bounded, then broadcast)."""
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    return F.broadcast(counts.select(
-        "_pid", *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"_off_{c}") for c in value_cols]))
+def _offsets(counts: DataFrame, value_cols: Sequence[str], total_col: str | None = None) -> DataFrame:
+    """Exclusive running totals per partition id. ``counts`` has one row per
+    range partition (a bound set by the partition count), so it is collected, summed
+    in order on the driver and broadcast back -- no single-partition exchange."""
+    rows = sorted(counts.collect(), key=lambda r: r["_pid"])
+    types = dict(counts.dtypes)
+    running = {c: (0.0 if types[c] in ("double", "float") else 0) for c in value_cols}
+    out = []
+    for r in rows:
+        out.append((r["_pid"], *[running[c] for c in value_cols]))
+        for c in value_cols:
+            running[c] += r[c] or 0
+    schema = ", ".join(["_pid int"] + [f"_off_{c} {'double' if types[c] in ('double', 'float') else 'bigint'}"
+                                        for c in value_cols])
+    off = counts.sparkSession.createDataFrame(out, schema)
+    if total_col:
+        off = off.withColumn(total_col, F.lit(running[value_cols[0]]).cast("long"))
+    return F.broadcast(off)
 
 
 def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left",
@@ -75,13 +88,7 @@ def global_row_number(df: DataFrame, order: Sequence[Column | str], rank_col: st
           .withColumn("_loc", F.monotonically_increasing_id()
                       - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
     counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = _offsets(counts, ["_n"])
-    if total_col:
-        # still one row per partition: the grand total rides along the offsets
-        offsets = F.broadcast(counts.select(
-            "_pid", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(
-                Window.unboundedPreceding, -1)), F.lit(0)).alias("_off__n"),
-            F.sum("_n").over(Window.partitionBy()).alias(total_col)))
+    offsets = _offsets(counts, ["_n"], total_col)  # the grand total rides along
     return (local.join(offsets, "_pid", "left")
             .withColumn(rank_col, (F.coalesce(F.col("_off__n"), F.lit(0)) + F.col("_loc") + 1).cast("long"))
             .drop("_pid", "_loc", "_off__n"))

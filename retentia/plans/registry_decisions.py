@@ -543,7 +543,7 @@ def q_score_stats(spark, sf):
       FROM (SELECT month, top_feature, top_psi, lag(top_psi) OVER (ORDER BY month) AS previous_top_psi
             FROM (SELECT month, arg_max(feature, psi) AS top_feature, max(psi) AS top_psi FROM mpsi GROUP BY month))""",
     _drift_sql(),
-    f"""lm AS ({" UNION ALL ".join(f"SELECT invoice_month AS month, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM sc WHERE split = 'test'" for c in FEATURE_COLUMNS)}),
+    f"""lm AS ({" UNION ALL ".join(f"SELECT invoice_month AS month, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM sc" for c in FEATURE_COLUMNS)}),
 mc AS (SELECT lm.month, lm.feature, len(list_filter(ed.edges, lambda e: e <= lm.value)) AS bin, count(*) AS c
        FROM lm JOIN ed USING (feature) WHERE value IS NOT NULL GROUP BY 1, 2, 3),
 mb AS (SELECT p.month, p.feature, unnest(range(0, len(ed.edges) + 1)) AS bin
@@ -555,4 +555,4 @@ mn AS (SELECT month, feature, e / sum(e) OVER (PARTITION BY month, feature) AS e
 mpsi AS (SELECT month, feature, sum((a - e) * ln(a / e)) AS psi FROM mn GROUP BY month, feature)"""))
 def q_psi_trend(spark, sf):
     s, prof = _profile(spark, sf)
-    return M.psi_trend(M.monthly_psi(prof, s.filter(F.col("split") == "test"), FEATURE_COLUMNS))
+    return M.psi_trend(M.monthly_psi(prof, s, FEATURE_COLUMNS))

@@ -25,11 +25,11 @@ SPECS = {"logistic_regression": {}, "xgboost": SMALL_TREES, "lightgbm": SMALL_TR
 
 
 def _split_frames(spark: SparkSession, sf: str):
+    """Whole feature table (every month is scored), and its train split."""
     ft = add_split(cut_lineage(features(spark, sf)), SplitConfig())
     ft = add_heuristics(ft)
     train = ft.filter(F.col("split") == "train")
-    rest = ft.filter(F.col("split").isNotNull())
-    return ft, train, rest
+    return ft, train, ft
 
 
 def _fit(spark, sf, name, method="platt"):
@@ -110,8 +110,7 @@ def q_occlusion(spark, sf):
     ft, train, rest = _split_frames(spark, sf)
     cols = [c for c in feature_columns(ft.drop("split"))]
     _, tm = train_and_score("lightgbm", train, rest, cols, SMALL_TREES)
-    test = rest.filter(F.col("split") == "test")
-    ex = explain_occlusion(test, tm, train, KEYS, top_n=3)
+    ex = explain_occlusion(rest, tm, train, KEYS, top_n=3)
     return ex.select(*KEYS, "explained_probability", F.to_json("top_positive").alias("top_positive"),
                      F.to_json("top_negative").alias("top_negative"))
 
