@@ -17,24 +17,18 @@ SUMMARY_METRICS = ["value_at_risk", "net_benefit_at_k", "var_covered_frac", "pre
 
 
 def fold_table(features: DataFrame, min_train_months: int = 6, test_window_months: int = 2,
-               step_months: int = 2) -> DataFrame:
+                step_months: int = 2) -> DataFrame:
     """Folds over *observed* months (positions, not calendar steps), as a small
-    table: fold, train_end, test_start, test_end. Built from the distinct months
-    with window functions over that (tiny) month list."""
-    m = features.select("invoice_month").distinct()
-    w = Window.orderBy("invoice_month")
-    idx = m.withColumn("_i", F.row_number().over(w) - 1)  # one row per month
-    ends = idx.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy()))
-    starts = ends.filter((F.col("_i") >= min_train_months)
-                         & ((F.col("_i") - min_train_months) % step_months == 0)
-                         & (F.col("_i") + test_window_months <= F.col("_n")))
-    month_at = idx.select(F.col("_i").alias("_j"), F.col("invoice_month").alias("_m"))
-    f = (starts.select(F.col("_i"), F.col("invoice_month").alias("test_start"))
-         .join(month_at.withColumnRenamed("_m", "train_end"), F.col("_j") == F.col("_i") - 1).drop("_j")
-         .join(month_at.withColumnRenamed("_m", "test_end"), F.col("_j") == F.col("_i") + test_window_months - 1)
-         .drop("_j", "_i"))
-    fold = F.concat(F.date_format("test_start", "yyyy-MM"), F.lit("_"), F.date_format("test_end", "yyyy-MM"))
-    return f.select(fold.alias("fold"), "train_end", "test_start", "test_end")
+    table: fold, train_end, test_start, test_end. The distinct months (one row
+    per month) are collected and the folds laid out on the driver."""
+    months = sorted(r[0] for r in features.select("invoice_month").distinct().collect())
+    rows, i = [], min_train_months
+    while i + test_window_months <= len(months):
+        ts, te = months[i], months[i + test_window_months - 1]
+        rows.append((f"{ts:%Y-%m}_{te:%Y-%m}", months[i - 1], ts, te))
+        i += step_months
+    return features.sparkSession.createDataFrame(
+        rows, "fold string, train_end date, test_start date, test_end date")
 
 
 def run_backtest(spark: SparkSession, features: DataFrame, feature_cols: Sequence[str],

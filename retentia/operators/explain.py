@@ -32,12 +32,18 @@ def _top(arr: Column, n: int, positive: bool) -> Column:
 
 
 def explain_linear(df: DataFrame, tm: TrainedModel, top_n: int = 3) -> DataFrame:
+    coef, intercept, mean, std = linear_coefficients(tm)
+    return explain_linear_params(df, tm.feature_cols, coef, intercept, mean, std, top_n)
+
+
+def explain_linear_params(df: DataFrame, feature_cols: Sequence[str], coef: Sequence[float], intercept: float,
+                          mean: Sequence[float], std: Sequence[float], top_n: int = 3) -> DataFrame:
+    """Linear explanation for given standardisation and coefficients."""
     if top_n < 1:
         raise ValueError("top_n must be >= 1")
-    coef, intercept, mean, std = linear_coefficients(tm)
     vals = [((F.coalesce(F.col(c).cast("double"), F.lit(m)) - F.lit(m)) / F.lit(s if s else 1.0)) * F.lit(w)
-            for c, w, m, s in zip(tm.feature_cols, coef, mean, std)]
-    arr = _contrib_struct(tm.feature_cols, vals)
+            for c, w, m, s in zip(feature_cols, coef, mean, std)]
+    arr = _contrib_struct(feature_cols, vals)
     total = F.aggregate(arr, F.lit(0.0), lambda acc, s: acc + s["contribution"])
     return (df.withColumn("contributions", arr)
               .withColumn("base_value", F.lit(float(intercept)))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..config import BUDGETS, PROJECT_DECISION, SplitConfig
 from ..operators import backtest as BT
 from ..operators import evaluate as EV
-from ..operators.explain import explain_linear, explain_occlusion
+from ..operators.explain import explain_linear, explain_linear_params, explain_occlusion
 from ..operators.heuristics import add_heuristics, add_policy_scores
 from ..operators.models import feature_importance, train_and_score
 from ..operators.split import add_split, feature_columns
@@ -159,3 +159,42 @@ def q_bt_summary(spark, sf):
 @register("backtest_stability")
 def q_bt_stability(spark, sf):
     return BT.backtest_stability(_backtest(spark, sf)[0])
+
+
+# Test weights for the SQL-checked explanation (not fitted, not from the reference):
+# one fixed coefficient per model feature, in FEATURE_COLUMNS order.
+FIXED_WEIGHTS = [0.5, -0.25, 0.1, 0.3, -0.2, 0.05, 0.4, -0.1, 0.2]
+FIXED_INTERCEPT = -0.5
+
+
+def _fixed_sql() -> str:
+    from ..schemas import FEATURE_COLUMNS as FC
+    stats = ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in FC)
+    contrib = [f"({c} - m_{c}) / (CASE WHEN s_{c} > 0 THEN s_{c} ELSE 1.0 END) * {w}" for c, w in zip(FC, FIXED_WEIGHTS)]
+    items = ", ".join(f"{{'c': {e}, 'f': '{c}'}}" for e, c in zip(contrib, FC))
+    logit = f"{FIXED_INTERCEPT} + " + " + ".join(f"({e})" for e in contrib)
+    return O.with_base(
+        f"""SELECT CustomerID, {O.month('invoice_month')} AS invoice_month, {O.r4('lg')} AS logit,
+              {O.r4('1.0 / (1.0 + exp(-lg))')} AS explained_probability,
+              array_to_string(list_transform(list_slice(list_reverse_sort(list_filter(l, lambda x: x.c > 0)), 1, 3),
+                                             lambda x: x.f), ',') AS top_positive,
+              array_to_string(list_transform(list_slice(list_sort(list_filter(l, lambda x: x.c < 0)), 1, 3),
+                                             lambda x: x.f), ',') AS top_negative
+            FROM (SELECT ft.*, {logit} AS lg, [{items}] AS l
+                  FROM ft, (SELECT {stats} FROM ft WHERE invoice_month <= DATE '1999-12-01') st)""")
+
+
+@register("fixed_linear_contributions", _fixed_sql())
+def q_fixed_linear(spark, sf):
+    """Linear contributions with train-split standardisation and fixed test
+    weights: the explanation arithmetic and top-n selection, SQL-checked."""
+    from ..schemas import FEATURE_COLUMNS as FC
+    ft = cut_lineage(features(spark, sf))
+    train = add_split(ft, SplitConfig()).filter(F.col("split") == "train")
+    row = train.agg(*[F.avg(c).alias(f"m_{c}") for c in FC], *[F.stddev_samp(c).alias(f"s_{c}") for c in FC]).first()
+    ex = explain_linear_params(ft, FC, FIXED_WEIGHTS, FIXED_INTERCEPT,
+                               [row[f"m_{c}"] for c in FC], [row[f"s_{c}"] for c in FC], top_n=3)
+    names = lambda col: F.array_join(F.transform(col, lambda x: x["feature"]), ",")
+    return ex.select(*KEYS, "logit", "explained_probability",
+                     names(F.col("top_positive")).alias("top_positive"),
+                     names(F.col("top_negative")).alias("top_negative"))
