@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import compare as C
 from ..operators import evaluate as EV
-from ..streaming.events import daily_event_rollup, purchase_stream, run_available
+from ..streaming.events import daily_event_rollup, day_string, purchase_stream, run_available
 from . import oracles as O
 from . import registry_decisions as REG_DEC
 from . import tables as TB
@@ -100,10 +100,13 @@ def q_seg_contrib(spark, sf):
     return C.segment_contribution(rows)
 
 
-@register("streaming_purchase_rollup")
+@register("streaming_purchase_rollup",
+          f"SELECT user_id AS CustomerID, strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, "
+          f"{R4('sum(value)')} AS event_revenue, count(*) AS n_events FROM events "
+          "WHERE event_type = 'purchase' GROUP BY 1, 2")
 def q_stream(spark, sf):
     """Structured Streaming: purchase events rolled up per customer and day."""
     ck = os.path.join(spark.sparkContext.getCheckpointDir() or tempfile.gettempdir(),
                       "stream-" + os.urandom(4).hex())
     out = run_available(spark, daily_event_rollup(purchase_stream(spark, sf)), "purchase_rollup_" + os.urandom(3).hex(), ck)
-    return out.select("CustomerID", F.col("day.start").alias("day"), "event_revenue", "n_events")
+    return out.select("CustomerID", day_string("day").alias("day"), "event_revenue", "n_events")

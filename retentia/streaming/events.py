@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import ntz_micros
+
 EVENT_SOURCE_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
     T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
@@ -21,9 +23,10 @@ def purchase_stream(spark: SparkSession, directory: str, glob: str = "events*.pa
     """Purchase events of the ``events`` table, read as a file stream."""
     s = (spark.readStream.schema(EVENT_SOURCE_SCHEMA).option("pathGlobFilter", glob)
          .option("maxFilesPerTrigger", max_files_per_trigger).parquet(directory))
+    # the wall clock is read as UTC, so day windows do not depend on the session zone
     return (s.filter(F.col("event_type") == "purchase")
              .select(F.col("user_id").alias("CustomerID"),
-                     F.col("ts").cast("timestamp").alias("InvoiceDate"),
+                     F.timestamp_micros(ntz_micros("ts")).alias("InvoiceDate"),
                      F.col("value").alias("Revenue")))
 
 
@@ -34,6 +37,12 @@ def daily_event_rollup(stream: DataFrame, lateness: str = "2 days") -> DataFrame
                   .agg(F.sum("Revenue").alias("event_revenue"), F.count(F.lit(1)).alias("n_events")))
 
 
+def day_string(window_col: str = "day"):
+    """'yyyy-MM-dd' of a day window's start, independent of the session zone."""
+    days = F.floor(F.unix_micros(F.col(f"{window_col}.start")) / F.lit(86_400_000_000)).cast("int")
+    return F.date_format(F.date_from_unix_date(days), "yyyy-MM-dd")
+
+
 def run_available(spark: SparkSession, df: DataFrame, name: str, checkpoint: str) -> DataFrame:
     """Drain everything available into a memory table (tests / smoke runs)."""
     q = (df.writeStream.outputMode("update").format("memory").queryName(name)
