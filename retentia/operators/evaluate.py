@@ -21,13 +21,26 @@ def _policy_long(df: DataFrame, policies: Sequence[str], group_cols: Sequence[st
                  keep: Sequence[str], include_random: bool) -> DataFrame:
     items = [F.struct(F.lit(p).alias("policy"), F.col(p).cast("double").alias("_score")) for p in policies]
     if include_random:
-        # Fixed-seed, engine-independent shuffle: order by a hash of the row key.
-        rnd = F.xxhash64(*[F.col(c) for c in TIE], F.lit(42)).cast("double")
-        items.append(F.struct(F.lit("policy_random").alias("policy"), rnd.alias("_score")))
+        items.append(F.struct(F.lit("policy_random").alias("policy"), random_score().alias("_score")))
     return (df.select(*group_cols, *keep, F.explode(F.array(*items)).alias("_p"))
               .select(*group_cols, *keep, "_p.policy", "_p._score"))
 
 
+RANDOM_MOD = 4294967291  # a prime below 2^32
+RANDOM_SEED = 42
+
+
+def random_score() -> Column:
+    """Fixed-seed shuffle key of a customer-month: a multiplicative hash of
+    (CustomerID, month index), reproducible in any engine. Operands stay below
+    2^48, so no overflow under ANSI arithmetic."""
+    m = F.col("invoice_month")
+    month_idx = F.year(m).cast("long") * 12 + F.month(m).cast("long")
+    h = (F.pmod(F.col("CustomerID").cast("long"), F.lit(RANDOM_MOD)) * F.lit(40503)
+         + month_idx * F.lit(65599) + F.lit(RANDOM_SEED))
+    return F.pmod(h, F.lit(RANDOM_MOD)).cast("double")
+
+
 def policy_metrics(df: DataFrame, budgets: Sequence[float], policies: Sequence[str] | None = None,
                    group_cols: Sequence[str] = (), include_random: bool = True,
                    benefit_col: str = "policy_net_benefit") -> DataFrame:

@@ -120,11 +120,17 @@ def q_pred(spark, sf):
 POLICIES = ["policy_ml", "policy_net_benefit", "policy_recency", "policy_rfm"]
 
 
-def _long_sql(where: str = "split IS NOT NULL", group: str = "split") -> str:
-    """Policy metrics for the 4 policies x 3 budgets per group, in SQL."""
+RANDOM_SQL = ("CAST((((CustomerID % 4294967291) + 4294967291) % 4294967291 * 40503 "
+              "+ (year(invoice_month) * 12 + month(invoice_month)) * 65599 + 42) % 4294967291 AS DOUBLE)")
+
+
+def _long_sql(where: str = "split IS NOT NULL", group: str = "split", scores: dict | None = None) -> str:
+    """Policy metrics for the 4 policies (or given score expressions) x 3 budgets
+    per group, in SQL."""
+    scores = scores or {p: p for p in POLICIES}
     union = " UNION ALL ".join(
         f"SELECT {group}, CustomerID, invoice_month, churn_90d, value_pos, policy_net_benefit, "
-        f"'{p}' AS policy, {p} AS score FROM sc WHERE {where}" for p in POLICIES)
+        f"'{p}' AS policy, {e} AS score FROM sc WHERE {where}" for p, e in scores.items())
     return f"""lg AS ({union}),
 rkd AS (SELECT *, row_number() OVER (PARTITION BY {group}, policy ORDER BY round(score, 6) DESC NULLS LAST,
           CustomerID, invoice_month) AS r, count(*) OVER (PARTITION BY {group}, policy) AS n FROM lg),
@@ -209,9 +215,10 @@ def q_uplift(spark, sf):
                     .alias("uplift_pct"))
 
 
-@register("random_baseline")
+@register("random_baseline", O.with_scored(_pm_select("split", PM_ALL),
+                                           _long_sql(scores={"policy_random": RANDOM_SQL})))
 def q_random(spark, sf):
-    """Hash-ordered random policy (engine-specific hash, so rows-only)."""
+    """Fixed-seed shuffled ranking as a policy (O-78)."""
     s = scored(spark, sf).filter(F.col("split").isNotNull())
     return EV.policy_metrics(s, BUDGETS, [], ["split"], include_random=True)
 
