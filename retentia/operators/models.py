@@ -35,10 +35,16 @@ def build_model(name: str, feature_cols: Sequence[str], n_train: int, params: di
     asm = VectorAssembler(inputCols=_imputed(feature_cols), outputCol="_features_raw", handleInvalid="keep")
     if name == "logistic_regression":
         c = float(p.get("C", LOGIT["C"]))
+        n = max(n_train, 2)
+        # Reference objective: sum(loss) + ||w||^2 / (2C) on population-standardised
+        # features. Spark's scaler divides by the sample std, i.e. features shrink
+        # by k = sqrt((n-1)/n); with w = k * v the same minimiser is reached by
+        # regParam = k^2 / (C n) = (n - 1) / (C n^2) (same scores, same contributions).
+        reg = (n - 1) / (c * n * n)
         scaler = StandardScaler(inputCol="_features_raw", outputCol="_features", withMean=True, withStd=True)
         lr = LogisticRegression(featuresCol="_features", labelCol=label, maxIter=int(p.get("max_iter", 1000)),
                                 tol=float(p.get("tol", LOGIT["tol"])),
-                                regParam=1.0 / (c * max(n_train, 1)), elasticNetParam=0.0,
+                                regParam=reg, elasticNetParam=0.0,
                                 standardization=False, probabilityCol="_probability",
                                 rawPredictionCol="_raw", predictionCol="_prediction")
         return Pipeline(stages=[imp, asm, scaler, lr])

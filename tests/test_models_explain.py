@@ -70,3 +70,30 @@ def test_champion_vs_runner_up(spark):
     cmp = spark.createDataFrame([("a", 1.0), ("b", 3.0), ("c", 2.0)], "model string, test_net_benefit_at_k double")
     r = champion_vs_runner_up(cmp).first()
     assert (r.champion, r.runner_up, r.gap) == ("b", "c", 1.0)
+
+
+def _reference_logit(X, y, C=1.0, iters=50):
+    """Newton's method for sum(logloss) + ||w||^2 / (2C) on population-standardised
+    features with an unpenalised intercept (the reference's objective)."""
+    mu, sd = X.mean(0), X.std(0)
+    Z = np.hstack([np.ones((len(X), 1)), (X - mu) / sd])
+    w = np.zeros(Z.shape[1])
+    pen = np.eye(Z.shape[1]) / C
+    pen[0, 0] = 0.0
+    for _ in range(iters):
+        p = 1 / (1 + np.exp(-Z @ w))
+        g = Z.T @ (p - y) + pen @ w
+        H = Z.T @ (Z * (p * (1 - p))[:, None]) + pen
+        w -= np.linalg.solve(H, g)
+    return 1 / (1 + np.exp(-Z @ w))
+
+
+def test_logistic_matches_reference_objective(spark, training):
+    from retentia.operators.models import build_model, positive_probability
+    pdf = training.toPandas()
+    n = len(pdf)
+    model = build_model("logistic_regression", FEATURE_COLUMNS, n, {"tol": 1e-10}).fit(training)
+    got = positive_probability(model, training, "p").toPandas().sort_values("CustomerID").p.values
+    pdf = pdf.sort_values("CustomerID")
+    exp = _reference_logit(pdf[FEATURE_COLUMNS].values, pdf.churn_90d.values.astype(float))
+    np.testing.assert_allclose(got, exp, atol=1e-5)
