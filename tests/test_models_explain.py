@@ -97,3 +97,19 @@ def test_logistic_matches_reference_objective(spark, training):
     pdf = pdf.sort_values("CustomerID")
     exp = _reference_logit(pdf[FEATURE_COLUMNS].values, pdf.churn_90d.values.astype(float))
     np.testing.assert_allclose(got, exp, atol=1e-5)
+
+
+def test_platt_matches_reference_objective(spark):
+    rng = np.random.default_rng(5)
+    raw = rng.random(400)
+    y = (rng.random(400) < raw).astype(float)
+    df = spark.createDataFrame(pd.DataFrame({"churn_prob_raw": raw, "churn_90d": y.astype(int)}))
+    cal = Calibrator("platt").fit(df)
+    # reference: sum(logloss) + a^2 / 2 on the raw score, intercept unpenalised
+    Z = np.column_stack([np.ones(400), raw])
+    w = np.zeros(2)
+    pen = np.diag([0.0, 1.0])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-Z @ w))
+        w -= np.linalg.solve(Z.T @ (Z * (p * (1 - p))[:, None]) + pen, Z.T @ (p - y) + pen @ w)
+    assert cal.a == pytest.approx(w[1], abs=2e-3) and cal.b == pytest.approx(w[0], abs=2e-3)
