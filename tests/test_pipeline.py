@@ -70,3 +70,29 @@ def test_streaming_rollup(spark):
     out = E.queries()["streaming_purchase_rollup"](spark, SF_SMALL)
     rows = out.collect()
     assert len(rows) > 0 and all(r.n_events >= 1 for r in rows)
+
+
+def test_raw_csv_through_build_job(spark):
+    from retentia.plans import jobs
+    from retentia.sources import sinks as S
+    from retentia.sources.tables import load_raw_csv
+    d = tempfile.mkdtemp(prefix="retentia-csv-")
+    path = os.path.join(d, "raw.csv")
+    lines = ["Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country"]
+    for i in range(40):
+        cust = 13000 + i % 4
+        lines.append(f"{500 + i},A{i},Crème brûlée set,{(i % 5) + 1},2010-{1 + i % 12:02d}-0{1 + i % 9} 10:00:00,2.5,{cust}.0,France")
+    lines.append("999,B,bad qty,abc,2010-01-01 10:00:00,1.0,13001.0,France")
+    lines.append("998,B,bad date,1,not-a-date,1.0,13001.0,France")
+    with open(path, "w", encoding="latin-1") as f:
+        f.write("\n".join(lines) + "\n")
+    raw = load_raw_csv(spark, path)
+    assert raw.filter(F.col("Description").contains("brûlée")).count() == 40
+    base = os.path.join(d, "out")
+    jobs.build_features_job(spark, raw, base)
+    ft = S.read_published(spark, base, "feature_table", "build_features")
+    assert ft.select("CustomerID").distinct().count() == 4
+    clean = S.read_published(spark, base, "transactions_clean", "build_features")
+    assert clean.count() == 40  # both bad rows dropped
+    with pytest.raises(FileNotFoundError):
+        load_raw_csv(spark, os.path.join(d, "missing.csv"))
