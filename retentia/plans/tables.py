@@ -175,3 +175,11 @@ def simulate_experiment(spark: SparkSession, base: str, budgets=None) -> DataFra
     from ..operators.compare import simulate_experiment_by_budget
     return simulate_experiment_by_budget(S.read_published(spark, base, "predictions", "score"),
                                          budgets or BUDGETS, ExperimentConfig())
+
+
+def load_predictions(spark: SparkSession, base: str, required=None) -> DataFrame:
+    """Saved scored predictions, checking the required columns first (O-09)."""
+    from ..operators.quality import require_columns
+    preds = S.read_published(spark, base, "predictions", "score")
+    require_columns(preds, list(required or PREDICTION_OUTPUT_COLUMNS), "saved predictions")
+    return preds

@@ -51,6 +51,11 @@ def test_jobs_end_to_end(spark):
     assert tables.drift_latest(spark, base).count() == 9
     assert tables.drift_history(spark, base).count() == 1
     assert tables.model_comparison(spark, base).count() == 2
+    assert tables.load_predictions(spark, base).count() > 0
+    with pytest.raises(ValueError):
+        tables.load_predictions(spark, base, ["not_a_column"])
+    exp = tables.simulate_experiment(spark, base, [0.1]).first()
+    assert exp.targeted_customers >= 1
     with pytest.raises(ValueError):
         tables.predictions(spark, base, 3, sort_by="nope")
 
