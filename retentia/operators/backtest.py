@@ -33,10 +33,15 @@ def fold_table(features: DataFrame, min_train_months: int = 6, test_window_month
 
 def run_backtest(spark: SparkSession, features: DataFrame, feature_cols: Sequence[str],
                  budgets: Sequence[float], model_specs: dict[str, dict],
-                 parallel_fits: int = 4) -> tuple[DataFrame, DataFrame]:
+                 parallel_fits: int = 4, observed_only: bool = False) -> tuple[DataFrame, DataFrame]:
     """Refit every model per fold; policy_ml rows + AUC / AP / Brier per fold.
     The fold list is tiny and drives one fit per (fold, model); every fit and
-    metric is a distributed job (the reference's economics-free scorer: Q-12)."""
+    metric is a distributed job (the reference's economics-free scorer: Q-12).
+    ``observed_only`` drops right-censored rows (horizon past the data end)."""
+    if observed_only:
+        from .features import add_censoring_flag
+        end = features.agg(F.max("T")).first()[0]
+        features = add_censoring_flag(features, end).filter(F.col("label_observed")).drop("label_observed")
     folds = fold_table(features).collect()  # <= number of months
 
     def one(f, name, params):

@@ -125,12 +125,16 @@ def _union(dfs: list[DataFrame]) -> DataFrame:
 
 def score_job(spark: SparkSession, base: str, decision: DecisionConfig = PROJECT_DECISION,
               budgets: Sequence[float] = BUDGETS, alerts: AlertConfig | None = None,
-              run_id: str | None = None) -> str:
-    """Score the whole feature table with the champion; flags, target lists,
-    decision drift, feature drift, history row; publish."""
+              run_id: str | None = None, as_of_month: str | None = None) -> str:
+    """Score the whole feature table with the champion (the reference ranks all
+    months together); ``as_of_month='YYYY-MM'`` scores only that snapshot (a
+    partition-pruned read). Flags, target lists, decision drift, feature drift,
+    history row; publish."""
     from ..sources.sinks import load_model, resolve_champion
     run_id = run_id or S.new_run_id()
     ft = S.read_published(spark, base, "feature_table", "build_features")
+    if as_of_month:
+        ft = ft.filter(F.col("invoice_month") == F.to_date(F.lit(as_of_month + "-01")))
     champ = resolve_champion(spark, base)
     tm = load_model(champ["model_path"])
     Q.validate_inference_frame(ft, tm.feature_cols)

@@ -151,3 +151,15 @@ def test_hot_customer_is_split_across_window_partitions(spark):
     assert parts.mx <= 0.06 * parts.tot  # hot customer: ~1/3 of rows, spread over ~11 buckets
     ft = feature_table(inv).filter("CustomerID = 1").count()
     assert ft == 120  # one row per month, 10 years
+
+
+def test_censoring_flag(spark):
+    inv = invoice_rollup(_tx(spark, ROWS))
+    from retentia.operators.features import add_censoring_flag
+    ft = feature_table(inv)
+    end = ft.agg(F.max("T")).first()[0]
+    flagged = add_censoring_flag(ft, end).toPandas()
+    # rows whose 90-day horizon passes the data end are not observed
+    exp = (flagged["T"] + pd.Timedelta(days=90)) <= pd.Timestamp(end)
+    assert (flagged["label_observed"] == exp).all()
+    assert not flagged.label_observed.all() and flagged.label_observed.any()

@@ -56,6 +56,11 @@ def test_jobs_end_to_end(spark):
         tables.load_predictions(spark, base, ["not_a_column"])
     exp = tables.simulate_experiment(spark, base, [0.1]).first()
     assert exp.targeted_customers >= 1
+    from retentia.sources import sinks as S
+    last = S.read_published(spark, base, "feature_table", "build_features").agg(F.max("invoice_month")).first()[0]
+    jobs.score_job(spark, base, as_of_month=f"{last:%Y-%m}")
+    months = S.read_published(spark, base, "predictions", "score").select("invoice_month").distinct().collect()
+    assert [m[0] for m in months] == [last]
     with pytest.raises(ValueError):
         tables.predictions(spark, base, 3, sort_by="nope")
 
