@@ -134,3 +134,14 @@ def rank_expr(policy: str, partition: str = "") -> str:
     part = f"PARTITION BY {partition} " if partition else ""
     return (f"row_number() OVER ({part}ORDER BY round({policy}, 6) DESC NULLS LAST, "
             f"CustomerID, invoice_month)")
+
+
+EVENTS_TX = """tx AS (
+  SELECT event_id AS Invoice, user_id AS CustomerID, ts AS InvoiceDate, 1.0 AS Quantity, value AS Price
+  FROM events WHERE event_type = 'purchase'),
+txr AS (SELECT *, Price AS Revenue FROM tx)"""
+
+
+def with_events_base(select: str) -> str:
+    """Same feature CTEs over the purchase events (microsecond timestamps)."""
+    return "WITH " + ",\n".join([EVENTS_TX, INV, EV, CM, FT]) + "\n" + select

@@ -167,3 +167,19 @@ def q_invoices_fast(spark, sf):
     """Invoice grain with lineitem combined by order before the join."""
     from ..sources.tables import invoices
     return invoices(spark, sf)
+
+
+_EV_COLS = ["T", "churn_90d", "rev_sum_30d", "freq_30d", "rev_std_90d", "gap_days_prev", "customer_value_90d"]
+
+
+@register("event_source_features", O.with_events_base(
+    "SELECT CustomerID, " + O.month("invoice_month") + " AS invoice_month, "
+    + ", ".join(O.ts(c) + f" AS {c}" if c == "T" else (f"CAST({c} AS BIGINT) AS {c}" if c == "churn_90d"
+                                                          else O.r4(c) + f" AS {c}") for c in _EV_COLS)
+    + " FROM ft"))
+def q_event_source(spark, sf):
+    """The feature build over the second event source (purchase events with
+    microsecond timestamps)."""
+    from ..sources.tables import customer_month_events
+    ft = feat.feature_table(grains.invoice_rollup(customer_month_events(spark, sf)))
+    return ft.select(*KEYS, *_EV_COLS)
