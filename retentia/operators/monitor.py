@@ -30,7 +30,7 @@ def bin_edges(reference: DataFrame, cols: Sequence[str], n_bins: int = 10) -> Da
     the two ends; empty or constant features get no interior edge (one bin)."""
     long = _long(reference, cols)
     probs = [i / n_bins for i in range(n_bins + 1)]
-    q = exact_quantiles(long, ["feature"], "value", probs)
+    q = exact_quantiles(long, ["feature"], "value", probs, bounded_groups=True)  # one group per feature
     uniq = q.groupBy("feature").agg(F.array_sort(F.array_distinct(F.collect_list("value"))).alias("_u"))
     feats = reference.sparkSession.createDataFrame([(c,) for c in cols], "feature string")
     edges = F.when(F.size("_u") > 2, F.slice("_u", 2, F.size("_u") - 2)).otherwise(F.array().cast("array<double>"))

@@ -202,7 +202,7 @@ def average_rank(df: DataFrame, value_col: str, out_col: str, ascending: bool =
 
 
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                    probs: Sequence[float], tie_break: Sequence[str] | None = None) -> DataFrame:
+                    probs: Sequence[float], bounded_groups: bool = False) -> DataFrame:
     """numpy-style linear quantiles per group, exact and distributed: rows are
     numbered per group, only the two neighbours of each quantile position are
     kept. Output: group cols, q (double), value. Nulls are ignored."""
@@ -211,7 +211,7 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     base = df.filter(v.isNotNull()).select(*g, v.cast("double").alias("_v"))
     base = base.withColumn("_tb", F.monotonically_increasing_id())  # any unique id
     ranked = grouped_row_number(base, g, [F.col("_v").asc(), F.col("_tb").asc()], "_r", "_cnt",
-                                bounded_groups=False)
+                                bounded_groups=bounded_groups)
     qs = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("q")
     pos = ranked.select(*g, "_v", "_r", "_cnt", qs)
     h = (F.col("_cnt") - 1).cast("double") * F.col("q")
