@@ -33,6 +33,8 @@ def test_feature_plan_shuffles(spark):
     # windows run on (CustomerID, bucket) partitions, never on a single partition
     assert "SinglePartition" not in plan
     assert "_part" in plan
+    # the event path has exactly one exchange keyed by (CustomerID, _part) ahead of the windows
+    assert plan.count("REPARTITION_BY_COL") == 1
 
 
 def test_jobs_end_to_end(spark):

@@ -68,8 +68,12 @@ def test_global_cumsum(spark, skewed):
     np.testing.assert_allclose(c.cum_v.values, pdf.sort_values("CustomerID").v.cumsum().values)
 
 
-def test_rank_plan_has_no_single_partition(spark, skewed):
+def test_rank_plans_have_no_single_partition(spark, skewed):
+    from retentia.operators.evaluate import policy_metrics
     df, _ = skewed
-    plan = global_row_number(df, [F.col("v").desc(), "CustomerID"], "rk")._jdf.queryExecution().executedPlan().toString()
-    # only the offsets table (one row per partition) is ever gathered
-    assert "rangepartitioning" in plan.lower() or "Scan ExistingRDD" in plan or "LogicalRDD" in plan
+    r = global_row_number(df, [F.col("v").desc(), "CustomerID"], "rk")
+    assert "SinglePartition" not in r._jdf.queryExecution().executedPlan().toString()
+    m = policy_metrics(df.withColumn("churn_90d", (F.col("CustomerID") % 2).cast("int"))
+                         .withColumn("value_pos", F.col("v")).withColumn("policy_ml", F.col("v")),
+                       [0.1, 0.2], ["policy_ml"], ["g"], include_random=False)
+    assert "SinglePartition" not in m._jdf.queryExecution().executedPlan().toString()
