@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retentia.llm import byte_bpe, chat, mixing, packing
+from retentia.llm import byte_bpe, chat, mixing, packing, quality, toxicity, training
 from retentia.llm.common import partitions, shared_path, table, text_of
 
 # A conversation that the chat query adds: both texts hold the template's own marks.
@@ -23,6 +23,20 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_examples(turns.unionByName(extra)))
 
 
+def op5_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(training.labelled_sample(docs, table(spark, sf_dir, "labels"), "toxic"))
+    return toxicity.score(docs, model).select(
+        "doc_id", training.held_out().alias("held_out"), "score", "predicted", "offending")
+
+
+def op8_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(training.labelled_sample(docs, table(spark, sf_dir, "labels"), "quality"))
+    return quality.score(docs, model).select(
+        "doc_id", training.held_out().alias("held_out"), "score", "predicted", "passage")
+
+
 def op7_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.systematic_copies(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -52,7 +66,8 @@ def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_chat_formatting, op7_systematic_mix, op9_byte_bpe, op10_packed_ids)}
+    op1_chat_formatting, op5_toxicity_mil, op7_systematic_mix, op8_quality_mil, op9_byte_bpe,
+    op10_packed_ids)}
 
 _OP1_SQL = r"""
 WITH turns AS (
