@@ -29,8 +29,8 @@ from pyspark.sql import types as T
 SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"[^\W\d_]+")
 # Beginnings of words that are features beside the whole word.
-PREFIXES = (4, 5)
-STEPS, SHRINK, LEAST_EVIDENCE = 400, 2e-4, 8.0
+PREFIXES = (4, 5, 6, 7)
+STEPS, SHRINK, LEAST_EVIDENCE = 400, 1e-4, 6.5
 CACHE_WORDS = 200_000
 
 
