@@ -6,7 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retentia.llm import byte_bpe, chat, mixing, packing, quality, toxicity, training
+from retentia.llm import (
+    bitslices,
+    byte_bpe,
+    chat,
+    mixing,
+    packing,
+    pivots,
+    quality,
+    toxicity,
+    training,
+)
 from retentia.llm.common import partitions, shared_path, table, text_of
 
 # A conversation that the chat query adds: both texts hold the template's own marks.
@@ -23,6 +33,10 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_examples(turns.unionByName(extra)))
 
 
+def op3_pivot_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(training.labelled_sample(docs, table(spark, sf_dir, "labels"), "toxic"))
@@ -37,6 +51,10 @@ def op8_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", training.held_out().alias("held_out"), "score", "predicted", "passage")
 
 
+def op6_bit_sliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitslices.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op7_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.systematic_copies(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -66,8 +84,8 @@ def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_chat_formatting, op5_toxicity_mil, op7_systematic_mix, op8_quality_mil, op9_byte_bpe,
-    op10_packed_ids)}
+    op1_chat_formatting, op3_pivot_permutation, op5_toxicity_mil, op6_bit_sliced_topk,
+    op7_systematic_mix, op8_quality_mil, op9_byte_bpe, op10_packed_ids)}
 
 _OP1_SQL = r"""
 WITH turns AS (
@@ -124,4 +142,17 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
-ORACLES = {"op1_chat_formatting": _OP1_SQL, "op7_systematic_mix": _OP7_SQL}
+_OP6_SQL = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM whole a JOIN whole b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id)
+SELECT query_id, row_number() OVER w::INT AS rank, vec_id, score FROM scored
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 5
+"""
+
+ORACLES = {"op6_bit_sliced_topk": _OP6_SQL, "op1_chat_formatting": _OP1_SQL, "op7_systematic_mix": _OP7_SQL}
