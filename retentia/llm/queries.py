@@ -10,6 +10,7 @@ from retentia.llm import (
     bitslices,
     byte_bpe,
     chat,
+    lsh_forest,
     mixing,
     packing,
     pivots,
@@ -37,6 +38,10 @@ def op3_pivot_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivots.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op4_lsh_forest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(training.labelled_sample(docs, table(spark, sf_dir, "labels"), "toxic"))
@@ -84,8 +89,8 @@ def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_chat_formatting, op3_pivot_permutation, op5_toxicity_mil, op6_bit_sliced_topk,
-    op7_systematic_mix, op8_quality_mil, op9_byte_bpe, op10_packed_ids)}
+    op1_chat_formatting, op3_pivot_permutation, op4_lsh_forest_join, op5_toxicity_mil,
+    op6_bit_sliced_topk, op7_systematic_mix, op8_quality_mil, op9_byte_bpe, op10_packed_ids)}
 
 _OP1_SQL = r"""
 WITH turns AS (
