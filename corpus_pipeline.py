@@ -10,6 +10,9 @@ from retentia.llm.common import table, written
 
 # (name, function of (spark, docs, sf_dir))
 STAGES = [
+    ("reject_toxic", stages.reject_toxic),
+    ("drop_near_copies", stages.drop_near_copies),
+    ("redact_pii", stages.redact_pii),
     ("mix_sources", stages.mix_sources),
     ("encode_bytes", stages.encode_bytes),
 ]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retentia.llm import (
@@ -13,6 +13,7 @@ from retentia.llm import (
     lsh_forest,
     mixing,
     packing,
+    pii,
     pivots,
     quality,
     toxicity,
@@ -34,6 +35,18 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_examples(turns.unionByName(extra)))
 
 
+def op2_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and found personal data; the counts are of base matches."""
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def count(number: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == number)).cast("long")
+
+    return found.select("doc_id", *[count(n).alias(f"n_{k}") for n, k in enumerate(pii.KINDS)],
+                        F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
+                        pii.listed(F.col("spans")).alias("spans"))
+
+
 def op3_pivot_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivots.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -89,8 +102,9 @@ def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_chat_formatting, op3_pivot_permutation, op4_lsh_forest_join, op5_toxicity_mil,
-    op6_bit_sliced_topk, op7_systematic_mix, op8_quality_mil, op9_byte_bpe, op10_packed_ids)}
+    op1_chat_formatting, op2_contextual_pii, op3_pivot_permutation, op4_lsh_forest_join,
+    op5_toxicity_mil, op6_bit_sliced_topk, op7_systematic_mix, op8_quality_mil, op9_byte_bpe,
+    op10_packed_ids)}
 
 _OP1_SQL = r"""
 WITH turns AS (

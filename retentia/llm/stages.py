@@ -1,4 +1,5 @@
-"""The stages of the corpus pipeline: each applies one operator's decisions to documents."""
+"""The stages of the corpus pipeline: each applies one operator's decisions to documents
+and, but for the last, gives back the columns of documents."""
 
 from __future__ import annotations
 
@@ -6,7 +7,39 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retentia.llm import byte_bpe, mixing
+from retentia.llm import byte_bpe, lsh_forest, mixing, pii, toxicity, training
+from retentia.llm.common import table, text_of, written
+
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the noisy-or of their sentences calls toxic go; all others stay."""
+    labels = table(spark, sf_dir, "labels")
+    model = toxicity.fit(training.labelled_sample(docs, labels, "toxic"))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "text")
+    return toxicity.score(packed, model).filter("predicted = 0").select("doc.*")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked ones stays, that with the smallest doc_id; of
+    rows repeated whole one stays. Rows with a null id stay."""
+    decided = lsh_forest.jaccard_join(docs)
+    gone = written(decided.filter(~F.col("kept") & F.col("doc_id").isNotNull())
+                   .select("doc_id").distinct(), "near-copies")
+    left = docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    key = ["doc_id", "_text"]
+    keyed = left.withColumn("_text", F.md5(text_of()))
+    again = written(keyed.filter("doc_id IS NOT NULL").groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+                    .filter("n > 1").select(*key), "repeated-rows")
+    if again.isEmpty():
+        return left
+    once = keyed.join(again, key, "left_semi").dropDuplicates(key)
+    return keyed.join(again, key, "left_anti").unionByName(once).select(
+        *[F.col(f"`{c}`") for c in docs.columns])
+
+
+def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Base and found personal data replaced by marks of their kind."""
+    return pii.redact(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
