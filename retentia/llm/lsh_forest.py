@@ -30,7 +30,7 @@ from retentia.llm.common import text_of, written
 from retentia.llm.graph import block_pairs, components, groups, spanning
 
 WORDS, THRESHOLD = 5, 0.8
-TREES, DEPTH, TARGET_RECALL = 32, 8, 0.999
+TREES, DEPTH, TARGET_RECALL = 24, 8, 0.999
 # Pairs whose signatures agree in less than this share are not a family: four standard
 # errors of the estimate below the threshold.
 SLACK = 4.0
@@ -120,10 +120,11 @@ def families(reps: DataFrame, depth: int, threshold: float, block_rows: int) ->
         .alias("node"))
     # nodes of the same members in several trees are compared once
     nodes = (labels.groupBy("node").agg(
-        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("rep")).alias("x"),
-        F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("y"))
-        .filter("n > 1").groupBy("n", "x", "y").agg(F.min("node").alias("node")).select("node"))
-    members = labels.join(written(nodes, "trie-nodes"), "node").join(reps, "rep")
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("rep")).alias("x"))
+        .filter("n > 1").groupBy("n", "x").agg(F.min("node").alias("node")).select("node"))
+    # nodes, members and families grow with the corpus: the same joins at every size
+    members = (labels.join(written(nodes, "trie-nodes").hint("merge"), "node")
+               .join(reps.hint("merge"), "rep"))
     values = TREES * DEPTH
     least = threshold - SLACK * (threshold * (1 - threshold) / values) ** 0.5
 
@@ -223,7 +224,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     family = written(components(families(reps, depth, threshold, block_rows))
                      .toDF("rep", "family").join(classes, "rep"), "families")
     members = (texts.select(F.col("doc_id").alias("rep"), F.md5("text").alias("cls"), "text")
-               .join(family, ["rep", "cls"]).select("rep", "family", "size", "text"))
+               .join(family.hint("merge"), ["rep", "cls"]).select("rep", "family", "size", "text"))
     links = written(verified(members, threshold, n_words, block_rows, block_chars), "exact-links")
     counted = links.groupBy("rep").agg(F.sum("linked").alias("linked"))
     joined = components(links.filter("rep <> b").select(F.col("rep").alias("a"), "b"))
