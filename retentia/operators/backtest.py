@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from typing import Sequence
+from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .evaluate import classification_summary, policy_metrics
 from .heuristics import add_policy_scores
+from ..session import cut_lineage
 from .models import train_and_score
+from .rank import join_on_keys
 
 SUMMARY_METRICS = ["value_at_risk", "net_benefit_at_k", "var_covered_frac", "precision_at_k",
                    "recall_at_k", "lift_at_k", "roc_auc", "pr_auc", "brier_score"]
@@ -31,18 +33,29 @@ def fold_table(features: DataFrame, min_train_months: int = 6, test_window_month
         rows, "fold string, train_end date, test_start date, test_end date")
 
 
+Scorer = Callable[[str, DataFrame, DataFrame, Sequence[str], dict], DataFrame]
+
+
+def fitted_scorer(name: str, train: DataFrame, test: DataFrame, feature_cols: Sequence[str],
+                  params: dict) -> DataFrame:
+    """Refit the family on the fold's training rows and score its test rows."""
+    return train_and_score(name, train, test, feature_cols, params)[0]
+
+
 def run_backtest(spark: SparkSession, features: DataFrame, feature_cols: Sequence[str],
                  budgets: Sequence[float], model_specs: dict[str, dict],
-                 parallel_fits: int = 4, observed_only: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Refit every model per fold; policy_ml rows + AUC / AP / Brier per fold.
-    The fold list is tiny and drives one fit per (fold, model); every fit and
-    metric is a distributed job (the reference's economics-free scorer: Q-12).
-    ``observed_only`` drops right-censored rows (horizon past the data end)."""
+                 parallel_fits: int = 4, observed_only: bool = False,
+                 scorer: Scorer = fitted_scorer) -> tuple[DataFrame, DataFrame]:
+    """Score every fold's test months with every model trained on the months before, then
+    policy_ml rows and AUC / AP / Brier for each (model, fold) from one grouped pass.
+    ``scorer`` refits per fold by default. ``observed_only`` drops right-censored rows
+    (horizon past the data end)."""
     if observed_only:
         from .features import add_censoring_flag
         end = features.agg(F.max("T")).first()[0]
         features = add_censoring_flag(features, end).filter(F.col("label_observed")).drop("label_observed")
     folds = fold_table(features).collect()  # <= number of months
+    keys = ["model", "fold", "train_end", "test_start", "test_end"]
 
     def one(f, name, params):
         train = features.filter(F.col("invoice_month") <= F.lit(f["train_end"]))
@@ -50,40 +63,34 @@ def run_backtest(spark: SparkSession, features: DataFrame, feature_cols: Sequenc
                                & (F.col("invoice_month") <= F.lit(f["test_end"])))
         # only policy_ml rows are reported, which need churn_prob and value_pos
         # alone, so the heuristic baselines are not computed per fold
-        scored, _ = train_and_score(name, train, test, feature_cols, params)
-        scored = add_policy_scores(scored)
-        cls = classification_summary(scored)
-        pm = policy_metrics(scored, budgets, ["policy_ml"], include_random=False)
-        row = _with_cls(pm, cls)
-        return row.select(
-            F.lit(f["fold"]).alias("fold"), F.lit(name).alias("model"),
-            F.lit(f["train_end"]).alias("train_end"), F.lit(f["test_start"]).alias("test_start"),
-            F.lit(f["test_end"]).alias("test_end"), "budget_k", *SUMMARY_METRICS)
+        scored = add_policy_scores(scorer(name, train, test, feature_cols, params))
+        return scored.select(
+            F.lit(name).alias("model"), F.lit(f["fold"]).alias("fold"),
+            *[F.lit(f[k]).alias(k) for k in keys[2:]],
+            "CustomerID", "invoice_month", "churn_90d", "value_pos", "churn_prob", "policy_ml",
+            "policy_net_benefit")
 
     # independent (fold, model) fits are submitted concurrently from a small
     # driver thread pool; each fit is itself a distributed job
     work = [(f, name, params) for f in folds for name, params in model_specs.items()]
     with ThreadPoolExecutor(max_workers=max(1, min(parallel_fits, len(work) or 1))) as pool:
-        details = list(pool.map(lambda w: one(*w), work))
-    if not details:
+        parts = list(pool.map(lambda w: one(*w), work))
+    if not parts:
         schema = ("fold string, model string, train_end date, test_start date, test_end date, budget_k double, "
                   + ", ".join(f"{m} double" for m in SUMMARY_METRICS))
         empty = spark.createDataFrame([], schema)
         return empty, backtest_summary(empty)
-    detail = details[0]
-    for d in details[1:]:
-        detail = detail.unionByName(d)
+    scored = parts[0]
+    for part in parts[1:]:
+        scored = scored.unionByName(part)
+    scored = cut_lineage(scored)  # the scores of all folds, read by both metric passes
+    detail = join_on_keys(
+        policy_metrics(scored, budgets, ["policy_ml"], keys, include_random=False),
+        classification_summary(scored, group_cols=keys), keys, "left", broadcast_right=True)
+    detail = detail.select("fold", "model", *keys[2:], "budget_k", *SUMMARY_METRICS)
     return detail, backtest_summary(detail)
 
 
-def _with_cls(pm: DataFrame, cls: DataFrame) -> DataFrame:
-    row = cls.first()
-    out = pm
-    for c in ("roc_auc", "pr_auc", "brier_score"):
-        out = out.withColumn(c, F.lit(row[c] if row else None).cast("double"))
-    return out
-
-
 def backtest_summary(detail: DataFrame) -> DataFrame:
     """Mean and sample std per (model, budget) for the nine metrics (O-92)."""
     aggs = []

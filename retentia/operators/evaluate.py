@@ -26,19 +26,15 @@ def _policy_long(df: DataFrame, policies: Sequence[str], group_cols: Sequence[st
               .select(*group_cols, *keep, "_p.policy", "_p._score"))
 
 
-RANDOM_MOD = 4294967291  # a prime below 2^32
 RANDOM_SEED = 42
 
 
-def random_score() -> Column:
-    """Fixed-seed shuffle key of a customer-month: a multiplicative hash of
-    (CustomerID, month index), reproducible in any engine. Operands stay below
-    2^48, so no overflow under ANSI arithmetic."""
-    m = F.col("invoice_month")
-    month_idx = F.year(m).cast("long") * 12 + F.month(m).cast("long")
-    h = (F.pmod(F.col("CustomerID").cast("long"), F.lit(RANDOM_MOD)) * F.lit(40503)
-         + month_idx * F.lit(65599) + F.lit(RANDOM_SEED))
-    return F.pmod(h, F.lit(RANDOM_MOD)).cast("double")
+def random_score(seed: int = RANDOM_SEED) -> Column:
+    """Fixed-seed random key of a customer-month: the first 32 bits of an md5 over seed,
+    customer and month. Independent of both, and any engine can compute it."""
+    text = F.concat_ws("|", F.lit(str(seed)), F.col("CustomerID").cast("long").cast("string"),
+                       F.date_format("invoice_month", "yyyy-MM"))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double")
 
 
 def policy_metrics(df: DataFrame, budgets: Sequence[float], policies: Sequence[str] | None = None,
@@ -140,7 +136,7 @@ def _cumulative(df: DataFrame, label: str, prob: str, group_cols: Sequence[str])
         starts = cum.groupBy(*g).agg(F.min(F.col("cum_pos") - F.col("pos")).alias("_sp"),
                                      F.min(F.col("cum_cnt") - F.col("cnt")).alias("_sc"),
                                      F.sum("pos").alias("P"), F.sum("cnt").alias("_rows"))
-        cum = join_on_keys(cum, starts, g, "left")
+        cum = join_on_keys(cum, starts, g, "left", broadcast_right=True)
     else:
         t = st.agg(F.sum("pos").alias("P"), F.sum("cnt").alias("_rows")).first()
         cum = (cum.withColumn("_sp", F.lit(0)).withColumn("_sc", F.lit(0))
@@ -211,7 +207,7 @@ def calibration_curve(df: DataFrame, label: str = "churn_90d", prob: str = "chur
     lower bin; empty bins are absent (O-84)."""
     g = list(group_cols)
     probs = [i / n_bins for i in range(1, n_bins)]
-    q = exact_quantiles(df, g, prob, probs)
+    q = exact_quantiles(df, g, prob, probs, bounded_groups=True)
     edges = q.groupBy(*g).agg(F.array_sort(F.collect_list("value")).alias("_edges"))
     j = df.select(*g, F.col(prob).cast("double").alias("_p"), F.col(label).cast("double").alias("_y"))
     j = join_on_keys(j, edges, g, "left", broadcast_right=True) if g else _attach_edges(j, edges)

@@ -13,7 +13,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .models import TrainedModel, linear_coefficients, positive_probability
+from .models import TrainedModel, imputer_surrogates, linear_coefficients, positive_probability
 
 
 def _contrib_struct(names: Sequence[str], values: Sequence[Column]) -> Column:
@@ -33,16 +33,19 @@ def _top(arr: Column, n: int, positive: bool) -> Column:
 
 def explain_linear(df: DataFrame, tm: TrainedModel, top_n: int = 3) -> DataFrame:
     coef, intercept, mean, std = linear_coefficients(tm)
-    return explain_linear_params(df, tm.feature_cols, coef, intercept, mean, std, top_n)
+    return explain_linear_params(df, tm.feature_cols, coef, intercept, mean, std, top_n,
+                                 imputer_surrogates(tm))
 
 
 def explain_linear_params(df: DataFrame, feature_cols: Sequence[str], coef: Sequence[float], intercept: float,
-                          mean: Sequence[float], std: Sequence[float], top_n: int = 3) -> DataFrame:
-    """Linear explanation for given standardisation and coefficients."""
+                          mean: Sequence[float], std: Sequence[float], top_n: int = 3,
+                          fill: Sequence[float] | None = None) -> DataFrame:
+    """Linear explanation for given standardisation and coefficients. A null takes its
+    ``fill`` value (the model's imputer surrogate; the mean if none is given)."""
     if top_n < 1:
         raise ValueError("top_n must be >= 1")
-    vals = [((F.coalesce(F.col(c).cast("double"), F.lit(m)) - F.lit(m)) / F.lit(s if s else 1.0)) * F.lit(w)
-            for c, w, m, s in zip(feature_cols, coef, mean, std)]
+    vals = [((F.coalesce(F.col(c).cast("double"), F.lit(x)) - F.lit(m)) / F.lit(s if s else 1.0)) * F.lit(w)
+            for c, w, m, s, x in zip(feature_cols, coef, mean, std, fill or mean)]
     arr = _contrib_struct(feature_cols, vals)
     total = F.aggregate(arr, F.lit(0.0), lambda acc, s: acc + s["contribution"])
     return (df.withColumn("contributions", arr)
@@ -53,26 +56,20 @@ def explain_linear_params(df: DataFrame, feature_cols: Sequence[str], coef: Sequ
               .withColumn("top_negative", _top(F.col("contributions"), top_n, False)))
 
 
-def explain_occlusion(df: DataFrame, tm: TrainedModel, reference: DataFrame, key_cols: Sequence[str],
+def explain_occlusion(df: DataFrame, tm: TrainedModel, key_cols: Sequence[str],
                       top_n: int = 3) -> DataFrame:
-    """Rows x features exploded once, scored in one pass, regrouped per row."""
+    """Every row is scored as it is and once with each feature at its training median
+    (the model's imputer surrogate): one probability column a variant, no exploded rows."""
     if top_n < 1:
         raise ValueError("top_n must be >= 1")
     feats = tm.feature_cols
-    med = reference.agg(*[F.percentile_approx(c, 0.5, 10000).alias(c) for c in feats]).first()
-    base = positive_probability(tm.model, df.select(*key_cols, *feats), "_p_full")
-    variants = F.explode(F.array(*[F.lit(i) for i in range(len(feats))])).alias("_fi")
-    x = df.select(*key_cols, *feats, variants)
-    for i, c in enumerate(feats):
-        x = x.withColumn(c, F.when(F.col("_fi") == i, F.lit(float(med[c] or 0.0))).otherwise(F.col(c)))
-    occ = positive_probability(tm.model, x, "_p_occ")
-    names = F.element_at(F.array(*[F.lit(c) for c in feats]), F.col("_fi") + 1)
-    joined = occ.join(base.select(*key_cols, "_p_full"), list(key_cols))
-    per_row = joined.groupBy(*key_cols).agg(
-        F.max("_p_full").alias("explained_probability"),
-        F.sort_array(F.collect_list(F.struct(F.col("_fi"), names.alias("feature"),
-                                             (F.col("_p_full") - F.col("_p_occ")).alias("contribution")))).alias("_c"))
-    arr = F.transform("_c", lambda s: F.struct(s["feature"].alias("feature"), s["contribution"].alias("contribution")))
-    return (per_row.withColumn("contributions", arr).drop("_c")
-                   .withColumn("top_positive", _top(F.col("contributions"), top_n, True))
-                   .withColumn("top_negative", _top(F.col("contributions"), top_n, False)))
+    out = positive_probability(tm.model, df.select(*key_cols, *feats), "explained_probability")
+    for i, (c, median) in enumerate(zip(feats, imputer_surrogates(tm))):
+        variant = out.withColumn(f"_keep_{c}", F.col(c)).withColumn(c, F.lit(float(median)))
+        out = (positive_probability(tm.model, variant, f"_occ_{i}")
+               .withColumn(c, F.col(f"_keep_{c}")).drop(f"_keep_{c}"))
+    arr = _contrib_struct(feats, [F.col("explained_probability") - F.col(f"_occ_{i}")
+                                  for i in range(len(feats))])
+    return (out.select(*key_cols, "explained_probability", arr.alias("contributions"))
+            .withColumn("top_positive", _top(F.col("contributions"), top_n, True))
+            .withColumn("top_negative", _top(F.col("contributions"), top_n, False)))

@@ -72,20 +72,25 @@ def _window_columns(w, rev: str, weight=None):
 
 
 def _bucket_days(bucket_days: int | None, horizon_days: int) -> int:
-    out = bucket_days or 2 * max(LONG, horizon_days)
+    out = bucket_days or 2 * max(LONG, horizon_days, MONTH_DAYS)
     if out < max(LONG, horizon_days):
         raise ValueError("bucket_days must be >= the longest window and the horizon")
     return out
 
 
+# The last event of a month must see the next event of that month across a bucket border.
+MONTH_DAYS = 31
+
+
 def _event_level(invoices: DataFrame, horizon_days: int, bucket_days: int | None) -> DataFrame:
     """Events (customer, timestamp) in their (customer, bucket) partitions with
     every window evaluated; only home rows are returned."""
     back = LONG
     bucket_days = _bucket_days(bucket_days, horizon_days)
+    forward = max(horizon_days, MONTH_DAYS)
     x = (_bucketed(invoices.select("CustomerID", "InvoiceDate", "invoice_total_revenue",
                                    "invoice_total_quantity", "num_lines"),
-                   bucket_days, back, horizon_days)
+                   bucket_days, back, forward)
          .repartition("CustomerID", "_part"))
     ev = (x.groupBy("CustomerID", "_part", "_us")
           .agg(F.max("InvoiceDate").alias("InvoiceDate"),

@@ -31,7 +31,7 @@ def build_model(name: str, feature_cols: Sequence[str], n_train: int, params: di
                 label: str = LABEL) -> Pipeline:
     """Pipeline per family: median impute -> assemble -> (scale) -> classifier."""
     p = dict(params or {})
-    imp = Imputer(strategy="median", inputCols=list(feature_cols), outputCols=_imputed(feature_cols))
+    imp = Imputer(strategy="median", relativeError=0.0, inputCols=list(feature_cols), outputCols=_imputed(feature_cols))
     asm = VectorAssembler(inputCols=_imputed(feature_cols), outputCol="_features_raw", handleInvalid="keep")
     if name == "logistic_regression":
         c = float(p.get("C", LOGIT["C"]))
@@ -182,6 +182,12 @@ def linear_coefficients(tm: TrainedModel) -> tuple[list[float], float, list[floa
             [float(x) for x in scaler.mean.toArray()], [float(x) for x in scaler.std.toArray()])
 
 
+def imputer_surrogates(tm: TrainedModel) -> list[float]:
+    """The training medians that the fitted pipeline puts in place of nulls."""
+    row = tm.model.stages[0].surrogateDF.first()
+    return [float(row[c]) for c in tm.feature_cols]
+
+
 def feature_importance(tm: TrainedModel, scored: DataFrame | None = None) -> DataFrame:
     """Linear: mean |scaled value x coef| over rows (or |coef| without rows);
     trees: the model's impurity importances. Sorted descending (O-56)."""
@@ -191,8 +197,9 @@ def feature_importance(tm: TrainedModel, scored: DataFrame | None = None) -> Dat
     if tm.name == "logistic_regression":
         coef, _, mean, std = linear_coefficients(tm)
         if scored is not None:
-            contrib = [F.avg(F.abs((F.col(c) - F.lit(m)) / F.lit(s if s else 1.0) * F.lit(w))).alias(c)
-                       for c, w, m, s in zip(tm.feature_cols, coef, mean, std)]
+            contrib = [F.avg(F.abs((F.coalesce(F.col(c).cast("double"), F.lit(x)) - F.lit(m))
+                                   / F.lit(s if s else 1.0) * F.lit(w))).alias(c)
+                       for c, w, m, s, x in zip(tm.feature_cols, coef, mean, std, imputer_surrogates(tm))]
             row = scored.agg(*contrib).first()
             vals = [(c, float(row[c] or 0.0)) for c in tm.feature_cols]
         else:

@@ -126,6 +126,14 @@ def drift_summary(report: DataFrame) -> DataFrame:
     ).withColumn("has_alerts", F.col("n_alert") > 0).withColumn("has_warnings", F.col("n_warn") > 0)
 
 
+def alert_lists(report: DataFrame) -> DataFrame:
+    """One row: the features at alert and at warning, in name order (O-106)."""
+    def named(status: str):
+        return F.sort_array(F.collect_list(F.when(F.col("status") == status, F.col("feature"))))
+
+    return report.agg(named("alert").alias("alert_features"), named("warn").alias("warn_features"))
+
+
 def top_psi_features(report: DataFrame, top_n_rows: int = 10) -> DataFrame:
     """Top features by PSI (O-66); a limit is the feature here."""
     return report.filter(F.col("psi").isNotNull()).orderBy(F.col("psi").desc(), "feature").limit(top_n_rows)
@@ -137,10 +145,11 @@ def drift_history_row(report: DataFrame, current: DataFrame, generated_at: str,
     s = drift_summary(report).first().asDict()
     st = score_stats(current, prob).first()
     n = current.count()
-    row = {**s, "score_mean": st["mean"], "score_p90": st["p90"], "score_p99": st["p99"],
+    row = {**s, "n_alert_features": s["n_alert"], "n_warn_features": s["n_warn"], "score_mean": st["mean"], "score_p90": st["p90"], "score_p99": st["p99"],
            "n_rows_current": n, "generated_at_utc": generated_at}
     schema = ("n_ok bigint, n_warn bigint, n_alert bigint, n_missing_ref bigint, top_alert_feature string, "
               "top_psi double, overall_status string, has_alerts boolean, has_warnings boolean, "
+              "n_alert_features bigint, n_warn_features bigint, "
               "score_mean double, score_p90 double, score_p99 double, n_rows_current bigint, generated_at_utc string")
     cols = [c.split()[0] for c in schema.split(", ")]
     return current.sparkSession.createDataFrame([tuple(row[c] for c in cols)], schema)

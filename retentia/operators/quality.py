@@ -76,8 +76,11 @@ def validate_inference_frame(df: DataFrame, feature_cols: list[str]) -> None:
 
 
 def table_fingerprint(df: DataFrame) -> DataFrame:
-    """Order-insensitive data version of a table: row count plus two hash folds."""
-    h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    return df.agg(F.count(F.lit(1)).alias("n_rows"),
-                  F.bit_xor(h).alias("hash_xor"),
-                  F.sum(F.pmod(h, F.lit(2147483647))).alias("hash_sum"))
+    """Order-insensitive data version of a table: row count and two folds of the first and
+    next 32 bits of each row's md5, over its columns as text in name order (null as an
+    unprintable mark), so any engine can recompute it."""
+    parts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\x00")) for c in sorted(df.columns)]
+    h = F.md5(F.concat_ws("\x1f", *parts))
+    words = [F.conv(F.substring(h, at, 8), 16, 10).cast("long") for at in (1, 9)]
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.bit_xor(words[0]).alias("hash_xor"),
+                  F.sum(words[1]).alias("hash_sum"))

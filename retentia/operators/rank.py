@@ -31,10 +31,6 @@ from ..functions.columns import top_n
 from ..session import cut_lineage
 
 
-# Largest per-value lookup table broadcast after counting it (~16 bytes per row).
-BROADCAST_MAX_ROWS = 2_000_000
-
-
 def _ncols(cols: Sequence[Column | str]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
@@ -179,18 +175,13 @@ def average_ranks(df: DataFrame, specs: Sequence[tuple[str, str, bool]]) -> tupl
     per = cum.join(F.broadcast(starts), "_f").select(
         "_f", "_x", ((F.col("cum__c") - F.col("_c") - F.col("_s")) + (F.col("_c") + 1) / 2.0).alias("_r"))
     per = cut_lineage(per)
-    stats = per.groupBy("_f").agg(F.min("_r").alias("lo"), F.max("_r").alias("hi"),
-                                  F.count(F.lit(1)).alias("n")).collect()  # one row per column
+    stats = per.groupBy("_f").agg(F.min("_r").alias("lo"), F.max("_r").alias("hi")).collect()  # a row a column
     bounds = {r["_f"]: (r["lo"], r["hi"]) for r in stats}
-    sizes = {r["_f"]: r["n"] for r in stats}
     out = df
     for c, name, _ in specs:
+        # one plan at every size: the planner broadcasts a value table below its threshold,
+        # and splits a hot value's rows in the shuffled join beyond it
         vals = per.filter(F.col("_f") == name).select(F.col("_x").alias(f"_k_{name}"), F.col("_r").alias(name))
-        # few distinct values means hot values: a counted, bounded table is
-        # broadcast so no value's rows meet in one task; larger tables are left to
-        # adaptive execution (skew-join split of the big side)
-        if sizes.get(name, 0) <= BROADCAST_MAX_ROWS:
-            vals = F.broadcast(vals)
         out = out.join(vals, F.col(c).cast("double") == F.col(f"_k_{name}"), "left").drop(f"_k_{name}")
     return out, bounds
 

@@ -65,11 +65,14 @@ def train_job(spark: SparkSession, base: str, split: SplitConfig | None = None,
     parts = {s: add_heuristics(ft.filter(F.col("split") == s)) for s in ("train", "val", "test")}
     cols = feature_columns(parts["train"].drop("split"))
     policy_rows, cls_rows, curve_rows = [], [], []
-    models = {}
+    models, paths = {}, {}
     for name, params in specs.items():
         to_score = parts["train"].unionByName(parts["val"]).unionByName(parts["test"])
         scored, tm = train_and_score(name, parts["train"], to_score, cols, params)
         models[name] = tm
+        # scored once, then read by every metric and curve of both probability types
+        S.write_table(scored, base, f"scored_{name}", run_id)
+        scored = spark.read.parquet(S.table_path(base, f"scored_{name}", run_id))
         for ptype, pcol in (("calibrated", "churn_prob"), ("raw", "churn_prob_raw")):
             pol = add_policy_scores(scored.withColumn("churn_prob", F.col(pcol)), decision)
             pm = EV.policy_metrics(pol, budgets, group_cols=["split"])
@@ -78,44 +81,64 @@ def train_job(spark: SparkSession, base: str, split: SplitConfig | None = None,
             cls_rows.append(cl.withColumn("model", F.lit(name)).withColumn("probability_type", F.lit(ptype)))
             curve_rows.append(EV.curve_tables(pol, ["split"]).withColumn("model", F.lit(name))
                               .withColumn("probability_type", F.lit(ptype)))
-        S.save_model(tm, base, run_id)
-    policy = _union(policy_rows)
-    cls = _union(cls_rows)
-    S.write_table(policy, base, "policy_metrics", run_id)
-    S.write_table(cls, base, "classification_metrics", run_id)
+        paths[name] = S.save_model(tm, base, run_id)
+    S.write_table(_union(policy_rows), base, "policy_metrics", run_id)
+    S.write_table(_union(cls_rows), base, "classification_metrics", run_id)
     S.write_table(_union(curve_rows), base, "curves", run_id)
+    policy = spark.read.parquet(S.table_path(base, "policy_metrics", run_id))
+    cls = spark.read.parquet(S.table_path(base, "classification_metrics", run_id))
     chosen = 0.10 if 0.10 in budgets else float(budgets[0])
-    cmp = (policy.filter((F.col("policy") == decision.targeting_policy) & (F.col("budget_k") == chosen)
-                         & (F.col("probability_type") == "calibrated"))
-           .join(cls.filter(F.col("probability_type") == "calibrated"), ["model", "split", "probability_type"]))
-    wide = cmp.groupBy("model").agg(*[
-        F.max(F.when(F.col("split") == s, F.col(m))).alias(f"{s}_{m}")
-        for s in ("val", "test") for m in ("value_at_risk", "net_benefit_at_k", "roc_auc", "pr_auc", "brier_score",
-                                           "precision_at_k", "recall_at_k", "lift_at_k", "var_covered_frac")])
-    wide = wide.withColumn("chosen_budget", F.lit(chosen)).withColumn("run_id", F.lit(run_id))
+    wide = (comparison_table(policy, cls, decision.targeting_policy, chosen)
+            .withColumn("selection_policy", F.lit(decision.targeting_policy))
+            .withColumn("calibration_method", F.lit(models[next(iter(models))].metadata["method"]))
+            .withColumn("chosen_budget", F.lit(chosen)).withColumn("run_id", F.lit(run_id)))
     S.write_table(wide, base, "model_comparison", run_id)
     S.write_report_csv(wide, base, "model_comparison", run_id)
-    S.append_history(S.run_log(policy, run_id, ["model", "split", "policy", "probability_type"],
-                               ["value_at_risk", "net_benefit_at_k", "precision_at_k", "recall_at_k", "lift_at_k"],
-                               "budget_k"), base, "run_log")
     champ = wide.orderBy(F.col("val_net_benefit_at_k").desc(), F.col("val_value_at_risk").desc(), "model").first()
     best = champ["model"]
-    path = S.save_model(models[best], base, run_id)
-    S.write_promotion(spark, base, best, path, "val_net_benefit_at_k", champ["val_net_benefit_at_k"] or 0.0)
-    # drift reference: champion's train split
-    S.write_table(M.reference_profile(parts["train"], FEATURE_COLUMNS), base, "reference_profile", run_id)
-    S.write_table(feature_importance(models[best], None), base, "feature_importance", run_id)
-    tables = ["policy_metrics", "classification_metrics", "curves", "model_comparison", "reference_profile",
-              "feature_importance"]
+    scored = add_policy_scores(spark.read.parquet(S.table_path(base, f"scored_{best}", run_id)), decision)
+    S.write_table(EV.evaluate_segments(scored.filter(F.col("split") == "test"), budgets,
+                                       decision.targeting_policy), base, "segment_metrics", run_id)
+    # drift reference: champion's train split with its scores
+    S.write_table(M.reference_profile(scored.filter(F.col("split") == "train"),
+                                      [*FEATURE_COLUMNS, "churn_prob"]), base, "reference_profile", run_id)
+    S.write_table(feature_importance(models[best], parts["train"]), base, "feature_importance", run_id)
+    tables = ["policy_metrics", "classification_metrics", "curves", "model_comparison", "segment_metrics",
+              "reference_profile", "feature_importance", *[f"scored_{name}" for name in specs]]
     if backtest:
         detail, summary = run_backtest(spark, ft.drop("split"), cols, budgets, specs)
         S.write_table(detail, base, "backtest_detail", run_id)
         S.write_table(summary, base, "backtest_summary", run_id)
         tables += ["backtest_detail", "backtest_summary"]
+    manifest = spark.createDataFrame(
+        [(run_id, best, paths[best], ",".join(specs), ",".join(cols), ",".join(tables))],
+        "run_id string, champion string, model_path string, models string, features string, tables string")
+    S.write_report_json(manifest, base, "manifest", run_id)
     S.publish_run(spark, base, run_id, "train", tables)
+    # what outlives a run points at it only once it is published: a job that dies
+    # before leaves readers on the run before
+    S.append_history(S.run_log(policy, run_id, ["model", "split", "policy", "probability_type"],
+                               ["value_at_risk", "net_benefit_at_k", "precision_at_k", "recall_at_k", "lift_at_k"],
+                               "budget_k"), base, "run_log")
+    S.write_promotion(spark, base, best, paths[best], "val_net_benefit_at_k", champ["val_net_benefit_at_k"] or 0.0)
     return run_id
 
 
+COMPARED = ("value_at_risk", "net_benefit_at_k", "roc_auc", "pr_auc", "brier_score", "precision_at_k",
+            "recall_at_k", "lift_at_k", "var_covered_frac")
+
+
+def comparison_table(policy: DataFrame, cls: DataFrame, targeting_policy: str, budget: float) -> DataFrame:
+    """One row a model: validation and test metrics of the calibrated scores at the budget,
+    and of the raw scores as ``..._raw`` (O-87, O-88)."""
+    rows = (policy.filter((F.col("policy") == targeting_policy) & (F.col("budget_k") == budget))
+            .join(cls, ["model", "split", "probability_type"]))
+    return rows.groupBy("model").agg(*[
+        F.max(F.when((F.col("split") == s) & (F.col("probability_type") == p), F.col(m)))
+        .alias(f"{s}_{m}" + ("_raw" if p == "raw" else ""))
+        for s in ("val", "test") for p in ("calibrated", "raw") for m in COMPARED])
+
+
 def _union(dfs: list[DataFrame]) -> DataFrame:
     out = dfs[0]
     for d in dfs[1:]:
@@ -136,7 +159,8 @@ def score_job(spark: SparkSession, base: str, decision: DecisionConfig = PROJECT
     if as_of_month:
         ft = ft.filter(F.col("invoice_month") == F.to_date(F.lit(as_of_month + "-01")))
     champ = resolve_champion(spark, base)
-    tm = load_model(champ["model_path"])
+    # nothing promoted yet: the default family's newest model
+    tm = load_model(champ["model_path"] or S.newest_model(spark, base, champ["model"]))
     Q.validate_inference_frame(ft, tm.feature_cols)
     scored = add_policy_scores(tm.score(add_heuristics(ft)), decision)
     scored = target_flags(scored, decision.targeting_policy, budgets)
@@ -153,12 +177,13 @@ def score_job(spark: SparkSession, base: str, decision: DecisionConfig = PROJECT
     tables = ["predictions", "predictions_inference", "targets", "decision_drift"]
     try:
         prof = S.read_published(spark, base, "reference_profile", "train")
-    except Exception:  # noqa: BLE001  no training run yet: no drift report
+    except FileNotFoundError:  # no training run yet: no drift report
         prof = None
     if prof is not None:
         rep = M.drift_report(prof, scored, FEATURE_COLUMNS, alerts)
         S.write_table(rep, base, "drift_report", run_id)
-        S.append_history(M.drift_history_row(rep, scored, datetime.now(timezone.utc).isoformat()), base)
         tables.append("drift_report")
     S.publish_run(spark, base, run_id, "score", tables)
+    if prof is not None:
+        S.append_history(M.drift_history_row(rep, scored, datetime.now(timezone.utc).isoformat()), base)
     return run_id

@@ -120,8 +120,8 @@ def q_pred(spark, sf):
 POLICIES = ["policy_ml", "policy_net_benefit", "policy_recency", "policy_rfm"]
 
 
-RANDOM_SQL = ("CAST((((CustomerID % 4294967291) + 4294967291) % 4294967291 * 40503 "
-              "+ (year(invoice_month) * 12 + month(invoice_month)) * 65599 + 42) % 4294967291 AS DOUBLE)")
+RANDOM_SQL = ("CAST(('0x' || substr(md5('42|' || CAST(CustomerID AS BIGINT) || '|' "
+              "|| strftime(invoice_month, '%Y-%m')), 1, 8))::BIGINT AS DOUBLE)")
 
 
 def _long_sql(where: str = "split IS NOT NULL", group: str = "split", scores: dict | None = None) -> str:

@@ -4,12 +4,12 @@ roll-up of the events table."""
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import functions as F
 
 from ..operators import compare as C
 from ..operators import evaluate as EV
+from ..session import ensure_checkpoint_dir
 from ..streaming.events import daily_event_rollup, day_string, purchase_stream, run_available
 from . import oracles as O
 from . import registry_decisions as REG_DEC
@@ -106,7 +106,7 @@ def q_seg_contrib(spark, sf):
           "WHERE event_type = 'purchase' GROUP BY 1, 2")
 def q_stream(spark, sf):
     """Structured Streaming: purchase events rolled up per customer and day."""
-    ck = os.path.join(spark.sparkContext.getCheckpointDir() or tempfile.gettempdir(),
-                      "stream-" + os.urandom(4).hex())
-    out = run_available(spark, daily_event_rollup(purchase_stream(spark, sf)), "purchase_rollup_" + os.urandom(3).hex(), ck)
+    folder = f"{ensure_checkpoint_dir(spark)}/stream-{os.urandom(4).hex()}"
+    rollup = daily_event_rollup(purchase_stream(spark, f"{sf}/events.parquet"), lateness=None)
+    out = run_available(spark, rollup, f"{folder}/table", f"{folder}/checkpoint")
     return out.select("CustomerID", day_string("day").alias("day"), "event_revenue", "n_events")

@@ -7,7 +7,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import PREDICTION_OUTPUT_COLUMNS
+from ..operators.explain import explain_linear, explain_occlusion
+from ..operators.split import prepare_request_frame
+from ..schemas import ID_COLUMNS, PREDICTION_OUTPUT_COLUMNS
 from ..sources import sinks as S
 
 
@@ -129,6 +131,47 @@ def backtest(spark: SparkSession, base: str, model_name: str | None = None,
     return d
 
 
+def segment_metrics(spark: SparkSession, base: str, segment_type: str | None = None) -> DataFrame:
+    """The champion's segment evaluation of the newest training run (O-115)."""
+    rows = S.read_published(spark, base, "segment_metrics", "train")
+    return rows.filter(F.col("segment_type") == segment_type) if segment_type else rows
+
+
+def predict_requests(spark: SparkSession, base: str, requests: DataFrame) -> DataFrame:
+    """Score a table of request rows with the champion: identifiers, raw and calibrated
+    probability (O-22, O-118)."""
+    tm = _champion_model(spark, base)
+    frame = prepare_request_frame(requests, tm.feature_cols)
+    return tm.score(frame).select(*ID_COLUMNS, "churn_prob_raw", "churn_prob")
+
+
+def explain_requests(spark: SparkSession, base: str, requests: DataFrame, top_n: int = 3) -> DataFrame:
+    """Explain request rows with the champion (O-118)."""
+    tm = _champion_model(spark, base)
+    frame = prepare_request_frame(requests, tm.feature_cols)
+    if tm.name == "logistic_regression":
+        return explain_linear(frame, tm, top_n)
+    return explain_occlusion(frame, tm, ID_COLUMNS, top_n)
+
+
+def _champion_model(spark: SparkSession, base: str):
+    ch = champion(spark, base)
+    return S.load_model(ch["model_path"] or S.newest_model(spark, base, ch["model"]))
+
+
+def records(df: DataFrame) -> DataFrame:
+    """Each row as one JSON record (O-120): dates and timestamps as ISO text, nulls kept,
+    NaN and infinities as null."""
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if f.dataType.typeName() in ("double", "float"):
+            c = F.when(~F.isnan(c) & (F.abs(c) != float("inf")), c)
+        cols.append(c.alias(f.name))
+    options = {"ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss"}
+    return df.select(F.to_json(F.struct(*cols), options).alias("record"))
+
+
 def evidence_table(rows: DataFrame, **filters) -> DataFrame:
     """Rows behind a selected chart / segment / budget view plus their count (O-122)."""
     out = rows
@@ -147,19 +190,15 @@ def explain_saved_customer(spark: SparkSession, base: str, customer_id: int, inv
                            top_n: int = 3) -> DataFrame:
     """Saved prediction row + linear explanation of the champion (O-118); an
     empty lookup is an error."""
-    from ..operators.explain import explain_linear
-    from ..sources.sinks import load_model
     if not 1 <= top_n <= 20:
         raise ValueError("top_n must be in [1, 20]")
     preds = S.read_published(spark, base, "predictions", "score")
     row = lookup_prediction(preds, customer_id, invoice_month)
     if row.limit(1).count() == 0:
         raise LookupError(f"No saved prediction for customer {customer_id} in {invoice_month}")
-    tm = load_model(champion(spark, base)["model_path"])
+    tm = _champion_model(spark, base)
     if tm.name != "logistic_regression":
-        from ..operators.explain import explain_occlusion
-        ref = S.read_published(spark, base, "feature_table", "build_features")
-        return explain_occlusion(row, tm, ref, ["CustomerID", "invoice_month"], top_n)
+        return explain_occlusion(row, tm, ["CustomerID", "invoice_month"], top_n)
     return explain_linear(row, tm, top_n)
 
 

@@ -16,6 +16,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .paths import exists, hadoop
+
 PUBLISHED = "_published"
 PROMOTIONS = "_promotions"
 HISTORY = "drift_history"
@@ -70,7 +72,10 @@ def publish_run(spark: SparkSession, base: str, run_id: str, job: str, tables: l
 
 
 def latest_run(spark: SparkSession, base: str, job: str) -> str:
-    pub = spark.read.parquet(os.path.join(base, PUBLISHED)).filter(F.col("job") == job)
+    path = os.path.join(base, PUBLISHED)
+    if not exists(spark, path):
+        raise FileNotFoundError(f"No published run for job {job!r} under {base}")
+    pub = spark.read.parquet(path).filter(F.col("job") == job)
     row = pub.agg(F.max_by("run_id", "published_at").alias("run_id")).first()
     if row is None or row["run_id"] is None:
         raise FileNotFoundError(f"No published run for job {job!r} under {base}")
@@ -87,7 +92,7 @@ def append_history(df: DataFrame, base: str, name: str = HISTORY) -> None:
 
 def load_history(spark: SparkSession, base: str, name: str = HISTORY) -> DataFrame | None:
     path = table_path(base, name)
-    if not os.path.exists(path) and not path.startswith(("s3", "gs:", "hdfs:", "abfs", "dbfs:")):
+    if not exists(spark, path):
         return None
     return spark.read.option("mergeSchema", True).parquet(path)
 
@@ -122,6 +127,15 @@ def load_model(path: str):
                         meta["feature_cols"], meta["metadata"])
 
 
+def newest_model(spark: SparkSession, base: str, name: str) -> str:
+    """The saved model of a family with the greatest run id (run ids begin with their time)."""
+    fs, folder = hadoop(spark, os.path.join(base, "models", name))
+    runs = [str(s.getPath()) for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    if not runs:
+        raise FileNotFoundError(f"No saved {name} model under {base}")
+    return max(runs)
+
+
 def write_promotion(spark: SparkSession, base: str, model_name: str, model_path: str,
                     metric_name: str, metric_value: float) -> None:
     """Promotion pointer (O-11), append-only; the newest row wins."""
@@ -133,14 +147,14 @@ def write_promotion(spark: SparkSession, base: str, model_name: str, model_path:
 
 def resolve_champion(spark: SparkSession, base: str, default_model: str = "logistic_regression") -> dict:
     path = os.path.join(base, PROMOTIONS)
-    if not os.path.exists(path) and not path.startswith(("s3", "gs:", "hdfs:", "abfs", "dbfs:")):
+    if not exists(spark, path):
         return {"model": default_model, "model_path": None, "source": "default"}
     p = spark.read.parquet(path)
     row = p.agg(F.max_by(F.struct("model", "model_path", "metric_name", "metric_value", "promoted_at"),
                          "promoted_at").alias("r")).first()["r"]
     if row is None:
         return {"model": default_model, "model_path": None, "source": "default"}
-    if row["model_path"] and not os.path.exists(row["model_path"]) and not row["model_path"].startswith(("s3", "gs:", "hdfs:")):
+    if row["model_path"] and not exists(spark, row["model_path"]):
         raise FileNotFoundError(f"Promoted model path does not exist: {row['model_path']}")
     return {**row.asDict(), "source": "promotion"}
 

@@ -7,6 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .paths import exists
 from ..schemas import RAW_SCHEMA
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -42,7 +43,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     """Raw transaction CSV (Latin-1, header), every column read as string.
     A missing path is an error, as in the reference."""
-    if not path.startswith(("s3", "gs:", "hdfs:", "abfs", "dbfs:")) and not os.path.exists(path):
+    if not exists(spark, path):
         raise FileNotFoundError(f"Raw CSV not found: {path}")
     return (spark.read.schema(RAW_SCHEMA).option("header", True)
             .option("encoding", "ISO-8859-1").option("mode", "PERMISSIVE").csv(path))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import ntz_micros
+from ..sources.paths import is_folder
 
 EVENT_SOURCE_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
@@ -18,11 +19,16 @@ EVENT_SOURCE_SCHEMA = T.StructType([
 ])
 
 
-def purchase_stream(spark: SparkSession, directory: str, glob: str = "events*.parquet",
-                    max_files_per_trigger: int = 1) -> DataFrame:
-    """Purchase events of the ``events`` table, read as a file stream."""
-    s = (spark.readStream.schema(EVENT_SOURCE_SCHEMA).option("pathGlobFilter", glob)
-         .option("maxFilesPerTrigger", max_files_per_trigger).parquet(directory))
+def purchase_stream(spark: SparkSession, table_path: str, max_files_per_trigger: int = 1) -> DataFrame:
+    """Purchase events of the ``events`` table, a file or a folder of part files, read as
+    a stream."""
+    reader = (spark.readStream.schema(EVENT_SOURCE_SCHEMA)
+              .option("maxFilesPerTrigger", max_files_per_trigger))
+    if is_folder(spark, table_path):
+        s = reader.parquet(table_path)
+    else:  # a stream's source is a folder: this file alone of its folder
+        folder, _, name = table_path.rpartition("/")
+        s = reader.option("pathGlobFilter", name).parquet(folder or ".")
     # the wall clock is read as UTC, so day windows do not depend on the session zone
     return (s.filter(F.col("event_type") == "purchase")
              .select(F.col("user_id").alias("CustomerID"),
@@ -30,10 +36,12 @@ def purchase_stream(spark: SparkSession, directory: str, glob: str = "events*.pa
                      F.col("value").alias("Revenue")))
 
 
-def daily_event_rollup(stream: DataFrame, lateness: str = "2 days") -> DataFrame:
-    """Per customer and day: revenue, event count (append mode after the watermark)."""
-    return (stream.withWatermark("InvoiceDate", lateness)
-                  .groupBy("CustomerID", F.window("InvoiceDate", "1 day").alias("day"))
+def daily_event_rollup(stream: DataFrame, lateness: str | None = "2 days") -> DataFrame:
+    """Per customer and day: revenue and event count so far. With a ``lateness``, state older
+    than the watermark is dropped and lines that come later than that are left out;
+    ``None`` keeps every day open, so the order of files does not matter."""
+    timed = stream.withWatermark("InvoiceDate", lateness) if lateness else stream
+    return (timed.groupBy("CustomerID", F.window("InvoiceDate", "1 day").alias("day"))
                   .agg(F.sum("Revenue").alias("event_revenue"), F.count(F.lit(1)).alias("n_events")))
 
 
@@ -43,9 +51,27 @@ def day_string(window_col: str = "day"):
     return F.date_format(F.date_from_unix_date(days), "yyyy-MM-dd")
 
 
-def run_available(spark: SparkSession, df: DataFrame, name: str, checkpoint: str) -> DataFrame:
-    """Drain everything available into a memory table (tests / smoke runs)."""
-    q = (df.writeStream.outputMode("update").format("memory").queryName(name)
-           .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+def keep_latest(df: DataFrame, table_path: str, checkpoint: str):
+    """A query that writes each micro-batch's changed days under its batch number. A batch
+    that is run again replaces its own folder, so every change is there once."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{table_path}/batch={number}")
+
+    return (df.writeStream.outputMode("update").foreachBatch(write)
+            .option("checkpointLocation", checkpoint))
+
+
+def latest(spark: SparkSession, table_path: str, keys: tuple[str, ...] = ("CustomerID", "day")) -> DataFrame:
+    """The last written state of each key."""
+    rows = spark.read.parquet(table_path)
+    values = [c for c in rows.columns if c not in (*keys, "batch")]
+    return (rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_v"))
+            .select(*keys, "_v.*"))
+
+
+def run_available(spark: SparkSession, df: DataFrame, table_path: str, checkpoint: str) -> DataFrame:
+    """Drain everything available into the table at ``table_path`` and read it."""
+    q = keep_latest(df, table_path, checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.table(name)
+    return latest(spark, table_path)

@@ -48,7 +48,7 @@ def test_platt_is_monotone_and_isotonic_clipped(spark, training):
 
 def test_tree_model_and_occlusion_shape(spark, training):
     scored, tm = train_and_score("lightgbm", training, training, FEATURE_COLUMNS, {"n_estimators": 5})
-    ex = explain_occlusion(training.limit(20), tm, training, ["CustomerID", "invoice_month"], top_n=3).toPandas()
+    ex = explain_occlusion(training.limit(20), tm, ["CustomerID", "invoice_month"], top_n=3).toPandas()
     assert len(ex) == 20
     assert ex.contributions.apply(len).eq(len(FEATURE_COLUMNS)).all()
     assert ex.contributions.apply(lambda a: any(abs(s["contribution"]) > 0 for s in a)).any()
