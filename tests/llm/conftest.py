@@ -1,0 +1,30 @@
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, ROOT)
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from retentia.session import get_spark
+    s = get_spark("retentia-llm-tests", master="local[4]", shuffle_partitions=4)
+    yield s
+    s.stop()
+
+
+SF_SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def docs(spark):
+    """Rows (doc_id, text) with an extra column whose name an operator also uses."""
+    from pyspark.sql import functions as F
+
+    def make(rows, extra="score"):
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        return df.withColumn("source", F.lit("s")).withColumn(extra, F.lit("extra"))
+
+    return make
