@@ -194,24 +194,29 @@ def average_rank(df: DataFrame, value_col: str, out_col: str, ascending: bool =
 
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                     probs: Sequence[float], bounded_groups: bool = False) -> DataFrame:
-    """numpy-style linear quantiles per group, exact and distributed: rows are
-    numbered per group, only the two neighbours of each quantile position are
-    kept. Output: group cols, q (double), value. Nulls are ignored."""
+    """numpy-style linear quantiles per group, exact and distributed: rows are reduced
+    to counts of distinct values (map-side combined), the counts get running sums, and the
+    two values around each quantile position are kept. Output: group cols, q (double),
+    value. Nulls are ignored."""
     g = list(group_cols)
     v = F.col(value_col)
-    base = df.filter(v.isNotNull()).select(*g, v.cast("double").alias("_v"))
-    base = base.withColumn("_tb", F.monotonically_increasing_id())  # any unique id
-    ranked = grouped_row_number(base, g, [F.col("_v").asc(), F.col("_tb").asc()], "_r", "_cnt",
-                                bounded_groups=bounded_groups)
-    qs = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("q")
-    pos = ranked.select(*g, "_v", "_r", "_cnt", qs)
-    h = (F.col("_cnt") - 1).cast("double") * F.col("q")
-    lo = F.floor(h).cast("long") + 1
-    pos = pos.withColumn("_h", h).withColumn("_lo", lo).filter(
-        (F.col("_r") == F.col("_lo")) | (F.col("_r") == F.col("_lo") + 1))
-    agg = pos.groupBy(*g, "q").agg(
-        F.max(F.when(F.col("_r") == F.col("_lo"), F.col("_v"))).alias("_a"),
-        F.max(F.when(F.col("_r") == F.col("_lo") + 1, F.col("_v"))).alias("_b"),
+    counts = (df.filter(v.isNotNull()).groupBy(*g, v.cast("double").alias("_v"))
+              .agg(F.count(F.lit(1)).alias("_c")))
+    cum = global_cumsum(counts, [*[F.col(c) for c in g], F.col("_v")], ["_c"])
+    if g:
+        spans = cum.groupBy(*g).agg(F.min(F.col("cum__c") - F.col("_c")).alias("_s"), F.sum("_c").alias("_cnt"))
+        cum = join_on_keys(cum, spans, g, "left", broadcast_right=bounded_groups)
+    else:
+        total = cum.agg(F.max("cum__c")).first()[0]
+        cum = cum.withColumn("_s", F.lit(0)).withColumn("_cnt", F.lit(total).cast("long"))
+    upto, qs = F.col("cum__c") - F.col("_s"), F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("q")
+    pos = cum.select(*g, "_v", upto.alias("_hi"), (upto - F.col("_c")).alias("_lo"), "_cnt", qs)
+    pos = pos.withColumn("_h", (F.col("_cnt") - 1).cast("double") * F.col("q"))
+    at = F.floor("_h").cast("long") + 1  # position from 1 of the lower neighbour
+    holds = lambda k: (F.col("_lo") < k) & (k <= F.col("_hi"))
+    agg = pos.filter(holds(at) | holds(at + 1)).groupBy(*g, "q").agg(
+        F.max(F.when(holds(at), F.col("_v"))).alias("_a"),
+        F.max(F.when(holds(at + 1), F.col("_v"))).alias("_b"),
         F.max("_h").alias("_h"))
     frac = F.col("_h") - F.floor(F.col("_h"))
     value = F.when(F.col("_b").isNull() | (frac == 0), F.col("_a")).otherwise(
