@@ -29,9 +29,9 @@ class DecisionConfig:
 
     def __post_init__(self):
         if self.assumed_success_rate < 0:
-            raise ValueError("assumed_success_rate must be >= 0.")
+            raise ValueError("a success rate cannot be negative")
         if self.retention_value_multiplier < 0:
-            raise ValueError("retention_value_multiplier must be >= 0.")
+            raise ValueError("the retention value multiplier cannot be negative")
 
     @classmethod
     def from_dict(cls, d: dict | None) -> "DecisionConfig":
@@ -70,9 +70,9 @@ class ExperimentConfig:
 
     def __post_init__(self):
         if not (0.0 < self.treatment_allocation_rate < 1.0):
-            raise ValueError("treatment_allocation_rate must be in (0, 1).")
+            raise ValueError("the treated share must lie strictly between 0 and 1")
         if self.treatment_effect_multiplier < 0.0:
-            raise ValueError("treatment_effect_multiplier must be >= 0.")
+            raise ValueError("the treatment effect multiplier cannot be negative")
 
 
 @dataclass(frozen=True)
@@ -82,9 +82,9 @@ class AlertConfig:
 
     def __post_init__(self):
         if self.warn_threshold < 0 or self.alert_threshold < 0:
-            raise ValueError("monitoring thresholds must be >= 0.")
+            raise ValueError("drift thresholds cannot be negative")
         if self.warn_threshold > self.alert_threshold:
-            raise ValueError("warn_threshold must be <= alert_threshold.")
+            raise ValueError("the warning threshold lies above the alert threshold")
 
 
 @dataclass(frozen=True)

@@ -127,10 +127,10 @@ def simulate_experiment_by_budget(df: DataFrame, budgets: Sequence[float],
             "expected_retained_value", cfg.targeting_policy]
     missing = [c for c in need if c not in df.columns]
     if missing:
-        raise ValueError(f"Missing required experiment simulation columns: {missing}")
+        raise ValueError(f"an experiment needs these columns too: {missing}")
     for k in budgets:
         if not (0 < float(k) <= 1):
-            raise ValueError("budget k must be in (0, 1].")
+            raise ValueError("a budget is a share above 0 and up to 1")
     uplift = F.least(F.greatest(F.col("churn_prob") * F.col("assumed_success_rate_customer")
                                 * F.lit(float(cfg.treatment_effect_multiplier)), F.lit(0.0)), F.lit(1.0))
     prep = (df.withColumn("_u", uplift).withColumn("_d", F.col("_u") * F.col("value_pos"))

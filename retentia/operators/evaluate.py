@@ -45,10 +45,12 @@ def policy_metrics(df: DataFrame, budgets: Sequence[float], policies: Sequence[s
     g = list(group_cols)
     pols = [p for p in POLICY_COLUMNS if p in df.columns] if policies is None else list(policies)
     has_nb = benefit_col in df.columns
-    keep = [*TIE, "churn_90d", "value_pos"] + ([benefit_col] if has_nb else [])
+    ties = [c for c in TIE if c in df.columns]  # ids break ties where the frame has them
+    include_random = include_random and len(ties) == len(TIE)
+    keep = [*ties, "churn_90d", "value_pos"] + ([benefit_col] if has_nb else [])
     long = _policy_long(df, pols, g, keep, include_random)
     ranked = grouped_row_number(
-        long, [*g, "policy"], [F.round("_score", 6).desc_nulls_last(), *[F.col(c) for c in TIE]],
+        long, [*g, "policy"], [F.round("_score", 6).desc_nulls_last(), *[F.col(c) for c in ties]],
         "_rank", "_n_rows")
     ks = [float(k) for k in budgets]
     max_n = F.greatest(*[top_n(F.col("_n_rows"), k) for k in ks]) if len(ks) > 1 else top_n(F.col("_n_rows"), ks[0])
@@ -273,7 +275,7 @@ def pick_policy_row(metrics: DataFrame, budget: float, policy: str = "policy_ml"
                            & (F.round(F.col("budget_k") * 100) == F.lit(round(budget * 100))))
                    .limit(2).collect())
     if len(rows) != 1:
-        raise ValueError(f"Expected a single policy row for policy={policy}, budget={budget}.")
+        raise ValueError(f"{len(rows)} rows for {policy} at budget {budget}, one is needed")
     return rows[0]
 
 

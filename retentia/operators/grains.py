@@ -20,12 +20,12 @@ def clean_transactions(df: DataFrame) -> DataFrame:
     those rows are dropped. Duplicates, zero prices and returns are kept."""
     cols = set(df.columns)
     if "InvoiceDate" not in cols:
-        raise ValueError("Expected column 'InvoiceDate' not found in raw data.")
+        raise ValueError("the raw table has no InvoiceDate")
     if "CustomerID" not in cols and "Customer ID" not in cols:
-        raise ValueError("Expected customer id column ('Customer ID' or 'CustomerID') not found.")
+        raise ValueError("the raw table has no customer column (Customer ID or CustomerID)")
     for c in ("Quantity", "Price"):
         if c not in cols:
-            raise ValueError(f"Expected column '{c}' not found in raw data.")
+            raise ValueError(f"the raw table has no {c}")
     types = {f.name: f.dataType for f in df.schema.fields}
     id_src = "CustomerID" if "CustomerID" in cols else "Customer ID"
 

@@ -49,7 +49,7 @@ def add_heuristics(df: DataFrame, corrected: bool = False) -> DataFrame:
 
 def add_value_pos(df: DataFrame) -> DataFrame:
     if "rev_sum_90d" not in df.columns:
-        raise ValueError("Expected rev_sum_90d to compute value_pos (value proxy).")
+        raise ValueError("value_pos is made from rev_sum_90d, which is not there")
     return (df.withColumn("value_proxy", F.col("rev_sum_90d"))
               .withColumn("value_pos", F.greatest(F.col("rev_sum_90d"), F.lit(0.0))))
 

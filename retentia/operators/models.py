@@ -65,7 +65,7 @@ def build_model(name: str, feature_cols: Sequence[str], n_train: int, params: di
                                     seed=42)
         rf.setProbabilityCol("_probability").setRawPredictionCol("_raw").setPredictionCol("_prediction")
         return Pipeline(stages=[imp, asm, rf])
-    raise ValueError(f"Unsupported model_name: {name}")
+    raise ValueError(f"no model family {name!r}")
 
 
 def positive_probability(model: PipelineModel, df: DataFrame, out_col: str) -> DataFrame:
@@ -89,10 +89,10 @@ class Calibrator:
     def fit(self, scored: DataFrame, raw_col: str = "churn_prob_raw", label: str = LABEL) -> "Calibrator":
         m = self.method.strip().lower()
         if m not in ("platt", "isotonic"):
-            raise ValueError("Calibration method must be 'platt' or 'isotonic'.")
+            raise ValueError(f"no calibration method {self.method!r}")
         stats = scored.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(label).alias("k")).first()
         if stats["k"] < 2:
-            raise ValueError("Calibration requires both positive and negative labels.")
+            raise ValueError("calibration rows hold one label only")
         x = scored.select(F.array(F.col(raw_col)).alias("_a"), F.col(label).cast("double").alias("_y"))
         from pyspark.ml.functions import array_to_vector
         x = x.select(array_to_vector("_a").alias("_x"), "_y")

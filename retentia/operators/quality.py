@@ -14,7 +14,7 @@ from ..schemas import is_numeric
 def require_columns(df: DataFrame, required: Iterable[str], name: str) -> None:
     missing = sorted(set(required) - set(df.columns))
     if missing:
-        raise ValueError(f"{name} is missing required columns: {missing}")
+        raise ValueError(f"{name} lacks columns {missing}")
 
 
 def null_rates(df: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -32,7 +32,7 @@ def validate_null_thresholds(df: DataFrame, thresholds: dict[str, float], name:
     for c, t in present.items():
         rate = float(row[c])
         if rate > float(t):
-            raise ValueError(f"{name} column '{c}' null rate {rate:.3f} exceeded threshold {float(t):.3f}.")
+            raise ValueError(f"{name}: {rate:.3f} of {c} is null, at most {float(t):.3f} may be")
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -43,7 +43,7 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 def validate_unique_keys(df: DataFrame, keys: list[str], name: str) -> None:
     require_columns(df, keys, name)
     if duplicate_keys(df, keys).limit(1).count() > 0:
-        raise ValueError(f"{name} has duplicate keys on {keys}.")
+        raise ValueError(f"{name}: several rows share {keys}")
 
 
 def date_order_violations(df: DataFrame, group_col: str, date_col: str, seq_col: str) -> DataFrame:
@@ -62,17 +62,17 @@ def validate_date_order(df: DataFrame, group_col: str, date_col: str, name: str,
     if seq_col is None:
         return  # without a sequence column the order is not observable
     if date_order_violations(df, group_col, date_col, seq_col).limit(1).count() > 0:
-        raise ValueError(f"{name} contains decreasing {date_col} values within {group_col}.")
+        raise ValueError(f"{name}: {date_col} goes back within a {group_col}")
 
 
 def validate_inference_frame(df: DataFrame, feature_cols: list[str]) -> None:
     missing = [c for c in feature_cols if c not in df.columns]
     if missing:
-        raise ValueError(f"Missing inference feature columns: {missing}")
+        raise ValueError(f"features to score lack columns {missing}")
     types = dict((f.name, f.dataType) for f in df.schema.fields)
     non_numeric = [c for c in feature_cols if not is_numeric(types[c])]
     if non_numeric:
-        raise TypeError(f"Inference feature columns must be numeric: {non_numeric}")
+        raise TypeError(f"features to score are not numbers: {non_numeric}")
 
 
 def table_fingerprint(df: DataFrame) -> DataFrame:

@@ -42,7 +42,7 @@ def feature_columns(df: DataFrame) -> list[str]:
 def prediction_output(df: DataFrame) -> DataFrame:
     missing = [c for c in PREDICTION_OUTPUT_COLUMNS if c not in df.columns]
     if missing:
-        raise ValueError(f"Missing prediction output columns: {missing}")
+        raise ValueError(f"predictions lack columns {missing}")
     return df.select(*PREDICTION_OUTPUT_COLUMNS)
 
 
@@ -52,13 +52,13 @@ def prepare_request_frame(df: DataFrame, feature_cols: list[str]) -> DataFrame:
     cols = set(df.columns)
     training_only = sorted(cols & set(TRAINING_ONLY_COLUMNS))
     if training_only:
-        raise ValueError(f"Training-only columns are not allowed: {training_only}")
+        raise ValueError(f"a request may not hold training columns: {training_only}")
     extra = sorted(cols - set(feature_cols) - set(ID_COLUMNS))
     if extra:
-        raise ValueError(f"Unexpected request columns: {extra}")
+        raise ValueError(f"a request holds unknown columns: {extra}")
     missing = [c for c in feature_cols if c not in cols]
     if missing:
-        raise ValueError(f"Missing required inference columns: {missing}")
+        raise ValueError(f"a request lacks model inputs: {missing}")
     types = {"CustomerID": "bigint", "invoice_month": "date", "T": "timestamp_ntz"}
     ids = [F.col(c) if c in cols else F.lit(None).cast(types[c]).alias(c) for c in ID_COLUMNS]
     return df.select(*ids, *feature_cols)
@@ -66,7 +66,7 @@ def prepare_request_frame(df: DataFrame, feature_cols: list[str]) -> DataFrame:
 
 def with_probability_alias(df: DataFrame, prob_col: str) -> DataFrame:
     if prob_col not in df.columns:
-        raise ValueError(f"Expected probability column {prob_col}.")
+        raise ValueError(f"no probability column {prob_col}")
     return df.withColumn("churn_prob", F.col(prob_col).cast("double"))
 
 

@@ -25,7 +25,7 @@ TARGET_LIST_COLUMNS = [
     "intervention_cost_customer", "expected_retained_value", "expected_cost",
     "policy_net_benefit",
 ]
-# Columns never allowed as model inputs (label, future value, derived scores).
+# Columns never allowed as model inputs (label, future value, derived scores).
 MODEL_DENY_COLUMNS = {
     "CustomerID", "invoice_month", "T", "has_future_purchase_90d", "churn_90d",
     "customer_value_90d", "value_proxy", "value_pos", "recency_risk", "rfm_risk",
