@@ -10,7 +10,8 @@ from ..operators import compare as C
 from ..operators import evaluate as EV
 from ..operators import monitor as M
 from ..operators.heuristics import recommended_action
-from ..operators.rank import grouped_row_number, policy_order, rank_by_policy, target_flags
+from ..operators.models import calibration_holdout
+from ..operators.rank import grouped_row_number, policy_order, rank_by_policy, target_flags, top_k_slice
 from ..operators.split import prediction_output
 from ..schemas import FEATURE_COLUMNS, TARGET_LIST_COLUMNS
 from . import oracles as O
@@ -43,13 +44,31 @@ _cols_query("policy_scores", ["churn_prob", "policy_ml", "expected_retained_valu
                               "policy_net_benefit", "policy_recency", "policy_rfm"])
 
 
+# A risk that falls with revenue, so that all three actions occur.
+_RISK = "greatest(1.0 - rev_sum_90d / 200000.0, 0.0)"
+_RISK_BENEFIT = f"{_RISK} * value_pos * assumed_success_rate_customer - intervention_cost_customer"
+
+
 @register("recommended_action", O.with_scored(
     f"SELECT CustomerID, {O.month('invoice_month')} AS invoice_month, "
-    "CASE WHEN policy_net_benefit > 0 THEN 'prioritize_retention_outreach' "
-    "WHEN churn_prob >= 0.5 THEN 'high_risk_but_low_economic_return' ELSE 'review_before_contact' END "
+    f"CASE WHEN {_RISK_BENEFIT} > 0 THEN 'prioritize_retention_outreach' "
+    f"WHEN {_RISK} >= 0.5 THEN 'high_risk_but_low_economic_return' ELSE 'review_before_contact' END "
     "AS recommended_action FROM sc"))
 def q_action(spark, sf):
-    return recommended_action(scored(spark, sf)).select(*KEYS, "recommended_action")
+    s = scored(spark, sf).withColumn("churn_prob", F.greatest(
+        F.lit(1.0) - F.col("rev_sum_90d") / F.lit(200000.0), F.lit(0.0)))
+    s = s.withColumn("policy_net_benefit", F.col("churn_prob") * F.col("value_pos")
+                     * F.col("assumed_success_rate_customer") - F.col("intervention_cost_customer"))
+    return recommended_action(s).select(*KEYS, "recommended_action")
+
+
+@register("top_k_slice", O.with_scored(
+    f"SELECT CustomerID, {O.month('invoice_month')} AS invoice_month, {R4('policy_net_benefit')} AS policy_net_benefit "
+    f"FROM (SELECT *, {O.rank_expr('policy_net_benefit')} AS r, count(*) OVER () AS n FROM sc) "
+    f"WHERE r <= {O.topn('n', '0.10')}"))
+def q_top_k(spark, sf):
+    """The best tenth of customer-months by net benefit (O-61)."""
+    return top_k_slice(scored(spark, sf), "policy_net_benefit", 0.10).select(*KEYS, "policy_net_benefit")
 
 
 @register("temporal_split_counts", O.with_scored(
@@ -536,6 +555,55 @@ def q_drift_summary(spark, sf):
     return M.drift_summary(M.drift_report(prof, s, FEATURE_COLUMNS))
 
 
+@register("top_psi_features", O.with_scored(
+    f"SELECT feature, {R4('missing_rate_current')} AS missing_rate_current, {R4('psi')} AS psi, status "
+    "FROM rep WHERE psi IS NOT NULL ORDER BY rep.psi DESC, feature LIMIT 5", _drift_sql()))
+def q_top_psi(spark, sf):
+    """The five features that moved most (O-66)."""
+    s, prof = _profile(spark, sf)
+    return M.top_psi_features(M.drift_report(prof, s, FEATURE_COLUMNS), 5)
+
+
+@register("alert_lists", O.with_scored(
+    "SELECT coalesce(string_agg(feature, ',' ORDER BY feature) FILTER (WHERE status = 'alert'), '') AS alert_features, "
+    "coalesce(string_agg(feature, ',' ORDER BY feature) FILTER (WHERE status = 'warn'), '') AS warn_features FROM rep",
+    _drift_sql()))
+def q_alert_lists(spark, sf):
+    s, prof = _profile(spark, sf)
+    lists = M.alert_lists(M.drift_report(prof, s, FEATURE_COLUMNS))
+    return lists.select(*[F.array_join(c, ",").alias(c) for c in lists.columns])
+
+
+@register("champion_vs_runner_up", O.with_scored(
+    f"SELECT max(CASE WHEN k = 1 THEN policy END) AS champion, max(CASE WHEN k = 2 THEN policy END) AS runner_up, "
+    f"{R4('max(CASE WHEN k = 1 THEN v END)')} AS champion_value, {R4('max(CASE WHEN k = 2 THEN v END)')} AS runner_up_value, "
+    f"{R4('max(CASE WHEN k = 1 THEN v END) - max(CASE WHEN k = 2 THEN v END)')} AS gap "
+    "FROM (SELECT policy, round(net_benefit_at_k, 2) AS v, "
+    "row_number() OVER (ORDER BY round(net_benefit_at_k, 2) DESC, policy) AS k "
+    "FROM pm WHERE split = 'test' AND budget_k = 0.1)", _long_sql()))
+def q_champion_pair(spark, sf):
+    """The two best rankings by test net benefit at 10 % (O-100)."""
+    s = scored(spark, sf).filter(F.col("split") == "test")
+    rows = EV.policy_metrics(s, [0.10], POLICIES, include_random=False)
+    return C.champion_vs_runner_up(rows.select(
+        F.col("policy").alias("model"), F.round("net_benefit_at_k", 2).alias("test_net_benefit_at_k")))
+
+
+@register("calibration_holdout", O.with_scored(
+    f"SELECT part, count(*) AS n_rows, {O.month('min(invoice_month)')} AS first_month, "
+    f"{O.month('max(invoice_month)')} AS last_month FROM (SELECT sc.invoice_month, "
+    "CASE WHEN m.i >= CAST(floor(m.n * 0.8) AS BIGINT) THEN 'calibrate' ELSE 'fit' END AS part "
+    "FROM sc JOIN (SELECT invoice_month, row_number() OVER (ORDER BY invoice_month) - 1 AS i, count(*) OVER () AS n "
+    "FROM (SELECT DISTINCT invoice_month FROM sc WHERE split = 'train')) m USING (invoice_month) "
+    "WHERE split = 'train') GROUP BY part"))
+def q_holdout(spark, sf):
+    """Training months kept for calibration (O-50)."""
+    fit, cal, _ = calibration_holdout(scored(spark, sf).filter(F.col("split") == "train"))
+    parts = fit.withColumn("part", F.lit("fit")).unionByName(cal.withColumn("part", F.lit("calibrate")))
+    return parts.groupBy("part").agg(F.count(F.lit(1)).alias("n_rows"), F.min("invoice_month").alias("first_month"),
+                                     F.max("invoice_month").alias("last_month"))
+
+
 @register("score_stats", O.with_scored(
     f"SELECT {R4('avg(CASE WHEN churn_prob IS NULL THEN 1.0 ELSE 0.0 END)')} AS missing_rate, "
     f"{R4('avg(churn_prob)')} AS mean, {R4('quantile_cont(churn_prob, 0.5)')} AS p50, "
