@@ -48,11 +48,12 @@ def policy_metrics(df: DataFrame, budgets: Sequence[float], policies: Sequence[s
     ties = [c for c in TIE if c in df.columns]  # ids break ties where the frame has them
     include_random = include_random and len(ties) == len(TIE)
     keep = [*ties, "churn_90d", "value_pos"] + ([benefit_col] if has_nb else [])
-    long = _policy_long(df, pols, g, keep, include_random)
-    ranked = grouped_row_number(
-        long, [*g, "policy"], [F.round("_score", 6).desc_nulls_last(), *[F.col(c) for c in ties]],
-        "_rank", "_n_rows")
     ks = [float(k) for k in budgets]
+    long = _top_part(_policy_long(df, pols, g, keep, include_random)
+                     .withColumn("_score", F.round("_score", 6)), [*g, "policy"], max(ks))
+    ranked = grouped_row_number(
+        long, [*g, "policy"], [F.col("_score").desc_nulls_last(), *[F.col(c) for c in ties]],
+        "_rank", None)
     max_n = F.greatest(*[top_n(F.col("_n_rows"), k) for k in ks]) if len(ks) > 1 else top_n(F.col("_n_rows"), ks[0])
     top = (ranked.filter(F.col("_rank") <= max_n)
            .withColumn("budget_k", F.explode(F.array(*[F.lit(k) for k in ks])))
@@ -81,6 +82,23 @@ def policy_metrics(df: DataFrame, budgets: Sequence[float], policies: Sequence[s
         safe_div(precision, base_rate).alias("lift_at_k"))
 
 
+# Share of rows kept beyond the largest budget: ten times the sketch's rank error.
+SKETCH_ACCURACY, SKETCH_SLACK = 10_000, 1e-3
+
+
+def _top_part(long: DataFrame, groups: Sequence[str], share: float) -> DataFrame:
+    """Rows of each group that its best ``share`` can lie in, with the group's row count:
+    those at or above a score that the sketch puts just below the cut. Nothing but
+    these rows is shuffled and ranked. Groups with null scores are kept whole (nulls rank last)."""
+    at = max(0.0, 1.0 - share - SKETCH_SLACK)
+    cuts = long.groupBy(*groups).agg(
+        F.count(F.lit(1)).alias("_n_rows"),
+        F.when(F.count("_score") == F.count(F.lit(1)),
+               F.percentile_approx("_score", at, SKETCH_ACCURACY)).alias("_cut"))
+    return (join_on_keys(long, cuts, groups, "left", broadcast_right=True)
+            .filter(F.col("_cut").isNull() | (F.col("_score") >= F.col("_cut"))).drop("_cut"))
+
+
 def _attach_totals(agg: DataFrame, totals: DataFrame, g: list[str]) -> DataFrame:
     """Whole-frame totals (one row) become literals; grouped totals are joined."""
     if g:
