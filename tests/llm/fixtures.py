@@ -1,20 +1,7 @@
-import os
-import sys
+"""What the operator tests share; the session comes from ``tests/conftest.py``."""
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-sys.path.insert(0, ROOT)
-
-
-@pytest.fixture(scope="session")
-def spark():
-    from retentia.session import get_spark
-    s = get_spark("retentia-llm-tests", master="local[4]", shuffle_partitions=4)
-    yield s
-    s.stop()
-
-
 SF_SMALL = "/root/testdata/sf0.001"
 
 

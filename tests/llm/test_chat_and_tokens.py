@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from fixtures import docs  # noqa: F401
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

@@ -4,6 +4,7 @@ import collections
 
 import numpy as np
 import pytest
+from fixtures import docs  # noqa: F401
 
 from retentia.llm import bitslices, graph, lsh_forest, pivots
 from pyspark.sql import functions as F

@@ -4,7 +4,7 @@ import re
 
 import numpy as np
 import pytest
-from conftest import SF_SMALL
+from fixtures import SF_SMALL, docs  # noqa: F401
 from pyspark.sql import functions as F
 from retentia.llm import mixing, pii, quality, stages, toxicity, training
 
