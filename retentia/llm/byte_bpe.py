@@ -77,43 +77,79 @@ def share_ranks(spark: SparkSession, path: str) -> Broadcast:
     return spark.sparkContext.broadcast((f"{path}:{len(ranks)}", ranks))
 
 
-def _mapped(df: DataFrame, name: str, kind: T.DataType, source: str, arrow: pa.DataType,
+def _mapped(df: DataFrame, source: str, outputs: list[tuple[str, T.DataType, pa.DataType]],
             make) -> DataFrame:
-    """``df`` with a column computed batch by batch from the column ``source``."""
-    keep = [c for c in df.columns if c != name]
+    """``df`` with columns computed from the column ``source``: ``make()`` gives a function
+    of one value that returns a value for each output."""
+    names = [name for name, _, _ in outputs]
+    keep = [c for c in df.columns if c not in names]
     schema = T.StructType([*df.select(*[f"`{c}`" for c in keep]).schema,
-                           T.StructField(name, kind, True)])
+                           *[T.StructField(name, kind, True) for name, kind, _ in outputs]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = make()
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                made = pa.array([one(x) for x in part.column(source).to_pylist()], type=arrow)
+            for at in range(0, batch.num_rows, 250):
+                part = batch.slice(at, 250)
+                made = [one(x) for x in part.column(source).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [*[part.column(c) for c in keep], made], names=[*keep, name])
+                    [*[part.column(c) for c in keep],
+                     *[pa.array([row[i] for row in made], type=arrow)
+                       for i, (_, _, arrow) in enumerate(outputs)]], names=[*keep, *names])
 
     return df.mapInArrow(run, schema)
 
 
+def _encoder(ranks: Broadcast, pattern: str, chunk_chars: int):
+    one = _encoding(ranks, pattern).encode_ordinary
+
+    def ids(text):
+        if not text:
+            return []
+        if len(text) <= chunk_chars:
+            return one(text)
+        return [i for part in chunks(text, chunk_chars) for i in one(part)]
+
+    return ids
+
+
+def _decoder(ranks: Broadcast):
+    words = _vocabulary(ranks)
+
+    def raw(ids):
+        if ids is None:
+            return None
+        try:
+            if ids and min(ids) < 0:
+                return None
+            return b"".join([words[i] for i in ids])
+        except (TypeError, IndexError):
+            return None
+
+    return raw
+
+
+IDS = (T.ArrayType(T.IntegerType()), pa.list_(pa.int32()))
+BYTES = (T.BinaryType(), pa.binary())
+
+
 def encode(df: DataFrame, ranks: Broadcast, pattern: str, text_col: str = "text",
-           output_col: str = "token_ids", chunk_chars: int = CHUNK_CHARS) -> DataFrame:
-    """Adds ``output_col``, the ids of each whole text as ``array<int>``."""
+           output_col: str = "token_ids", decoded_col: str | None = None,
+           chunk_chars: int = CHUNK_CHARS) -> DataFrame:
+    """Adds ``output_col``, the ids of each whole text as ``array<int>``, and, if it is
+    named, ``decoded_col``: the raw bytes that these ids decode to, in the same pass."""
 
     def make():
-        one = _encoding(ranks, pattern).encode_ordinary
+        ids, raw = _encoder(ranks, pattern, chunk_chars), _decoder(ranks)
 
-        def ids(text):
-            if not text:
-                return []
-            if len(text) <= chunk_chars:
-                return one(text)
-            return [i for part in chunks(text, chunk_chars) for i in one(part)]
+        def both(text):
+            made = ids(text)
+            return made, raw(made) if decoded_col else None
 
-        return ids
+        return both
 
-    return _mapped(df, output_col, T.ArrayType(T.IntegerType()), text_col,
-                   pa.list_(pa.int32()), make)
+    outputs = [(output_col, *IDS), *([(decoded_col, *BYTES)] if decoded_col else [])]
+    return _mapped(df, text_col, outputs, make)
 
 
 def decode(df: DataFrame, ranks: Broadcast, ids_col: str = "token_ids",
@@ -121,18 +157,7 @@ def decode(df: DataFrame, ranks: Broadcast, ids_col: str = "token_ids",
     """Adds ``output_col``, the raw bytes that the ids stand for."""
 
     def make():
-        words = _vocabulary(ranks)
-
-        def raw(ids):
-            if ids is None:
-                return None
-            try:
-                if ids and min(ids) < 0:
-                    return None
-                return b"".join([words[i] for i in ids])
-            except (TypeError, IndexError):
-                return None
-
-        return raw
+        raw = _decoder(ranks)
+        return lambda ids: (raw(ids),)
 
-    return _mapped(df, output_col, T.BinaryType(), ids_col, pa.binary(), make)
+    return _mapped(df, ids_col, [(output_col, *BYTES)], make)

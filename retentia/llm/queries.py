@@ -81,8 +81,8 @@ def op7_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = byte_bpe.share_ranks(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN).drop("text")
-    return byte_bpe.decode(ids, ranks).select(
+    made = byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded_col="decoded")
+    return made.select(
         "doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("token_ids", " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

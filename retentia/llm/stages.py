@@ -50,8 +50,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every whole text, and the number of bytes that they decode to."""
     ranks = byte_bpe.share_ranks(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    ids = byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN).drop("text")
-    return byte_bpe.decode(ids, ranks).select(
+    made = byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded_col="decoded")
+    return made.select(
         *[c for c in docs.columns if c != "text"], "token_ids",
         F.size("token_ids").cast("long").alias("n_tokens"),
         F.octet_length("decoded").cast("long").alias("n_bytes"))

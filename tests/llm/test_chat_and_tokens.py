@@ -73,6 +73,8 @@ def test_byte_bpe_round_trip(spark, docs, tiktoken_encoding):
     for r in made.collect():
         assert r.token_ids == tiktoken_encoding.encode_ordinary(texts[r.doc_id] or "")
         assert bytes(r.decoded) == (texts[r.doc_id] or "").encode()
+    once = byte_bpe.encode(df, ranks, public_tokenizers.PATTERN, decoded_col="raw", chunk_chars=500)
+    assert all(bytes(r.raw) == (texts[r.doc_id] or "").encode() for r in once.collect())
     odd = spark.createDataFrame([(1, None), (2, [10**6]), (3, [-1]), (4, [None])], "k int, token_ids array<int>")
     assert all(r.decoded is None for r in byte_bpe.decode(odd, ranks).collect())
     assert byte_bpe.encode(df.limit(0), ranks, public_tokenizers.PATTERN).count() == 0
