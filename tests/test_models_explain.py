@@ -113,3 +113,26 @@ def test_platt_matches_reference_objective(spark):
         p = 1 / (1 + np.exp(-Z @ w))
         w -= np.linalg.solve(Z.T @ (Z * (p * (1 - p))[:, None]) + pen, Z.T @ (p - y) + pen @ w)
     assert cal.a == pytest.approx(w[1], abs=2e-3) and cal.b == pytest.approx(w[0], abs=2e-3)
+
+
+def test_backtest_refits_every_family_in_every_fold(spark, training, monkeypatch):
+    from retentia.plans import registry_models as RM
+
+    # 12 months: folds start after month 6, 8 and 10
+    rows = training.withColumn("invoice_month", F.add_months(F.lit("2020-01-01").cast("date"),
+                                                             (F.col("CustomerID") % 12).cast("int")))
+    monkeypatch.setattr(RM, "features", lambda spark, sf: rows)
+    monkeypatch.setattr(RM, "SPECS", {"logistic_regression": {}, "xgboost": {"n_estimators": 2},
+                                      "lightgbm": {"n_estimators": 2}})
+    detail = RM._refitted(spark, None, tuple(RM.SPECS)).toPandas()
+    assert set(zip(detail.model, detail.fold)) == {
+        (m, f) for m in RM.SPECS for f in ("2020-07_2020-08", "2020-09_2020-10", "2020-11_2020-12")}
+    # each fold's figures are those of a fit on its own training months
+    train, test = rows.filter("invoice_month <= '2020-08-01'"), rows.filter(
+        "invoice_month BETWEEN '2020-09-01' AND '2020-10-01'")
+    scored = train_and_score("logistic_regression", train, test, FEATURE_COLUMNS, {})[0].toPandas()
+    own = detail[(detail.model == "logistic_regression") & (detail.fold == "2020-09_2020-10")]
+    brier = ((scored.churn_prob - scored.churn_90d) ** 2).mean()
+    np.testing.assert_allclose(own.brier_score, brier, atol=1e-6)
+    assert {"backtest_refit_logistic", "backtest_refit_detail", "backtest_refit_summary",
+            "backtest_refit_stability"} <= set(RM.register.__globals__["QUERIES"])
