@@ -1,11 +1,15 @@
 """N-gram Jaccard join by a MinHash LSH forest (operator 4).
 
 A text's five-word shingles (lower case, words between white space) get a MinHash
-signature of TREES x DEPTH values. Each tree sorts the texts by its DEPTH values in
-order, a prefix trie: texts under one node share a prefix. The matched prefix starts at full
-depth and is shortened until a pair at the threshold meets in some tree with at least
-the target recall. Pairs under a node are compared by their signatures; those that may
-reach the threshold connect texts into families.
+signature of TREES x DEPTH values. Each tree is a prefix trie over its DEPTH values in
+order: texts under one node share a prefix. The forest holds the rows of those texts whose
+first value another text shares; every deeper node lies among them. Rounds compare the
+texts under the nodes of one depth by their signatures; pairs that may reach the threshold
+connect texts into families. The first round takes the longest prefix with which a pair
+at the threshold meets in some tree with the target recall: at a longer one no text can have
+reached it, and pairs that share more share this as well. A text that has found a partner
+then is at the target; each text without one is passed on to the next shorter prefix,
+where it meets all texts, down to depth 1.
 
 Families are then verified exactly, by shingle sets: all pairs inside a family, in
 blocks, so that every link is counted and a family of thousands of near copies emits
@@ -23,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retentia.llm.common import text_of, written
@@ -81,12 +85,15 @@ def shingles(text: str, n_words: int = WORDS) -> np.ndarray:
 
 
 def signature(found: np.ndarray) -> bytes:
-    """TREES x DEPTH MinHash values of 16 bits, tree by tree."""
+    """TREES x DEPTH MinHash values, tree by tree: 48 bits of a tree's first value, so that
+    chance meetings at depth 1 stay rare in large corpora, and 16 of each other."""
     low = np.full(TREES * DEPTH, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(found), 2048):
         hashed = np.multiply.outer(_FACTORS, found[at:at + 2048]) + _TERMS[:, None]
         np.minimum(low, hashed.min(axis=1), out=low)
-    return ((low >> np.uint64(16)) & np.uint64(0xFFFF)).astype(">u2").tobytes()
+    values = low.reshape(TREES, DEPTH)
+    parts = [values[:, :1] >> np.uint64(48), values[:, :1] >> np.uint64(32), values >> np.uint64(16)]
+    return (np.hstack(parts) & np.uint64(0xFFFF)).astype(">u2").tobytes()
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -107,43 +114,93 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    """The low 16 bits of all values, a row for each signature."""
     rows = column.to_pylist()
-    return np.frombuffer(b"".join(rows), ">u2").astype(np.uint16).reshape(len(rows), -1)
+    parts = np.frombuffer(b"".join(rows), ">u2").astype(np.uint16)
+    return parts.reshape(len(rows), TREES, DEPTH + 2)[:, :, 2:].reshape(len(rows), -1)
 
 
-def families(reps: DataFrame, depth: int, threshold: float, block_rows: int) -> DataFrame:
-    """(a, b) edges between texts that share a trie node and whose signatures allow the
-    threshold. ``reps``: rep, sig."""
+def _bytes(depth: int) -> int:
+    """Length of a prefix of this depth."""
+    return 2 * depth + 4
+
+
+def forest(reps: DataFrame) -> DataFrame:
+    """(rep, tree, path) rows of the texts whose first value in the tree another text shares."""
     places = F.sequence(F.lit(0), F.lit(TREES - 1))
-    labels = reps.select("rep", F.explode(F.transform(places, lambda t: F.xxhash64(
-        t, F.call_function("substring", F.col("sig"), t * (2 * DEPTH) + 1, F.lit(2 * depth)))))
-        .alias("node"))
-    # nodes of the same members in several trees are compared once
-    nodes = (labels.groupBy("node").agg(
-        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("rep")).alias("x"))
-        .filter("n > 1").groupBy("n", "x").agg(F.min("node").alias("node")).select("node"))
+
+    def path(tree: Column, depth: int) -> Column:
+        return F.call_function("substring", F.col("sig"), tree * _bytes(DEPTH) + 1, F.lit(_bytes(depth)))
+
+    labels = reps.select("rep", F.posexplode(F.transform(
+        places, lambda t: F.xxhash64(t, path(t, 1)))).alias("tree", "node"))
+    shared = written(labels.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+                     .select("node"), "forest-nodes")
     # nodes, members and families grow with the corpus: the same joins at every size
-    members = (labels.join(written(nodes, "trie-nodes").hint("merge"), "node")
-               .join(reps.hint("merge"), "rep"))
+    rows = labels.join(shared.hint("merge"), "node", "left_semi").select("rep", "tree")
+    return written(rows.join(reps.hint("merge"), "rep")
+                   .select("rep", "tree", path(F.col("tree"), DEPTH).alias("path")), "forest")
+
+
+def families(reps: DataFrame, depth: int, threshold: float, block_rows: int) -> DataFrame:
+    """(a, b) edges between texts that share a trie node and whose signatures allow the
+    threshold, in rounds from ``depth`` to 1; from the second on only with texts that have no
+    edge yet. ``reps``: rep, sig."""
+    rows, edges, compared = forest(reps), None, None
+    for d in range(depth, 0, -1):
+        level = rows.select("rep", F.xxhash64("tree", F.call_function(
+            "substring", F.col("path"), F.lit(1), F.lit(_bytes(d)))).alias("node"))
+        if edges is None:
+            level = level.withColumn("alone", F.lit(True))
+        else:
+            paired = edges.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+            level = (level.join(paired.withColumn("_paired", F.lit(True)).hint("merge"), "rep", "left")
+                     .select("rep", "node", F.col("_paired").isNull().alias("alone")))
+        # nodes of the same members in several trees, or in a round before, are compared once
+        nodes = (level.groupBy("node").agg(
+            F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("rep")).alias("x"),
+            F.max("alone").alias("alone"))
+            .filter("n > 1 AND alone").groupBy("n", "x").agg(F.min("node").alias("node")))
+        if compared is not None:
+            nodes = nodes.join(compared.hint("merge"), ["n", "x"], "left_anti")
+        nodes = written(nodes, "trie-nodes")
+        if nodes.isEmpty():
+            continue
+        members = (level.join(nodes.select("node").hint("merge"), "node")
+                   .join(reps.hint("merge"), "rep"))
+        met = written(compared_pairs(members, threshold, block_rows), "trie-edges")
+        edges = met if edges is None else edges.unionByName(met)
+        done = nodes.select("n", "x")
+        compared = done if compared is None else compared.unionByName(done)
+    if edges is None:
+        return reps.sparkSession.createDataFrame([], "a long, b long")
+    return edges
+
+
+def compared_pairs(members: DataFrame, threshold: float, block_rows: int) -> DataFrame:
+    """(a, b) edges that span the pairs under each node, one text of them alone at least, whose
+    signatures allow the threshold. ``members``: node, rep, alone, sig."""
     values = TREES * DEPTH
     least = threshold - SLACK * (threshold * (1 - threshold) / values) ** 0.5
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, group in groups(batches):
-            if group.num_rows < 2:
+            alone = group.column(5).to_numpy()
+            if group.num_rows < 2 or not alone.any():
                 continue
-            ids, sig = group.column(4).to_numpy(), _matrix(group.column(5))
+            ids, sig = group.column(4).to_numpy(), _matrix(group.column(6))
             linked = np.zeros((len(ids), len(ids)), bool)
-            for r in range(len(ids)):
+            for r in np.flatnonzero(alone):
                 linked[r] = (sig == sig[r]).mean(axis=1) >= least
-            edges = spanning(linked)
+            edges = spanning(linked | linked.T)
             if edges:
                 a, b = np.array(edges).T
                 yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])],
                                                  names=["a", "b"])
 
     dealt = block_pairs(members, "node", F.xxhash64("rep"),
-                        F.ceil(F.count(F.lit(1)) / block_rows), "large-nodes", ["rep", "sig"])
+                        F.ceil(F.count(F.lit(1)) / block_rows), "large-nodes",
+                        ["rep", "alone", "sig"])
     return dealt.mapInArrow(run, "a long, b long")
 
 

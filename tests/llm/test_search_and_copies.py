@@ -107,6 +107,16 @@ def test_matched_prefix_reaches_the_target_recall():
     assert lsh_forest.recall(0.8, depth) >= 0.999 > lsh_forest.recall(0.8, depth + 1)
 
 
+def test_isolated_pairs_that_miss_the_first_prefix_meet_at_a_shorter_one(spark, docs):
+    r = np.random.default_rng(8)
+    rows = []
+    for i in range(400):  # one word of 49 changed: 40 of 50 shingles, exactly the threshold
+        base = [f"p{i}w{k}" for k in r.permutation(49)]
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join([*base[:20], "x", *base[21:]]))]
+    got = lsh_forest.jaccard_join(docs(rows), target_recall=0.5).collect()
+    assert all(x.n_links == 1 and x.class_id == x.doc_id // 2 * 2 for x in got)
+
+
 @pytest.mark.parametrize("blocks", [(8192, 2048), (16, 3)])
 def test_bit_sliced_topk_is_exact(spark, blocks):
     r = np.random.default_rng(2)
