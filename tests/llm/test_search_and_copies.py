@@ -107,6 +107,11 @@ def test_matched_prefix_reaches_the_target_recall():
     assert lsh_forest.recall(0.8, depth) >= 0.999 > lsh_forest.recall(0.8, depth + 1)
 
 
+def test_trees_reach_depth_seven():
+    assert lsh_forest.TREES == 32 and lsh_forest.matched_depth(0.8, 0.999) == 7
+    assert lsh_forest.recall(0.8, 7) > 0.9994
+
+
 def test_isolated_pairs_that_miss_the_first_prefix_meet_at_a_shorter_one(spark, docs):
     r = np.random.default_rng(8)
     rows = []
