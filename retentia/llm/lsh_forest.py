@@ -96,14 +96,14 @@ def signature(found: np.ndarray) -> bytes:
     return (np.hstack(parts) & np.uint64(0xFFFF)).astype(">u2").tobytes()
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, n_words: int = WORDS) -> DataFrame:
     """(doc_id, text) -> (doc_id, cls, sig): the class of equal texts, null sig without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                found = [shingles(t) for t in part.column(2).to_pylist()]
+                found = [shingles(t, n_words) for t in part.column(2).to_pylist()]
                 made = [signature(f) if len(f) else None for f in found]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(made, pa.binary())],
@@ -271,7 +271,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row for each document: doc_id, n_links (other documents at the threshold or
     above), class_id (smallest doc_id that links reach), kept (it is that document)."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    signed = written(signatures(texts), "signatures")
+    signed = written(signatures(texts, n_words), "signatures")
     usable = signed.filter("doc_id IS NOT NULL AND sig IS NOT NULL")
     classes = written(usable.groupBy("cls").agg(F.min("doc_id").alias("rep"),
                                                 F.count(F.lit(1)).alias("size")), "text-classes")

@@ -122,6 +122,16 @@ def test_isolated_pairs_that_miss_the_first_prefix_meet_at_a_shorter_one(spark,
     assert all(x.n_links == 1 and x.class_id == x.doc_id // 2 * 2 for x in got)
 
 
+def test_jaccard_join_takes_candidates_by_its_own_shingles(spark, docs):
+    r = np.random.default_rng(13)
+    rows = []
+    for i in range(40):  # two words of 56 changed: 48 of 60 shingles of three words
+        base = [f"p{i}w{k}" for k in r.permutation(56)]
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join([*base[:15], "x", *base[16:40], "y", *base[41:]]))]
+    got = lsh_forest.jaccard_join(docs(rows), n_words=3).collect()
+    assert all(x.n_links == 1 and x.class_id == x.doc_id // 2 * 2 for x in got)
+
+
 @pytest.mark.parametrize("blocks", [(8192, 2048), (16, 3)])
 def test_bit_sliced_topk_is_exact(spark, blocks):
     r = np.random.default_rng(2)
