@@ -17,7 +17,8 @@ one number a text and a spanning forest, never its pairs. Equal texts are one cl
 
 Defined results: null text is empty; a text without words links with nothing; one of
 fewer words than a shingle is one shingle of all its words; repeated rows count as other
-documents; rows with a null id take no part and have a null component; columns beyond id and
+documents, and so do different texts under one id; rows with a null id take no part and
+have a null component; columns beyond id and
 text are not read.
 """
 
@@ -264,34 +265,50 @@ def verified(members: DataFrame, threshold: float, n_words: int, block_rows: int
     return dealt.mapInArrow(run, "rep long, linked long, b long")
 
 
-def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 n_words: int = WORDS, threshold: float = THRESHOLD,
-                 target_recall: float = TARGET_RECALL, block_rows: int = BLOCK_ROWS,
-                 block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """One row for each document: doc_id, n_links (other documents at the threshold or
-    above), class_id (smallest doc_id that links reach), kept (it is that document)."""
+def decided(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+            n_words: int = WORDS, threshold: float = THRESHOLD,
+            target_recall: float = TARGET_RECALL, block_rows: int = BLOCK_ROWS,
+            block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The columns of ``jaccard_join`` and cls, the md5 of the text, null where a row takes no
+    part. A class of equal texts is one node, whatever ids its rows have."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     signed = written(signatures(texts, n_words), "signatures")
     usable = signed.filter("doc_id IS NOT NULL AND sig IS NOT NULL")
-    classes = written(usable.groupBy("cls").agg(F.min("doc_id").alias("rep"),
-                                                F.count(F.lit(1)).alias("size")), "text-classes")
-    reps = written(usable.withColumnRenamed("doc_id", "rep").join(classes, ["cls", "rep"], "left_semi")
-                   .select("rep", "sig").dropDuplicates(["rep"]), "text-reps")
+    # a written number for each class: rep
+    classes = written(usable.groupBy("cls").agg(
+        F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("size"), F.min("sig").alias("sig"))
+        .withColumn("rep", F.monotonically_increasing_id()), "text-classes")
+    reps, classes = classes.select("rep", "sig"), classes.drop("sig")
     depth = matched_depth(threshold, target_recall)
     family = written(components(families(reps, depth, threshold, block_rows))
                      .toDF("rep", "family").join(classes, "rep"), "families")
-    members = (texts.select(F.col("doc_id").alias("rep"), F.md5("text").alias("cls"), "text")
-               .join(family.hint("merge"), ["rep", "cls"]).select("rep", "family", "size", "text"))
+    members = (texts.select(F.col("doc_id").alias("first"), F.md5("text").alias("cls"), "text")
+               .join(family.hint("merge"), ["first", "cls"]).select("rep", "family", "size", "text"))
     links = written(verified(members, threshold, n_words, block_rows, block_chars), "exact-links")
     counted = links.groupBy("rep").agg(F.sum("linked").alias("linked"))
-    joined = components(links.filter("rep <> b").select(F.col("rep").alias("a"), "b"))
+    joined = written(components(links.filter("rep <> b").select(F.col("rep").alias("a"), "b"))
+                     .toDF("rep", "component"), "link-components")
+    # the smallest document of a component; of its texts under that id, the one of smallest md5
+    least = (joined.join(classes, "rep").groupBy("component")
+             .agg(F.min(F.struct("first", "cls")).alias("least")))
     about = (classes.join(counted, "rep", "left")
-             .join(joined.toDF("rep", "component"), "rep", "left")
+             .join(joined.join(least, "component"), "rep", "left")
              .select("cls", (F.col("size") - 1 + F.coalesce("linked", F.lit(0))).alias("_links"),
-                     F.coalesce("component", "rep").alias("_class")))
+                     F.coalesce("least.first", "first").alias("_class"),
+                     F.coalesce("least.cls", "cls").alias("_least")))
     rows = signed.select("doc_id", F.when(F.col("sig").isNotNull() & F.col("doc_id").isNotNull(),
                                           F.col("cls")).alias("cls"))
+    own = F.coalesce(F.col("cls") == F.col("_least"), F.lit(True))
     return (rows.join(about, "cls", "left")
             .select("doc_id", F.coalesce("_links", F.lit(0)).cast("long").alias("n_links"),
-                    F.coalesce("_class", "doc_id").alias("class_id"))
-            .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False))))
+                    F.coalesce("_class", "doc_id").alias("class_id"), own.alias("_own"), "cls")
+            .select("doc_id", "n_links", "class_id", F.coalesce(
+                (F.col("doc_id") == F.col("class_id")) & F.col("_own"), F.lit(False)).alias("kept"), "cls"))
+
+
+def jaccard_join(docs: DataFrame, *args, **options) -> DataFrame:
+    """One row for each document: doc_id, n_links (other documents at the threshold or
+    above), class_id (smallest doc_id that links reach), kept (it is that document; of
+    several linked texts under that id the one with the smallest md5). Arguments as of
+    ``decided``."""
+    return decided(docs, *args, **options).drop("cls")

@@ -21,17 +21,17 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked ones stays, that with the smallest doc_id; of
-    rows repeated whole one stays. Rows with a null id stay."""
-    decided = lsh_forest.jaccard_join(docs)
-    gone = written(decided.filter(~F.col("kept") & F.col("doc_id").isNotNull())
-                   .select("doc_id").distinct(), "near-copies")
-    left = docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows repeated whole one stays. Rows go by id and text, so another text under the same id
+    stays. Rows with a null id stay."""
+    decided = lsh_forest.decided(docs)
     key = ["doc_id", "_text"]
-    keyed = left.withColumn("_text", F.md5(text_of()))
+    gone = written(decided.filter(~F.col("kept") & F.col("cls").isNotNull())
+                   .select("doc_id", F.col("cls").alias("_text")).distinct(), "near-copies")
+    keyed = docs.withColumn("_text", F.md5(text_of())).join(gone, key, "left_anti")
     again = written(keyed.filter("doc_id IS NOT NULL").groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
                     .filter("n > 1").select(*key), "repeated-rows")
     if again.isEmpty():
-        return left
+        return keyed.select(*[F.col(f"`{c}`") for c in docs.columns])
     once = keyed.join(again, key, "left_semi").dropDuplicates(key)
     return keyed.join(again, key, "left_anti").unionByName(once).select(
         *[F.col(f"`{c}`") for c in docs.columns])

@@ -132,6 +132,22 @@ def test_jaccard_join_takes_candidates_by_its_own_shingles(spark, docs):
     assert all(x.n_links == 1 and x.class_id == x.doc_id // 2 * 2 for x in got)
 
 
+def test_texts_under_a_repeated_id_are_nodes_of_their_own(spark, docs):
+    from retentia.llm import stages
+
+    base = {t: [f"{t}{k}" for k in range(60)] for t in "abc"}
+    near = {t: " ".join([*w[:30], "x", *w[31:]]) for t, w in base.items()}
+    full = {t: " ".join(w) for t, w in base.items()}
+    # 5 holds copies of two families, and one text of no family; 3 holds two texts that link
+    rows = [(1, full["a"]), (5, near["a"]), (5, full["b"]), (9, near["b"]), (5, "alone " * 3 + "here"),
+            (3, full["c"]), (3, near["c"])]
+    got = sorted((x.doc_id, x.n_links, x.class_id) for x in lsh_forest.jaccard_join(docs(rows)).collect())
+    assert got == [(1, 1, 1), (3, 1, 3), (3, 1, 3), (5, 0, 5), (5, 1, 1), (5, 1, 5), (9, 1, 5)]
+    left = {(x.doc_id, x.text) for x in stages.drop_near_copies(spark, docs(rows), "").collect()}
+    assert len(left) == 4 and left >= {(1, full["a"]), (5, full["b"]), (5, "alone " * 3 + "here")}
+    assert {i for i, _ in left} == {1, 3, 5}
+
+
 @pytest.mark.parametrize("blocks", [(8192, 2048), (16, 3)])
 def test_bit_sliced_topk_is_exact(spark, blocks):
     r = np.random.default_rng(2)
