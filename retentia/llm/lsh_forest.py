@@ -178,6 +178,21 @@ def families(reps: DataFrame, depth: int, threshold: float, block_rows: int) ->
     return edges
 
 
+def agreeing(sig: np.ndarray, rows: np.ndarray, least: float) -> np.ndarray:
+    """For each of ``rows`` the signatures that agree with it in a share of at least ``least``.
+    The first half of the values leaves out those that the second could not make up for."""
+    n, values = sig.shape
+    half = values // 2
+    columns = np.ascontiguousarray(sig.T)
+    linked = np.zeros((n, n), bool)
+    for r in rows:
+        same = (columns[:half] == columns[:half, r, None]).view(np.uint8).sum(axis=0, dtype=np.uint8)
+        near = np.flatnonzero(same >= least * values - (values - half))
+        rest = np.count_nonzero(sig[near, half:] == sig[r, half:], axis=1)
+        linked[r, near] = same[near] + rest >= least * values
+    return linked
+
+
 def compared_pairs(members: DataFrame, threshold: float, block_rows: int) -> DataFrame:
     """(a, b) edges that span the pairs under each node, one text of them alone at least, whose
     signatures allow the threshold. ``members``: node, rep, alone, sig."""
@@ -190,9 +205,7 @@ def compared_pairs(members: DataFrame, threshold: float, block_rows: int) -> Dat
             if group.num_rows < 2 or not alone.any():
                 continue
             ids, sig = group.column(4).to_numpy(), _matrix(group.column(6))
-            linked = np.zeros((len(ids), len(ids)), bool)
-            for r in np.flatnonzero(alone):
-                linked[r] = (sig == sig[r]).mean(axis=1) >= least
+            linked = agreeing(sig, np.flatnonzero(alone), least)
             edges = spanning(linked | linked.T)
             if edges:
                 a, b = np.array(edges).T

@@ -122,6 +122,19 @@ def test_isolated_pairs_that_miss_the_first_prefix_meet_at_a_shorter_one(spark,
     assert all(x.n_links == 1 and x.class_id == x.doc_id // 2 * 2 for x in got)
 
 
+def test_agreeing_signatures_equal_the_plain_comparison():
+    r = np.random.default_rng(4)
+    sig = r.integers(0, 60000, (300, 256)).astype(np.uint16)
+    for i in range(1, 200):
+        at = r.random(256) < r.uniform(0.5, 1)
+        sig[i, at] = sig[i // 3, at]
+    rows = np.arange(0, 300, 2)
+    want = np.zeros((300, 300), bool)
+    for i in rows:
+        want[i] = (sig == sig[i]).mean(axis=1) >= 0.7
+    assert (lsh_forest.agreeing(sig, rows, 0.7) == want).all() and want.sum() > 200
+
+
 def test_jaccard_join_takes_candidates_by_its_own_shingles(spark, docs):
     r = np.random.default_rng(13)
     rows = []
