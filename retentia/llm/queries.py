@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from retentia.llm import (
     byte_bpe,
     chat,
     lsh_forest,
+    merkle,
     mixing,
     packing,
     pii,
@@ -101,10 +104,22 @@ def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumnRenamed("key", "doc_id"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf and proof; a third of them is tampered with and then verified."""
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, lowered)
+    made = merkle.manifest(table(spark, sf_dir, "documents"), tampered)
+    folded = merkle.fold(F.coalesce("altered", "leaf"), F.col("proof"))
+    return made.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root",
+        F.sha2(merkle.siblings(F.col("proof")), 256).alias("proof_sha256"),
+        folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_chat_formatting, op2_contextual_pii, op3_pivot_permutation, op4_lsh_forest_join,
     op5_toxicity_mil, op6_bit_sliced_topk, op7_systematic_mix, op8_quality_mil, op9_byte_bpe,
-    op10_packed_ids)}
+    op10_packed_ids, op13_merkle_manifest)}
 
 _OP1_SQL = r"""
 WITH turns AS (
