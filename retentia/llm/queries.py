@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retentia.llm import (
+    automaton,
     bitslices,
     byte_bpe,
     chat,
@@ -21,6 +22,7 @@ from retentia.llm import (
     quality,
     toxicity,
     training,
+    whitening,
 )
 from retentia.llm.common import partitions, shared_path, table, text_of
 
@@ -104,6 +106,19 @@ def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumnRenamed("key", "doc_id"))
 
 
+def op11_merge_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    definition = automaton.share_definition(spark, public_tokenizers.path("word_bpe_49k.json"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = automaton.encode(docs, definition, decoded_col="decoded")
+    return made.select("doc_id", (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
+                       F.sha2("token_ids", 256).alias("ids_sha256"),
+                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op12_golub_kahan_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's leaf and proof; a third of them is tampered with and then verified."""
     lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
@@ -119,7 +134,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_chat_formatting, op2_contextual_pii, op3_pivot_permutation, op4_lsh_forest_join,
     op5_toxicity_mil, op6_bit_sliced_topk, op7_systematic_mix, op8_quality_mil, op9_byte_bpe,
-    op10_packed_ids, op13_merkle_manifest)}
+    op10_packed_ids, op11_merge_automaton, op12_golub_kahan_whitening, op13_merkle_manifest)}
 
 _OP1_SQL = r"""
 WITH turns AS (
