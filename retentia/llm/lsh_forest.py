@@ -2,23 +2,28 @@
 
 A text's five-word shingles (lower case, words between white space) get a MinHash
 signature of TREES x DEPTH values. Each tree is a prefix trie over its DEPTH values in
-order: texts under one node share a prefix. The forest holds the rows of those texts whose
-first value another text shares; every deeper node lies among them. Rounds compare the
-texts under the nodes of one depth by their signatures; pairs that may reach the threshold
-connect texts into families. The first round takes the longest prefix with which a pair
-at the threshold meets in some tree with the target recall: at a longer one no text can have
-reached it, and pairs that share more share this as well. A text that has found a partner
-then is at the target; each text without one is passed on to the next shorter prefix,
-where it meets all texts, down to depth 1.
+order: texts under one node share a prefix. Texts under one node are compared by their
+signatures; pairs that may reach the threshold connect texts into families.
+
+The first round takes the longest prefix with which a pair at the threshold meets in some tree
+with the target recall. A text that has found a partner then is at the target; each text without one
+is passed on to the next shorter prefix, where it meets all texts, until a pair at the threshold
+would have been missed with a chance below MISSED (5e-8 at the fourth value).
+
+Large groups of near copies are met once, not under each of their nodes. The first round begins
+with FIRST_TREES trees, whose large nodes are compared in blocks that share one text. Families of
+BIG texts or more that this connects leave the forest as texts and stay as classes: another
+text or class that shares a node with such a class is compared with its members once,
+whatever the number of nodes they share.
 
 Families are then verified exactly, by shingle sets: all pairs inside a family, in
 blocks, so that every link is counted and a family of thousands of near copies emits
 one number a text and a spanning forest, never its pairs. Equal texts are one class.
 
 Defined results: null text is empty; a text without words links with nothing; one of
-fewer words than a shingle is one shingle of all its words; repeated rows count as other
-documents, and so do different texts under one id; rows with a null id take no part and
-have a null component; columns beyond id and
+fewer words than a shingle is one shingle of all its words; very long texts are read whole;
+repeated rows count as other documents, and so do different texts under one id; rows with a null
+id take no part and have a null component; an empty table has no rows; columns beyond id and
 text are not read.
 """
 
@@ -39,7 +44,11 @@ TREES, DEPTH, TARGET_RECALL = 32, 8, 0.999
 # Pairs whose signatures agree in less than this share are not a family: four standard
 # errors of the estimate below the threshold.
 SLACK = 4.0
-BLOCK_ROWS, BLOCK_CHARS = 1000, 4_000_000
+BLOCK_ROWS, BLOCK_CHARS = 1500, 4_000_000
+# Isolated texts go on to shorter prefixes until a pair at the threshold is missed with this chance.
+MISSED = 1e-6
+# Trees of the first pass, texts of its blocks, and texts that make a family a class of its own.
+FIRST_TREES, FIRST_ROWS, BIG = 8, 256, 256
 
 _RANDOM = np.random.default_rng(20240611)
 _PLACES = _RANDOM.integers(1, 1 << 62, 64, dtype=np.uint64) | np.uint64(1)
@@ -87,14 +96,15 @@ def shingles(text: str, n_words: int = WORDS) -> np.ndarray:
 
 def signature(found: np.ndarray) -> bytes:
     """TREES x DEPTH MinHash values, tree by tree: 48 bits of a tree's first value, so that
-    chance meetings at depth 1 stay rare in large corpora, and 16 of each other."""
+    chance meetings at its first values stay rare in large corpora, and 8 of each other."""
     low = np.full(TREES * DEPTH, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(found), 2048):
         hashed = np.multiply.outer(_FACTORS, found[at:at + 2048]) + _TERMS[:, None]
         np.minimum(low, hashed.min(axis=1), out=low)
     values = low.reshape(TREES, DEPTH)
-    parts = [values[:, :1] >> np.uint64(48), values[:, :1] >> np.uint64(32), values >> np.uint64(16)]
-    return (np.hstack(parts) & np.uint64(0xFFFF)).astype(">u2").tobytes()
+    shifts = np.arange(56, 8, -8, dtype=np.uint64)
+    parts = [values[:, :1] >> shifts, values[:, 1:] >> np.uint64(16)]
+    return (np.hstack(parts) & np.uint64(0xFF)).astype(np.uint8).tobytes()
 
 
 def signatures(docs: DataFrame, n_words: int = WORDS) -> DataFrame:
@@ -114,27 +124,31 @@ def signatures(docs: DataFrame, n_words: int = WORDS) -> DataFrame:
             .mapInArrow(run, "doc_id long, cls string, sig binary"))
 
 
-def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    """The low 16 bits of all values, a row for each signature."""
-    rows = column.to_pylist()
-    parts = np.frombuffer(b"".join(rows), ">u2").astype(np.uint16)
-    return parts.reshape(len(rows), TREES, DEPTH + 2)[:, :, 2:].reshape(len(rows), -1)
-
-
 def _bytes(depth: int) -> int:
     """Length of a prefix of this depth."""
-    return 2 * depth + 4
+    return depth + 5
+
+
+def low_bytes(sig: Column) -> Column:
+    """Eight bits of every value of a signature."""
+    return F.concat(*[F.substring(sig, t * _bytes(DEPTH) + 6, DEPTH) for t in range(TREES)])
 
 
-def forest(reps: DataFrame) -> DataFrame:
-    """(rep, tree, path) rows of the texts whose first value in the tree another text shares."""
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    """The values of ``low_bytes``, a row for each signature."""
+    rows = column.to_pylist()
+    return np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1)
+
+
+def forest(reps: DataFrame, shortest: int) -> DataFrame:
+    """(rep, tree, path) rows of the texts that share a node of depth ``shortest`` in the tree."""
     places = F.sequence(F.lit(0), F.lit(TREES - 1))
 
     def path(tree: Column, depth: int) -> Column:
         return F.call_function("substring", F.col("sig"), tree * _bytes(DEPTH) + 1, F.lit(_bytes(depth)))
 
     labels = reps.select("rep", F.posexplode(F.transform(
-        places, lambda t: F.xxhash64(t, path(t, 1)))).alias("tree", "node"))
+        places, lambda t: F.xxhash64(t, path(t, shortest)))).alias("tree", "node"))
     shared = written(labels.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
                      .select("node"), "forest-nodes")
     # nodes, members and families grow with the corpus: the same joins at every size
@@ -143,38 +157,146 @@ def forest(reps: DataFrame) -> DataFrame:
                    .select("rep", "tree", path(F.col("tree"), DEPTH).alias("path")), "forest")
 
 
+def _level(rows: DataFrame, depth: int) -> DataFrame:
+    """The node of a depth that each forest row lies under."""
+    prefix = F.call_function("substring", F.col("path"), F.lit(1), F.lit(_bytes(depth)))
+    return rows.withColumn("node", F.xxhash64("tree", prefix)).drop("path", "tree")
+
+
+def _nodes(level: DataFrame) -> DataFrame:
+    """(node, n, lead) of the nodes with an asking text and another; of those with the same members
+    in several trees one. ``level``: rep, node, asks."""
+    return (level.groupBy("node").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.max("asks").alias("asked"),
+        F.min("rep").alias("lead"))
+        .filter("n > 1 AND asked").groupBy("n", "x", "lead").agg(F.min("node").alias("node"))
+        .select("node", "n", "lead"))
+
+
+def first_families(level: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
+    """(a, b) edges under the nodes of some trees. A node of more than FIRST_ROWS texts is compared in
+    blocks, each of which holds its first text."""
+    nodes = written(_nodes(level.withColumn("asks", F.lit(True))), "first-nodes")
+    blocks = F.ceil(F.col("n") / FIRST_ROWS).cast("int")
+    own = F.array(F.pmod(F.xxhash64("rep", "node"), blocks).cast("int"))
+    every = F.sequence(F.lit(0), blocks - 1)
+    dealt = (level.join(nodes.hint("merge"), "node")
+             .select("node", F.explode(F.when(F.col("rep") == F.col("lead"), every).otherwise(own)).alias("i"),
+                     "rep").join(sigs.hint("merge"), "rep")
+             .select("node", "i", F.col("i").alias("j"), "i", "rep", F.lit(True).alias("asks"), "low"))
+    return _compared(dealt.toDF("key", "i", "j", "own", "rep", "asks", "low")
+                     .repartition("key", "i").sortWithinPartitions("key", "i"), least)
+
+
+def text_pairs(level: DataFrame, sigs: DataFrame, least: float, block_rows: int) -> DataFrame:
+    """(a, b) edges that span the pairs under each node of which a text at least asks."""
+    nodes = written(_nodes(level), "trie-nodes")
+    members = (level.join(nodes.select("node").hint("merge"), "node").join(sigs.hint("merge"), "rep"))
+    return _compared(block_pairs(members, "node", F.xxhash64("rep"), F.ceil(F.count(F.lit(1)) / block_rows),
+                                 "large-nodes", ["rep", "asks", "low"]), least)
+
+
+def _compared(dealt: DataFrame, least: float) -> DataFrame:
+    """(a, b) edges inside the groups of ``dealt``: key, i, j, own, rep, asks, low."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, group in groups(batches):
+            asks = group.column(5).to_numpy()
+            if group.num_rows < 2 or not asks.any():
+                continue
+            ids, sig = group.column(4).to_numpy(), _matrix(group.column(6))
+            linked = agreeing(sig, np.flatnonzero(asks), least)
+            edges = spanning(linked | linked.T)
+            if edges:
+                a, b = np.array(edges).T
+                yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])],
+                                                 names=["a", "b"])
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def class_pairs(asked: DataFrame, settled: DataFrame, sigs: DataFrame, least: float, block_rows: int
+                ) -> DataFrame:
+    """(a, b) edges from texts to a member of the class that each is compared with. ``asked``: rep,
+    family; ``settled``: rep, family."""
+    def sized(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias(name))
+
+    sizes = written(sized(asked, "n_asks").join(sized(settled, "n_members"), "family"), "class-sizes")
+
+    def dealt(rows: DataFrame, own: str, others: str, asks: bool) -> DataFrame:
+        block = F.pmod(F.xxhash64("rep"), F.col(f"n_{own}")).cast("int")
+        each = F.explode(F.sequence(F.lit(0), F.col(f"n_{others}") - 1))
+        made = rows.join(sizes, "family").select("family", "rep", block.alias("_own"), each.alias("_other"))
+        i, j = ("_own", "_other") if asks else ("_other", "_own")
+        return (made.join(sigs.hint("merge"), "rep")
+                .select("family", F.col(i).alias("i"), F.col(j).alias("j"), F.lit(asks).alias("asks"), "rep", "low"))
+
+    both = dealt(asked, "asks", "members", True).unionByName(dealt(settled, "members", "asks", False))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, group in groups(batches):
+            asks, ids, sig = (group.column(3).to_numpy(), group.column(4).to_numpy(), _matrix(group.column(5)))
+            mine, others = np.flatnonzero(asks), np.flatnonzero(~asks)
+            if not len(mine) or not len(others):
+                continue
+            columns = np.ascontiguousarray(sig[others].T)
+            found = []
+            for r in mine:
+                same = (columns == sig[r][:, None]).sum(axis=0)
+                best = int(same.argmax())
+                if same[best] >= least * len(columns) and ids[r] != ids[others[best]]:
+                    found.append((ids[r], ids[others[best]]))
+            if found:
+                a, b = np.array(found).T
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return (both.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j")
+            .mapInArrow(run, "a long, b long"))
+
+
 def families(reps: DataFrame, depth: int, threshold: float, block_rows: int) -> DataFrame:
     """(a, b) edges between texts that share a trie node and whose signatures allow the
-    threshold, in rounds from ``depth`` to 1; from the second on only with texts that have no
-    edge yet. ``reps``: rep, sig."""
-    rows, edges, compared = forest(reps), None, None
-    for d in range(depth, 0, -1):
-        level = rows.select("rep", F.xxhash64("tree", F.call_function(
-            "substring", F.col("path"), F.lit(1), F.lit(_bytes(d)))).alias("node"))
-        if edges is None:
-            level = level.withColumn("alone", F.lit(True))
+    threshold, in rounds from ``depth`` on; after the first only from texts that have no edge yet.
+    ``reps``: rep, sig."""
+    shortest = depth
+    while shortest > 1 and 1 - recall(threshold, shortest) > MISSED:
+        shortest -= 1
+    values = TREES * DEPTH
+    least = threshold - SLACK * (threshold * (1 - threshold) / values) ** 0.5
+    rows = forest(reps, shortest)
+    sigs = written(reps.join(rows.select("rep").distinct(), "rep", "left_semi")
+                   .select("rep", low_bytes(F.col("sig")).alias("low")), "low-signatures")
+    first = _level(rows.filter(F.col("tree") < FIRST_TREES), depth)
+    edges = written(first_families(first, sigs, least), "first-edges")
+    found = written(components(edges).toDF("rep", "family"), "first-families")
+    large = found.groupBy("family").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= BIG).select("family")
+    settled = written(found.join(large, "family").select("rep", "family"), "settled")
+    rows = written(rows.join(settled.hint("merge"), "rep", "left"), "forest-classes")
+    asked = None
+    for d in range(depth, shortest - 1, -1):
+        if d == depth:
+            level = _level(rows, d).withColumn("asks", F.lit(True))
         else:
             paired = edges.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-            level = (level.join(paired.withColumn("_paired", F.lit(True)).hint("merge"), "rep", "left")
-                     .select("rep", "node", F.col("_paired").isNull().alias("alone")))
-        # nodes of the same members in several trees, or in a round before, are compared once
-        nodes = (level.groupBy("node").agg(
-            F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("rep")).alias("x"),
-            F.max("alone").alias("alone"))
-            .filter("n > 1 AND alone").groupBy("n", "x").agg(F.min("node").alias("node")))
-        if compared is not None:
-            nodes = nodes.join(compared.hint("merge"), ["n", "x"], "left_anti")
-        nodes = written(nodes, "trie-nodes")
-        if nodes.isEmpty():
-            continue
-        members = (level.join(nodes.select("node").hint("merge"), "node")
-                   .join(reps.hint("merge"), "rep"))
-        met = written(compared_pairs(members, threshold, block_rows), "trie-edges")
-        edges = met if edges is None else edges.unionByName(met)
-        done = nodes.select("n", "x")
-        compared = done if compared is None else compared.unionByName(done)
-    if edges is None:
-        return reps.sparkSession.createDataFrame([], "a long, b long")
+            level = _level(rows, d).join(paired.withColumn("_paired", F.lit(True)).hint("merge"), "rep", "left")
+            level = level.withColumn("asks", F.col("_paired").isNull()).drop("_paired")
+        texts = level.filter("family IS NULL").drop("family")
+        made = written(text_pairs(texts, sigs, least, block_rows), "trie-edges")
+        # a class under a node is one row
+        classes = level.filter("family IS NOT NULL").select("node", "family").distinct()
+        meets = (texts.filter("asks").join(classes.hint("merge"), "node").select("rep", "family").distinct())
+        if d == depth:
+            other = classes.toDF("node", "_other")
+            pairs = classes.join(other.hint("merge"), "node").filter("family < _other").select("family", "_other").distinct()
+            meets = meets.unionByName(settled.join(pairs, "family").select("rep", F.col("_other").alias("family")))
+        if asked is not None:
+            meets = meets.join(asked.hint("merge"), ["rep", "family"], "left_anti")
+        meets = written(meets, "class-meetings")
+        asked = meets if asked is None else asked.unionByName(meets)
+        edges = edges.unionByName(made)
+        if not meets.isEmpty():
+            edges = edges.unionByName(written(class_pairs(meets, settled, sigs, least, block_rows), "class-edges"))
     return edges
 
 
@@ -193,31 +315,6 @@ def agreeing(sig: np.ndarray, rows: np.ndarray, least: float) -> np.ndarray:
     return linked
 
 
-def compared_pairs(members: DataFrame, threshold: float, block_rows: int) -> DataFrame:
-    """(a, b) edges that span the pairs under each node, one text of them alone at least, whose
-    signatures allow the threshold. ``members``: node, rep, alone, sig."""
-    values = TREES * DEPTH
-    least = threshold - SLACK * (threshold * (1 - threshold) / values) ** 0.5
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, group in groups(batches):
-            alone = group.column(5).to_numpy()
-            if group.num_rows < 2 or not alone.any():
-                continue
-            ids, sig = group.column(4).to_numpy(), _matrix(group.column(6))
-            linked = agreeing(sig, np.flatnonzero(alone), least)
-            edges = spanning(linked | linked.T)
-            if edges:
-                a, b = np.array(edges).T
-                yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])],
-                                                 names=["a", "b"])
-
-    dealt = block_pairs(members, "node", F.xxhash64("rep"),
-                        F.ceil(F.count(F.lit(1)) / block_rows), "large-nodes",
-                        ["rep", "alone", "sig"])
-    return dealt.mapInArrow(run, "a long, b long")
-
-
 def intersections(sets: list[np.ndarray]) -> np.ndarray:
     """Sizes of all pairs' intersections: a sum of products of 0/1 columns over those
     shingles that more than one set has."""
@@ -231,7 +328,7 @@ def intersections(sets: list[np.ndarray]) -> np.ndarray:
     owner, column = owner[column >= 0], column[column >= 0]
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
-    total = np.zeros((n, n))
+    total = np.zeros((n, n), np.float32)  # sizes of intersections, far below 2 ** 24
     width = max(1, 4_000_000 // n)
     for at in range(0, len(shared), width):
         a, b = np.searchsorted(column, [at, at + width])
