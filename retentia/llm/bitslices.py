@@ -12,15 +12,20 @@ their integers.
 Queries meet the index in blocks: a block of rows and a part of the queries make one
 group, each emits at most k rows a query, and these are ranked per query.
 
-Defined results: rows with a null id, a null vector, null or non-finite components, or a
-component of 2**28 or more in size after scaling take no part; shorter vectors count as
+Integers that 64-bit sums could not hold (from 2**28 on at 64 dimensions) do not go into slices: such a
+vector is kept as doubles, meets the same blocks, and its scores are whole numbers of any size.
+
+Defined results: rows with a null id, a null vector, or null or non-finite components take no part;
+shorter vectors count as
 padded with zeros; repeated rows are separate candidates, of a repeated query id the row
-with the smallest vector asks; ties go to the smaller id; fewer candidates than k give all; an
+with the smallest vector asks; ties go to the smaller id; fewer candidates than k give all; a score
+beyond long is given as the nearest long, and ranked by its own size; an
 empty table gives no rows; columns beyond id and vector are not read.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,15 +34,42 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SCALE = 256
-LIMIT = 1 << 28
 BLOCK_ROWS, PART_QUERIES, DROP_BITS = 8192, 2048, 2
+_LONG = (1 << 63) - 1
+
+
+def taking_part(vector: Column) -> Column:
+    """The components as doubles, null if one is null or not finite."""
+    whole = F.forall(vector, lambda x: F.coalesce(
+        ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")), F.lit(False)))
+    return F.when(whole, F.transform(vector, lambda x: x.cast("double")))
+
+
+def limit(width: int) -> int:
+    """Integers below this in size have inner products below 2**62."""
+    return 1 << (62 - max(1, width - 1).bit_length()) // 2
 
 
-def quantised(vector: Column) -> Column:
-    """floor(SCALE * x) of each component, null if the vector takes no part."""
-    scaled = F.transform(vector, lambda x: x.cast("double") * SCALE)
-    fits = F.forall(scaled, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < LIMIT), F.lit(False)))
-    return F.when(fits, F.transform(scaled, lambda x: F.floor(x).cast("long")))
+def quantised(vector: Column, below: int) -> Column:
+    """floor(SCALE * x) of each component, null unless all are smaller than ``below``."""
+    scaled = F.transform(vector, lambda x: x * SCALE)
+    return F.when(F.forall(scaled, lambda x: F.abs(x) < below - 1),
+                  F.transform(scaled, lambda x: F.floor(x).cast("long")))
+
+
+def whole_numbers(vector: list[float]) -> list[int]:
+    """floor(SCALE * x) without a bound. A double times a power of two is exact."""
+    return [math.floor(x * SCALE) if abs(x) < 1e300 else int(x) * SCALE for x in vector]
+
+
+def sortable(score: int) -> str | None:
+    """Text that sorts as the score among scores that long cannot hold, null for others."""
+    if abs(score) < _LONG:
+        return None
+    digits = str(abs(score))
+    if score < 0:
+        return f"0{9999 - len(digits):04d}" + "".join(str(9 - int(d)) for d in digits)
+    return f"1{len(digits):04d}{digits}"
 
 
 class BitSlicedBlock:
@@ -140,10 +172,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
           part_queries: int = PART_QUERIES, drop_bits: int = DROP_BITS) -> DataFrame:
     """query_id, rank, vec_id, score: the k best rows of every query. ``is_query`` is a
     condition on the id column."""
-    rows = (vectors.select(F.col(id_col).cast("long").alias("id"), is_query.alias("asks"),
-                           quantised(F.col(vector_col)).alias("q"))
-            .filter("id IS NOT NULL AND q IS NOT NULL"))
-    n, n_queries, width = rows.agg(F.count(F.lit(1)), F.count_if("asks"), F.max(F.size("q"))).first()
+    taking = (vectors.select(F.col(id_col).cast("long").alias("id"), is_query.alias("asks"),
+                             taking_part(F.col(vector_col)).alias("x")).filter("id IS NOT NULL AND x IS NOT NULL"))
+    n, n_queries, width = taking.agg(F.count(F.lit(1)), F.count_if("asks"), F.max(F.size("x"))).first()
+    rows = (taking.withColumn("q", quantised(F.col("x"), limit(width or 1)))
+            .withColumn("x", F.when(F.col("q").isNull(), F.col("x"))))
     blocks, parts = max(1, -(-n // block_rows)), max(1, -(-n_queries // part_queries))
 
     def dealt(count: int) -> Column:
@@ -152,43 +185,72 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     def each(count: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
 
-    queries = rows.filter("asks").groupBy("id").agg(F.min("q").alias("q"))
+    smallest = F.min(F.struct(F.coalesce("x", F.transform("q", lambda v: v / SCALE)).alias("by"), "q", "x"))
+    queries = rows.filter("asks").groupBy("id").agg(smallest.alias("v")).select("id", "v.q", "v.x")
     index = rows.select(dealt(blocks).alias("block"), each(parts).alias("part"),
-                        F.lit(0).alias("kind"), "id", "q")
+                        F.lit(0).alias("kind"), "id", "q", "x")
     asked = queries.select(each(blocks).alias("block"), dealt(parts).alias("part"),
-                           F.lit(1).alias("kind"), "id", "q")
+                           F.lit(1).alias("kind"), "id", "q", "x")
     met = (index.unionByName(asked).repartition("block", "part")
            .sortWithinPartitions("block", "part", "kind", "id"))
 
+    def merged(query_id: int, query: list[int], block, wide: list, near: tuple) -> tuple:
+        """The k best of ``near`` and the wide rows, by whole numbers; for a wide query, whose
+        ``near`` is None, of all rows."""
+        found = [] if near is None else [(-int(s), int(i)) for i, s in zip(*near, strict=True)]
+        if near is None and block is not None:
+            asked = np.array(query, object)
+            scores = block.values[:, :len(query)].astype(object) @ asked
+            found += [(-s, i) for i, s in zip(block.ids.tolist(), scores.tolist(), strict=True) if i != query_id]
+        found += [(-sum(a * b for a, b in zip(query, v, strict=False)), i) for i, v in wide if i != query_id]
+        best = sorted(found)[:k]
+        return [i for _, i in best], [-s for s, _ in best]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, ids, values, block = None, [], [], None
+        at, ids, values, wide, block = None, [], [], [], None
         for batch in batches:
             keys = [batch.column(i).to_numpy() for i in range(4)]
             matrix = _matrix(batch.column(4), width or 0)
+            large = batch.column(5).is_valid().to_numpy(zero_copy_only=False)
             found: list[tuple] = []
             change = np.flatnonzero(np.diff(keys[0]) | np.diff(keys[1]) | np.diff(keys[2])) + 1
             for a, b in zip([0, *change], [*change, batch.num_rows], strict=True):
                 if a == b:
                     continue
                 if at != (keys[0][a], keys[1][a]):
-                    at, ids, values, block = (keys[0][a], keys[1][a]), [], [], None
+                    at, ids, values, wide, block = (keys[0][a], keys[1][a]), [], [], [], None
                 if keys[2][a] == 0:
-                    ids.append(keys[3][a:b])
-                    values.append(matrix[a:b])
+                    plain = a + np.flatnonzero(~large[a:b])
+                    ids.append(keys[3][plain])
+                    values.append(matrix[plain])
+                    wide += [(int(keys[3][r]), whole_numbers(batch.column(5)[r].as_py()))
+                             for r in (a + np.flatnonzero(large[a:b])).tolist()]
                     continue
-                if block is None and ids:
+                if block is None and sum(map(len, ids)):
                     block = BitSlicedBlock(np.concatenate(ids), np.concatenate(values), drop_bits)
                     ids, values = [], []
                 for r in range(a, b):
-                    if block is not None:
-                        best, scores = block.top(int(keys[3][r]), matrix[r], k)
-                        found.append((np.full(len(best), keys[3][r]), best, scores))
+                    query_id = int(keys[3][r])
+                    if large[r]:
+                        query, near = whole_numbers(batch.column(5)[r].as_py()), None
+                    else:
+                        query, near = matrix[r], ([], [])
+                        if block is not None:
+                            near = block.top(query_id, query, k)
+                    if wide or large[r]:
+                        near = merged(query_id, list(map(int, query)), block, wide, near)
+                    found.append((query_id, *near))
             if found:
+                best = [i for _, rows, _ in found for i in rows]
+                scores = [int(s) for _, _, some in found for s in some]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x)) for x in zip(*found, strict=True)],
-                    names=["query_id", "vec_id", "score"])
+                    [pa.array([q for q, rows, _ in found for _ in rows], pa.int64()), pa.array(best, pa.int64()),
+                     pa.array([max(-_LONG, min(_LONG, s)) for s in scores], pa.int64()),
+                     pa.array([sortable(s) for s in scores], pa.string())],
+                    names=["query_id", "vec_id", "score", "beyond"])
 
-    best = met.mapInArrow(run, "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    best = met.mapInArrow(run, "query_id long, vec_id long, score long, beyond string")
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(
+        F.desc("score"), F.desc_nulls_last("beyond"), "vec_id"))
     return best.withColumn("rank", rank).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
