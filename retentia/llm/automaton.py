@@ -146,6 +146,8 @@ class Coder:
             if model.get(name) not in plain:
                 raise ValueError(f"the automaton has no form for {name} = {model.get(name)!r}")
         self.splitter = Splitter(definition)
+        if not self.splitter.raw:
+            raise ValueError("the automaton has no form for added tokens that are not matched as they stand")
         self.suffix = model.get("end_of_word_suffix") or ""
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.automaton = Automaton(model["vocab"], merges)
@@ -202,11 +204,14 @@ def _coder(definition: Broadcast) -> Coder:
 
 def _mapped(df: DataFrame, source: str, outputs: dict[str, T.DataType], make) -> DataFrame:
     """``df`` with columns computed from the column ``source``; ``make()`` gives the function."""
-    keep = [c for c in df.columns if c not in outputs]
-    schema = T.StructType([*df.select(*[f"`{c}`" for c in keep]).schema,
-                           *[T.StructField(c, t, True) for c, t in outputs.items()]])
+    keep = [i for i, c in enumerate(df.columns) if c not in outputs]
+    at = df.columns.index(source)
+    numbered = df.toDF(*[f"c{i}" for i in range(len(df.columns))])  # any name, also with dots
+    names = [f"c{i}" for i in keep] + [f"made{i}" for i in range(len(outputs))]
+    kept = [T.StructField(f"c{i}", df.schema[i].dataType, True) for i in keep]
+    schema = T.StructType([*kept, *[T.StructField(n, t, True) for n, t in zip(
+        names[len(keep):], outputs.values(), strict=True)]])
     kinds = [pa.binary() if isinstance(t, T.BinaryType) else pa.string() for t in outputs.values()]
-    places, at = [df.columns.index(c) for c in keep], df.columns.index(source)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = make()
@@ -215,11 +220,10 @@ def _mapped(df: DataFrame, source: str, outputs: dict[str, T.DataType], make) ->
                 part = batch.slice(begin, 250)
                 rows = [one(x) for x in part.column(at).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [*[part.column(i) for i in places],
-                     *[pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]],
-                    names=[*keep, *outputs])
+                    [*[part.column(i) for i in keep],
+                     *[pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]], names=names)
 
-    return df.mapInArrow(run, schema)
+    return numbered.mapInArrow(run, schema).toDF(*[df.columns[i] for i in keep], *outputs)
 
 
 def encode(df: DataFrame, definition: Broadcast, text_col: str = "text", output_col: str = "token_ids",

@@ -18,7 +18,8 @@ Tasks write under a name of their own and then rename, so a task that is run aga
 all executors see; paths go through ``pyarrow.fs``, which opens local, HDFS and
 object-store addresses.
 
-Defined results: a null text has no ids of its own, only the end id; null keys sort
+Defined results: a null text has no ids of its own, only the end id; very long texts are encoded whole;
+the strings of added tokens in a text are those tokens; null keys sort
 first; repeated keys stay separate documents, ordered by their ids' bytes; an empty
 table writes no files and reads back no rows; extra columns are not stored.
 """
@@ -40,6 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retentia.llm.common import partitions
+from retentia.llm.word_split import Splitter
 
 BLOCK_IDS = 4096
 MAGIC = b"TIDP"
@@ -129,57 +131,42 @@ class PackedReader:
 
 # ---- encoding --------------------------------------------------------------------
 
-# The pre-token pattern of the vocabulary as it reads for lower-case text
-# of the characters in _PLAIN: printable ASCII, blanks, line ends and Latin-1 letters.
-_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \na-z0-9ß-öø-ÿ]+")
-_PLAIN = re.compile(r"[ \n!-~À-ÖØ-öø-ÿ]*")
-
-
-def byte_letters() -> dict[int, str]:
-    """The byte alphabet of byte-level BPE: printable bytes stand for themselves, the
-    others for the characters from 256 on, in order."""
-    kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in kept]
-    return {b: chr(b) for b in kept} | {b: chr(256 + i) for i, b in enumerate(rest)}
-
-
 class WordEncoder(dict):
-    """Ids of lower-case words as uint32 bytes, kept per worker.
+    """Ids of plain lower-case words as uint32 bytes, kept per worker.
 
     Merges never cross pre-tokens, so a word's ids are those of its pre-tokens; each
-    distinct one goes through the library's merges once. Words with characters outside
-    _PLAIN go through the whole library (normalisation included). White space is dropped
-    by the vocabulary, so cutting there changes nothing."""
+    distinct one goes through the library's merges once. Other words, and every text of a
+    definition whose rules ``word_split`` does not know, go through the whole library. The
+    strings of added tokens are those tokens, as the library has it."""
 
     def __init__(self, definition: str) -> None:
         super().__init__()
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_str(definition)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.splitter = Splitter(definition)
+        self.library = self.splitter.library
         self.merges = self.library.model.tokenize
-        self.letters = byte_letters()
 
     def __missing__(self, word: str) -> bytes:
-        pieces = _PIECES.findall(word)
-        if len(pieces) == 1:
-            letters = word if word.isascii() else "".join(
-                map(self.letters.__getitem__, word.encode()))
-            made = array("I", [t.id for t in self.merges(letters)]).tobytes()
-        else:
-            made = b"".join(map(self.__getitem__, pieces))
+        made = array("I", [t.id for piece in self.splitter.pieces(True, word)
+                           for t in self.merges(piece)]).tobytes()
         if len(word) <= 32 and len(self) < CACHE_WORDS:
             self[word] = made
         return made
 
+    def whole(self, text: str) -> bytes:
+        return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+
     def text(self, text: str) -> bytes:
-        """A text's ids. White-space runs leave empty words, which have none."""
-        if _PLAIN.fullmatch(text):
-            return b"".join(map(self.__getitem__, text.lower().replace("\n", " ").split(" ")))
-        return b"".join([
-            self[word.lower()] if _PLAIN.fullmatch(word) else array(
-                "I", self.library.encode(word, add_special_tokens=False).ids).tobytes()
-            for word in text.replace("\n", " ").split(" ")])
+        """A text's ids."""
+        if not self.splitter.known:
+            return self.whole(text)
+        made = []
+        for added, part in self.splitter.parts(text):
+            if added is not None:
+                made.append(array("I", [added]).tobytes())
+            else:
+                made.extend([self[word] if plain else self.whole(word)
+                             for plain, word in self.splitter.words(part)])
+        return b"".join(made)
 
 
 def vocabulary_size(definition: str) -> int:

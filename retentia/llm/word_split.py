@@ -43,9 +43,9 @@ class Splitter:
         self.library = Tokenizer.from_str(definition)
         self.added = {t["content"]: t["id"] for t in rules["added_tokens"]}
         # added tokens that the library looks for in the raw text, as whole strings
-        raw = all(not (t["normalized"] or t["single_word"] or t["lstrip"] or t["rstrip"])
+        self.raw = all(not (t["normalized"] or t["single_word"] or t["lstrip"] or t["rstrip"])
                   for t in rules["added_tokens"])
-        self.known = (raw and (rules["normalizer"] or {}).get("normalizers") == NORMALISERS
+        self.known = (self.raw and (rules["normalizer"] or {}).get("normalizers") == NORMALISERS
                       and (rules["pre_tokenizer"] or {}).get("pretokenizers") == SPLITTERS)
         names = sorted(map(re.escape, self.added), key=len, reverse=True)
         self.marks = re.compile("(" + "|".join(names) + ")") if names else None
@@ -66,7 +66,11 @@ class Splitter:
 
     def words(self, text: str) -> Iterator[tuple[bool, str]]:
         """The words of a text without added tokens; the flag says that a word is plain and in lower
-        case. No pre-token crosses a blank or a line end, and normalisation neither."""
+        case. No pre-token crosses a blank or a line end, and normalisation neither. By other rules
+        the whole text is one word."""
+        if not self.known:
+            yield False, text
+            return
         if _PLAIN.fullmatch(text):
             for word in text.lower().replace("\n", " ").split(" "):
                 if word:
