@@ -5,9 +5,11 @@ left of a seed - its last word, or its last two - is a lexical pattern it induce
 Patterns and identifier-like words (words with a digit or an at sign) form a graph, an edge
 for each occurrence. Rounds score it: a pattern by the share of its occurrences in
 the corpus, whatever follows, that are followed by trusted instances; an instance by
-the noisy-or of the confident patterns it occurs with; seeds stay at 1. Words that
-follow a confident pattern, induced by at least MIN_SEEDS different seeds, are found as
-identifiers of the kind that most of its seeds have.
+the noisy-or of the confident patterns it occurs with; seeds stay at 1. A pattern needs
+MIN_SEEDS different trusted instances. An instance found behind a confident pattern is trusted with its
+score, and induces the patterns that it stands behind elsewhere, which find others in turn; the rounds
+go on until no score grows. Words that follow a confident pattern are found as identifiers of the kind
+that most of its trusted instances have.
 
 All of it is DataFrame work: matches and their places come from splitting the text at the
 pattern (places count code points), patterns are 64-bit hashes, corpus counts are
@@ -19,7 +21,9 @@ stack or taking quadratic time.
 
 Defined results: null text is empty and has no spans; repeated rows and rows with null ids
 are each searched; overlapping base matches of different kinds all count; a found word never
-overlaps a base span; columns beyond those named are kept by ``redact`` and not read
+overlaps a base span, and has at least LEAST_CHARS characters without outer punctuation, since shorter
+ones behind such a word (ages, counts, numbers of list items) name nobody; an empty table has no rows; very
+long texts are searched whole; ties between kinds go to the kind named first; columns beyond those named are kept by ``redact`` and not read
 otherwise.
 """
 
@@ -46,7 +50,9 @@ REDACTED = {"email": "<EMAIL>", "ip": "<IP>", "card": "<CARD>", "phone": "<PHONE
 # A word with a digit or an at sign, between white space.
 IDENTIFIER = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
 LEAST_CHARS = 6
-MIN_SEEDS, CONFIDENT, ROUNDS = 3, 0.6, 3
+MIN_SEEDS, CONFIDENT = 3, 0.6
+# The rounds end when the scores of all patterns together grow by less.
+SETTLED = 1e-3
 
 
 def _digits(match: Column) -> Column:
@@ -181,27 +187,48 @@ def corpus_patterns(rows: DataFrame) -> DataFrame:
             .filter("pattern IS NOT NULL"))
 
 
-def pattern_scores(edges: DataFrame, totals: DataFrame, rounds: int, min_seeds: int,
-                   confident: float) -> DataFrame:
-    """(pattern, confidence) of the confident patterns after the rounds. ``edges``: pattern,
-    instance, is_seed, n; ``totals``: pattern, total - its occurrences in the corpus."""
-    scores = None
-    for _ in range(rounds):
-        weight = edges.withColumn("s", F.col("is_seed").cast("double"))
-        if scores is not None:
-            trusted = (edges.filter("NOT is_seed").join(scores, "pattern").groupBy("instance")
-                       .agg((1 - F.product(1 - F.col("confidence"))).alias("found")))
-            weight = (edges.join(trusted, "instance", "left")
-                      .withColumn("s", F.when(F.col("is_seed"), 1.0)
-                                  .otherwise(F.coalesce("found", F.lit(0.0)))))
+def bootstrapped(seen: DataFrame, rows: DataFrame, rounds: int | None, min_seeds: int, confident: float
+                 ) -> DataFrame | None:
+    """(pattern, kind, confidence) of the confident patterns when no score grows any more, or after
+    ``rounds``; None if there is none. ``seen``: pattern, instance, kind (null but for seeds)."""
+    edges = written(seen.groupBy("pattern", "instance").agg(
+        F.min("kind").alias("kind"), F.count(F.lit(1)).alias("n")), "pii-edges")
+    seeds = written(edges.filter("kind IS NOT NULL").groupBy("instance").agg(F.min("kind").alias("kind")), "pii-seeds")
+    trusted, totals, scores, last = seeds.withColumn("s", F.lit(1.0)), None, None, (0, 0.0)
+    edges = edges.drop("kind")
+    while rounds is None or rounds > 0:
+        rounds = None if rounds is None else rounds - 1
+        # patterns that enough different instances induce, with the kind of most of them
+        induced = written(
+            edges.join(trusted, "instance").groupBy("pattern", "kind")
+            .agg(F.count(F.lit(1)).alias("k"), F.sum(F.col("s") * F.col("n")).alias("held"))
+            .groupBy("pattern").agg(F.sum("k").alias("k"), F.sum("held").alias("held"),
+                                    F.max(F.struct("k", (-F.col("kind")).alias("first"))).alias("top"))
+            .filter(F.col("k") >= min_seeds)
+            .select("pattern", "held", (-F.col("top.first")).alias("kind")), "pii-patterns")
+        new = induced.select("pattern")
+        if totals is not None:
+            new = written(new.join(totals, "pattern", "left_anti"), "pii-new")
+        if totals is None or not new.isEmpty():
+            counted = written(corpus_patterns(rows).join(new, "pattern", "left_semi")
+                              .groupBy("pattern").agg(F.count(F.lit(1)).alias("total")), "pii-totals")
+            totals = counted if totals is None else totals.unionByName(counted)
         scores = written(
-            weight.groupBy("pattern").agg(F.sum(F.col("s") * F.col("n")).alias("held"),
-                                          F.count_if("is_seed").alias("seeds"))
-            .join(totals, "pattern")
-            .select("pattern", "seeds",
-                    F.least(F.lit(1.0), F.col("held") / F.col("total")).alias("confidence"))
-            .filter((F.col("seeds") >= min_seeds) & (F.col("confidence") >= confident))
-            .select("pattern", "confidence"), "pii-scores")
+            induced.join(totals, "pattern")
+            .select("pattern", "kind", F.least(F.lit(1.0), F.col("held") / F.col("total")).alias("confidence"))
+            .filter(F.col("confidence") >= confident), "pii-scores")
+        now = scores.agg(F.count(F.lit(1)), F.coalesce(F.sum("confidence"), F.lit(0.0))).first()
+        if not now[0]:
+            return None
+        if now[0] == last[0] and now[1] - last[1] < SETTLED:
+            break
+        last = now
+        found = (edges.join(scores, "pattern").groupBy("instance")
+                 .agg((1 - F.product(1 - F.col("confidence"))).alias("s"),
+                      F.max(F.struct("confidence", (-F.col("kind")).alias("first"))).alias("top"))
+                 .select("instance", (-F.col("top.first")).alias("kind"), "s")
+                 .join(seeds, "instance", "left_anti"))
+        trusted = written(seeds.withColumn("s", F.lit(1.0)).unionByName(found), "pii-trusted")
     return scores
 
 
@@ -209,7 +236,7 @@ def pattern_scores(edges: DataFrame, totals: DataFrame, rounds: int, min_seeds:
 
 
 def find(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",),
-         rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, confident: float = CONFIDENT
+         rounds: int | None = None, min_seeds: int = MIN_SEEDS, confident: float = CONFIDENT
          ) -> DataFrame:
     """The columns of ``keep``, ``base`` and ``spans``: arrays of (kind number, start, end),
     the base matches alone and with the found words, in order of kind and start."""
@@ -223,21 +250,9 @@ def find(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_
     seen = (searched.select("row", F.explode("ids").alias("x"))
             .select("row", "x.start", "x.end", "x.instance", "x.kind",
                     F.explode("x.patterns").alias("pattern")).filter("pattern IS NOT NULL"))
-    # patterns that enough different seeds induce, with the kind of most of them
-    induced = written(
-        seen.filter("kind IS NOT NULL").groupBy("pattern", "kind", "instance").agg(F.lit(1))
-        .groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("pattern").agg(F.sum("n").alias("seeds"),
-                                F.max(F.struct("n", (-F.col("kind")).alias("first"))).alias("top"))
-        .filter(F.col("seeds") >= min_seeds)
-        .select("pattern", (-F.col("top.first")).alias("kind")), "pii-patterns")
-    known = induced.select("pattern")
-    totals = written(corpus_patterns(rows).join(known, "pattern", "left_semi")
-                     .groupBy("pattern").agg(F.count(F.lit(1)).alias("total")), "pii-totals")
-    edges = written(seen.join(known, "pattern", "left_semi").groupBy("pattern", "instance")
-                    .agg(F.max(F.col("kind").isNotNull()).alias("is_seed"),
-                         F.count(F.lit(1)).alias("n")), "pii-edges")
-    trusted = pattern_scores(edges, totals, rounds, min_seeds, confident).join(induced, "pattern")
+    trusted = bootstrapped(seen, rows, rounds, min_seeds, confident)
+    if trusted is None:
+        return searched.select("keep.*", F.array_sort("base").alias("base"), F.array_sort("base").alias("spans"))
     added = written(
         seen.filter("kind IS NULL").drop("kind").join(trusted, "pattern")
         .groupBy("row", "start", "end")
