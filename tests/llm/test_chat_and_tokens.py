@@ -101,7 +101,6 @@ def test_packed_files_against_the_tokenizers_library(spark, docs, tmp_path):
     with open(path) as f:
         definition = f.read()
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
     texts = ["", None, "Don't we'LL 12 3rd <|endoftext|> x", "É́ İSTANBUL ΣΑΣ ß ﬁ x y \x1c z\x85q", "a\tb\rc's",
              "word " * 30_000, "b" * 5000, "dup", "dup", "  a \n\n b "]
     df = docs([(100 - i if i != 3 else None, t) for i, t in enumerate(texts)], extra="key")

@@ -1,5 +1,8 @@
 """Near-duplicates, joins and exact top-k against brute force."""
 
+import math
+from fractions import Fraction
+
 import collections
 
 import numpy as np
@@ -166,19 +169,21 @@ def test_bit_sliced_topk_is_exact(spark, blocks):
     r = np.random.default_rng(2)
     rows = [list(map(float, np.round(r.normal(size=6), 1))) for _ in range(90)] + [[0.0] * 6] * 4 + [[5.0, -7.25]]
     data = list(enumerate(rows))
-    odd = [(1000, None), (1050, [float("inf")] * 6), (1100, [None] * 6), (None, rows[0]), (1150, [1e30] * 6)]
+    data += [(1150, [1e30] * 6), (1160, [-3e8, 1.0]), (1163, [2.5e6] * 6), (1167, [1e30] * 6)]
+    odd = [(1000, None), (1050, [float("inf")] * 6), (1100, [None] * 6), (None, rows[0])]
     df = (spark.createDataFrame(data + odd, "vec_id long, embedding array<double>")
           .withColumn("score", F.lit("clash")))
     got = [tuple(x) for x in bitslices.top_k(df, F.col("vec_id") % 10 == 0, 5, block_rows=blocks[0],
                                              part_queries=blocks[1]).collect()]
-    q = np.zeros((len(rows), 6), int)
-    for i, v in data:
-        q[i, :len(v)] = np.floor(np.array(v) * 256)
-    want = []
-    for i in range(0, len(rows), 10):
-        order = sorted((-int(q[i] @ q[j]), j) for j in range(len(rows)) if j != i)[:5]
-        want += [(i, k + 1, j, -s) for k, (s, j) in enumerate(order)]
+    q = {i: [math.floor(256 * Fraction(x)) for x in v] + [0] * (6 - len(v)) for i, v in data}
+    want, top = [], (1 << 63) - 1
+    for i in (i for i in q if i % 10 == 0):
+        order = sorted((-sum(a * b for a, b in zip(q[i], q[j], strict=True)), j) for j in q if j != i)[:5]
+        want += [(i, k + 1, j, max(-top, min(top, -s))) for k, (s, j) in enumerate(order)]
     assert sorted(got) == sorted(want)
+    wide = [(1, [1.0, 2.0]), (2, [2e6, 1.0]), (3, [3e6, 0.0]), (4, [1.0, 1.0])]
+    df2 = spark.createDataFrame(wide, "vec_id long, embedding array<double>")
+    assert [x.vec_id for x in bitslices.top_k(df2, F.col("vec_id") == 1, 3).orderBy("rank").collect()] == [3, 2, 4]
     few = bitslices.top_k(df.filter("vec_id < 3"), F.col("vec_id") == 0, 5).collect()
     assert len(few) == 2
     assert bitslices.top_k(df.limit(0), F.col("vec_id") == 0).count() == 0
