@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from .evaluate import classification_summary, policy_metrics
 from .heuristics import add_policy_scores
+from ..schemas import LABEL
 from ..session import cut_lineage
+from . import boosting as B
 from .models import train_and_score
 from .rank import join_on_keys
 
@@ -42,13 +44,56 @@ def fitted_scorer(name: str, train: DataFrame, test: DataFrame, feature_cols: Se
     return train_and_score(name, train, test, feature_cols, params)[0]
 
 
+def _month_number(column: str):
+    return (F.year(column) * 12 + F.month(column)).cast("int")
+
+
+def boosted_scores(features: DataFrame, folds: Sequence, model_specs: dict[str, dict], feature_cols: Sequence[str],
+                   keep: Sequence[str], frac: float = 0.8) -> tuple[DataFrame | None, set[tuple[str, str]]]:
+    """Boosted families refitted in every fold, all (fold, family) models grown at once: model, fold, ``keep``,
+    churn_prob_raw and churn_prob of the test rows, and the (model, fold) pairs that it holds.
+
+    The calibration rule is that of ``calibration_holdout``: the last months of the training window, which
+    must hold both labels. Folds without such months, and isotonic calibration, are left to the caller."""
+    months = {r["m"]: (r["low"], r["high"]) for r in features.select(_month_number("invoice_month").alias("m"), LABEL)
+              .groupBy("m").agg(F.min(LABEL).alias("low"), F.max(LABEL).alias("high")).collect()}  # a row a month
+    models, windows, pairs = [], [], []
+
+    def number(day) -> int:
+        return day.year * 12 + day.month
+
+    for f in folds:
+        train = sorted(m for m in months if m <= number(f["train_end"]))
+        cut = max(1, int(len(train) * frac))
+        labels = {x for m in train[cut:] for x in months[m] if x is not None}
+        if len(train) < 3 or len(labels) < 2:
+            continue
+        for name, params in model_specs.items():
+            if name in B.GROWTH and (params or {}).get("calibration_method", "platt") == "platt":
+                models.append(B.Booster(name, train[cut - 1], B.growth(name, params)))
+                windows.append([(train[cut], train[-1], "calibrate"),
+                                (number(f["test_start"]), number(f["test_end"]), "test")])
+                pairs.append((name, f["fold"]))
+    if not models:
+        return None, set()
+    models = B.grow(features, models, feature_cols, _month_number("invoice_month"))
+    numbered = features.select(*dict.fromkeys([*keep, LABEL, *feature_cols]), _month_number("invoice_month").alias("_m"))
+    scored = cut_lineage(B.score_windows(numbered, models, windows, feature_cols, "_m", list(dict.fromkeys([*keep, LABEL]))))
+    fit = B.platt(scored.filter("use = 'calibrate'"), "k")
+    names = features.sparkSession.createDataFrame([(k, *p) for k, p in enumerate(pairs)], "k int, model string, fold string")
+    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("a") * F.col("churn_prob_raw") + F.col("b"))))
+    known = fit.withColumnRenamed("g", "k").join(names, "k")  # a row a model
+    tested = scored.filter("use = 'test'").join(F.broadcast(known), "k").withColumn("churn_prob", p)
+    return tested.drop("k", "use", "a", "b"), set(pairs)
+
+
 def run_backtest(spark: SparkSession, features: DataFrame, feature_cols: Sequence[str],
                  budgets: Sequence[float], model_specs: dict[str, dict],
                  parallel_fits: int = 4, observed_only: bool = False,
                  scorer: Scorer = fitted_scorer) -> tuple[DataFrame, DataFrame]:
     """Score every fold's test months with every model trained on the months before, then
     policy_ml rows and AUC / AP / Brier for each (model, fold) from one grouped pass.
-    ``scorer`` refits per fold by default. ``observed_only`` drops right-censored rows
+    ``scorer`` refits per fold by default; the boosted families then grow for all folds at once. ``observed_only`` drops right-censored rows
     (horizon past the data end)."""
     if observed_only:
         from .features import add_censoring_flag
@@ -70,11 +115,22 @@ def run_backtest(spark: SparkSession, features: DataFrame, feature_cols: Sequenc
             "CustomerID", "invoice_month", "churn_90d", "value_pos", "churn_prob", "policy_ml",
             "policy_net_benefit")
 
+    boosted, held = None, set()
+    if scorer is fitted_scorer and folds:
+        boosted, held = boosted_scores(features, folds, model_specs, feature_cols,
+                                       ["CustomerID", "invoice_month", LABEL, "rev_sum_90d"])
     # independent (fold, model) fits are submitted concurrently from a small
     # driver thread pool; each fit is itself a distributed job
-    work = [(f, name, params) for f in folds for name, params in model_specs.items()]
+    work = [(f, name, params) for f in folds for name, params in model_specs.items()
+            if (name, f["fold"]) not in held]
     with ThreadPoolExecutor(max_workers=max(1, min(parallel_fits, len(work) or 1))) as pool:
         parts = list(pool.map(lambda w: one(*w), work))
+    if boosted is not None:
+        spans = spark.createDataFrame([tuple(f[k] for k in ("fold", *keys[2:])) for f in folds],
+                                      "fold string, train_end date, test_start date, test_end date")
+        parts.append(add_policy_scores(boosted.join(F.broadcast(spans), "fold")).select(
+            *keys, "CustomerID", "invoice_month", "churn_90d", "value_pos", "churn_prob", "policy_ml",
+            "policy_net_benefit"))
     if not parts:
         schema = ("fold string, model string, train_end date, test_start date, test_end date, budget_k double, "
                   + ", ".join(f"{m} double" for m in SUMMARY_METRICS))

@@ -3,17 +3,22 @@ their invariants are covered in tests/)."""
 
 from __future__ import annotations
 
+import uuid
+
+import numpy as np
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ..config import BUDGETS, PROJECT_DECISION, SplitConfig
 from ..operators import backtest as BT
+from ..operators import boosting as BO
 from ..operators import evaluate as EV
 from ..operators.explain import explain_linear, explain_linear_params, explain_occlusion
 from ..operators.heuristics import add_heuristics, add_policy_scores
 from ..operators.models import feature_importance, train_and_score
 from ..operators.split import add_split, feature_columns
-from ..session import cut_lineage
+from ..schemas import FEATURE_COLUMNS
+from ..session import cut_lineage, ensure_checkpoint_dir
 from . import oracles as O
 from . import registry_decisions as DEC
 from .common import features
@@ -218,19 +223,131 @@ def q_bt_refit_logistic(spark, sf):
     return _refitted(spark, sf, ["logistic_regression"])
 
 
+_REFITS: dict = {}
+
+
+def _refit_detail(spark, sf):
+    """The refit backtest of all families, run once in an application and written: the detail query and the
+    summaries read the same rows."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _REFITS:
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/backtest-refit-{uuid.uuid4().hex}"
+        _refitted(spark, sf).write.parquet(path)
+        _REFITS[key] = path
+    return spark.read.parquet(_REFITS[key])
+
+
 @register("backtest_refit_detail")
 def q_bt_refit_detail(spark, sf):
-    return _refitted(spark, sf)
+    return _refit_detail(spark, sf)
 
 
 @register("backtest_refit_summary")
 def q_bt_refit_summary(spark, sf):
-    return BT.backtest_summary(_refitted(spark, sf))
+    return BT.backtest_summary(_refit_detail(spark, sf))
 
 
 @register("backtest_refit_stability")
 def q_bt_refit_stability(spark, sf):
-    return BT.backtest_stability(_refitted(spark, sf))
+    return BT.backtest_stability(_refit_detail(spark, sf))
+
+
+def _fit_boosted(spark, sf, family):
+    """A boosted family on the train split, calibrated on its last months, and all rows with their month's number."""
+    ft = add_split(cut_lineage(features(spark, sf)), SplitConfig())
+    cols = feature_columns(ft.drop("split"))
+    ft = ft.withColumn("_m", BT._month_number("invoice_month"))
+    months = sorted(r[0] for r in ft.filter("split = 'train'").select("_m").distinct().collect())  # a row a month
+    cut = max(1, int(len(months) * 0.8))
+    model = BO.grow(ft.filter("split = 'train'"), [BO.Booster(family, months[cut - 1], BO.growth(family))], cols,
+                    F.col("_m"))[0]
+    scored = BO.score(ft, model, cols)
+    held_out = scored.filter((F.col("split") == "train") & (F.col("_m") >= months[cut])).withColumn("_g", F.lit(0))
+    a, b = BO.platt(cut_lineage(held_out.select("_g", "churn_prob_raw", "churn_90d")), "_g").first()[1:]
+    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(a) * F.col("churn_prob_raw") + F.lit(b))))
+    return scored.withColumn("churn_prob", p), model, cols
+
+
+@register("leaf_wise_scores")
+def q_leaf_wise(spark, sf):
+    """O-49: trees grown best leaf first to 31 leaves."""
+    scored, _, _ = _fit_boosted(spark, sf, "lightgbm")
+    return scored.select(*KEYS, "split", "churn_prob_raw", "churn_prob")
+
+
+@register("leaf_wise_contributions")
+def q_leaf_wise_contributions(spark, sf):
+    """O-57c for trees: additive contributions along the paths of a fitted model."""
+    scored, model, cols = _fit_boosted(spark, sf, "lightgbm")
+    made = BO.explain(scored.select(*KEYS, *cols), model, cols)
+    return made.select(*KEYS, "base_value", "margin", F.to_json("contributions").alias("contributions"))
+
+
+@register("leaf_wise_importance")
+def q_leaf_wise_importance(spark, sf):
+    """O-56 for trees: mean size of the contributions over all rows."""
+    scored, model, cols = _fit_boosted(spark, sf, "lightgbm")
+    return BO.importance(scored.select(*cols), model, cols)
+
+
+# Test trees for the SQL-checked attribution (not fitted, not from the reference): (feature, threshold) of inner
+# nodes, values of all nodes; two stumps and a tree of two levels.
+FIXED_CUTS = {"gap_days_prev": 45.5, "freq_90d": 1.5, "rev_sum_90d": 100000.25}
+FIXED_BASE = -0.25
+FIXED_TREES = [("gap_days_prev", (0.1, -0.4, 0.6)), ("rev_sum_90d", (-0.05, 0.2, -0.3))]
+FIXED_DEEP = ("freq_90d", "gap_days_prev", (0.02, 0.3, -0.2, 0.05, 0.5))  # root, low, high, low's low, low's high
+
+
+def fixed_booster() -> BO.Booster:
+    cols = list(FEATURE_COLUMNS)
+    edges = [np.array([FIXED_CUTS[c]] if c in FIXED_CUTS else []) for c in cols]
+
+    def tree(feature, left, right, value):
+        n = len(value)
+        return BO.Tree(np.array(feature), np.ones(n, int), np.array(left), np.array(right), np.array(value), np.ones(n))
+
+    trees = [tree([cols.index(c), -1, -1], [1, 0, 0], [2, 0, 0], v) for c, v in FIXED_TREES]
+    root, low, v = FIXED_DEEP
+    trees.append(tree([cols.index(root), cols.index(low), -1, -1, -1], [1, 3, 0, 0, 0], [2, 4, 0, 0, 0], v))
+    return BO.Booster("fixed", 0, BO.Growth(), edges, np.ones(len(cols), int), FIXED_BASE, trees)
+
+
+def _fixed_tree_parts() -> dict[str, str]:
+    """SQL of each feature's contribution."""
+    def low(c):
+        return f"{c} <= {FIXED_CUTS[c]}"
+
+    parts = {}
+    for c, (top, a, b) in FIXED_TREES:
+        parts[c] = f"CASE WHEN {low(c)} THEN {a - top!r} ELSE {b - top!r} END"
+    root, inner, (top, a, b, aa, ab) = FIXED_DEEP
+    parts[root] = f"CASE WHEN {low(root)} THEN {a - top!r} ELSE {b - top!r} END"
+    parts[inner] += f" + CASE WHEN NOT ({low(root)}) THEN 0.0 WHEN {low(inner)} THEN {aa - a!r} ELSE {ab - a!r} END"
+    return parts
+
+
+_FIXED_START = FIXED_BASE + sum(v[0] for _, v in FIXED_TREES) + FIXED_DEEP[2][0]
+_PARTS = _fixed_tree_parts()
+
+
+@register("tree_path_contributions", O.with_base(
+    f"SELECT CustomerID, {O.month('invoice_month')} AS invoice_month, " + ", ".join(
+        f"{O.r4(e)} AS c_{c}" for c, e in _PARTS.items())
+    + f", {O.r4(f'{_FIXED_START!r} + ' + ' + '.join(f'({e})' for e in _PARTS.values()))} AS margin FROM ft"))
+def q_tree_paths(spark, sf):
+    """O-57c: path attribution of fixed trees; base and contributions add up to the margin."""
+    made = BO.explain(features(spark, sf).select(*KEYS, *FEATURE_COLUMNS), fixed_booster(), FEATURE_COLUMNS)
+    at = {c: list(FEATURE_COLUMNS).index(c) for c in _PARTS}
+    return made.select(*KEYS, *[F.get("contributions", F.lit(i))["contribution"].alias(f"c_{c}") for c, i in at.items()],
+                       "margin")
+
+
+@register("tree_path_importance", O.with_base(
+    " UNION ALL ".join(f"SELECT '{c}' AS feature, " + (O.r4(f"avg(abs({_PARTS.get(c, '0.0')}))"))
+                       + " AS importance FROM ft" for c in FEATURE_COLUMNS)))
+def q_tree_importance(spark, sf):
+    """O-56 for trees: mean absolute contribution."""
+    return BO.importance(features(spark, sf).select(*FEATURE_COLUMNS), fixed_booster(), FEATURE_COLUMNS)
 
 
 # Test weights for the SQL-checked explanation (not fitted, not from the reference):
