@@ -134,6 +134,20 @@ class Automaton:
         return made[::-1]
 
 
+class _Words(dict):
+    """Ids of the plain words seen first."""
+
+    def __init__(self, coder) -> None:
+        super().__init__()
+        self.coder = coder
+
+    def __missing__(self, word: str) -> bytes:
+        made = self.coder.word(True, word)
+        if len(word) <= 32 and len(self) < CACHE_WORDS:
+            self[word] = made
+        return made
+
+
 class Coder:
     """Whole texts to ids and back, by the automaton of a definition."""
 
@@ -155,7 +169,7 @@ class Coder:
         self.labels = {i: label for label, i in model["vocab"].items()}
         self.labels |= {i: label for label, i in self.splitter.added.items()}
         self.decoder = self.splitter.library.decoder
-        self.words: dict[str, bytes] = {}
+        self.words = _Words(self)
 
     def word(self, plain: bool, word: str) -> bytes:
         made = array("I")
@@ -166,18 +180,16 @@ class Coder:
 
     def ids(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        made, words = [], self.words
+        plain = self.splitter.plain_words(text)
+        if plain is not None:
+            return b"".join(map(self.words.__getitem__, plain))
+        made = []
         for added, part in self.splitter.parts(text):
             if added is not None:
                 made.append(array("I", [added]).tobytes())
-                continue
-            for plain, word in self.splitter.words(part):
-                got = words.get(word)
-                if got is None:
-                    got = self.word(plain, word)
-                    if len(word) <= 32 and len(words) < CACHE_WORDS:
-                        words[word] = got
-                made.append(got)
+            else:
+                made.extend([self.words[word] if plain else self.word(plain, word)
+                             for plain, word in self.splitter.words(part)])
         return b"".join(made)
 
     def text(self, ids: bytes) -> str:

@@ -157,6 +157,9 @@ class WordEncoder(dict):
 
     def text(self, text: str) -> bytes:
         """A text's ids."""
+        plain = self.splitter.plain_words(text)
+        if plain is not None:
+            return b"".join(map(self.__getitem__, plain))
         if not self.splitter.known:
             return self.whole(text)
         made = []

@@ -64,6 +64,12 @@ class Splitter:
             if part:
                 yield (self.added[part] if i % 2 else None), part
 
+    def plain_words(self, text: str) -> list[str] | None:
+        """The words of a text (some may be empty) if all of it is plain and holds no added token."""
+        if not self.known or not _PLAIN.fullmatch(text) or (self.marks and self.marks.search(text)):
+            return None
+        return text.lower().replace("\n", " ").split(" ")
+
     def words(self, text: str) -> Iterator[tuple[bool, str]]:
         """The words of a text without added tokens; the flag says that a word is plain and in lower
         case. No pre-token crosses a blank or a line end, and normalisation neither. By other rules
