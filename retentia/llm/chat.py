@@ -11,7 +11,7 @@ each turn. Inside roles and texts a backslash is doubled and ``<|`` becomes ``<\
 no control string can occur there; a line end in a role becomes ``\\n``. ``read_turns``
 and ``unescape`` undo this.
 
-Defined results: null text and null role are empty; rows of the same conversation and
+Defined results: null text and null role are empty; very long texts are kept whole; rows of the same conversation and
 turn are ordered by role and text and all kept; a null turn comes first; rows with a null
 conv_id form one conversation; an empty table gives no rows; columns beyond the four are
 not read.

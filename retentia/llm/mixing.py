@@ -13,7 +13,7 @@ a document's position is the count before its bucket plus its rank inside. Order
 by size first stratifies the sample, so that a source's taken words come near its
 target.
 
-Defined results: null text has size 0; a null source is a source of its own, last
+Defined results: null text has size 0; very long texts are counted whole; a null source is a source of its own, last
 in order; a source of size 0 has target 0 and takes nothing; repeated rows are
 separate documents; an empty table gives an empty result; of the input's columns
 only those named are read, so others may clash with nothing.

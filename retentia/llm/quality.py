@@ -8,7 +8,8 @@ weighted sum of encodings is scored.
 Learning uses a bounded sample of labelled rows (``training``); scoring encodes every
 passage of every whole text.
 
-Defined results: null and empty texts are one passage without words; repeated rows
+Defined results: null and empty texts are one passage without words; very long texts are read
+whole, as more passages; an empty table gives no rows; repeated rows
 score alike; with one label only in the sample its value is the score of all, without
 any label the score is 1; columns beyond id and text are kept, those with the names of
 the outputs are replaced.

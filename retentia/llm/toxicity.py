@@ -9,7 +9,8 @@ all. Scored sentences then locate the offence.
 Learning uses a bounded sample of labelled rows (``training``); scoring reads every
 whole text.
 
-Defined results: null and empty texts have no sentence and score 0; repeated rows score
+Defined results: null and empty texts have no sentence and score 0; very long texts are
+scored whole; an empty table gives no rows; repeated rows score
 alike; without both labels in the sample the score is 0 for all; columns beyond id and
 text are kept, those with the names of the outputs are replaced.
 """
