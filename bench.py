@@ -23,7 +23,7 @@ from retentia.operators import monitor as M  # noqa: E402
 from retentia.operators.features import feature_table  # noqa: E402
 from retentia.operators.heuristics import add_heuristics, add_policy_scores, stub_probability  # noqa: E402
 from retentia.operators.models import train_and_score  # noqa: E402
-from retentia.operators.rank import target_flags  # noqa: E402
+from retentia.operators.selection import target_flags  # noqa: E402
 from retentia.operators.split import add_split  # noqa: E402
 from retentia.schemas import FEATURE_COLUMNS  # noqa: E402
 from retentia.session import get_spark  # noqa: E402

@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import AlertConfig
-from ..functions.columns import top_n
 from .evaluate import TIE
 from ..session import cut_lineage
-from .rank import exact_quantiles, grouped_row_number, policy_order
+from .rank import exact_quantiles
+from .selection import top_rows
 
 EPS = 1e-8
 
@@ -162,16 +162,13 @@ def history_trend(history: DataFrame) -> DataFrame:
         "psi_change", F.col("top_psi") - F.col("previous_top_psi"))
 
 
-def decision_drift(df: DataFrame, budgets: Sequence[float], ranking_col: str) -> DataFrame:
+def decision_drift(df: DataFrame, budgets: Sequence[float], ranking_col: str, digits: int | None = None) -> DataFrame:
     """Per month x budget: selection size and averages of the month's top-k (O-64, O-109).
-    The per-month rank is the skew-safe grouped row number (a month may be hot)."""
+    Each month's borders are found by counting, so a hot month is neither sorted nor moved.
+    ``digits`` rounds the ranking score before it is compared."""
     keep = [*TIE, "churn_prob", "value_pos", "churn_90d", "policy_net_benefit"]
     base = df.select(*dict.fromkeys(keep), F.col(ranking_col).alias("_score"))
-    ranked = grouped_row_number(base, ["invoice_month"], policy_order("_score", TIE), "_rank", "_n_rows")
-    ks = [float(k) for k in budgets]
-    top = (ranked.withColumn("budget_k", F.explode(F.array(*[F.lit(k) for k in ks])))
-                 .withColumn("_n", top_n(F.col("_n_rows"), F.col("budget_k")))
-                 .filter(F.col("_rank") <= F.col("_n")))
+    top = top_rows(base, "_score", budgets, ["invoice_month"], TIE, digits)
     return top.groupBy("invoice_month", "budget_k").agg(
         F.lit(ranking_col).alias("ranking_policy"),
         F.max("_n_rows").alias("n_rows"), F.max("_n").alias("selected_count"),

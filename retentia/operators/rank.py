@@ -1,4 +1,4 @@
-"""Global ordering primitives without a single-partition step (O-45, O-60..O-65, O-70).
+"""Global ordering primitives without a single-partition step (O-45, O-60, O-70).
 
 An un-partitioned ``Window.orderBy`` moves every row into one task. Instead:
 
@@ -27,7 +27,6 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import top_n
 from ..session import cut_lineage
 
 
@@ -143,18 +142,6 @@ def rank_by_policy(df: DataFrame, policy_col: str, rank_col: str = "rank",
     return global_row_number(df, policy_order(policy_col, tie_break), rank_col)
 
 
-def target_flags(df: DataFrame, policy_col: str, budgets: Sequence[float],
-                 tie_break: Sequence[str] = ("CustomerID", "invoice_month")) -> DataFrame:
-    """0/1 flag per budget from one rank (O-62); N rides along the rank offsets,
-    flag names use the rounded percent."""
-    ranked = global_row_number(df, policy_order(policy_col, tie_break), "_rank", total_col="_total")
-    out = ranked
-    for k in budgets:
-        out = out.withColumn(f"target_k{int(round(k * 100)):02d}",
-                             (F.col("_rank") <= top_n(F.col("_total"), k)).cast("int"))
-    return out.drop("_rank", "_total")
-
-
 def average_ranks(df: DataFrame, specs: Sequence[tuple[str, str, bool]]) -> tuple[DataFrame, dict]:
     """Ranks with ties averaged (pandas ``method='average'``) for several columns
     at once (O-45). ``specs``: (column, output column, ascending). Nulls get null.
@@ -222,12 +209,3 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     value = F.when(F.col("_b").isNull() | (frac == 0), F.col("_a")).otherwise(
         F.col("_a") + frac * (F.col("_b") - F.col("_a")))
     return agg.select(*g, "q", value.alias("value"))
-
-
-def top_k_slice(df: DataFrame, policy_col: str, k: float,
-                tie_break: Sequence[str] = ("CustomerID", "invoice_month")) -> DataFrame:
-    """Rows in the top fraction k by policy (O-61)."""
-    ranked = rank_by_policy(df, policy_col, "_rank", tie_break)
-    total = ranked.groupBy().agg(F.count(F.lit(1)).alias("_total"))
-    n = total.select(top_n(F.col("_total"), k).alias("_n")).first()["_n"]
-    return ranked.filter(F.col("_rank") <= n).drop("_rank")

@@ -19,9 +19,10 @@ from ..operators import quality as Q
 from ..operators.backtest import run_backtest
 from ..operators.heuristics import add_heuristics, add_policy_scores
 from ..operators.models import feature_importance, train_and_score
-from ..operators.rank import grouped_row_number, policy_order, target_flags
+from ..operators.selection import TIE, target_flags, target_lists
 from ..operators.split import add_split, feature_columns, prediction_output
 from ..schemas import FEATURE_COLUMNS, TARGET_LIST_COLUMNS
+from ..session import cut_lineage
 from ..sources import sinks as S
 
 
@@ -163,13 +164,13 @@ def score_job(spark: SparkSession, base: str, decision: DecisionConfig = PROJECT
     tm = load_model(champ["model_path"] or S.newest_model(spark, base, champ["model"]))
     Q.validate_inference_frame(ft, tm.feature_cols)
     scored = add_policy_scores(tm.score(add_heuristics(ft)), decision)
-    scored = target_flags(scored, decision.targeting_policy, budgets)
+    # the selection's passes read the policy and its tie-breaks, written once
+    keys = cut_lineage(scored.select(decision.targeting_policy, *TIE))
+    scored = target_flags(scored, decision.targeting_policy, budgets, written=keys)
     S.write_table(scored, base, "predictions", run_id, ["invoice_month"], ["CustomerID"])
     scored = spark.read.parquet(S.table_path(base, "predictions", run_id))
     S.write_table(prediction_output(scored), base, "predictions_inference", run_id)
-    ranked = grouped_row_number(scored, [], policy_order(decision.targeting_policy), "_rank", "_n")
-    targets = (ranked.withColumn("budget_k", F.explode(F.array(*[F.lit(float(k)) for k in budgets])))
-               .filter(F.col("_rank") <= F.greatest(F.lit(1), F.bround(F.col("_n") * F.col("budget_k"), 0)))
+    targets = (target_lists(scored, budgets)
                .withColumn("budget_pct", F.round(F.col("budget_k") * 100).cast("int"))
                .select(*TARGET_LIST_COLUMNS, "budget_pct"))
     S.write_table(targets, base, "targets", run_id, ["budget_pct"], ["CustomerID", "invoice_month"])

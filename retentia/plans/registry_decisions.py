@@ -11,7 +11,8 @@ from ..operators import evaluate as EV
 from ..operators import monitor as M
 from ..operators.heuristics import recommended_action
 from ..operators.models import calibration_holdout
-from ..operators.rank import grouped_row_number, policy_order, rank_by_policy, target_flags, top_k_slice
+from ..operators.rank import rank_by_policy
+from ..operators.selection import target_flags, target_lists, top_k_slice
 from ..operators.split import prediction_output
 from ..schemas import FEATURE_COLUMNS, TARGET_LIST_COLUMNS
 from . import oracles as O
@@ -68,7 +69,7 @@ def q_action(spark, sf):
     f"WHERE r <= {O.topn('n', '0.10')}"))
 def q_top_k(spark, sf):
     """The best tenth of customer-months by net benefit (O-61)."""
-    return top_k_slice(scored(spark, sf), "policy_net_benefit", 0.10).select(*KEYS, "policy_net_benefit")
+    return top_k_slice(scored(spark, sf), "policy_net_benefit", 0.10, digits=6).select(*KEYS, "policy_net_benefit")
 
 
 @register("temporal_split_counts", O.with_scored(
@@ -93,7 +94,7 @@ def q_rank(spark, sf):
                 for k, p in [("0.05", "05"), ("0.10", "10"), ("0.20", "20")])
     + " FROM (SELECT *, " + O.rank_expr("policy_net_benefit") + " AS r, count(*) OVER () AS n FROM sc)"))
 def q_flags(spark, sf):
-    return target_flags(scored(spark, sf), "policy_net_benefit", BUDGETS).select(
+    return target_flags(scored(spark, sf), "policy_net_benefit", BUDGETS, digits=6).select(
         *KEYS, "target_k05", "target_k10", "target_k20")
 
 
@@ -109,9 +110,7 @@ _TL = [c for c in TARGET_LIST_COLUMNS if c not in ("CustomerID", "invoice_month"
     f"WHERE r <= {O.topn('n', 'b')}"))
 def q_targets(spark, sf):
     s = scored(spark, sf)
-    ranked = grouped_row_number(s, [], policy_order("policy_net_benefit"), "_rank", "_n")
-    out = (ranked.withColumn("budget_k", F.explode(F.array(*[F.lit(k) for k in BUDGETS])))
-                 .filter(F.col("_rank") <= F.greatest(F.lit(1), F.bround(F.col("_n") * F.col("budget_k"), 0))))
+    out = target_lists(target_flags(s, "policy_net_benefit", BUDGETS, digits=6), BUDGETS)
     return out.select(*TARGET_LIST_COLUMNS, F.round(F.col("budget_k") * 100).cast("long").alias("budget_pct"))
 
 
@@ -374,7 +373,7 @@ def q_segeval(spark, sf):
                    count(*) OVER (PARTITION BY invoice_month) AS n FROM sc), (SELECT unnest({KS}) AS b)
       WHERE r <= {O.topn('n', 'b')} GROUP BY invoice_month, b"""))
 def q_ddrift(spark, sf):
-    return M.decision_drift(scored(spark, sf), BUDGETS, "policy_net_benefit")
+    return M.decision_drift(scored(spark, sf), BUDGETS, "policy_net_benefit", digits=6)
 
 
 def _sel_sql():

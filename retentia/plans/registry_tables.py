@@ -38,8 +38,8 @@ def q_lookup(spark, sf):
     f"FROM (SELECT *, {O.rank_expr('policy_net_benefit')} AS r, count(*) OVER () AS n FROM sc) "
     f"WHERE CAST(CustomerID AS VARCHAR) LIKE '%7%' AND r <= {O.topn('n', '0.10')}"))
 def q_substring(spark, sf):
-    from ..operators.rank import target_flags
-    s = target_flags(scored(spark, sf), "policy_net_benefit", [0.10])
+    from ..operators.selection import target_flags
+    s = target_flags(scored(spark, sf), "policy_net_benefit", [0.10], digits=6)
     return TB.explorer(s, "7", True, "target_k10").select(*KEYS, "policy_net_benefit")
 
 
