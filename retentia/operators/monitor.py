@@ -59,16 +59,33 @@ def missing_rates(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return long.groupBy("feature").agg(F.avg(F.col("value").isNull().cast("double")).alias("missing_rate"))
 
 
+STATISTICS = ("n_rows", "mean", "p50", "p90", "p99")
+
+
+def column_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Per column: rows, missing rate, mean and exact p50 / p90 / p99 of what is not null."""
+    long = _long(df, cols)
+    base = long.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.avg(F.col("value").isNull().cast("double")).alias("missing_rate"),
+        F.avg("value").alias("mean"))
+    q = exact_quantiles(long, ["feature"], "value", [0.5, 0.9, 0.99], bounded_groups=True)
+    points = q.groupBy("feature").agg(*[F.max(F.when(F.col("q") == p, F.col("value"))).alias(n)
+                                        for p, n in ((0.5, "p50"), (0.9, "p90"), (0.99, "p99"))])
+    return base.join(F.broadcast(points), "feature", "left")  # a row a column
+
+
 def reference_profile(reference: DataFrame, cols: Sequence[str], n_bins: int = 10) -> DataFrame:
-    """Flat profile: feature, bin, lo, hi, count, missing_rate (O-101..O-103)."""
+    """Flat profile (O-101..O-103), a row per bin: feature, bin, lo, hi, count, and the column's
+    n_bins, missing_rate, n_rows, mean, p50, p90, p99. Give the score among ``cols`` to profile it."""
     edges = bin_edges(reference, cols, n_bins)
     hist = histogram(reference, edges, cols)
     bounds = F.concat(F.array(F.lit(float("-inf"))), F.col("edges"), F.array(F.lit(float("inf"))))
     with_b = hist.join(F.broadcast(edges), "feature").withColumn("_b", bounds)
     prof = with_b.select("feature", "bin", F.element_at("_b", F.col("bin") + 1).alias("lo"),
-                         F.element_at("_b", F.col("bin") + 2).alias("hi"), "count")
+                         F.element_at("_b", F.col("bin") + 2).alias("hi"), "count",
+                         (F.size("edges") + 1).cast("long").alias("n_bins"))
     # features x bins rows: materialised once, read by every drift comparison
-    return cut_lineage(prof.join(F.broadcast(missing_rates(reference, cols)), "feature", "left"))
+    return cut_lineage(prof.join(F.broadcast(column_stats(reference, cols)), "feature", "left"))
 
 
 def score_stats(df: DataFrame, prob: str = "churn_prob") -> DataFrame:
@@ -98,18 +115,23 @@ def psi_table(profile: DataFrame, current: DataFrame, cols: Sequence[str]) -> Da
 
 def drift_report(profile: DataFrame, current: DataFrame, cols: Sequence[str],
                  cfg: AlertConfig | None = None) -> DataFrame:
-    """Per feature: current missing rate, PSI and status (O-105)."""
+    """Per column: current missing rate, PSI, status, bins, and rows, mean, p50, p90, p99 of the
+    reference and of now (O-105). Profiles written without statistics give nulls for theirs."""
     cfg = cfg or AlertConfig()
     present = [c for c in cols if c in current.columns]
     psi = psi_table(profile, current, present)
-    miss = missing_rates(current, present).withColumnRenamed("missing_rate", "missing_rate_current")
-    has_ref = profile.select("feature").distinct().withColumn("_ref", F.lit(True))
-    out = miss.join(has_ref, "feature", "left").join(psi, "feature", "left")
+    now = column_stats(current, present).withColumnRenamed("missing_rate", "missing_rate_current")
+    now = now.withColumnsRenamed({c: f"{c}_current" for c in STATISTICS})
+    ref = profile.groupBy("feature").agg(F.lit(True).alias("_ref"), F.count(F.lit(1)).alias("n_bins"), *[
+        (F.max(c) if c in profile.columns else F.lit(None).cast("long" if c == "n_rows" else "double"))
+        .alias(f"{c}_reference") for c in STATISTICS])
+    out = now.join(ref, "feature", "left").join(psi, "feature", "left")
     status = (F.when(F.col("_ref").isNull(), "no_reference")
                .when(F.col("psi") >= cfg.alert_threshold, "alert")
                .when(F.col("psi") >= cfg.warn_threshold, "warn").otherwise("ok"))
     return out.select("feature", "missing_rate_current",
-                      F.when(F.col("_ref").isNotNull(), F.col("psi")).alias("psi"), status.alias("status"))
+                      F.when(F.col("_ref").isNotNull(), F.col("psi")).alias("psi"), status.alias("status"), "n_bins",
+                      *[f"{c}_{when}" for c in STATISTICS for when in ("reference", "current")])
 
 
 def drift_summary(report: DataFrame) -> DataFrame:

@@ -98,8 +98,9 @@ def train_job(spark: SparkSession, base: str, split: SplitConfig | None = None,
     champ = wide.orderBy(F.col("val_net_benefit_at_k").desc(), F.col("val_value_at_risk").desc(), "model").first()
     best = champ["model"]
     scored = add_policy_scores(spark.read.parquet(S.table_path(base, f"scored_{best}", run_id)), decision)
-    S.write_table(EV.evaluate_segments(scored.filter(F.col("split") == "test"), budgets,
-                                       decision.targeting_policy), base, "segment_metrics", run_id)
+    segments = [EV.evaluate_segments(scored.filter(F.col("split") == part), budgets, decision.targeting_policy)
+                .withColumn("split", F.lit(part)) for part in ("val", "test")]
+    S.write_table(_union(segments), base, "segment_metrics", run_id)
     # drift reference: champion's train split with its scores
     S.write_table(M.reference_profile(scored.filter(F.col("split") == "train"),
                                       [*FEATURE_COLUMNS, "churn_prob"]), base, "reference_profile", run_id)

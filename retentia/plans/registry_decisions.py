@@ -17,6 +17,7 @@ from ..operators.split import prediction_output
 from ..schemas import FEATURE_COLUMNS, TARGET_LIST_COLUMNS
 from . import oracles as O
 from .common import scored
+from .evidence import budget_tradeoff_evidence
 from .registry import KEYS, register
 
 K = "(0.05, 0.10, 0.20)"
@@ -497,6 +498,17 @@ def q_fdelta(spark, sf):
     return C.frontier_delta(fr)
 
 
+@register("budget_tradeoff_evidence", O.with_scored(
+    f"""SELECT {R4('budget_k')} AS budget_k, {R4('net_benefit_at_k')} AS net_benefit_at_k,
+        CAST(round(budget_k * 100) = 10 AS BIGINT) AS is_selected, count(*) OVER () AS evidence_rows
+      FROM pm WHERE split = 'test' AND policy = 'policy_net_benefit'""", _long_sql()))
+def q_tradeoff(spark, sf):
+    """The test frontier with the 10 % budget selected (O-122)."""
+    s = scored(spark, sf).filter(F.col("split") == "test")
+    fr = EV.policy_metrics(s, BUDGETS, ["policy_net_benefit"], include_random=False)
+    return budget_tradeoff_evidence(fr.select("budget_k", "net_benefit_at_k"), 10)
+
+
 # ------------------------------------------------------------------ monitoring
 
 def _drift_sql():
@@ -514,6 +526,11 @@ pj AS (SELECT bins.feature, bins.bin, coalesce(refc.c, 0) + 1e-8 AS e, coalesce(
        FROM bins LEFT JOIN refc USING (feature, bin) LEFT JOIN curc USING (feature, bin)),
 pn AS (SELECT feature, bin, e / sum(e) OVER (PARTITION BY feature) AS e, a / sum(a) OVER (PARTITION BY feature) AS a FROM pj),
 psi AS (SELECT feature, sum((a - e) * ln(a / e)) AS psi FROM pn GROUP BY feature),
+st AS (SELECT feature, part, count(*) AS n_rows, avg(CASE WHEN value IS NULL THEN 1.0 ELSE 0.0 END) AS missing_rate,
+       avg(value) AS mean, quantile_cont(value, 0.5) AS p50, quantile_cont(value, 0.9) AS p90, quantile_cont(value, 0.99) AS p99
+       FROM (SELECT feature, value, 'current' AS part FROM lf
+             UNION ALL SELECT feature, value, 'reference' FROM lf WHERE split = 'train') GROUP BY feature, part),
+nb AS (SELECT feature, count(*) AS n_bins FROM bins GROUP BY feature),
 rep AS (SELECT psi.feature, 0.0 AS missing_rate_current, psi.psi,
         CASE WHEN psi >= 0.25 THEN 'alert' WHEN psi >= 0.1 THEN 'warn' ELSE 'ok' END AS status FROM psi)"""
 
@@ -527,14 +544,22 @@ def _profile(spark, sf):
     f"""SELECT bins.feature, CAST(bins.bin AS BIGINT) AS bin,
         {R4("CASE WHEN bins.bin = 0 THEN CAST('-inf' AS DOUBLE) ELSE ed.edges[bins.bin] END")} AS lo,
         {R4("CASE WHEN bins.bin = len(ed.edges) THEN CAST('inf' AS DOUBLE) ELSE ed.edges[bins.bin + 1] END")} AS hi,
-        CAST(coalesce(refc.c, 0) AS BIGINT) AS count, {R4('0.0')} AS missing_rate
-      FROM bins JOIN ed USING (feature) LEFT JOIN refc USING (feature, bin)""", _drift_sql()))
+        CAST(coalesce(refc.c, 0) AS BIGINT) AS count, nb.n_bins, {R4('st.missing_rate')} AS missing_rate, st.n_rows,
+        {R4('st.mean')} AS mean, {R4('st.p50')} AS p50, {R4('st.p90')} AS p90, {R4('st.p99')} AS p99
+      FROM bins JOIN ed USING (feature) JOIN nb USING (feature) JOIN st ON st.feature = bins.feature AND st.part = 'reference'
+      LEFT JOIN refc ON refc.feature = bins.feature AND refc.bin = bins.bin""", _drift_sql()))
 def q_profile(spark, sf):
     return _profile(spark, sf)[1]
 
 
-@register("drift_report", O.with_scored("SELECT feature, " + R4("missing_rate_current") + " AS missing_rate_current, "
-                                        + R4("psi") + " AS psi, status FROM rep", _drift_sql()))
+@register("drift_report", O.with_scored("SELECT rep.feature, " + R4("missing_rate_current") + " AS missing_rate_current, "
+                                        + R4("psi") + " AS psi, status, n_bins, "
+                                        + ", ".join(f"{w[0]}.n_rows AS n_rows_{w}, " + ", ".join(
+                                            f"{R4(f'{w[0]}.{c}')} AS {c}_{w}" for c in ("mean", "p50", "p90", "p99"))
+                                            for w in ("reference", "current"))
+                                        + " FROM rep JOIN nb USING (feature)"
+                                        " JOIN st r ON r.feature = rep.feature AND r.part = 'reference'"
+                                        " JOIN st c ON c.feature = rep.feature AND c.part = 'current'", _drift_sql()))
 def q_drift(spark, sf):
     s, prof = _profile(spark, sf)
     return M.drift_report(prof, s, FEATURE_COLUMNS)
@@ -560,7 +585,8 @@ def q_drift_summary(spark, sf):
 def q_top_psi(spark, sf):
     """The five features that moved most (O-66)."""
     s, prof = _profile(spark, sf)
-    return M.top_psi_features(M.drift_report(prof, s, FEATURE_COLUMNS), 5)
+    top = M.top_psi_features(M.drift_report(prof, s, FEATURE_COLUMNS), 5)
+    return top.select("feature", "missing_rate_current", "psi", "status")
 
 
 @register("alert_lists", O.with_scored(

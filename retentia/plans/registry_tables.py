@@ -59,6 +59,14 @@ def q_top(spark, sf):
         *KEYS, "policy_net_benefit", "churn_prob")
 
 
+@register("top_predictions_total", O.with_scored(
+    f"SELECT CustomerID, {O.month('invoice_month')} AS invoice_month, {R4('policy_net_benefit')} AS policy_net_benefit, "
+    "(SELECT count(*) FROM sc) AS total_count FROM sc ORDER BY sc.policy_net_benefit DESC, CustomerID, sc.invoice_month LIMIT 20"))
+def q_top_total(spark, sf):
+    return TB.top_predictions(scored(spark, sf), "policy_net_benefit", 20, total=True).select(
+        *KEYS, "policy_net_benefit", "total_count")
+
+
 @register("kpis", O.with_scored(
     f"SELECT count(*) AS rows_scored, {R4('avg(churn_prob)')} AS mean_churn_prob FROM sc"))
 def q_kpis(spark, sf):

@@ -41,13 +41,16 @@ def free_text_filter(df: DataFrame, query: str, sort_by: str | None = None, desc
     return out.limit(limit) if limit else out
 
 
-def top_predictions(preds: DataFrame, sort_by: str = "policy_net_benefit", limit: int = 50) -> DataFrame:
-    """Sorted predictions with a limit (O-65 / O-117); unknown column is an error."""
+def top_predictions(preds: DataFrame, sort_by: str = "policy_net_benefit", limit: int = 50,
+                    total: bool = False) -> DataFrame:
+    """Sorted predictions with a limit (O-65 / O-117); unknown column is an error. ``total``
+    adds the number of rows before the limit as ``total_count``."""
     if sort_by not in preds.columns:
         raise ValueError(f"Unknown sort column: {sort_by}")
     if not 1 <= limit <= 1000:
         raise ValueError("limit must be in [1, 1000]")
-    return preds.orderBy(F.col(sort_by).desc(), "CustomerID", "invoice_month").limit(limit)
+    top = preds.orderBy(F.col(sort_by).desc(), "CustomerID", "invoice_month").limit(limit)
+    return top.withColumn("total_count", F.lit(preds.count()).cast("long")) if total else top
 
 
 def kpis(preds: DataFrame) -> DataFrame:
@@ -67,10 +70,20 @@ def model_comparison(spark: SparkSession, base: str) -> DataFrame:
 
 
 def model_summary(spark: SparkSession, base: str) -> DataFrame:
-    """Champion + its comparison row (O-112)."""
+    """One row (O-112): the newest training run's manifest, the promotion (``promoted_...``, null
+    before any) and the comparison row of the manifest's champion."""
+    run = S.latest_run(spark, base, "train")
+    manifest = spark.read.json(S.table_path(base, "manifest_json", run)).withColumnRenamed("champion", "model")
     ch = champion(spark, base)
-    return model_comparison(spark, base).filter(F.col("model") == ch["model"]).withColumn(
-        "champion_source", F.lit(ch["source"]))
+    promoted = [F.lit(ch.get(c)).cast(t).alias(n) for c, t, n in (
+        ("model", "string", "promoted_model"), ("metric_name", "string", "promoted_metric"),
+        ("metric_value", "double", "promoted_metric_value"), ("promoted_at", "string", "promoted_at"))]
+    if ch["source"] != "promotion":
+        promoted = [F.lit(None).cast(t).alias(n) for t, n in (
+            ("string", "promoted_model"), ("string", "promoted_metric"), ("double", "promoted_metric_value"),
+            ("string", "promoted_at"))]
+    return (manifest.select("*", *promoted, F.lit(ch["source"]).alias("champion_source"))
+            .join(model_comparison(spark, base), "model", "left"))
 
 
 def feature_importance(spark: SparkSession, base: str, limit: int = 20) -> DataFrame:
@@ -131,9 +144,10 @@ def backtest(spark: SparkSession, base: str, model_name: str | None = None,
     return d
 
 
-def segment_metrics(spark: SparkSession, base: str, segment_type: str | None = None) -> DataFrame:
-    """The champion's segment evaluation of the newest training run (O-115)."""
-    rows = S.read_published(spark, base, "segment_metrics", "train")
+def segment_metrics(spark: SparkSession, base: str, segment_type: str | None = None,
+                    split: str = "test") -> DataFrame:
+    """The champion's segment evaluation of a split in the newest training run (O-115)."""
+    rows = S.read_published(spark, base, "segment_metrics", "train").filter(F.col("split") == split)
     return rows.filter(F.col("segment_type") == segment_type) if segment_type else rows
 
 
@@ -172,14 +186,6 @@ def records(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct(*cols), options).alias("record"))
 
 
-def evidence_table(rows: DataFrame, **filters) -> DataFrame:
-    """Rows behind a selected chart / segment / budget view plus their count (O-122)."""
-    out = rows
-    for k, v in filters.items():
-        out = out.filter(F.col(k) == F.lit(v))
-    return out.withColumn("evidence_rows", F.lit(out.count()).cast("long"))
-
-
 def explain_saved_customer(spark: SparkSession, base: str, customer_id: int, invoice_month: str,
                            top_n: int = 3) -> DataFrame:
     """Saved prediction row + linear explanation of the champion (O-118); an
