@@ -82,8 +82,10 @@ def model_summary(spark: SparkSession, base: str) -> DataFrame:
         promoted = [F.lit(None).cast(t).alias(n) for t, n in (
             ("string", "promoted_model"), ("string", "promoted_metric"), ("double", "promoted_metric_value"),
             ("string", "promoted_at"))]
-    return (manifest.select("*", *promoted, F.lit(ch["source"]).alias("champion_source"))
-            .join(model_comparison(spark, base), "model", "left"))
+    summary = manifest.select("*", *promoted, F.lit(ch["source"]).alias("champion_source"))
+    compared = model_comparison(spark, base)
+    return summary.join(compared.drop(*[c for c in compared.columns if c in summary.columns and c != "model"]),
+                        "model", "left")
 
 
 def feature_importance(spark: SparkSession, base: str, limit: int = 20) -> DataFrame:

@@ -84,6 +84,11 @@ def test_score_without_promotion_requests_and_segments(spark):
     cmp = tables.model_comparison(spark, base).first().asDict()
     assert {"val_roc_auc_raw", "test_net_benefit_at_k_raw", "selection_policy", "calibration_method"} <= set(cmp)
     assert tables.segment_metrics(spark, base).count() > 0
+    assert {r.split for r in tables.segment_metrics(spark, base, split="val").collect()} == {"val"}
+    summary = tables.model_summary(spark, base).collect()
+    assert len(summary) == 1 and len(set(summary[0].asDict())) == len(summary[0])
+    assert (summary[0].run_id, summary[0].model, summary[0].promoted_model) == (run, *["logistic_regression"] * 2)
+    assert summary[0].promoted_metric_value == cmp["val_net_benefit_at_k"]
     manifest = spark.read.json(S.table_path(base, "manifest_json", run)).first()
     assert manifest.champion == "logistic_regression" and manifest.run_id == run
     os.rename(os.path.join(base, S.PROMOTIONS), os.path.join(base, "elsewhere"))
