@@ -134,6 +134,16 @@ def drift_report(profile: DataFrame, current: DataFrame, cols: Sequence[str],
                       *[f"{c}_{when}" for c in STATISTICS for when in ("reference", "current")])
 
 
+def score_statistics(profile: DataFrame, current: DataFrame, prob: str = "churn_prob") -> DataFrame:
+    """Rows, missing rate, mean, p50, p90, p99 of the score: a row for now (``part`` current) and,
+    if the profile holds the score, one for the reference. No PSI: the score raises no alert."""
+    cols = ["n_rows", "missing_rate", *STATISTICS[1:]]
+    now = column_stats(current, [prob]).select(F.lit("current").alias("part"), *cols)
+    ref = profile.filter((F.col("feature") == prob) & (F.col("bin") == 0))  # statistics repeat on every bin
+    return now.unionByName(ref.select(F.lit("reference").alias("part"), *[
+        F.col(c) if c in profile.columns else F.lit(None).cast("double").alias(c) for c in cols]))
+
+
 def drift_summary(report: DataFrame) -> DataFrame:
     """Counts by status, overall status, top feature (O-106, O-108)."""
     return report.agg(

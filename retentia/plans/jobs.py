@@ -184,7 +184,8 @@ def score_job(spark: SparkSession, base: str, decision: DecisionConfig = PROJECT
     if prof is not None:
         rep = M.drift_report(prof, scored, FEATURE_COLUMNS, alerts)
         S.write_table(rep, base, "drift_report", run_id)
-        tables.append("drift_report")
+        S.write_table(M.score_statistics(prof, scored), base, "score_statistics", run_id)
+        tables += ["drift_report", "score_statistics"]
     S.publish_run(spark, base, run_id, "score", tables)
     if prof is not None:
         S.append_history(M.drift_history_row(rep, scored, datetime.now(timezone.utc).isoformat()), base)

@@ -34,6 +34,17 @@ def test_report_carries_both_sides_and_reads_older_profiles(spark):
     assert r2.n_rows_reference is None and r2.mean_reference is None and r2.psi == pytest.approx(r.psi)
 
 
+def test_score_statistics_of_both_sides(spark):
+    ref = spark.createDataFrame([(i / 100.0,) for i in range(101)], "churn_prob double")
+    cur = spark.createDataFrame([(0.5,), (None,)], "churn_prob double")
+    prof = M.reference_profile(ref, ["churn_prob"])
+    got = {r.part: r for r in M.score_statistics(prof, cur).collect()}
+    assert (got["current"].n_rows, got["current"].missing_rate, got["current"].p90) == (2, 0.5, 0.5)
+    assert got["reference"].n_rows == 101 and got["reference"].p90 == pytest.approx(0.9)
+    none = M.score_statistics(prof.filter("feature = 'x'"), cur).collect()
+    assert [r.part for r in none] == ["current"]
+
+
 def test_evidence_builders(spark):
     frontier = spark.createDataFrame([(0.05, 1.0), (0.1, 2.0), (0.29, 3.0)], "budget_k double, net_benefit_at_k double")
     rows = E.budget_tradeoff_evidence(frontier, 29).collect()  # 0.29 * 100 is below 29 in doubles
