@@ -9,13 +9,14 @@ from typing import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
+from pyspark.ml.feature import Imputer, ImputerModel, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import LABEL
+from .selection import medians
 
 # The three model families' parameter sets of the reference.
 XGB_LIKE = dict(n_estimators=300, max_depth=6, learning_rate=0.05, subsample=0.9, colsample_bytree=0.9)
@@ -27,11 +28,24 @@ def _imputed(cols: Sequence[str]) -> list[str]:
     return [f"{c}__imp" for c in cols]
 
 
-def build_model(name: str, feature_cols: Sequence[str], n_train: int, params: dict | None = None,
-                label: str = LABEL) -> Pipeline:
-    """Pipeline per family: median impute -> assemble -> (scale) -> classifier."""
+def median_imputer(train: DataFrame, feature_cols: Sequence[str]) -> ImputerModel:
+    """A fitted imputer that holds the exact medians of ``train``, found by counting in bounded memory. The
+    library's estimator takes them from one row, as a column of one value has that value as its median."""
+    found = medians(train, feature_cols)
+    empty = [c for c in feature_cols if found[c] is None]
+    if empty:
+        raise ValueError(f"no training value in columns {empty}")
+    row = train.sparkSession.createDataFrame([tuple(found[c] for c in feature_cols)],
+                                             ", ".join(f"`{c}` double" for c in feature_cols))
+    return Imputer(strategy="median", inputCols=list(feature_cols), outputCols=_imputed(feature_cols)).fit(row)
+
+
+def build_model(name: str, feature_cols: Sequence[str], train: DataFrame, n_train: int,
+                params: dict | None = None, label: str = LABEL) -> Pipeline:
+    """Pipeline per family: median impute -> assemble -> (scale) -> classifier. ``train``: the rows
+    it will be fitted on, read for the medians."""
     p = dict(params or {})
-    imp = Imputer(strategy="median", relativeError=0.0, inputCols=list(feature_cols), outputCols=_imputed(feature_cols))
+    imp = median_imputer(train, feature_cols)
     asm = VectorAssembler(inputCols=_imputed(feature_cols), outputCol="_features_raw", handleInvalid="keep")
     if name == "logistic_regression":
         c = float(p.get("C", LOGIT["C"]))
@@ -165,7 +179,7 @@ def train_and_score(name: str, train: DataFrame, to_score: DataFrame, feature_co
     # (a lost block is recomputed from the deterministic lineage)
     fit_part = fit_part.select(*feature_cols, label).persist()
     n = fit_part.count()
-    model = build_model(name, feature_cols, n, params, label).fit(fit_part)
+    model = build_model(name, feature_cols, fit_part, n, params, label).fit(fit_part)
     fit_part.unpersist()
     cal_scored = positive_probability(model, cal_part, "churn_prob_raw")
     cal = Calibrator(calibration_method).fit(cal_scored, "churn_prob_raw", label)

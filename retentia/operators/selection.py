@@ -252,3 +252,26 @@ def top_rows(df: DataFrame, score: str, budgets: Sequence[float], groups: Sequen
     return (rows.withColumn("_cuts", wanted).filter(F.size("_cuts") > 0).withColumn("_cut", F.explode("_cuts"))
             .withColumn("budget_k", F.col("_cut.budget_k")).withColumn("_n", F.col("_cut.n"))
             .drop("_cuts", "_cut", "_key"))
+
+
+def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
+    """Each column's median as numpy gives it (the mean of the two middle values), all columns in
+    the same passes; null and NaN are left out, a column without values gives None. A pass holds a sketch and
+    a few counts a column, however many distinct values there are. Each pass reads its input again."""
+    columns = list(columns)
+    cells = F.explode(F.array(*[F.struct(F.lit(i).alias("_c"), (F.col(c).cast("double") + F.lit(0.0)).alias("_k0"))
+                                for i, c in enumerate(columns)])).alias("_s")
+    rows = df.select(cells).select("_s.*").filter("_k0 IS NOT NULL AND NOT isnan(_k0)")
+    open_, found = {}, {}
+    for r in rows.groupBy("_c").agg(F.count(F.lit(1)).alias("_n")).collect():  # a row a column
+        n, g = r["_n"], (r["_c"],)
+        found[g] = [Border(g, 0.0, n, k, left=k) for k in ((n + 1) // 2, n // 2 + 1)]
+        open_[g] = dict(enumerate(found[g]))
+    while open_:
+        for r in _pass(rows, ["_c"], 0, open_):
+            g = (r["_c"],)
+            open_[g] = {j: b for j, b in open_[g].items() if not b.refine(r, j)}
+        open_ = {g: by for g, by in open_.items() if by}
+    middle = {columns[g[0]]: [b.keys[0] for b in bs] for g, bs in found.items()}
+    return {c: (a if (a := middle[c][0]) == (b := middle[c][1]) else (a + b) / 2) if c in middle else None
+            for c in columns}

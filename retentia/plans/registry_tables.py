@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from ..operators import compare as C
 from ..operators import evaluate as EV
+from ..operators.grains import customer_events
 from ..session import ensure_checkpoint_dir
+from ..sources.tables import invoices, read_table
+from ..streaming import labels as SL
 from ..streaming.events import daily_event_rollup, day_string, purchase_stream, run_available
 from . import oracles as O
 from . import registry_decisions as REG_DEC
 from . import tables as TB
-from .common import scored
+from .common import features, scored
 from .registry import KEYS, register
 
 R4 = O.r4
@@ -118,3 +121,60 @@ def q_stream(spark, sf):
     rollup = daily_event_rollup(purchase_stream(spark, f"{sf}/events.parquet"), lateness=None)
     out = run_available(spark, rollup, f"{folder}/table", f"{folder}/checkpoint")
     return out.select("CustomerID", day_string("day").alias("day"), "event_revenue", "n_events")
+
+
+def _delayed(spark, predictions, purchases, horizon_days):
+    """Predictions and purchases written as the jobs write them, then streamed from those folders."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/delayed-{os.urandom(4).hex()}"
+    streams = []
+    for name, rows in (("predictions", predictions), ("purchases", purchases)):
+        rows.write.parquet(f"{folder}/{name}")
+        streams.append(spark.readStream.schema(spark.read.parquet(f"{folder}/{name}").schema)
+                       .parquet(f"{folder}/{name}"))
+    SL.drain(spark, SL.answers(*streams, horizon_days), f"{folder}/labels", f"{folder}/checkpoint")
+    return f"{folder}/labels"
+
+
+@register("delayed_label_report", O.with_base(
+    f"""SELECT {O.month('invoice_month')} AS period, count(*) AS n_predictions,
+          CAST(sum(churned) AS BIGINT) AS n_churned,
+          {R4('avg(churned)')} AS churn_rate, {R4('avg(p)')} AS mean_score, {R4('avg(p - churned)')} AS calibration_gap,
+          {R4('avg((p - churned) * (p - churned))')} AS brier_score, {R4('avg(away)')} AS mean_days_to_return
+        FROM (SELECT cm.invoice_month, 1.0 / (1.0 + min(ft.freq_90d)) AS p,
+                CASE WHEN min(e.us) IS NULL THEN 1 ELSE 0 END AS churned,
+                (min(e.us) - cm.t_us) / {O.D}.0 AS away
+              FROM cm JOIN ft USING (CustomerID, invoice_month)
+              LEFT JOIN ev e ON e.CustomerID = cm.CustomerID AND e.us > cm.t_us AND e.us <= cm.t_us + 90 * {O.D}
+              GROUP BY cm.CustomerID, cm.invoice_month, cm.t_us)
+        WHERE invoice_month + INTERVAL 1 MONTH + INTERVAL 91 DAY <= (SELECT max(InvoiceDate) FROM ev) - INTERVAL 2 DAY
+        GROUP BY invoice_month"""))
+def q_delayed_report(spark, sf):
+    """Q-28: customer-month predictions (score 1 / (1 + purchases of 90 days)) and the purchases that came later, as
+    streams: churn, calibration and Brier score of each month whose 90 days have passed."""
+    grain = invoices(spark, sf)
+    asked = features(spark, sf).select("CustomerID", SL.instant("T").alias("T"),
+                                       (1.0 / (1.0 + F.col("freq_90d"))).alias("churn_prob"))
+    came = customer_events(grain).select("CustomerID", SL.instant("InvoiceDate").alias("InvoiceDate"))
+    return SL.label_report(spark, _delayed(spark, asked, came, 90))
+
+
+@register("delayed_labels_events",
+          f"""WITH b AS (SELECT user_id AS CustomerID, epoch_us(ts) AS us, value FROM events
+                  WHERE event_type = 'purchase'),
+                p AS (SELECT CustomerID, max(us) AS t_us, sum(value) AS v FROM b GROUP BY CustomerID, us // {O.D})
+              SELECT p.CustomerID, p.t_us, {R4('1.0 / (1.0 + min(p.v))')} AS churn_prob, {R4(f'(min(b.us) - p.t_us) / {O.D}.0')} AS days_to_return,
+                CASE WHEN min(b.us) IS NULL THEN 1 ELSE 0 END AS churned
+              FROM p LEFT JOIN b ON b.CustomerID = p.CustomerID AND b.us > p.t_us AND b.us <= p.t_us + 7 * {O.D}
+              WHERE p.t_us + 8 * {O.D} < (SELECT max(us) FROM b) - 2 * {O.D}
+              GROUP BY p.CustomerID, p.t_us""")
+def q_delayed_events(spark, sf):
+    """Q-28 on the ``events`` table: one prediction a customer and day of purchase, labelled by the seven days after."""
+    bought = read_table(spark, sf, "events").filter(F.col("event_type") == "purchase").select(
+        F.col("user_id").alias("CustomerID"), SL.instant("ts").alias("InvoiceDate"), F.col("value").alias("Revenue"))
+    day = F.floor(F.unix_micros("InvoiceDate") / F.lit(SL.DAY_US))
+    asked = (bought.groupBy("CustomerID", day.alias("_d")).agg(F.max("InvoiceDate").alias("T"), F.sum("Revenue").alias("v"))
+             .select("CustomerID", "T", (1.0 / (1.0 + F.col("v"))).alias("churn_prob")))
+    made = SL.labels(spark, _delayed(spark, asked, bought.select("CustomerID", "InvoiceDate"), 7), 7)
+    away = (F.unix_micros("first_return") - F.unix_micros("T")) / F.lit(SL.DAY_US)
+    return made.filter("closed").select("CustomerID", F.unix_micros("T").alias("t_us"), "churn_prob",
+                                        away.alias("days_to_return"), "churned")

@@ -92,7 +92,7 @@ def test_logistic_matches_reference_objective(spark, training):
     from retentia.operators.models import build_model, positive_probability
     pdf = training.toPandas()
     n = len(pdf)
-    model = build_model("logistic_regression", FEATURE_COLUMNS, n, {"tol": 1e-10}).fit(training)
+    model = build_model("logistic_regression", FEATURE_COLUMNS, training, n, {"tol": 1e-10}).fit(training)
     got = positive_probability(model, training, "p").toPandas().sort_values("CustomerID").p.values
     pdf = pdf.sort_values("CustomerID")
     exp = _reference_logit(pdf[FEATURE_COLUMNS].values, pdf.churn_90d.values.astype(float))
