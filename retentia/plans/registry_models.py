@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..config import BUDGETS, PROJECT_DECISION, SplitConfig
 from ..operators import backtest as BT
 from ..operators import boosting as BO
+from ..operators import calibration as CA
 from ..operators import evaluate as EV
 from ..operators.explain import explain_linear, explain_linear_params, explain_occlusion
 from ..operators.heuristics import add_heuristics, add_policy_scores
@@ -387,3 +388,46 @@ def q_fixed_linear(spark, sf):
     return ex.select(*KEYS, "logit", "explained_probability",
                      names(F.col("top_positive")).alias("top_positive"),
                      names(F.col("top_negative")).alias("top_negative"))
+
+
+# A raw score that any engine can compute (not fitted, not from the reference): whole days since the event before.
+_RAW = "least(floor(gap_days_prev), 1000.0) / 1000.0"
+
+
+def _raw_scored(spark, sf):
+    return cut_lineage(features(spark, sf).select(*KEYS, "churn_90d", F.expr(_RAW).cast("double").alias("churn_prob_raw")))
+
+
+_RAW_CTE = f"raw AS (SELECT CustomerID, invoice_month, churn_90d, CAST({_RAW} AS DOUBLE) AS x FROM ft)"
+
+
+@register("platt_by_sums", O.with_base(f"SELECT {O.r4('a')} AS a, {O.r4('b')} AS b FROM nw WHERE k = 30", _RAW_CTE, """
+nw AS (
+  SELECT 0 AS k, CAST(0.0 AS DOUBLE) AS a, CAST(0.0 AS DOUBLE) AS b
+  UNION ALL
+  SELECT k + 1, a - greatest(-4.0, least(4.0, (hbb * ga - hab * gb) / (haa * hbb - hab * hab))),
+         b - greatest(-4.0, least(4.0, (haa * gb - hab * ga) / (haa * hbb - hab * hab)))
+  FROM (SELECT k, a, b, a + sum((p - churn_90d) * x) AS ga, sum(p - churn_90d) AS gb,
+               1.0 + sum(p * (1 - p) * x * x) AS haa, sum(p * (1 - p) * x) AS hab, sum(p * (1 - p)) AS hbb
+        FROM (SELECT k, a, b, x, churn_90d, 1.0 / (1.0 + exp(-(a * x + b))) AS p FROM nw, raw WHERE k < 30)
+        GROUP BY k, a, b))""").replace("WITH ", "WITH RECURSIVE ", 1))
+def q_platt_sums(spark, sf):
+    """O-51: Platt parameters by Newton steps, one row of sums a step, over all rows of a fixed raw score."""
+    return BO.platt(_raw_scored(spark, sf).withColumn("_g", F.lit(0)), "_g").select("a", "b")
+
+
+@register("isotonic_by_counts", O.with_base(
+    f"SELECT CustomerID, {O.month('invoice_month')} AS invoice_month, {O.r4('x')} AS churn_prob_raw, "
+    f"{O.r4('v')} AS churn_prob FROM raw JOIN fitted USING (x)", _RAW_CTE, """
+cnt AS (SELECT x, row_number() OVER (ORDER BY x) AS i, sum(n) OVER (ORDER BY x) AS nn, sum(s) OVER (ORDER BY x) AS ss, n, s
+        FROM (SELECT x, count(*) AS n, sum(churn_90d) AS s FROM raw GROUP BY x))""", """
+fitted AS (
+  SELECT c.x, max(m) AS v
+  FROM (SELECT a, b, min(rate) OVER (PARTITION BY a ORDER BY b DESC) AS m
+        FROM (SELECT f.i AS a, t.i AS b, (t.ss - f.ss + f.s) / CAST(t.nn - f.nn + f.n AS DOUBLE) AS rate
+              FROM cnt f JOIN cnt t ON t.i >= f.i)) JOIN cnt c ON c.i = b
+  GROUP BY c.x)"""))
+def q_isotonic_counts(spark, sf):
+    """O-52: isotonic calibration of a fixed raw score, fitted on all rows."""
+    rows = _raw_scored(spark, sf)
+    return CA.isotonic_transform(rows, CA.isotonic_blocks(rows)).select(*KEYS, "churn_prob_raw", "churn_prob")
