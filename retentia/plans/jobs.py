@@ -121,7 +121,7 @@ def train_job(spark: SparkSession, base: str, split: SplitConfig | None = None,
     # before leaves readers on the run before
     S.append_history(S.run_log(policy, run_id, ["model", "split", "policy", "probability_type"],
                                ["value_at_risk", "net_benefit_at_k", "precision_at_k", "recall_at_k", "lift_at_k"],
-                               "budget_k"), base, "run_log")
+                               "budget_k"), base, run_id, "run_log")
     S.write_promotion(spark, base, best, paths[best], "val_net_benefit_at_k", champ["val_net_benefit_at_k"] or 0.0)
     return run_id
 
@@ -188,5 +188,5 @@ def score_job(spark: SparkSession, base: str, decision: DecisionConfig = PROJECT
         tables += ["drift_report", "score_statistics"]
     S.publish_run(spark, base, run_id, "score", tables)
     if prof is not None:
-        S.append_history(M.drift_history_row(rep, scored, datetime.now(timezone.utc).isoformat()), base)
+        S.append_history(M.drift_history_row(rep, scored, datetime.now(timezone.utc).isoformat()), base, run_id)
     return run_id

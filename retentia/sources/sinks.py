@@ -1,7 +1,7 @@
 """Sinks and publication (O-02, O-04..O-11c).
 
-Every job writes its tables under ``<base>/<table>/run_id=<id>/`` and, last, appends
-one row to ``<base>/_published``. Readers resolve the newest published run, so a
+Every job writes its tables under ``<base>/<table>/run_id=<id>/`` and, last,
+a row for the run under ``<base>/_published``. Readers resolve the newest published run, so a
 job that dies half-way never exposes partial outputs (Spark's overwrite alone is
 not atomic across several tables)."""
 
@@ -64,18 +64,27 @@ def write_report_json(df: DataFrame, base: str, name: str, run_id: str) -> str:
 
 
 def publish_run(spark: SparkSession, base: str, run_id: str, job: str, tables: list[str]) -> None:
-    """The commit point: one appended row naming the run and its tables."""
+    """The commit point: one row naming the run and its tables."""
     rec = spark.createDataFrame(
         [(run_id, job, ",".join(tables), datetime.now(timezone.utc).isoformat())],
         "run_id string, job string, tables string, published_at string")
-    rec.write.mode("append").parquet(os.path.join(base, PUBLISHED))
+    _write_once(rec, os.path.join(base, PUBLISHED), f"{job}-{run_id}")
+
+
+def _write_once(rows: DataFrame, path: str, key: str) -> None:
+    """Rows of one run in a folder of their own: a run that is done again replaces its rows."""
+    rows.write.mode("overwrite").parquet(os.path.join(path, f"run-{key}"))
+
+
+def _read_runs(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("recursiveFileLookup", True).option("mergeSchema", True).parquet(path)
 
 
 def latest_run(spark: SparkSession, base: str, job: str) -> str:
     path = os.path.join(base, PUBLISHED)
     if not exists(spark, path):
         raise FileNotFoundError(f"No published run for job {job!r} under {base}")
-    pub = spark.read.parquet(path).filter(F.col("job") == job)
+    pub = _read_runs(spark, path).filter(F.col("job") == job)
     row = pub.agg(F.max_by("run_id", "published_at").alias("run_id")).first()
     if row is None or row["run_id"] is None:
         raise FileNotFoundError(f"No published run for job {job!r} under {base}")
@@ -86,15 +95,16 @@ def read_published(spark: SparkSession, base: str, name: str, job: str) -> DataF
     return spark.read.parquet(table_path(base, name, latest_run(spark, base, job)))
 
 
-def append_history(df: DataFrame, base: str, name: str = HISTORY) -> None:
-    df.write.mode("append").parquet(table_path(base, name))
+def append_history(df: DataFrame, base: str, run_id: str, name: str = HISTORY) -> None:
+    """Adds a run's rows, with its ``run_id``, or replaces them if the run is done again (O-08)."""
+    _write_once(df.withColumn("run_id", F.lit(run_id)), table_path(base, name), run_id)
 
 
 def load_history(spark: SparkSession, base: str, name: str = HISTORY) -> DataFrame | None:
     path = table_path(base, name)
     if not exists(spark, path):
         return None
-    return spark.read.option("mergeSchema", True).parquet(path)
+    return _read_runs(spark, path)
 
 
 # ------------------------------------------------------------------ models

@@ -67,6 +67,33 @@ def test_jobs_end_to_end(spark):
         tables.predictions(spark, base, 3, sort_by="nope")
 
 
+def test_a_run_done_again_replaces_its_rows_and_a_dead_one_shows_nothing(spark):
+    from retentia.operators.monitor import history_trend
+    from retentia.sources import sinks as S
+    base = tempfile.mkdtemp(prefix="retentia-runs-")
+    row = "generated_at_utc string, top_psi double"
+
+    def run(run_id, at, psi, publish=True):
+        S.write_table(spark.createDataFrame([(psi,)], "psi double"), base, "report", run_id)
+        if not publish:  # the job dies between its tables and its publication
+            return
+        S.publish_run(spark, base, run_id, "score", ["report"])
+        S.append_history(spark.createDataFrame([(at, psi)], row), base, run_id)
+
+    assert S.load_history(spark, base) is None
+    run("r1", "2024-01-01", 0.1)
+    run("r2", "2024-01-02", 0.3)
+    run("r1", "2024-01-01", 0.2)
+    run("r3", "2024-01-03", 0.9, publish=False)
+    history = S.load_history(spark, base)
+    assert sorted((r.run_id, r.top_psi) for r in history.collect()) == [("r1", 0.2), ("r2", 0.3)]
+    assert spark.read.option("recursiveFileLookup", True).parquet(f"{base}/{S.PUBLISHED}").count() == 2
+    assert S.latest_run(spark, base, "score") == "r1"  # published last
+    assert S.read_published(spark, base, "report", "score").first().psi == 0.2
+    trend = {r.run_id: r.psi_change for r in history_trend(history).collect()}
+    assert trend["r1"] is None and abs(trend["r2"] - 0.1) < 1e-9
+
+
 def test_preaggregated_invoices_equal_line_rollup(spark):
     from retentia.operators.grains import invoice_rollup
     from retentia.sources.tables import invoices, transactions
