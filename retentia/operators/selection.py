@@ -265,7 +265,7 @@ def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
     open_, found = {}, {}
     for r in rows.groupBy("_c").agg(F.count(F.lit(1)).alias("_n")).collect():  # a row a column
         n, g = r["_n"], (r["_c"],)
-        found[g] = [Border(g, 0.0, n, k, left=k) for k in ((n + 1) // 2, n // 2 + 1)]
+        found[g] = [Border(g, 0.0, n, k, left=k) for k in sorted({(n + 1) // 2, n // 2 + 1})]  # one if n is odd
         open_[g] = dict(enumerate(found[g]))
     while open_:
         for r in _pass(rows, ["_c"], 0, open_):
@@ -273,5 +273,5 @@ def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
             open_[g] = {j: b for j, b in open_[g].items() if not b.refine(r, j)}
         open_ = {g: by for g, by in open_.items() if by}
     middle = {columns[g[0]]: [b.keys[0] for b in bs] for g, bs in found.items()}
-    return {c: (a if (a := middle[c][0]) == (b := middle[c][1]) else (a + b) / 2) if c in middle else None
+    return {c: (a if (a := middle[c][0]) == (b := middle[c][-1]) else (a + b) / 2) if c in middle else None
             for c in columns}
