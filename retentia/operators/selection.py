@@ -150,8 +150,8 @@ def _pass(keyed: DataFrame, groups: list[str], level: int, cells: dict[tuple, di
     for j in slots:
         rank = F.col(f"_left{j}") - F.col(f"_above{j}") - F.col(f"_atb{j}")
         m = F.greatest(F.col(f"_mid{j}"), F.lit(1))
-        at = F.floor((F.lit(1.0) - (rank - F.lit(0.5)) / m) * POINTS).cast("int")
-        at = F.greatest(F.lit(0), F.least(F.lit(POINTS), at))
+        at = F.floor((F.lit(1.0) - (rank - F.lit(0.5)) / m) * POINTS)
+        at = F.greatest(F.lit(0), F.least(F.lit(POINTS), at)).cast("int")  # a rank far outside is no int
         picks += [F.get(f"_grid{j}", F.greatest(F.lit(0), at - 1)).alias(f"_a{j}"),
                   F.get(f"_grid{j}", F.least(F.lit(POINTS), at + 2)).alias(f"_b{j}")]
         picks += [F.col(f"_{w}{j}") for w in ("above", "atb", "mid", "ata")]

@@ -109,3 +109,8 @@ def test_plan_has_no_sort_and_no_shuffle(frame):
     assert "Sort" not in plan and "Exchange" not in plan
     plan = S.top_rows(narrow, "v", [0.05], ["g"])._jdf.queryExecution().executedPlan().toString()
     assert "Sort" not in plan and "Exchange hash" not in plan and "Exchange range" not in plan
+
+
+def test_median_of_a_value_that_millions_of_rows_share(spark):
+    rows = spark.range(4_500_000).select(F.lit(2.0).alias("x"))
+    assert S.medians(rows, ["x"]) == {"x": 2.0}
