@@ -6,7 +6,7 @@ last month. Trees grow from sums of gradients by (node, feature, bin), in one of
 same sums, splits and row samples:
 
 * While the quantised table is at most SHARED_BYTES, it is broadcast, and every model is grown in a task of
-  its own, all models side by side.
+  its own, all models side by side. Of two children the sums of the larger are its parent's less its sibling's.
 * Beyond that the models grow together over blocks of rows, a level at a time: tasks add the gradients
   of their rows by (model, node, feature, bin), the sums meet by model, and one task a model picks its
   splits. Blocks carry the margins of the models that train on them. The driver holds trees and
@@ -133,10 +133,26 @@ class Booster:
                 inner = f >= 0
                 low = bins[rows, np.maximum(f, 0)] <= t.threshold[at]
                 to = np.where(inner, np.where(low, t.left[at], t.right[at]), at)
-                np.add.at(made, (rows[inner], f[inner]), (t.value[to] - t.value[at])[inner])
+                made[rows[inner], f[inner]] += (t.value[to] - t.value[at])[inner]  # a cell once
                 at = to
         return base, made
 
+    def gains(self) -> np.ndarray:
+        """Each feature's share of the gain of all splits, every tree counted alike; zeros without a split."""
+        made, g = np.zeros(len(self.edges)), self.growth
+        for t in self.trees:
+            own, sums = np.zeros(len(self.edges)), np.zeros(len(t.value))
+            for i in range(len(t.value) - 1, -1, -1):
+                h = t.cover + g.reg_lambda
+                if t.feature[i] < 0:
+                    sums[i] = -t.value[i] * h[i] / g.learning_rate
+                    continue
+                a, b = t.left[i], t.right[i]
+                sums[i] = sums[a] + sums[b]
+                own[t.feature[i]] += sums[a] ** 2 / h[a] + sums[b] ** 2 / h[b] - sums[i] ** 2 / h[i]
+            made += own / own.sum() if own.sum() > 0 else 0.0
+        return made / made.sum() if made.sum() > 0 else made
+
 
 def quantised(raw: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
     """Bins of a matrix of doubles: 0 for null, then 1 + the number of edges below the value."""
@@ -223,7 +239,7 @@ class _Growing:
 
     def tree(self) -> Tree:
         """The settled tree: the nodes that the chosen splits reach, children after their node."""
-        order = [0]
+        order = self.order = [0]
         for node in order:
             if node in self.chosen:
                 order.extend(self.children[node])
@@ -369,6 +385,35 @@ def _answer(growing: _Growing, nodes: list[int], best: np.ndarray | None) -> Non
         growing.split[node] = (int(f), int(b), np.array(rest[:3]), rest[3]) if f >= 0 else ()
 
 
+def _node_sums(columns: list[np.ndarray], wanted: set[int], own: np.ndarray, g: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Sums of (gradient, hessian, rows) of the rows ``own`` by feature and bin; zeros for features not wanted."""
+    made, g, h = np.zeros((len(columns), BINS + 1, 3)), g[own], h[own]
+    for f in wanted:
+        at = columns[f][own].astype(np.intp)
+        made[f, :, 0] = np.bincount(at, g, BINS + 1)
+        made[f, :, 1] = np.bincount(at, h, BINS + 1)
+        made[f, :, 2] = np.bincount(at, minlength=BINS + 1)
+    return made
+
+
+def _counted(growing: _Growing, nodes: list[int]) -> tuple[list[int], list[tuple[int, int, int]]]:
+    """The nodes whose rows are read, and (node, parent, sibling) of those that are their parent less their
+    sibling: of two children asked for together the one of fewer rows is read."""
+    read, derived, asked = [], [], set(nodes)
+    parent = {c: p for p, children in enumerate(growing.children) if children for c in children}
+    for node in nodes:
+        if node not in parent:
+            read.append(node)
+            continue
+        left, right = growing.children[parent[node]]
+        small, big = (left, right) if growing.sums[left][2] <= growing.sums[right][2] else (right, left)
+        if node == big and small in asked:
+            derived.append((big, parent[node], small))
+        else:
+            read.append(node)
+    return read, derived
+
+
 def grown(model: Booster, rows: _Rows) -> Booster:
     """One model from all rows of its window."""
     size, g = rows.upto(model.last), model.growth
@@ -379,25 +424,35 @@ def grown(model: Booster, rows: _Rows) -> Booster:
     for t in range(g.n_estimators):
         p = 1 / (1 + np.exp(-total))
         gradient, hessian = p - label, p * (1 - p)
-        drawn = _drawn(rows.key[:size], g, t) if g.subsample < 1 else np.ones(size, bool)
-        growing = _Growing(g, _columns(g, t, bins.shape[1]))
-        at = [np.arange(size)]  # the rows of each node
-        while nodes := growing.unknown():
-            for node in range(len(at), len(growing.depth)):
-                at.append(None)
+        drawn = _drawn(rows.key[:size], g, t) if g.subsample < 1 else None
+        growing = _Growing(g, _columns(g, t, len(columns)))
+        wanted = {0, *growing.columns.tolist()}  # the first feature's bins give a node's whole sums
+        at, held = {0: np.arange(size, dtype=np.int32)}, {}  # the rows and the sums of each node
+
+        def spread() -> None:
             for parent, children in enumerate(growing.children):
-                if children and at[children[0]] is None:
+                if children and children[0] not in at:
                     f, b = growing.split[parent][:2]
                     low = columns[f][at[parent]] <= b
                     at[children[0]], at[children[1]] = at[parent][low], at[parent][~low]
-            asked = [at[n][drawn[at[n]]] for n in nodes]
-            own = np.concatenate(asked)
-            slot = np.repeat(np.arange(len(nodes)), [len(a) for a in asked])
-            sums = _cells(slot, len(nodes), bins[own], gradient[own], hessian[own])
-            _answer(growing, nodes, best_splits(sums.reshape(len(nodes), -1, BINS + 1, 3), g, growing.columns))
+
+        while nodes := growing.unknown():
+            spread()
+            read, derived = _counted(growing, nodes)
+            for n in read:
+                own = at[n] if drawn is None else at[n][drawn[at[n]]]
+                held[n] = _node_sums(columns, wanted, own, gradient, hessian)
+            for node, parent, sibling in derived:
+                rest = held[parent] - held[sibling]
+                rest[rest[..., 2] == 0] = 0.0  # what rounding leaves in a bin without rows
+                held[node] = rest
+            _answer(growing, nodes, best_splits(np.stack([held[n] for n in nodes]), g, growing.columns))
+        spread()
         tree = growing.tree()
         model.trees.append(tree)
-        total += tree.margin(bins)
+        for node, feature, value in zip(growing.order, tree.feature, tree.value, strict=True):
+            if feature < 0:
+                total[at[node]] += value
     return model
 
 
@@ -617,6 +672,21 @@ def score(df: DataFrame, model: Booster, cols: Sequence[str], out_col: str = "ch
         pa.array(1 / (1 + np.exp(-model.margin(model.bins(raw)))))])
 
 
+def occluded(df: DataFrame, model: Booster, cols: Sequence[str], fills: Sequence[float], out_cols: Sequence[str]) -> DataFrame:
+    """Adds the probability of label 1, and that with each feature in turn at its value of ``fills``."""
+    def make(raw: np.ndarray) -> list[pa.Array]:
+        bins = model.bins(raw)
+        put = model.bins(np.array([fills], float))[0]
+        made = [model.margin(bins)]
+        for f in range(len(put)):
+            variant = bins.copy()
+            variant[:, f] = put[f]
+            made.append(model.margin(variant))
+        return [pa.array(1 / (1 + np.exp(-m))) for m in made]
+
+    return _with(df, cols, "occluded", {c: T.DoubleType() for c in out_cols}, make)
+
+
 def explain(df: DataFrame, model: Booster, cols: Sequence[str]) -> DataFrame:
     """Adds ``base_value``, ``margin`` and ``contributions`` (feature, contribution), which add up to it."""
     kind = T.ArrayType(T.StructType([T.StructField("feature", T.StringType()),

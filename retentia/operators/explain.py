@@ -13,7 +13,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .models import TrainedModel, imputer_surrogates, linear_coefficients, positive_probability
+from .boosting import occluded
+from .models import BoostedModel, TrainedModel, imputer_surrogates, linear_coefficients, positive_probability
 
 
 def _contrib_struct(names: Sequence[str], values: Sequence[Column]) -> Column:
@@ -63,11 +64,19 @@ def explain_occlusion(df: DataFrame, tm: TrainedModel, key_cols: Sequence[str],
     if top_n < 1:
         raise ValueError("top_n must be >= 1")
     feats = tm.feature_cols
+    if isinstance(tm.model, BoostedModel):
+        out = occluded(df.select(*key_cols, *feats), tm.model.booster, feats, imputer_surrogates(tm),
+                       ["explained_probability", *[f"_occ_{i}" for i in range(len(feats))]])
+        return _occlusion(out, feats, key_cols, top_n)
     out = positive_probability(tm.model, df.select(*key_cols, *feats), "explained_probability")
     for i, (c, median) in enumerate(zip(feats, imputer_surrogates(tm))):
         variant = out.withColumn(f"_keep_{c}", F.col(c)).withColumn(c, F.lit(float(median)))
         out = (positive_probability(tm.model, variant, f"_occ_{i}")
                .withColumn(c, F.col(f"_keep_{c}")).drop(f"_keep_{c}"))
+    return _occlusion(out, feats, key_cols, top_n)
+
+
+def _occlusion(out: DataFrame, feats: Sequence[str], key_cols: Sequence[str], top_n: int) -> DataFrame:
     arr = _contrib_struct(feats, [F.col("explained_probability") - F.col(f"_occ_{i}")
                                   for i in range(len(feats))])
     return (out.select(*key_cols, "explained_probability", arr.alias("contributions"))

@@ -1,5 +1,5 @@
 """Distributed model fitting, calibration and scoring with ``pyspark.ml``
-(O-47..O-56, O-88..O-92). Fits are iterative treeAggregate jobs; nothing is
+(O-47..O-56, O-88..O-92), boosted families by ``boosting``. Fits are iterative treeAggregate jobs; nothing is
 collected except fitted parameters and the list of months."""
 
 from __future__ import annotations
@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from typing import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import Imputer, ImputerModel, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
@@ -16,11 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import LABEL
+from ..session import cut_lineage
+from . import boosting as B
 from .selection import medians
 
-# The three model families' parameter sets of the reference.
-XGB_LIKE = dict(n_estimators=300, max_depth=6, learning_rate=0.05, subsample=0.9, colsample_bytree=0.9)
-LGBM_LIKE = dict(n_estimators=300, learning_rate=0.05, num_leaves=31, subsample=0.9, colsample_bytree=0.9)
+# The parameter set of the reference; those of the boosted families are in boosting.GROWTH.
 LOGIT = dict(C=1.0, max_iter=1000, tol=1e-4)
 
 
@@ -28,13 +28,18 @@ def _imputed(cols: Sequence[str]) -> list[str]:
     return [f"{c}__imp" for c in cols]
 
 
-def median_imputer(train: DataFrame, feature_cols: Sequence[str]) -> ImputerModel:
-    """A fitted imputer that holds the exact medians of ``train``, found by counting in bounded memory. The
-    library's estimator takes them from one row, as a column of one value has that value as its median."""
+def training_medians(train: DataFrame, feature_cols: Sequence[str]) -> dict[str, float]:
     found = medians(train, feature_cols)
     empty = [c for c in feature_cols if found[c] is None]
     if empty:
         raise ValueError(f"no training value in columns {empty}")
+    return found
+
+
+def median_imputer(train: DataFrame, feature_cols: Sequence[str]) -> ImputerModel:
+    """A fitted imputer that holds the exact medians of ``train``, found by counting in bounded memory. The
+    library's estimator takes them from one row, as a column of one value has that value as its median."""
+    found = training_medians(train, feature_cols)
     row = train.sparkSession.createDataFrame([tuple(found[c] for c in feature_cols)],
                                              ", ".join(f"`{c}` double" for c in feature_cols))
     return Imputer(strategy="median", inputCols=list(feature_cols), outputCols=_imputed(feature_cols)).fit(row)
@@ -62,17 +67,6 @@ def build_model(name: str, feature_cols: Sequence[str], train: DataFrame, n_trai
                                 standardization=False, probabilityCol="_probability",
                                 rawPredictionCol="_raw", predictionCol="_prediction")
         return Pipeline(stages=[imp, asm, scaler, lr])
-    if name in ("xgboost", "lightgbm"):
-        base = XGB_LIKE if name == "xgboost" else LGBM_LIKE
-        depth = int(p.get("max_depth", base.get("max_depth", 5)))  # 31 leaves ~ depth 5
-        gbt = GBTClassifier(featuresCol="_features_raw", labelCol=label,
-                            maxIter=int(p.get("n_estimators", base["n_estimators"])), maxDepth=depth,
-                            stepSize=float(p.get("learning_rate", base["learning_rate"])),
-                            subsamplingRate=float(p.get("subsample", base["subsample"])),
-                            featureSubsetStrategy=str(p.get("colsample_bytree", base["colsample_bytree"])),
-                            seed=int(p.get("random_state", 42)))
-        gbt.setProbabilityCol("_probability").setRawPredictionCol("_raw").setPredictionCol("_prediction")
-        return Pipeline(stages=[imp, asm, gbt])
     if name == "random_forest":
         rf = RandomForestClassifier(featuresCol="_features_raw", labelCol=label,
                                     numTrees=int(p.get("n_estimators", 100)), maxDepth=int(p.get("max_depth", 6)),
@@ -82,8 +76,26 @@ def build_model(name: str, feature_cols: Sequence[str], train: DataFrame, n_trai
     raise ValueError(f"no model family {name!r}")
 
 
-def positive_probability(model: PipelineModel, df: DataFrame, out_col: str) -> DataFrame:
+@dataclass
+class BoostedModel:
+    """Trees in the place of a fitted pipeline, with the training medians that stand for nulls elsewhere."""
+    booster: B.Booster
+    feature_cols: list[str]
+    surrogates: list[float]
+
+
+def boosted_model(name: str, feature_cols: Sequence[str], train: DataFrame, params: dict | None = None,
+                  label: str = LABEL) -> BoostedModel:
+    """A boosted family fitted on all rows of ``train``."""
+    found = training_medians(train, feature_cols)
+    booster = B.grow(train, [B.Booster(name, 0, B.growth(name, params))], feature_cols, F.lit(0), label)[0]
+    return BoostedModel(booster, list(feature_cols), [found[c] for c in feature_cols])
+
+
+def positive_probability(model: PipelineModel | BoostedModel, df: DataFrame, out_col: str) -> DataFrame:
     """P(class 1) clipped to [0, 1], with helper columns dropped."""
+    if isinstance(model, BoostedModel):
+        return B.score(df.drop(out_col), model.booster, model.feature_cols, out_col)
     scored = model.transform(df)
     p = vector_to_array(F.col("_probability"))[1]
     helper = [c for c in scored.columns if c.startswith("_") and c not in df.columns]
@@ -137,7 +149,7 @@ class Calibrator:
 @dataclass
 class TrainedModel:
     name: str
-    model: PipelineModel
+    model: PipelineModel | BoostedModel
     calibrator: Calibrator
     feature_cols: list[str]
     metadata: dict = field(default_factory=dict)
@@ -179,9 +191,13 @@ def train_and_score(name: str, train: DataFrame, to_score: DataFrame, feature_co
     # (a lost block is recomputed from the deterministic lineage)
     fit_part = fit_part.select(*feature_cols, label).persist()
     n = fit_part.count()
-    model = build_model(name, feature_cols, fit_part, n, params, label).fit(fit_part)
+    if name in B.GROWTH:
+        model = boosted_model(name, feature_cols, fit_part, params, label)
+    else:
+        model = build_model(name, feature_cols, fit_part, n, params, label).fit(fit_part)
     fit_part.unpersist()
-    cal_scored = positive_probability(model, cal_part, "churn_prob_raw")
+    # read by several passes: scored once
+    cal_scored = cut_lineage(positive_probability(model, cal_part, "churn_prob_raw").select("churn_prob_raw", label))
     cal = Calibrator(calibration_method).fit(cal_scored, "churn_prob_raw", label)
     tm = TrainedModel(name, model, cal, list(feature_cols),
                       {"method": calibration_method, "train_rows": n, "calibration_months": [str(m) for m in cal_months]})
@@ -197,17 +213,18 @@ def linear_coefficients(tm: TrainedModel) -> tuple[list[float], float, list[floa
 
 
 def imputer_surrogates(tm: TrainedModel) -> list[float]:
-    """The training medians that the fitted pipeline puts in place of nulls."""
+    """The training medians that the fitted model puts in place of nulls."""
+    if isinstance(tm.model, BoostedModel):
+        return list(tm.model.surrogates)
     row = tm.model.stages[0].surrogateDF.first()
     return [float(row[c]) for c in tm.feature_cols]
 
 
 def feature_importance(tm: TrainedModel, scored: DataFrame | None = None) -> DataFrame:
     """Linear: mean |scaled value x coef| over rows (or |coef| without rows);
-    trees: the model's impurity importances. Sorted descending (O-56)."""
-    spark = tm.model.stages[0].sparkSession if hasattr(tm.model.stages[0], "sparkSession") else None
+    trees: the model's importances by gain. Sorted descending (O-56)."""
     from pyspark.sql import SparkSession
-    spark = spark or SparkSession.getActiveSession()
+    spark = SparkSession.getActiveSession()
     if tm.name == "logistic_regression":
         coef, _, mean, std = linear_coefficients(tm)
         if scored is not None:
@@ -218,6 +235,8 @@ def feature_importance(tm: TrainedModel, scored: DataFrame | None = None) -> Dat
             vals = [(c, float(row[c] or 0.0)) for c in tm.feature_cols]
         else:
             vals = [(c, float(abs(w))) for c, w in zip(tm.feature_cols, coef)]
+    elif isinstance(tm.model, BoostedModel):
+        vals = [(c, float(v)) for c, v in zip(tm.feature_cols, tm.model.booster.gains())]
     else:
         imp = tm.model.stages[-1].featureImportances.toArray()
         vals = [(c, float(v)) for c, v in zip(tm.feature_cols, imp)]

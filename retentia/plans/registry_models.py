@@ -32,7 +32,7 @@ SPECS = {"logistic_regression": {}, "xgboost": {}, "lightgbm": {}}
 def _split_frames(spark: SparkSession, sf: str):
     """Whole feature table (every month is scored), and its train split."""
     ft = add_split(cut_lineage(features(spark, sf)), SplitConfig())
-    ft = add_heuristics(ft)
+    ft = cut_lineage(add_heuristics(ft))  # read by every pass of the fits: joined once
     train = ft.filter(F.col("split") == "train")
     return ft, train, ft
 
@@ -75,6 +75,7 @@ def q_comparison(spark, sf):
     rows = None
     for name in SPECS:
         scored, _ = _fit(spark, sf, name)
+        scored = cut_lineage(scored)  # read by both metric passes
         pol = add_policy_scores(scored, PROJECT_DECISION)
         pm = EV.policy_metrics(pol, [0.10], ["policy_net_benefit"], ["split"], include_random=False)
         cls = EV.classification_summary(pol, group_cols=["split"])

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import os
+import pickle
 import uuid
 from datetime import datetime, timezone
 
@@ -110,9 +111,14 @@ def load_history(spark: SparkSession, base: str, name: str = HISTORY) -> DataFra
 # ------------------------------------------------------------------ models
 
 def save_model(tm, base: str, run_id: str) -> str:
-    """PipelineModel + calibrator + feature list + metadata (O-10)."""
+    """Fitted pipeline or trees + calibrator + feature list + metadata (O-10)."""
+    from ..operators.models import BoostedModel
     path = os.path.join(base, "models", tm.name, f"run_id={run_id}")
-    tm.model.write().overwrite().save(os.path.join(path, "pipeline"))
+    if isinstance(tm.model, BoostedModel):
+        SparkSession.getActiveSession().createDataFrame([(pickle.dumps(tm.model),)], "model binary").coalesce(
+            1).write.mode("overwrite").parquet(os.path.join(path, "boosted"))
+    else:
+        tm.model.write().overwrite().save(os.path.join(path, "pipeline"))
     cal = {"method": tm.calibrator.method, "a": tm.calibrator.a, "b": tm.calibrator.b}
     if tm.calibrator.iso is not None:
         tm.calibrator.iso.write().overwrite().save(os.path.join(path, "isotonic"))
@@ -133,8 +139,10 @@ def load_model(path: str):
     cal = Calibrator(meta["calibrator"]["method"], meta["calibrator"]["a"], meta["calibrator"]["b"])
     if cal.method == "isotonic":
         cal.iso = IsotonicRegressionModel.load(os.path.join(path, "isotonic"))
-    return TrainedModel(meta["name"], PipelineModel.load(os.path.join(path, "pipeline")), cal,
-                        meta["feature_cols"], meta["metadata"])
+    boosted = os.path.join(path, "boosted")
+    model = (pickle.loads(spark.read.parquet(boosted).first()["model"]) if exists(spark, boosted)
+             else PipelineModel.load(os.path.join(path, "pipeline")))
+    return TrainedModel(meta["name"], model, cal, meta["feature_cols"], meta["metadata"])
 
 
 def newest_model(spark: SparkSession, base: str, name: str) -> str:

@@ -152,3 +152,42 @@ def test_platt_by_group_equals_newton(spark):
             w -= np.linalg.solve(z.T @ (z * (p * (1 - p))[:, None]) + np.diag([0.0, 1.0]),
                                  z.T @ (p - own) + np.diag([0.0, 1.0]) @ w)
         assert got[k] == pytest.approx((w[1], w[0]), abs=1e-7)
+
+
+def test_gains_of_a_hand_made_tree():
+    tree = B.Tree(np.array([1, -1, -1]), np.array([1, 0, 0]), np.array([1, 0, 0]), np.array([2, 0, 0]),
+                  np.array([0.0, -0.5, 0.5]), np.array([4.0, 2.0, 2.0]))
+    assert B.Booster("x", 0, B.Growth(), [np.array([1.0])] * 2, None, 0.0, [tree]).gains().tolist() == [0.0, 1.0]
+    assert B.Booster("x", 0, B.Growth(), [np.array([1.0])] * 2).gains().tolist() == [0.0, 0.0]
+
+
+def test_sums_of_the_larger_child_are_derived(monkeypatch):
+    """A tree of many levels reads a row a few times, not once a level."""
+    r = np.random.default_rng(3)
+    bins, n = r.integers(1, 60, (4000, 3)).astype(np.uint8), 4000
+    y = (r.random(n) < 0.2 + 0.6 * (bins[:, 0] > 30)).astype("u1")
+    rows = B._Rows(n, np.arange(n).astype("<i8").tobytes() + np.zeros(n, "<i4").tobytes() + y.tobytes() + bins.tobytes())
+    read, sums = [], B._node_sums
+    monkeypatch.setattr(B, "_node_sums", lambda c, w, own, g, h: read.append(len(own)) or sums(c, w, own, g, h))
+    model = B.grown(B.Booster("x", 0, B.Growth(n_estimators=1, max_depth=6), [np.arange(1.0, 60)] * 3), rows)
+    assert (model.trees[0].feature < 0).sum() > 32 and n < sum(read) <= n + 5 * n // 2
+
+
+def test_a_fitted_boosted_family_is_saved_and_explained(spark, table, tmp_path):
+    from retentia.operators.explain import explain_occlusion
+    from retentia.operators.models import feature_importance, train_and_score
+    from retentia.sources import sinks
+    df = table[0].select(F.monotonically_increasing_id().alias("CustomerID"), "churn_90d", *COLS,
+                         F.add_months(F.lit("2020-01-01").cast("date"), F.col("m").cast("int")).alias("invoice_month"))
+    df = df.localCheckpoint()
+    scored, tm = train_and_score("xgboost", df, df, COLS, {"n_estimators": 4})
+    assert {r.feature for r in feature_importance(tm).collect()} == set(COLS)
+    again = sinks.load_model(sinks.save_model(tm, str(tmp_path), "r1")).score(df)
+    want = {r.CustomerID: (r.churn_prob_raw, r.churn_prob) for r in scored.collect()}
+    assert want == {r.CustomerID: (r.churn_prob_raw, r.churn_prob) for r in again.collect()}
+    rows = df.limit(30)
+    for i, c in enumerate(COLS):  # the drop of probability with one feature at its median
+        put = tm.score(rows.withColumn(c, F.lit(tm.model.surrogates[i]))).collect()
+        put = {r.CustomerID: r.churn_prob_raw for r in put}
+        for r in explain_occlusion(rows, tm, ["CustomerID"]).collect():
+            assert r.contributions[i].contribution == pytest.approx(want[r.CustomerID][0] - put[r.CustomerID])
