@@ -8,9 +8,9 @@ same sums, splits and row samples:
 * While the quantised table is at most SHARED_BYTES, it is broadcast, and every model is grown in a task of
   its own, all models side by side.
 * Beyond that the models grow together over blocks of rows, a level at a time: tasks add the gradients
-  of their rows by (model, node, feature, bin), the sums meet by model, and one task a model picks its
-  splits. Blocks carry the margins of the models that train on them. The driver holds trees and
-  splits, never rows.
+  of their rows by (model, node, feature, bin). Sums of a few MB meet on the driver; more of them meet by
+  model, and one task a model picks its splits. Blocks carry the margins of the models that train on them, and
+  stay persisted on the executors from pass to pass. The driver holds sums, trees and splits, never rows.
 
 Depth-wise growth splits every node down to ``max_depth``. Leaf-wise growth splits the leaf of greatest
 gain until ``max_leaves``: each pass evaluates the leaves that this order may reach, and the order
@@ -31,15 +31,19 @@ from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import RDD, StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import LABEL
 from ..session import ensure_checkpoint_dir
 
-BINS, BLOCK_ROWS, MODELS_A_BLOCK, TREES_A_CHECKPOINT = 64, 16_384, 10, 4
+BINS, BLOCK_ROWS, MODELS_A_BLOCK, TREES_A_CHECKPOINT = 64, 1 << 20, 10, 50
+MIN_ROWS = 1 << 14  # of a block, to deal rows to all cores
 SHARED_BYTES = 64 << 20
+SUMS_BYTES = 32 << 20  # sums of a pass that may meet on the driver
+DERIVED_ROWS = 100_000  # from here on a larger child's sums are its parent's without the smaller child's
 
 
 @dataclass(frozen=True)
@@ -82,22 +86,37 @@ class Tree:
     value: np.ndarray
     cover: np.ndarray
 
-    def leaves(self, bins: np.ndarray) -> np.ndarray:
-        return _walk(self.feature, self.threshold, self.left, self.right, bins)
+    def parted(self, columns: Sequence[np.ndarray], size: int):
+        return _parted(self.feature, self.threshold, self.left, self.right, columns, size)
 
     def margin(self, bins: np.ndarray) -> np.ndarray:
-        return self.value[self.leaves(bins)]
+        return self.margins(_columns_of(bins), len(bins))
 
+    def margins(self, columns: Sequence[np.ndarray], size: int) -> np.ndarray:
+        made = np.empty(size)
+        for node, rows in self.parted(columns, size):
+            if self.feature[node] < 0:
+                made[rows] = self.value[node]
+        return made
 
-def _walk(feature, threshold, left, right, bins) -> np.ndarray:
-    at, rows = np.zeros(len(bins), np.int64), np.arange(len(bins))
-    while True:
-        f = feature[at]
-        inner = f >= 0
-        if not inner.any():
-            return at
-        low = bins[rows, np.maximum(f, 0)] <= threshold[at]
-        at = np.where(inner, np.where(low, left[at], right[at]), at)
+
+def _parted(feature, threshold, left, right, columns: Sequence[np.ndarray], size: int, only: set[int] | None = None):
+    """(node, an index of its rows) from the root down, for all nodes or those of ``only``; a node's children
+    follow it."""
+    held = [(0, slice(0, size))]
+    while held:
+        node, rows = held.pop()
+        yield node, rows
+        if (f := feature[node]) >= 0:
+            low = columns[f][rows] <= threshold[node]
+            for child, side in ((right[node], False), (left[node], True)):
+                if only is None or child in only:
+                    taken = np.flatnonzero(low == side)
+                    held.append((child, taken if node == 0 else rows[taken]))
+
+
+def _columns_of(bins: np.ndarray) -> list[np.ndarray]:
+    return [np.ascontiguousarray(bins[:, f]) for f in range(bins.shape[1])]
 
 
 @dataclass
@@ -115,27 +134,27 @@ class Booster:
         return filled(quantised(raw, self.edges), self.medians)
 
     def margin(self, bins: np.ndarray) -> np.ndarray:
-        total = np.full(len(bins), self.base)
+        total, columns = np.full(len(bins), self.base), _columns_of(bins)
         for tree in self.trees:
-            total += tree.margin(bins)
+            total += tree.margins(columns, len(bins))
         return total
 
     def contributions(self, bins: np.ndarray) -> tuple[float, np.ndarray]:
         """(base, rows x features): the base and a row's contributions add up to its margin. Walking down a
         tree, each step's change of the mean margin goes to the feature that it splits on."""
-        made, rows = np.zeros((len(bins), len(self.edges))), np.arange(len(bins))
+        made, columns = np.zeros((len(self.edges), len(bins))), _columns_of(bins)
         base = self.base
         for t in self.trees:
             base += t.value[0]
-            at = np.zeros(len(bins), np.int64)
-            while (t.feature[at] >= 0).any():
-                f = t.feature[at]
-                inner = f >= 0
-                low = bins[rows, np.maximum(f, 0)] <= t.threshold[at]
-                to = np.where(inner, np.where(low, t.left[at], t.right[at]), at)
-                made[rows[inner], f[inner]] += (t.value[to] - t.value[at])[inner]  # a cell once
-                at = to
-        return base, made
+            step = {}  # of a node: the feature that its parent splits on, and the change of the mean margin
+            for node, rows in t.parted(columns, len(bins)):
+                if node in step:
+                    f, change = step[node]
+                    made[f][rows] += change  # a cell once
+                if t.feature[node] >= 0:
+                    for child in (t.left[node], t.right[node]):
+                        step[child] = t.feature[node], t.value[child] - t.value[node]
+        return base, np.ascontiguousarray(made.T)
 
     def gains(self) -> np.ndarray:
         """Each feature's share of the gain of all splits, every tree counted alike; zeros without a split."""
@@ -289,9 +308,10 @@ def best_splits(sums: np.ndarray, g: Growth, columns: np.ndarray) -> np.ndarray:
 
 
 def _blocks(rows: DataFrame, edges: list[np.ndarray], last: list[int], n_rows: int) -> DataFrame:
-    """(month, label, key, x) rows -> block, part, n, data, margins: the rows of a block by month, with the
+    """(month, label, key, x) rows -> part, n, data, margins: the rows of a block by month, with the
     margins (still zero) of one part of the models on the rows that each trains on."""
     parts = max(1, -(-len(last) // MODELS_A_BLOCK))
+    most = max(1, BLOCK_ROWS // parts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -302,30 +322,31 @@ def _blocks(rows: DataFrame, edges: list[np.ndarray], last: list[int], n_rows: i
             order = np.argsort(month, kind="stable")
             month, label, key, bins = month[order], label[order], key[order], quantised(raw[order], edges)
             data = (key.astype("<i8").tobytes() + month.astype("<i4").tobytes() + label.astype("u1").tobytes()
-                    + bins.tobytes())
-            own = int(key[0])  # any number that deals blocks out
+                    + bins.T.tobytes())
             size = [sum(int(np.searchsorted(month, m, side="right")) for m in last[p::parts]) for p in range(parts)]
             return pa.RecordBatch.from_arrays(
-                [pa.array([own] * parts, pa.int64()), pa.array(range(parts), pa.int32()),
-                 pa.array([len(month)] * parts, pa.int32()), pa.array([data] * parts, pa.binary()),
-                 pa.array([bytes(4 * s) for s in size], pa.binary())],
-                names=["block", "part", "n", "data", "margins"])
+                [pa.array(range(parts), pa.int32()), pa.array([len(month)] * parts, pa.int32()),
+                 pa.array([data] * parts, pa.binary()), pa.array([bytes(8 * s) for s in size], pa.binary())],
+                names=["part", "n", "data", "margins"])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, BLOCK_ROWS):
-                part = batch.slice(at, BLOCK_ROWS)
+            for at in range(0, batch.num_rows, most):
+                part = batch.slice(at, most)
                 raw = part.column(3).flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, len(edges))
                 held.append((*(part.column(i).to_numpy() for i in range(3)), raw))
                 n += part.num_rows
-                if n >= BLOCK_ROWS:
+                if n >= most:
                     yield block()
                     held, n = [], 0
         if held:
             yield block()
 
-    return (rows.repartition(max(1, -(-n_rows // BLOCK_ROWS)))
-            .mapInArrow(run, "block long, part int, n int, data binary, margins binary")
-            .repartition("block", "part"))
+    slots = rows.sparkSession.sparkContext.defaultParallelism
+    blocks = max(1, -(-n_rows // most))
+    if n_rows > slots * MIN_ROWS:
+        blocks = -(-blocks // slots) * slots  # the cores end a pass together
+    return (rows.repartition(blocks)
+            .mapInArrow(run, "part int, n int, data binary, margins binary"))
 
 
 class _Rows:
@@ -335,7 +356,7 @@ class _Rows:
         self.key = np.frombuffer(data, "<i8", n)
         self.month = np.frombuffer(data, "<i4", n, 8 * n)
         self.label = np.frombuffer(data, "u1", n, 12 * n).astype(float)
-        self.bins = np.frombuffer(data, "u1", -1, 13 * n).reshape(n, -1) if n else np.empty((0, 0), np.uint8)
+        self.bins = np.frombuffer(data, "u1", -1, 13 * n).reshape(-1, n).T if n else np.empty((0, 0), np.uint8)
 
     def upto(self, month: int) -> int:
         return int(np.searchsorted(self.month, month, side="right"))
@@ -359,15 +380,6 @@ def _columns(g: Growth, t: int, width: int) -> np.ndarray:
     return np.sort(rng.permutation(width)[:max(1, int(g.colsample_bytree * width))])
 
 
-def _cells(slot: np.ndarray, nodes: int, bins: np.ndarray, g: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Sums of (gradient, hessian, rows) by slot, feature and bin, flat."""
-    width = bins.shape[1]
-    cells = ((slot[:, None] * width + np.arange(width)) * (BINS + 1) + bins).ravel()
-    n = nodes * width * (BINS + 1)
-    return np.stack([np.bincount(cells, np.repeat(g, width), n), np.bincount(cells, np.repeat(h, width), n),
-                     np.bincount(cells, minlength=n)], axis=1).ravel()
-
-
 def _start(model: Booster, counts: np.ndarray) -> None:
     """The window's median bins and its margin before any tree."""
     by, (positive, n) = counts[:-2].reshape(-1, BINS + 1)[:, 1:], counts[-2:]
@@ -386,8 +398,9 @@ def _answer(growing: _Growing, nodes: list[int], best: np.ndarray | None) -> Non
 
 
 def _node_sums(columns: list[np.ndarray], wanted: set[int], own: np.ndarray, g: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Sums of (gradient, hessian, rows) of the rows ``own`` by feature and bin; zeros for features not wanted."""
-    made, g, h = np.zeros((len(columns), BINS + 1, 3)), g[own], h[own]
+    """Sums of (gradient, hessian, rows) of the rows ``own`` by feature and bin; zeros for features not wanted.
+    ``g`` and ``h``: of these rows."""
+    made = np.zeros((len(columns), BINS + 1, 3))
     for f in wanted:
         at = columns[f][own].astype(np.intp)
         made[f, :, 0] = np.bincount(at, g, BINS + 1)
@@ -401,7 +414,7 @@ def grown(model: Booster, rows: _Rows) -> Booster:
     size, g = rows.upto(model.last), model.growth
     _start(model, rows.counts(size))
     bins, label = filled(rows.bins[:size], model.medians), rows.label[:size]
-    columns = [np.ascontiguousarray(bins[:, f]) for f in range(bins.shape[1])]
+    columns = _columns_of(bins)
     total = np.full(size, model.base)
     for t in range(g.n_estimators):
         p = 1 / (1 + np.exp(-total))
@@ -420,8 +433,8 @@ def grown(model: Booster, rows: _Rows) -> Booster:
 
         while nodes := growing.unknown():
             spread()
-            sums = [_node_sums(columns, wanted, at[n] if drawn is None else at[n][drawn[at[n]]], gradient, hessian)
-                    for n in nodes]
+            used = [at[n] if drawn is None else at[n][drawn[at[n]]] for n in nodes]
+            sums = [_node_sums(columns, wanted, own, gradient[own], hessian[own]) for own in used]
             _answer(growing, nodes, best_splits(np.stack(sums), g, growing.columns))
         spread()
         tree = growing.tree()
@@ -432,83 +445,71 @@ def grown(model: Booster, rows: _Rows) -> Booster:
     return model
 
 
+def _cut_rows(models: list[Booster]):
+    """A block as a state row: part, n, the rows that each model of the part trains on, data without what no
+    model needs, margins."""
+    parts, sampled = -(-len(models) // MODELS_A_BLOCK), any(m.growth.subsample < 1 for m in models)
+
+    def run(row) -> tuple:
+        part, n, data, margins = row
+        rows = _Rows(n, data)
+        sizes = [rows.upto(models[k].last) for k in range(part, len(models), parts)]
+        return part, n, sizes, bytes(data[:8 * n] if sampled else b"") + bytes(data[12 * n:]), bytes(margins)
+
+    return run
+
+
 class _Cut(_Rows):
     """One state row: its rows and, for each model of its part, the rows and margins that it trains on."""
 
-    def __init__(self, block: int, part: int, n: int, data: bytes, margins: bytes, models: list[Booster]) -> None:
-        super().__init__(n, data)
-        parts, at = -(-len(models) // MODELS_A_BLOCK), 0
-        margin, self.own = np.frombuffer(margins, "<f4"), []
-        for k in range(part, len(models), parts):
-            size = self.upto(models[k].last)
+    def __init__(self, part: int, n: int, sizes: list[int], data: bytes, margins: bytes, models: list[Booster]) -> None:
+        keys = 8 * n if any(m.growth.subsample < 1 for m in models) else 0
+        self.key = np.frombuffer(data, "<i8", n) if keys else None
+        self.label = np.frombuffer(data, "u1", n, keys)
+        self.bins = np.frombuffer(data, "u1", -1, keys + n).reshape(-1, n).T
+        margin, at, self.own = np.frombuffer(margins, "<f8"), 0, []
+        for k, size in zip(range(part, len(models), -(-len(models) // MODELS_A_BLOCK)), sizes, strict=True):
             self.own.append((k, size, margin[at:at + size]))
             at += size
 
-    def margin(self, model: Booster, size: int, margin: np.ndarray, new: list[Tree]) -> tuple:
-        bins = filled(self.bins[:size], model.medians)
-        total = margin.astype(float)
-        for tree in new:
-            total = total + tree.margin(bins)
-        return bins, total
-
-
-def _cuts(batches: Iterator[pa.RecordBatch], models: list[Booster]) -> Iterator[tuple]:
-    for batch in batches:
-        for r in range(batch.num_rows):
-            row = batch.slice(r, 1)
-            yield row, _Cut(*(c[0].as_py() for c in row.columns), models)
+    def columns(self, model: Booster, size: int) -> list[np.ndarray]:
+        made = [self.bins[:size, f] for f in range(self.bins.shape[1])]
+        return [c if c.all() else np.where(c == 0, np.uint8(m), c) for c, m in zip(made, model.medians, strict=True)]
 
 
-def _summed(state: DataFrame, models: list[Booster], sums, picked) -> dict[int, np.ndarray]:
-    """``sums(cut, k, size, margins)`` of every block, added by model; then ``picked(k, total)`` of
-    each, in one task a model. Gives a row of numbers for each model."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _summed(state: RDD, models: list[Booster], sums) -> RDD:
+    """(model, ``sums(cut, k, size, margins)`` added over the blocks of a task)."""
+    def run(rows: Iterator[tuple]) -> Iterator[tuple[int, np.ndarray]]:
         totals: dict[int, np.ndarray] = {}
-        for _, cut in _cuts(batches, models):
+        for row in rows:
+            cut = _Cut(*row, models)
             for k, size, margin in cut.own:
                 made = sums(cut, k, size, margin)
                 if made is not None:
                     totals[k] = totals[k] + made if k in totals else made
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(totals), pa.int32()), pa.array([t.tobytes() for t in totals.values()], pa.binary())],
-            names=["k", "x"])
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, total = None, None
+        yield from totals.items()
 
-        def close() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array([at], pa.int32()), pa.array([picked(at, total).ravel()], pa.list_(pa.float64()))],
-                names=["k", "x"])
+    return state.mapPartitions(run)
 
-        for batch in batches:
-            for k, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                x = np.frombuffer(data.as_buffer(), "<f8")
-                if k != at:
-                    if at is not None:
-                        yield close()
-                    at, total = k, x
-                else:
-                    total = total + x
-        if at is not None:
-            yield close()
 
-    tasks = max(1, -(-len(models) // MODELS_A_BLOCK))
-    met = state.mapInArrow(run, "k int, x binary").repartition(tasks, "k").sortWithinPartitions("k")
-    return {r["k"]: np.array(r["x"]) for r in met.mapInArrow(pick, "k int, x array<double>").collect()}
+def _met(made: RDD, tasks: int) -> dict[int, np.ndarray]:
+    """The sums of ``_summed`` by model: here, if they are few, or first by model in ``tasks`` tasks."""
+    totals: dict[int, np.ndarray] = {}
+    for k, x in reversed((made.reduceByKey(lambda a, b: a + b, tasks) if tasks else made).collect()):
+        totals[k] = totals[k] + x if k in totals else x
+    return totals
 
 
-def _store(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
+def _store(spark: SparkSession, state: RDD) -> tuple[RDD, str]:
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/boosting-{uuid.uuid4().hex}"
+    state.saveAsPickleFile(path)
+    return spark.sparkContext.pickleFile(path).persist(StorageLevel.MEMORY_AND_DISK), path
 
 
-def _dropped(df: DataFrame, path: str) -> None:
+def _dropped(state: RDD, path: str) -> None:
     """Removes an intermediate table of this run once the next one is whole."""
-    spark = df.sparkSession
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    place = state.ctx._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(state.ctx._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def grow(df: DataFrame, models: list[Booster], cols: Sequence[str], month: Column, label: str = LABEL,
@@ -536,7 +537,7 @@ def _grown_side_by_side(rows: DataFrame, models: list[Booster], n: int) -> list[
     bins = np.concatenate([p.bins for p in parts] or [np.empty((0, width), np.uint8)])
     order = np.lexsort((key, month))
     data = (key[order].astype("<i8").tobytes() + month[order].astype("<i4").tobytes()
-            + label[order].astype("u1").tobytes() + bins[order].tobytes())
+            + label[order].astype("u1").tobytes() + bins[order].T.tobytes())
     shared = spark.sparkContext.broadcast((len(order), data, models))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -555,69 +556,126 @@ def _grown_side_by_side(rows: DataFrame, models: list[Booster], n: int) -> list[
 
 
 def _grown_together(rows: DataFrame, models: list[Booster], n: int) -> list[Booster]:
-    state, path = _store(_blocks(rows, models[0].edges, [m.last for m in models], n), "boosting")
-    width = len(models[0].edges)
-    found = _summed(state, models, lambda cut, k, size, margin: cut.counts(size), lambda k, total: total)
+    blocks = _blocks(rows, models[0].edges, [m.last for m in models], n).rdd
+    state, path = _store(rows.sparkSession, blocks.map(_cut_rows([replace(m, edges=[]) for m in models])))
+    width, tasks = len(models[0].edges), -(-len(models) // MODELS_A_BLOCK)
+    found = _met(_summed(state, models, lambda cut, k, size, margin: cut.counts(size)), tasks)
     for k, x in found.items():
         _start(models[k], x)
     light = [replace(m, edges=[], trees=[]) for m in models]  # what tasks need of a model
-    new: list[list[Tree]] = [[] for _ in models]  # trees that the stored margins do not hold yet
-    for t in range(max(m.growth.n_estimators for m in models)):
+    trees = max(m.growth.n_estimators for m in models)
+    before = None  # the state of the last tree, which the first pass over the next one reads
+    for t in range(trees):
         growing = {k: _Growing(m.growth, _columns(m.growth, t, width)) for k, m in enumerate(models)
                    if t < m.growth.n_estimators}
+        known: dict[int, dict[int, np.ndarray]] = {k: {} for k in growing}  # sums of nodes, where they met here
         while asked := {k: nodes for k, g in growing.items() if (nodes := g.unknown())}:
-            found = _summed(state, light, *_level(light, growing, asked, new, t, width))
-            for k, nodes in asked.items():
-                _answer(growing[k], nodes, found[k].reshape(len(nodes), 9) if k in found else None)
-        for k, g in growing.items():
-            tree = g.tree()
+            number = sum(len(nodes) for nodes in asked.values()) * width * (BINS + 1) * 3
+            if 8 * number * state.getNumPartitions() <= SUMS_BYTES:
+                direct = {k: _smaller(growing[k], nodes, known[k]) for k, nodes in asked.items()}
+                found = _met(_summed(state, light, _gradients(light, growing, direct, t, width)), 0)
+                for k, nodes in asked.items():
+                    if k in found:
+                        own = found[k].reshape(len(direct[k]), width, BINS + 1, 3)
+                        whole = _with_larger(growing[k], nodes, dict(zip(direct[k], own, strict=True)), known[k])
+                        best = best_splits(whole, models[k].growth, growing[k].columns)
+                    _answer(growing[k], nodes, best if k in found else None)
+            else:
+                columns = {k: growing[k].columns for k in asked}
+                found = (_summed(state, light, _gradients(light, growing, asked, t, width))
+                         .reduceByKey(lambda a, b: a + b, tasks)
+                         .map(lambda r, columns=columns: (r[0], best_splits(
+                             r[1].reshape(-1, width, BINS + 1, 3), light[r[0]].growth, columns[r[0]]))).collectAsMap())
+                for k, nodes in asked.items():
+                    _answer(growing[k], nodes, found.get(k))
+            if before is not None:
+                before.unpersist()
+                before = None
+        new = {k: g.tree() for k, g in growing.items()}
+        for k, tree in new.items():
             models[k].trees.append(tree)
-            new[k].append(tree)
-        if (t + 1) % TREES_A_CHECKPOINT == 0:
-            held = path
-            state, path = _store(state.mapInArrow(_advance(light, new), state.schema), "boosting")
-            _dropped(state, held)
-            new = [[] for _ in models]
+        if t + 1 < trees:
+            before, state = state, state.mapPartitions(_advance(light, new))
+            if (t + 1) % TREES_A_CHECKPOINT:
+                state = state.persist(StorageLevel.MEMORY_AND_DISK)
+            else:  # ends the lineage, and what a lost executor costs
+                old, (state, path) = path, _store(rows.sparkSession, state)
+                _dropped(state, old)
+    state.unpersist()
     _dropped(state, path)
     return models
 
 
-def _level(models: list[Booster], growing: dict[int, _Growing], asked: dict[int, list[int]], new: list[list[Tree]],
-           t: int, width: int):
-    """The two functions of a pass: a block's sums for the asked nodes, and the splits of their totals."""
-    shapes = {k: growing[k].arrays() for k in asked}
-    columns = {k: growing[k].columns for k in asked}
-    slots = {}
-    for k, nodes in asked.items():
-        slots[k] = np.full(len(growing[k].depth), -1)
-        slots[k][nodes] = np.arange(len(nodes))
+def _parent(growing: _Growing) -> dict[int, int]:
+    return {c: p for p, children in enumerate(growing.children) if children for c in children}
 
-    def gradients(cut: _Cut, k: int, size: int, margin):
-        if k not in slots:
-            return None
-        m = models[k]
-        bins, total = cut.margin(m, size, margin, new[k])
-        slot = slots[k][_walk(*shapes[k], bins)]
-        used = slot >= 0
-        if m.growth.subsample < 1:
-            used &= _drawn(cut.key[:size], m.growth, t)
-        p = 1 / (1 + np.exp(-(total + m.base)))
-        return _cells(slot[used], len(asked[k]), bins[used], (p - cut.label[:size])[used], (p * (1 - p))[used])
 
-    def split(k: int, total: np.ndarray) -> np.ndarray:
-        return best_splits(total.reshape(-1, width, BINS + 1, 3), models[k].growth, columns[k])
+def _smaller(growing: _Growing, nodes: list[int], known: dict[int, np.ndarray]) -> list[int]:
+    """The asked nodes whose sums must come from rows: of two children of a large known node only the smaller."""
+    parent, made = _parent(growing), []
+    for node in nodes:
+        p = parent.get(node)
+        if p in known and growing.sums[p][2] >= DERIVED_ROWS and set(growing.children[p]) <= set(nodes):
+            least = min(growing.children[p], key=lambda c: (growing.sums[c][2], c))
+            if node != least:
+                continue
+        made.append(node)
+    return made
+
 
-    return gradients, split
+def _with_larger(growing: _Growing, nodes: list[int], found: dict[int, np.ndarray],
+                 known: dict[int, np.ndarray]) -> np.ndarray:
+    """The sums of all asked nodes, the larger children's derived; all become known."""
+    parent = _parent(growing)
+    for node in nodes:
+        if node not in found:
+            a, b = growing.children[parent[node]]
+            rest = known[parent[node]] - found[b if node == a else a]
+            rest[rest[..., 2] == 0] = 0.0  # what rounding leaves of no rows
+            found[node] = rest
+    known.update(found)
+    return np.stack([found[node] for node in nodes])
 
 
-def _advance(models: list[Booster], new: list[list[Tree]]):
+def _gradients(models: list[Booster], growing: dict[int, _Growing], asked: dict[int, list[int]], t: int, width: int):
+    """A block's sums for the asked nodes."""
+    shapes = {k: growing[k].arrays() for k in asked}
+    columns = {k: growing[k].columns for k in asked}
+    above = {}  # the asked nodes and all nodes on the way to them
+    for k, nodes in asked.items():
+        parent, above[k] = _parent(growing[k]), set(nodes)
+        for node in nodes:
+            while node in parent:
+                node = parent[node]
+                above[k].add(node)
+
+    def sums(cut: _Cut, k: int, size: int, margin):
+        if k not in asked:
+            return None
+        m, nodes = models[k], asked[k]
+        bins, slot = cut.columns(m, size), {node: i for i, node in enumerate(nodes)}
+        wanted = {0, *columns[k].tolist()}  # the first feature's bins give a node's whole sums
+        drawn = _drawn(cut.key[:size], m.growth, t) if m.growth.subsample < 1 else None
+        made = np.zeros((len(nodes), width, BINS + 1, 3))
+        for node, own in _parted(*shapes[k], bins, size, above[k]):
+            if node in slot:
+                if drawn is not None:
+                    own = np.flatnonzero(drawn) if node == 0 else own[drawn[own]]
+                p = 1 / (1 + np.exp(-(margin[own] + m.base)))
+                made[slot[node]] = _node_sums(bins, wanted, own, p - cut.label[:size][own], p * (1 - p))
+        return made.ravel()
+
+    return sums
+
+
+def _advance(models: list[Booster], new: dict[int, Tree]):
     """Margins with the new trees."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, cut in _cuts(batches, models):
-            made = [cut.margin(models[k], size, margin, new[k])[1] for k, size, margin in cut.own]
-            data = np.concatenate(made).astype("<f4").tobytes() if made else b""
-            yield pa.RecordBatch.from_arrays([*row.columns[:4], pa.array([data], pa.binary())],
-                                             names=["block", "part", "n", "data", "margins"])
+    def run(rows: Iterator[tuple]) -> Iterator[tuple]:
+        for row in rows:
+            cut = _Cut(*row, models)
+            made = [margin + new[k].margins(cut.columns(models[k], size), size) if k in new else margin
+                    for k, size, margin in cut.own]
+            yield *row[:4], np.concatenate(made).astype("<f8").tobytes() if made else b""
 
     return run
 

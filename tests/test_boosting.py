@@ -101,6 +101,27 @@ def test_both_ways_grow_the_same_trees(table, monkeypatch):
                    for s, t in zip(a.trees, b.trees, strict=True))
 
 
+@pytest.mark.parametrize("here", [True, False])
+def test_growing_together_derives_larger_children_over_several_checkpoints(table, monkeypatch, here):
+    df, x, _, _ = table
+    model = B.Booster("lightgbm", 4, B.growth("lightgbm", {"n_estimators": 5}))
+    near = B.grow(df, [model], COLS, F.col("m"))[0]
+    for name, value in (("BLOCK_ROWS", 100), ("DERIVED_ROWS", 0), ("TREES_A_CHECKPOINT", 2),
+                        ("SUMS_BYTES", 1 << 30 if here else 0)):
+        monkeypatch.setattr(B, name, value)
+    summed, gradients = [], B._gradients
+
+    def counted(models, growing, asked, t, width):
+        summed.append((len(asked[0]), len(growing[0].unknown())))
+        return gradients(models, growing, asked, t, width)
+
+    monkeypatch.setattr(B, "_gradients", counted)
+    far = B.grow(df, [model], COLS, F.col("m"), shared_bytes=0)[0]
+    np.testing.assert_allclose(near.margin(near.bins(x)), far.margin(far.bins(x)), atol=1e-9)
+    read, asked = np.array(summed).sum(axis=0)
+    assert read <= 0.6 * asked if here else read == asked  # one of two children needs no rows
+
+
 def test_windows_without_rows_or_of_one_label(spark, table):
     df = table[0]
     models = B.grow(df, [B.Booster("xgboost", -5, B.growth("xgboost", {"n_estimators": 2})),
