@@ -52,6 +52,33 @@ def test_average_rank_matches_pandas(spark, skewed):
     np.testing.assert_allclose(got_d.ar.values, pdf.sort_values("CustomerID").v.rank(method="average", ascending=False).values)
 
 
+def test_ranks_of_hot_values_fill_no_task(spark, monkeypatch):
+    from retentia.operators import rank as R
+    n = 4000
+    rng = np.random.default_rng(3)
+    v = np.where(np.arange(n) % 2 == 0, 5.0, rng.integers(0, 900, n).astype(float))
+    few = np.where(np.arange(n) % 4 == 0, 2.0, 1.0)
+    pdf = pd.DataFrame({"CustomerID": np.arange(n), "v": pd.Series(v).mask(np.arange(n) % 11 == 0), "few": few})
+    df = spark.createDataFrame(pdf).withColumn("v", F.nanvl("v", F.lit(None)))
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold",
+                                           "spark.sql.shuffle.partitions")}
+    try:
+        for k, x in zip(kept, ("false", "-1", "16"), strict=True):
+            spark.conf.set(k, x)
+        monkeypatch.setattr(R, "BROADCAST_VALUES", 100)
+        monkeypatch.setattr(R, "HOT_SHARE", 50)
+        out, bounds = R.average_ranks(df, [("v", "rv", True), ("few", "rf", False)])
+        sizes = out.groupBy(F.spark_partition_id().alias("p")).count().toPandas()["count"]
+        got = out.toPandas().sort_values("CustomerID")
+    finally:
+        for k, x in kept.items():
+            spark.conf.set(k, x)
+    assert sizes.max() < 0.2 * n  # a value of half of the rows, and the nulls, are spread
+    np.testing.assert_allclose(got.rv.values, pdf.v.rank(method="average").values)
+    np.testing.assert_allclose(got.rf.values, pdf.few.rank(method="average", ascending=False).values)
+    assert bounds["rf"] == (got.rf.min(), got.rf.max())
+
+
 def test_exact_quantiles_match_numpy(spark, skewed):
     df, pdf = skewed
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 0.99, 1.0]
