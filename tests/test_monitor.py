@@ -70,3 +70,28 @@ def test_monthly_psi_matches_whole_table_psi_for_one_month(spark, frame):
         assert monthly[f] == pytest.approx(whole[f], abs=1e-12)
     trend = M.psi_trend(M.monthly_psi(prof, one, ["x", "y"])).collect()
     assert len(trend) == 1 and trend[0].previous_top_psi is None
+
+
+def test_profile_and_drift_read_the_rows_once(spark, monkeypatch):
+    r = np.random.default_rng(11)
+    ref = pd.DataFrame({"a": np.round(r.normal(size=800), 1), "b": r.integers(0, 3, 800).astype(float)})
+    now = pd.DataFrame({"a": np.round(r.normal(0.5, 1, 600), 1), "b": r.integers(0, 4, 600).astype(float)})
+    frames = [spark.createDataFrame(p).withColumn("a", F.when(F.col("b") < 3, F.col("a"))) for p in (ref, now)]
+    calls, long = [], M._long
+    monkeypatch.setattr(M, "_long", lambda df, cols: calls.append(1) or long(df, cols))
+    profile = M.reference_profile(frames[0], ["a", "b"])
+    assert len(calls) == 1
+    got = {x.feature: x for x in M.drift_report(profile, frames[1], ["a", "b"]).collect()}
+    assert len(calls) == 2
+    now.loc[now.b >= 3, "a"] = np.nan
+    for c in ("a", "b"):
+        values = now[c].dropna()
+        assert got[c].n_rows_current == 600
+        assert got[c].missing_rate_current == pytest.approx(now[c].isna().mean())
+        assert [got[c].mean_current, got[c].p50_current, got[c].p90_current, got[c].p99_current] == pytest.approx(
+            [values.mean(), *np.quantile(values, [0.5, 0.9, 0.99])])
+        u = np.unique(np.quantile(ref[c], np.linspace(0, 1, 11)))
+        cuts = [-np.inf, *u[1:-1], np.inf]
+        e, a = (np.histogram(v, cuts)[0] + 1e-8 for v in (ref[c], values))
+        e, a = e / e.sum(), a / a.sum()
+        assert got[c].psi == pytest.approx(((a - e) * np.log(a / e)).sum())
