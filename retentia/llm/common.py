@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retentia.session import ensure_checkpoint_dir
+from retentia.sources.paths import hadoop
+
+# Folders of the tables written so far by the innermost ``distilled``.
+_PASSING: ContextVar[list[str] | None] = ContextVar("passing", default=None)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,10 +30,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     the files, and their size is known to the planner when it picks joins."""
     spark = df.sparkSession
     path = shared_path(spark, name)
+    if (passing := _PASSING.get()) is not None:
+        passing.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def distilled(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """``written`` of the table that ``make`` gives. Tables written on the way to it are deleted: no
+    later plan may read them, so ``make`` hands out nothing but its table."""
+    passing: list[str] = []
+    try:
+        token = _PASSING.set(passing)
+        try:
+            made = make()
+        finally:
+            _PASSING.reset(token)
+        return written(made, name)
+    finally:
+        for path in passing:
+            fs, place = hadoop(spark, path)
+            fs.delete(place, True)
+
+
 def partitions(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 

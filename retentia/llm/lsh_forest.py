@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retentia.llm.common import text_of, written
+from retentia.llm.common import distilled, text_of, written
 from retentia.llm.graph import block_pairs, components, groups, spanning
 
 WORDS, THRESHOLD = 5, 0.8
@@ -390,14 +390,15 @@ def decided(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .withColumn("rep", F.monotonically_increasing_id()), "text-classes")
     reps, classes = classes.select("rep", "sig"), classes.drop("sig")
     depth = matched_depth(threshold, target_recall)
-    family = written(components(families(reps, depth, threshold, block_rows))
-                     .toDF("rep", "family").join(classes, "rep"), "families")
+    spark = docs.sparkSession
+    family = distilled(spark, lambda: components(families(reps, depth, threshold, block_rows))
+                       .toDF("rep", "family").join(classes, "rep"), "families")
     members = (texts.select(F.col("doc_id").alias("first"), F.md5("text").alias("cls"), "text")
                .join(family.hint("merge"), ["first", "cls"]).select("rep", "family", "size", "text"))
     links = written(verified(members, threshold, n_words, block_rows, block_chars), "exact-links")
     counted = links.groupBy("rep").agg(F.sum("linked").alias("linked"))
-    joined = written(components(links.filter("rep <> b").select(F.col("rep").alias("a"), "b"))
-                     .toDF("rep", "component"), "link-components")
+    joined = distilled(spark, lambda: components(links.filter("rep <> b").select(F.col("rep").alias("a"), "b"))
+                       .toDF("rep", "component"), "link-components")
     # the smallest document of a component; of its texts under that id, the one of smallest md5
     least = (joined.join(classes, "rep").groupBy("component")
              .agg(F.min(F.struct("first", "cls")).alias("least")))

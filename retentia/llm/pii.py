@@ -295,9 +295,11 @@ def redacted(text: Column, spans: Column) -> Column:
 
 def redact(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """``docs`` with base and found spans replaced in the text; null texts stay null."""
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
-                         F.col(f"`{text_col}`").alias("text"))
-    found = find(packed, "text", keep=("doc", "text"), **options)
+    # the text is not among the packed columns: it would be written twice
+    others = [c for c in docs.columns if c != text_col]
+    doc = [F.struct(*[F.col(f"`{c}`") for c in others]).alias("doc")] if others else []
+    packed = docs.select(*doc, F.col(f"`{text_col}`").alias("text"))
+    found = find(packed, "text", keep=tuple(packed.columns), **options)
     made = F.when(F.col("text").isNotNull(), redacted(F.col("text"), F.col("spans")))
     return found.select(*[made.alias(c) if c == text_col else F.col("doc").getField(c).alias(c)
                           for c in docs.columns])

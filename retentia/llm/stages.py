@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retentia.llm import byte_bpe, lsh_forest, mixing, pii, toxicity, training
-from retentia.llm.common import table, text_of, written
+from retentia.llm.common import distilled, table, text_of, written
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -38,9 +38,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """One document of each group of linked ones stays, that with the smallest doc_id. Rows go
     by id and text, so another text under the same id stays; of rows with the same id and the same text
     the first by their other columns stays. Rows with a null id stay."""
-    decided = lsh_forest.decided(docs)
-    gone = written(decided.filter(~F.col("kept") & F.col("cls").isNotNull())
-                   .select(F.col("doc_id").alias("id"), "cls").distinct(), "near-copies")
+    gone = distilled(spark, lambda: lsh_forest.decided(docs).filter(~F.col("kept") & F.col("cls").isNotNull())
+                     .select(F.col("doc_id").alias("id"), "cls").distinct(), "near-copies")
     keyed = packed(docs).select("doc", "text", F.col("doc.doc_id").alias("id"), F.md5(text_of()).alias("cls"))
     keyed = keyed.join(gone, ["id", "cls"], "left_anti")
     again = written(keyed.filter("id IS NOT NULL").groupBy("id", "cls").agg(F.count(F.lit(1)).alias("n"))

@@ -182,3 +182,42 @@ def test_stages_keep_columns_of_any_name(spark):
     assert made.columns == ["doc_id", "lang", "source", "n_chars", "a.b", "_text", "cls", "token_ids", "n_tokens", "n_bytes"]
     assert {r["a.b"]: r.n_bytes for r in made.collect()} == {7: 11, 8: 11, None: 0}
     assert stages.reject_toxic(spark, df, SF_SMALL).columns == df.columns
+
+
+def test_near_copies_leave_only_the_decision_on_disk(spark, monkeypatch, tmp_path):
+    from retentia.llm import common
+    monkeypatch.setattr(common, "ensure_checkpoint_dir", lambda spark: str(tmp_path))
+    words = [f"word{k}" for k in range(60)]
+    texts = [" ".join(words), " ".join([*words[:-1], "other"]), "a text that stands for itself " * 5]
+    df = spark.createDataFrame([(i, t, "en", "web", len(t)) for i, t in enumerate(texts)],
+                               "doc_id long, text string, lang string, source string, n_chars long")
+    left = stages.drop_near_copies(spark, df, SF_SMALL)
+    names = {p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()}
+    assert names == {"near-copies", "repeated-rows"}
+    assert [r.doc_id for r in left.orderBy("doc_id").collect()] == [0, 2]
+    tables = [common.written(df, "outer")]
+    made = common.distilled(spark, lambda: common.written(
+        common.distilled(spark, lambda: common.written(df, "inner").limit(2), "middle"), "last"), "made")
+    assert made.count() == 2 and tables[0].count() == 3
+    assert {p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()} - names == {"outer", "made"}
+    with pytest.raises(ZeroDivisionError):
+        common.distilled(spark, lambda: common.written(df, "lost") and 1 / 0, "never")
+    assert not [p for p in tmp_path.iterdir() if p.name.startswith("lost")]
+
+
+def test_redact_writes_a_text_once(spark, monkeypatch):
+    tables = {}
+
+    def spied(df, name):
+        tables[name] = df.schema
+        return written(df, name)
+
+    written = pii.written
+    monkeypatch.setattr(pii, "written", spied)
+    df = spark.createDataFrame([(1, "mail a@b.cd now", "x"), (None, None, None)], "doc_id long, text string, `a.b` string")
+    made = pii.redact(df)
+    kept = tables["pii-spans"]["keep"].dataType
+    assert kept.names == ["doc", "text"] and kept["doc"].dataType.names == ["doc_id", "a.b"]
+    assert made.columns == df.columns
+    assert sorted(map(tuple, made.collect()), key=str) == [(1, "mail <EMAIL> now", "x"), (None, None, None)]
+    assert [r.text for r in pii.redact(df.select("text")).filter("text IS NOT NULL").collect()] == ["mail <EMAIL> now"]
