@@ -200,3 +200,80 @@ def test_a_fitted_boosted_family_is_saved_and_explained(spark, table, tmp_path):
         put = {r.CustomerID: r.churn_prob_raw for r in put}
         for r in explain_occlusion(rows, tm, ["CustomerID"]).collect():
             assert r.contributions[i].contribution == pytest.approx(want[r.CustomerID][0] - put[r.CustomerID])
+
+
+def walked(tree, bins):
+    """Margins by walking each row down."""
+    made = []
+    for row in bins:
+        node = 0
+        while tree.feature[node] >= 0:
+            node = (tree.left if row[tree.feature[node]] <= tree.threshold[node] else tree.right)[node]
+        made.append(tree.value[node])
+    return np.array(made)
+
+
+@pytest.mark.parametrize("leaves", [1, 31, 64, 90])
+def test_sets_of_leaves_give_what_a_walk_gives(leaves):
+    r = np.random.default_rng(leaves)
+    feature, threshold, left, right = [-1], [0], [0], [0]
+    while feature.count(-1) < leaves:  # split a leaf at random
+        node = r.choice([i for i, f in enumerate(feature) if f < 0])
+        feature[node], threshold[node], left[node], right[node] = r.integers(4), r.integers(1, 30), len(feature), len(feature) + 1
+        feature, threshold, left, right = ([*x, y, y] for x, y in ((feature, -1), (threshold, 0), (left, 0), (right, 0)))
+    tree = B.Tree(*(np.array(x) for x in (feature, threshold, left, right)), r.normal(size=len(feature)), np.ones(len(feature)))
+    assert (tree.words() is None) == (leaves > B.PLACES)
+    bins = r.integers(1, 32, (2000, 4)).astype(np.uint8)
+    assert (tree.margin(bins) == walked(tree, bins)).all()
+    model = B.Booster("x", 0, B.Growth(), [np.arange(30.0)] * 4, np.ones(4, int), 0.5, [tree, tree])
+    assert model.margin(bins) == pytest.approx(0.5 + 2 * walked(tree, bins))
+    put = np.array([3, 20, 9, 30])
+    for f, got in enumerate(model.occluded(bins, put)[1:]):
+        variant = bins.copy()
+        variant[:, f] = put[f]
+        assert got == pytest.approx(0.5 + 2 * walked(tree, variant))
+    base, parts = model.contributions(bins)
+    assert base + parts.sum(axis=1) == pytest.approx(model.margin(bins))
+
+
+def test_joint_sums_and_derived_children_grow_the_trees_of_plain_sums(monkeypatch):
+    r = np.random.default_rng(3)
+    n = 3000
+    data = r.normal(size=(n, 5))
+    rows = B._Rows.__new__(B._Rows)
+    edges = [np.quantile(data[:, f], np.linspace(0.02, 0.98, k)) for f, k in enumerate((62, 62, 40, 3, 20))]
+    rows.key, rows.month = r.integers(-2**62, 2**62, n), np.zeros(n, "<i4")
+    rows.label = (data[:, 0] + data[:, 1] * data[:, 2] + r.normal(size=n) > 0).astype(float)
+    rows.bins = np.asfortranarray(B.quantised(data, edges))
+    for family in ("xgboost", "lightgbm"):
+        model = B.Booster(family, 0, B.growth(family, {"n_estimators": 5}), edges)
+        plain = B.grown(model, rows)
+        calls = []
+        with monkeypatch.context() as m:
+            m.setattr(B, "MIN_ROWS", 1)
+            m.setattr(B, "JOINT_ROWS", 100)
+            summed = B._joint_sums
+            m.setattr(B, "_joint_sums", lambda codes, *a: calls.append(len(codes)) or summed(codes, *a))
+            joint = B.grown(B.replace(model, trees=[]), rows)
+        assert calls and max(calls) < 5  # fewer sums than features
+        for a, b in zip(plain.trees, joint.trees, strict=True):
+            np.testing.assert_allclose(a.margin(rows.bins), b.margin(rows.bins), atol=1e-6)
+        plain.trees.clear()
+
+
+def test_many_windows_score_larger_batches(spark, table, monkeypatch):
+    df, x, _, m = table
+    models = B.grow(df, [B.Booster("lightgbm", last, B.growth("lightgbm", {"n_estimators": 3})) for last in (4, 6)],
+                    COLS, F.col("m"))
+    rows = df.coalesce(1).withColumn("id", F.monotonically_increasing_id())
+    sizes = []
+    monkeypatch.setattr(B, "WINDOW_ROWS", 300)
+    for batch in B._gathered(iter(__import__("pyarrow").Table.from_pandas(rows.toPandas()).to_batches(max_chunksize=70)), 300):
+        sizes.append(batch.num_rows)
+    assert sum(sizes) == 900 and all(s >= 300 for s in sizes[:-1]) and max(sizes) < 400
+    got = B.score_windows(rows, models, [[(5, 6, "calibrate"), (7, 8, "test")], [(7, 7, "calibrate")]], COLS, "m", ["id"])
+    got = got.toPandas()
+    assert len(got) == np.isin(m, [5, 6, 7, 8]).sum() + (m == 7).sum()
+    whole = {k: dict(zip(rows.toPandas().id, 1 / (1 + np.exp(-mod.margin(mod.bins(rows.select(*COLS).toPandas().to_numpy())))),
+                         strict=True)) for k, mod in enumerate(models)}
+    assert all(p == pytest.approx(whole[k][i]) for k, i, p in zip(got.k, got.id, got.churn_prob_raw))

@@ -136,3 +136,66 @@ def test_backtest_refits_every_family_in_every_fold(spark, training, monkeypatch
     np.testing.assert_allclose(own.brier_score, brier, atol=1e-6)
     assert {"backtest_refit_logistic", "backtest_refit_detail", "backtest_refit_summary",
             "backtest_refit_stability"} <= set(RM.register.__globals__["QUERIES"])
+
+
+def _same_as_library(spark, monkeypatch, rows):
+    """Every fold's logistic scores against a fit of its own by the library."""
+    from retentia.operators import backtest as BT
+
+    folds = BT.fold_table(rows).collect()
+    scored, held = BT.logistic_scores(rows, BT._calibrated_folds(rows, folds), {}, FEATURE_COLUMNS,
+                                      ["CustomerID", "invoice_month"])
+    assert held == {("logistic_regression", f["fold"]) for f in folds} and len(folds) >= 2
+    got = scored.toPandas().set_index(["fold", "CustomerID", "invoice_month"]).sort_index()
+    for f in folds:
+        want = train_and_score("logistic_regression", rows.filter(F.col("invoice_month") <= F.lit(f["train_end"])),
+                               rows.filter(F.col("invoice_month").between(f["test_start"], f["test_end"])),
+                               FEATURE_COLUMNS, {})[0].toPandas().set_index(["CustomerID", "invoice_month"]).sort_index()
+        own = got.loc[f["fold"]]
+        for c in ("churn_prob_raw", "churn_prob"):
+            np.testing.assert_allclose(own[c], want.loc[own.index, c], rtol=1e-7)
+
+
+def test_logistic_folds_fitted_together_equal_single_fits(spark, training, monkeypatch):
+    from retentia.operators import logistic as L
+
+    monkeypatch.setattr(L, "PIVOTS", 8)  # several passes for a median
+    monkeypatch.setattr(L, "CELL_PIVOTS", 2)
+    monkeypatch.setattr(L, "CHUNK_ROWS", 7)
+    first, second, third = FEATURE_COLUMNS[:3]
+    rows = training.withColumn("invoice_month", F.add_months(F.lit("2020-01-01").cast("date"),
+                                                             (F.col("CustomerID") % 10).cast("int")))
+    odd = (rows.withColumn(first, F.when(F.col("CustomerID") % 7 != 0, F.col(first)))  # nulls and NaN: medians
+           .withColumn(second, F.when(F.col("CustomerID") % 5 == 0, float("nan")).otherwise(F.col(second) * 1e6 + 3e6))
+           .withColumn(third, F.lit(2.5)).repartition(3))
+    _same_as_library(spark, monkeypatch, odd)
+
+
+def test_backtest_fits_no_fold_on_its_own(spark, training, monkeypatch):
+    from retentia.operators import backtest as BT
+
+    rows = training.withColumn("invoice_month", F.add_months(F.lit("2020-01-01").cast("date"),
+                                                             (F.col("CustomerID") % 12).cast("int")))
+
+    def single(*a):
+        raise AssertionError("a fold was fitted on its own")
+
+    monkeypatch.setattr(BT, "train_and_score", single)
+    detail, _ = BT.run_backtest(spark, rows, FEATURE_COLUMNS, (0.1,), {"logistic_regression": {},
+                                                                        "lightgbm": {"n_estimators": 2}})
+    assert detail.count() == 6
+
+
+def test_a_fold_of_one_label_to_fit_on_is_left_to_single_fits(spark, training):
+    from retentia.operators import backtest as BT
+
+    rows = training.withColumn("invoice_month", F.add_months(F.lit("2020-01-01").cast("date"),
+                                                             (F.col("CustomerID") % 8).cast("int")))
+    early = rows.withColumn("churn_90d", F.when(F.month("invoice_month") <= 4, 0).otherwise(F.col("churn_90d")))
+    calibrated = BT._calibrated_folds(early, BT.fold_table(early).collect())
+    assert [c["binary"] for c in calibrated] == [False]
+    assert BT.logistic_scores(early, calibrated, {}, FEATURE_COLUMNS, ["CustomerID"]) == (None, set())
+    empty = rows.withColumn(FEATURE_COLUMNS[0], F.lit(None).cast("double"))
+    with pytest.raises(ValueError, match="no training value"):
+        BT.logistic_scores(empty, BT._calibrated_folds(empty, BT.fold_table(empty).collect()), {}, FEATURE_COLUMNS,
+                           ["CustomerID"])
