@@ -199,3 +199,15 @@ def test_a_fold_of_one_label_to_fit_on_is_left_to_single_fits(spark, training):
     with pytest.raises(ValueError, match="no training value"):
         BT.logistic_scores(empty, BT._calibrated_folds(empty, BT.fold_table(empty).collect()), {}, FEATURE_COLUMNS,
                            ["CustomerID"])
+
+
+def test_model_comparison_builds_its_rows_once(spark, training, monkeypatch):
+    from retentia.plans import registry_models as RM
+
+    rows = training.withColumn("invoice_month", F.add_months(F.lit("1999-08-01").cast("date"),
+                                                             (F.col("CustomerID") % 14).cast("int")))
+    built = []
+    monkeypatch.setattr(RM, "features", lambda spark, sf: built.append(sf) or rows)
+    monkeypatch.setattr(RM, "SPECS", {"logistic_regression": {}, "lightgbm": {"n_estimators": 2}})
+    assert {r["model"] for r in RM.q_comparison(spark, "x").collect()} == set(RM.SPECS)
+    assert built == ["x"]
