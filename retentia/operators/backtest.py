@@ -87,7 +87,7 @@ def logistic_scores(features: DataFrame, calibrated: list[dict], params: dict, f
         return None, set()
     month, width, p = _month_number("invoice_month"), len(feature_cols), params or {}
     end = max(c["calibrate"][1] for c in own)
-    state = L.blocks(features.filter(month <= end), feature_cols, month, LABEL, max(c["rows"] for c in own))
+    state = L.blocks(features.filter(month <= end), feature_cols, month, F.col(LABEL), max(c["rows"] for c in own))
     try:
         fits, centre = L.fit_windows(state, width, [c["last"] for c in own], feature_cols, float(p.get("C", LOGIT["C"])),
                                      int(p.get("max_iter", LOGIT["max_iter"])), float(p.get("tol", LOGIT["tol"])))

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 1 << 17
+TASK_ROWS = 1 << 21  # of the blocks that a task reads one after the other, at most
 CHUNK_ROWS = 1 << 12  # of a block that are evaluated together
 PIVOTS = 1000  # values of a column that a pass counts between, shared by its open cells
 CELL_PIVOTS = 16  # of an open cell, at least
@@ -46,10 +47,10 @@ class Fit:
 # ---- blocks ----------------------------------------------------------------------
 
 
-def blocks(df: DataFrame, cols: Sequence[str], month: Column, label: str, n: int) -> RDD:
+def blocks(df: DataFrame, cols: Sequence[str], month: Column, label: Column, n: int) -> RDD:
     """(rows, bytes) of blocks by month: months, labels, a column of doubles after the other, NaN for null."""
     value = F.array(*[F.coalesce(F.col(c).cast("double") + F.lit(0.0), F.lit(float("nan"))) for c in cols])
-    rows = df.select(month.cast("int").alias("month"), F.col(label).cast("int").alias("label"), value.alias("x"))
+    rows = df.select(month.cast("int").alias("month"), label.cast("int").alias("label"), value.alias("x"))
     width = len(cols)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,7 +76,7 @@ def blocks(df: DataFrame, cols: Sequence[str], month: Column, label: str, n: int
             yield block()
 
     slots = df.sparkSession.sparkContext.defaultParallelism
-    parts = -(-max(1, -(-n // BLOCK_ROWS)) // slots) * slots if n > slots << 12 else 1
+    parts = -(-n // (slots * TASK_ROWS)) * slots if n > slots << 12 else 1
     made = rows.repartition(parts).mapInArrow(run, "n int, data binary").rdd.map(lambda r: (r[0], bytes(r[1])))
     return made.persist(StorageLevel.MEMORY_AND_DISK)
 
