@@ -40,6 +40,7 @@ from ..session import ensure_checkpoint_dir
 
 BINS, BLOCK_ROWS, MODELS_A_BLOCK, TREES_A_CHECKPOINT = 64, 1 << 20, 10, 50
 MIN_ROWS = 1 << 14  # of a block, to deal rows to all cores
+BLOCKS_A_TASK = 4  # at most, read one after the other
 SHARED_BYTES = 64 << 20
 SUMS_BYTES = 32 << 20  # sums of a pass that may meet on the driver
 DERIVED_ROWS = 100_000  # from here on a larger child's sums are its parent's without the smaller child's
@@ -201,9 +202,8 @@ def _place(held: np.ndarray) -> np.ndarray:
     return ((held * _WORD) >> np.uint64(58)).view(np.int64)
 
 
-def _parted(feature, threshold, left, right, columns: Sequence[np.ndarray], size: int, only: set[int] | None = None):
-    """(node, an index of its rows) from the root down, for all nodes or those of ``only``; a node's children
-    follow it."""
+def _parted(feature, threshold, left, right, columns: Sequence[np.ndarray], size: int):
+    """(node, an index of its rows) from the root down; a node's children follow it."""
     held = [(0, slice(0, size))]
     while held:
         node, rows = held.pop()
@@ -211,9 +211,8 @@ def _parted(feature, threshold, left, right, columns: Sequence[np.ndarray], size
         if (f := feature[node]) >= 0:
             low = columns[f][rows] <= threshold[node]
             for child, side in ((right[node], False), (left[node], True)):
-                if only is None or child in only:
-                    taken = np.flatnonzero(low == side)
-                    held.append((child, taken if node == 0 else rows[taken]))
+                taken = np.flatnonzero(low == side)
+                held.append((child, taken if node == 0 else rows[taken]))
 
 
 def _columns_of(bins: np.ndarray) -> list[np.ndarray]:
@@ -238,6 +237,10 @@ class Booster:
     base: float = 0.0
     trees: list[Tree] = field(default_factory=list)
 
+    def sizes(self) -> list[int]:
+        """The number of bins of each feature, with that of null."""
+        return [len(e) + 2 for e in self.edges]
+
     def bins(self, raw: np.ndarray) -> np.ndarray:
         return filled(quantised(raw, self.edges), self.medians)
 
@@ -486,10 +489,10 @@ def _blocks(rows: DataFrame, edges: list[np.ndarray], last: list[int], n_rows: i
             yield block()
 
     slots = rows.sparkSession.sparkContext.defaultParallelism
-    blocks = max(1, -(-n_rows // most))
-    if n_rows > slots * MIN_ROWS:
-        blocks = -(-blocks // slots) * slots  # the cores end a pass together
-    return (rows.repartition(blocks)
+    tasks = max(1, -(-n_rows // most))
+    if n_rows > slots * MIN_ROWS:  # the cores end a pass together; a task costs as much as the sums of many rows
+        tasks = -(-tasks // (slots * BLOCKS_A_TASK)) * slots
+    return (rows.repartition(tasks)
             .mapInArrow(run, "part int, n int, data binary, margins binary"))
 
 
@@ -597,7 +600,7 @@ def grown(model: Booster, rows: _Rows) -> Booster:
     bins, label = filled(rows.bins[:size], model.medians), rows.label[:size]
     columns = _columns_of(bins)
     large = size >= MIN_ROWS
-    codes = _codes(columns, [len(e) + 2 for e in model.edges]) if large else []
+    codes = _codes(columns, model.sizes()) if large else []
     total = np.full(size, model.base)
     for t in range(g.n_estimators):
         p = 1 / (1 + np.exp(-total))
@@ -638,34 +641,82 @@ def grown(model: Booster, rows: _Rows) -> Booster:
 
 def _cut_rows(models: list[Booster]):
     """A block as a state row: part, n, the rows that each model of the part trains on, data without what no
-    model needs, margins."""
+    model needs (keys if rows are sampled, combinations of bins, labels), margins."""
     parts, sampled = -(-len(models) // MODELS_A_BLOCK), any(m.growth.subsample < 1 for m in models)
+    sizes_of = models[0].sizes()
 
     def run(row) -> tuple:
         part, n, data, margins = row
         rows = _Rows(n, data)
         sizes = [rows.upto(models[k].last) for k in range(part, len(models), parts)]
-        return part, n, sizes, bytes(data[:8 * n] if sampled else b"") + bytes(data[12 * n:]), bytes(margins)
+        codes = b"".join(c.astype("<u2").tobytes() for _, _, c in _codes(_columns_of(rows.bins), sizes_of))
+        return (part, n, sizes, bytes(data[:8 * n] if sampled else b"") + codes + bytes(data[12 * n:13 * n]),
+                bytes(margins))
 
     return run
 
 
-class _Cut(_Rows):
+class _Cut:
     """One state row: its rows and, for each model of its part, the rows and margins that it trains on."""
 
     def __init__(self, part: int, n: int, sizes: list[int], data: bytes, margins: bytes, models: list[Booster]) -> None:
         keys = 8 * n if any(m.growth.subsample < 1 for m in models) else 0
+        self.sizes = models[0].sizes()
+        self.groups = _joined(self.sizes)
         self.key = np.frombuffer(data, "<i8", n) if keys else None
-        self.label = np.frombuffer(data, "u1", n, keys)
-        self.bins = np.frombuffer(data, "u1", -1, keys + n).reshape(-1, n).T
+        self.codes = np.frombuffer(data, "<u2", n * len(self.groups), keys).reshape(-1, n)
+        self.label = np.frombuffer(data, "u1", n, keys + 2 * n * len(self.groups))
         margin, at, self.own = np.frombuffer(margins, "<f8"), 0, []
         for k, size in zip(range(part, len(models), -(-len(models) // MODELS_A_BLOCK)), sizes, strict=True):
             self.own.append((k, size, margin[at:at + size]))
             at += size
 
-    def columns(self, model: Booster, size: int) -> list[np.ndarray]:
-        made = [self.bins[:size, f] for f in range(self.bins.shape[1])]
-        return [c if c.all() else np.where(c == 0, np.uint8(m), c) for c, m in zip(made, model.medians, strict=True)]
+    def _by_group(self) -> list[tuple[list[int], list[int], np.ndarray]]:
+        return [(own, [self.sizes[f] for f in own], code) for own, code in zip(self.groups, self.codes, strict=True)]
+
+    def columns(self, model: Booster, own) -> list[np.ndarray]:
+        """The bins of the rows ``own``, a null's that of the median."""
+        made: list = [None] * len(self.sizes)
+        for features, sizes, code in self._by_group():
+            rest = code[own]
+            for f, size in zip(reversed(features), reversed(sizes)):
+                rest, at = np.divmod(rest, np.uint16(size))
+                made[f] = np.where(at == 0, np.uint16(model.medians[f]), at)
+        return made
+
+    def counts(self, size: int) -> np.ndarray:
+        """Rows by feature and bin, label sum and rows of a window."""
+        made = np.zeros((len(self.sizes), BINS + 1))
+        for features, sizes, code in self._by_group():
+            by = np.bincount(code[:size].astype(np.intp), minlength=int(np.prod(sizes))).reshape(sizes)
+            for axis, f in enumerate(features):
+                made[f, :sizes[axis]] = by.sum(axis=tuple(x for x in range(len(sizes)) if x != axis))
+        return np.concatenate([made.ravel(), [self.label[:size].sum(dtype=float), size]])
+
+    def sums(self, model: Booster, own: np.ndarray, wanted: set[int], g: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """``_node_sums`` of the rows ``own``."""
+        if len(own) < JOINT_ROWS:
+            return _node_sums(self.columns(model, own), wanted, slice(None), g, h)
+        made = _joint_sums(self._by_group(), len(self.sizes), own, g, h)
+        for f, median in enumerate(model.medians):
+            if made[f, 0].any():
+                made[f, int(median)] += made[f, 0]
+                made[f, 0] = 0.0
+        return made
+
+    def by_leaf(self, words: _Words, model: Booster, values: np.ndarray, size: int) -> np.ndarray:
+        """The value of each row's leaf, of ``values`` by place."""
+        tables = words.filled(model.medians).joint(self.groups, self.sizes)
+        if not tables:
+            return np.full(size, values[_PLACE[0]])
+        made = np.empty(size, values.dtype)
+        for a in range(0, size, CHUNK_ROWS):
+            b = min(a + CHUNK_ROWS, size)
+            held = tables[0][1].take(self.codes[tables[0][0], a:b])
+            for i, table in tables[1:]:
+                held &= table.take(self.codes[i, a:b])
+            made[a:b] = values.take(_place(held))
+        return made
 
 
 def _summed(state: RDD, models: list[Booster], sums) -> RDD:
@@ -694,7 +745,8 @@ def _met(made: RDD, tasks: int) -> dict[int, np.ndarray]:
 def _store(spark: SparkSession, state: RDD) -> tuple[RDD, str]:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/boosting-{uuid.uuid4().hex}"
     state.saveAsPickleFile(path)
-    return spark.sparkContext.pickleFile(path).persist(StorageLevel.MEMORY_AND_DISK), path
+    read = spark.sparkContext.pickleFile(path).coalesce(state.getNumPartitions())  # large files come in pieces
+    return read.persist(StorageLevel.MEMORY_AND_DISK), path
 
 
 def _dropped(state: RDD, path: str) -> None:
@@ -744,12 +796,12 @@ def _grown_side_by_side(rows: DataFrame, models: list[Booster], n: int) -> list[
 
 def _grown_together(rows: DataFrame, models: list[Booster], n: int) -> list[Booster]:
     blocks = _blocks(rows, models[0].edges, [m.last for m in models], n).rdd
-    state, path = _store(rows.sparkSession, blocks.map(_cut_rows([replace(m, edges=[]) for m in models])))
+    state, path = _store(rows.sparkSession, blocks.map(_cut_rows([replace(m, trees=[]) for m in models])))
     width, tasks = len(models[0].edges), -(-len(models) // MODELS_A_BLOCK)
     found = _met(_summed(state, models, lambda cut, k, size, margin: cut.counts(size)), tasks)
     for k, x in found.items():
         _start(models[k], x)
-    light = [replace(m, edges=[], trees=[]) for m in models]  # what tasks need of a model
+    light = [replace(m, trees=[]) for m in models]  # what tasks need of a model
     trees = max(m.growth.n_estimators for m in models)
     before = None  # the state of the last tree, which the first pass over the next one reads
     for t in range(trees):
@@ -826,31 +878,41 @@ def _with_larger(growing: _Growing, nodes: list[int], found: dict[int, np.ndarra
 
 
 def _gradients(models: list[Booster], growing: dict[int, _Growing], asked: dict[int, list[int]], t: int, width: int):
-    """A block's sums for the asked nodes."""
+    """A block's sums for the asked nodes, which are leaves of the trees so far."""
     shapes = {k: growing[k].arrays() for k in asked}
+    words = {k: _Words.of(*shape) for k, shape in shapes.items()}
     columns = {k: growing[k].columns for k in asked}
-    above = {}  # the asked nodes and all nodes on the way to them
+    slots = {}
     for k, nodes in asked.items():
-        parent, above[k] = _parent(growing[k]), set(nodes)
-        for node in nodes:
-            while node in parent:
-                node = parent[node]
-                above[k].add(node)
+        slots[k] = np.full(len(shapes[k][0]), -1, np.int16)
+        slots[k][nodes] = np.arange(len(nodes))
+
+    def rows_of(cut: _Cut, k: int, size: int) -> Iterator[tuple[int, np.ndarray]]:
+        """(place among the asked, its rows in their order)."""
+        if words[k] is None:
+            for node, own in _parted(*shapes[k], cut.columns(models[k], slice(0, size)), size):
+                if slots[k][node] >= 0:
+                    yield slots[k][node], own
+            return
+        slot = cut.by_leaf(words[k], models[k], words[k].by_place(slots[k].astype(np.int8), np.int8(-1)), size)
+        own = np.flatnonzero(slot >= 0)
+        part = slot.take(own)
+        own = own.take(np.argsort(part, kind="stable"))
+        ends = np.cumsum(np.bincount(part, minlength=len(asked[k])))
+        for i, (a, b) in enumerate(zip([0, *ends], ends)):
+            yield i, own[a:b]
 
     def sums(cut: _Cut, k: int, size: int, margin):
         if k not in asked:
             return None
-        m, nodes = models[k], asked[k]
-        bins, slot = cut.columns(m, size), {node: i for i, node in enumerate(nodes)}
+        m = models[k]
         wanted = {0, *columns[k].tolist()}  # the first feature's bins give a node's whole sums
-        drawn = _drawn(cut.key[:size], m.growth, t) if m.growth.subsample < 1 else None
-        made = np.zeros((len(nodes), width, BINS + 1, 3))
-        for node, own in _parted(*shapes[k], bins, size, above[k]):
-            if node in slot:
-                if drawn is not None:
-                    own = np.flatnonzero(drawn) if node == 0 else own[drawn[own]]
-                p = 1 / (1 + np.exp(-(margin[own] + m.base)))
-                made[slot[node]] = _node_sums(bins, wanted, own, p - cut.label[:size][own], p * (1 - p))
+        made = np.zeros((len(asked[k]), width, BINS + 1, 3))
+        for i, own in rows_of(cut, k, size):
+            if m.growth.subsample < 1:
+                own = own.take(np.flatnonzero(_drawn(cut.key.take(own), m.growth, t)))
+            p = 1 / (1 + np.exp(-(margin.take(own) + m.base)))
+            made[i] = cut.sums(m, own, wanted, p - cut.label.take(own), p * (1 - p))
         return made.ravel()
 
     return sums
@@ -858,11 +920,16 @@ def _gradients(models: list[Booster], growing: dict[int, _Growing], asked: dict[
 
 def _advance(models: list[Booster], new: dict[int, Tree]):
     """Margins with the new trees."""
+    def moved(cut: _Cut, k: int, size: int, margin: np.ndarray) -> np.ndarray:
+        if k not in new:
+            return margin
+        if (words := new[k].words()) is None:
+            return margin + new[k].margins(cut.columns(models[k], slice(0, size)), size)
+        return margin + cut.by_leaf(words, models[k], words.by_place(new[k].value), size)
+
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         for row in rows:
-            cut = _Cut(*row, models)
-            made = [margin + new[k].margins(cut.columns(models[k], size), size) if k in new else margin
-                    for k, size, margin in cut.own]
+            made = [moved(cut, *own) for cut in [_Cut(*row, models)] for own in cut.own]
             yield *row[:4], np.concatenate(made).astype("<f8").tobytes() if made else b""
 
     return run

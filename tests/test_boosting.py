@@ -277,3 +277,40 @@ def test_many_windows_score_larger_batches(spark, table, monkeypatch):
     whole = {k: dict(zip(rows.toPandas().id, 1 / (1 + np.exp(-mod.margin(mod.bins(rows.select(*COLS).toPandas().to_numpy())))),
                          strict=True)) for k, mod in enumerate(models)}
     assert all(p == pytest.approx(whole[k][i]) for k, i, p in zip(got.k, got.id, got.churn_prob_raw))
+
+
+def test_a_block_of_joint_bins_sums_and_places_its_rows(monkeypatch):
+    r = np.random.default_rng(7)
+    n, sizes = 1500, (64, 64, 30, 5)
+    bins = np.column_stack([r.integers(0, s, n) for s in sizes]).astype(np.uint8)  # 0: null
+    data = (r.integers(-2**62, 2**62, n).astype("<i8").tobytes() + np.zeros(n, "<i4").tobytes()
+            + r.integers(0, 2, n).astype("u1").tobytes() + np.ascontiguousarray(bins.T).tobytes())
+    model = B.Booster("xgboost", 0, B.growth("xgboost"), [np.arange(s - 2.0) for s in sizes], np.array([9, 20, 3, 2]))
+    cut = B._Cut(*B._cut_rows([model])((0, n, data, bytes(8 * n))), [model])
+    full = [np.where(bins[:, f] == 0, model.medians[f], bins[:, f]) for f in range(4)]
+    assert all((a == b).all() for a, b in zip(cut.columns(model, slice(0, n)), full))
+    assert (cut.counts(n) == B._Rows(n, data).counts(n)).all()
+    own, g, h = np.sort(r.choice(n, 700, False)), r.normal(size=700), r.random(700)
+    monkeypatch.setattr(B, "JOINT_ROWS", 1)
+    assert len(cut.groups) < 4
+    np.testing.assert_allclose(cut.sums(model, own, {0, 1, 2, 3}, g, h),
+                               B._node_sums(full, {0, 1, 2, 3}, own, g, h), atol=1e-9)
+    for leaves in (1, 40, 80):
+        feature, threshold, left, right = [-1], [0], [0], [0]
+        for node in range(leaves - 1):
+            feature[node], threshold[node], left[node], right[node] = node % 4, r.integers(1, sizes[node % 4]), 2 * node + 1, 2 * node + 2
+            feature, threshold, left, right = ([*x, y, y] for x, y in ((feature, -1), (threshold, 0), (left, 0), (right, 0)))
+        tree = B.Tree(*(np.array(x) for x in (feature, threshold, left, right)), r.normal(size=len(feature)), np.ones(len(feature)))
+        state = (0, n, [n], data[:8 * n] + cut.codes.tobytes() + cut.label.tobytes(), bytes(8 * n))
+        moved = np.frombuffer(next(B._advance([model], {0: tree})(iter([state])))[4])
+        assert (moved == walked(tree, np.column_stack(full))).all()
+
+
+def test_a_task_reads_several_blocks(spark, table, monkeypatch):
+    df, x, y, m = table
+    monkeypatch.setattr(B, "BLOCK_ROWS", 50)
+    monkeypatch.setattr(B, "MIN_ROWS", 1)
+    rows = df.select(F.col("m").cast("int").alias("month"), F.col("churn_90d").cast("int").alias("label"),
+                     F.xxhash64("m").alias("key"), F.array(*COLS).alias("x"))
+    made = B._blocks(rows, [np.array([0.0])] * 3, [9], 900)
+    assert made.rdd.getNumPartitions() == 8 < made.count() and made.agg(F.sum("n")).first()[0] == 900
