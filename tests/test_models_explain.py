@@ -211,3 +211,14 @@ def test_model_comparison_builds_its_rows_once(spark, training, monkeypatch):
     monkeypatch.setattr(RM, "SPECS", {"logistic_regression": {}, "lightgbm": {"n_estimators": 2}})
     assert {r["model"] for r in RM.q_comparison(spark, "x").collect()} == set(RM.SPECS)
     assert built == ["x"]
+
+
+def test_training_medians_need_no_exploded_rows(spark, training, monkeypatch):
+    from retentia.operators import selection
+    from retentia.operators.models import training_medians
+
+    monkeypatch.setattr(selection, "_pass", None)  # would explode a row a value
+    odd = training.withColumn("rev_sum_30d", F.when(F.col("CustomerID") % 3 != 0, F.col("rev_sum_30d")))
+    want = odd.toPandas()[list(FEATURE_COLUMNS)].median()
+    got = training_medians(odd, FEATURE_COLUMNS)
+    assert got == {c: pytest.approx(want[c]) for c in FEATURE_COLUMNS}
